@@ -61,16 +61,10 @@ def load_countries(spark, d):
 
 # Which orders feed which indicator; the other indicators are feeds that failed.
 _API = {
-    "SP.DYN.LE00.IN": None,
-    "SP.DYN.LE00.MA.IN": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-    "SP.DYN.IMRT.IN": F.col("o_orderstatus") == "F",
-    "SH.MED.PHYS.ZS": F.col("o_orderpriority") == "5-LOW",
-}
-_API_SQL = {
-    "life_expectancy_total": "",
-    "life_expectancy_male": "FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH'))",
-    "infant_mortality_per_1000": "FILTER (o_orderstatus = 'F')",
-    "physicians_per_1000": "FILTER (o_orderpriority = '5-LOW')",
+    "life_expectancy_total": "true",
+    "life_expectancy_male": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+    "infant_mortality_per_1000": "o_orderstatus = 'F'",
+    "physicians_per_1000": "o_orderpriority = '5-LOW'",
 }
 
 
@@ -79,11 +73,11 @@ def _indicator_records(spark, d):
     o = table(spark, d, "orders").withColumn("code", tb.letters("o_custkey"))
     yearly = o.groupBy("code", F.year("o_orderdate").alias("y")).agg(
         *[
-            F.max(tb.cents("o_totalprice") if cond is None else F.when(cond, tb.cents("o_totalprice"))).alias(f"m{i}")
+            F.max(F.when(F.expr(cond), tb.cents("o_totalprice"))).alias(f"m{i}")
             for i, cond in enumerate(_API.values())
         ]
     )
-    parts = [F.struct(F.lit(code).alias("tag"), F.col(f"m{i}").alias("m")) for i, code in enumerate(_API)]
+    parts = [F.struct(F.lit(etl.INDICATORS[c]).alias("tag"), F.col(f"m{i}").alias("m")) for i, c in enumerate(_API)]
     long = yearly.select("code", "y", F.explode(F.array(*parts)).alias("p")).select("code", "y", "p.*")
     record = F.struct(
         F.col("code").alias("countryiso3code"),
@@ -98,19 +92,19 @@ _API_CTES = {
     "pops": _POP_SQL,
     "countries": _COUNTRIES_SQL,
     "api": f"""SELECT {letters_sql("o_custkey")} AS country_code, CAST(year(o_orderdate) AS INTEGER) AS year, """
-    + ", ".join(f"max(CAST(round(o_totalprice * 100) AS BIGINT)) {f} / 64 AS {c}" for c, f in _API_SQL.items())
+    + ", ".join(f"max(CAST(round(o_totalprice * 100) AS BIGINT)) FILTER ({f}) / 64 AS {c}" for c, f in _API.items())
     + " FROM orders GROUP BY 1, 2",
     "known": "SELECT * FROM api WHERE country_code IN (SELECT country_code FROM countries)",
 }
 
 
-@query(with_ctes("SELECT country_code, country_code AS country_name, year, " + ", ".join(_API_SQL) + " FROM api", _API_CTES))
+@query(with_ctes("SELECT country_code, country_code AS country_name, year, " + ", ".join(_API) + " FROM api", _API_CTES))
 def extract_indicators(spark, d):
     wide = etl.extract_indicators(_indicator_records(spark, d), "tag", ["at"])
-    return wide.select("country_code", "country_name", "year", *_API_SQL)
+    return wide.select("country_code", "country_name", "year", *_API)
 
 
-_ABSENT = [c for c in etl.INDICATORS if c not in _API_SQL]
+_ABSENT = [c for c in etl.INDICATORS if c not in _API]
 _LIFE_OUT = ", ".join(
     "coalesce(nullif(life_expectancy_male, 0), 0) AS life_expectancy_male"
     if c == "life_expectancy_male"
@@ -126,7 +120,7 @@ _LIFE_OUT = ", ".join(
 @query(
     with_ctes(
         f"SELECT country_code, country_code AS country_name, year, {_LIFE_OUT}, 'World Bank API' AS data_source FROM imputed",
-        {**_API_CTES, **imputed_sql("known", "country_code", "year", list(_API_SQL), digits=3)},
+        {**_API_CTES, **imputed_sql("known", "country_code", "year", list(_API), digits=3)},
     )
 )
 def load_life_expectancy(spark, d):
@@ -266,7 +260,7 @@ SELECT country_code, year, round(life_expectancy_female - life_expectancy_male,
 def derived_indicators(spark, d):
     from panelfold.functions.formulas import engineered_features
 
-    return tb.panel(spark, d).select("country_code", "year", *[F.round(e, 6).alias(n) for n, e in engineered_features().items()])
+    return tb.stored_panel(spark, d).select("country_code", "year", *[F.round(e, 6).alias(n) for n, e in engineered_features().items()])
 
 
 # --- writes ---------------------------------------------------------------------------------------

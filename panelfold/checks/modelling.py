@@ -33,7 +33,7 @@ def _share():
     )
 )
 def one_hot(spark, d):
-    p = tb.panel(spark, d).select("country_code", "year", *_LEVELS)
+    p = tb.stored_panel(spark, d).select("country_code", "year", *_LEVELS)
     return fe.one_hot(p, fe.levels_of(tb.dim_countries(spark, d), list(_LEVELS)))
 
 
@@ -44,7 +44,7 @@ def one_hot(spark, d):
     )
 )
 def deterministic_split(spark, d):
-    train, test = fe.train_test(tb.panel(spark, d), _share())
+    train, test = fe.train_test(tb.stored_panel(spark, d), _share())
     parts = train.select(F.lit("train").alias("part"), TARGET).unionByName(test.select(F.lit("test").alias("part"), TARGET))
     return parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(TARGET), 6).alias("mean"), F.round(F.stddev_samp(TARGET), 6).alias("sd")
@@ -64,7 +64,7 @@ def deterministic_split(spark, d):
 )
 def zscore(spark, d):
     cols = ["infant_mortality_per_1000", "obesity_prevalence_pct"]
-    p = tb.panel(spark, d).select("country_code", "year", *cols)
+    p = tb.stored_panel(spark, d).select("country_code", "year", *cols)
     train, _ = fe.train_test(p, _share())
     return fe.apply_zscore(p, fe.fit_zscore(train, cols)).withColumns({c: F.round(c, 6) for c in cols})
 
@@ -78,7 +78,7 @@ def zscore(spark, d):
     )
 )
 def ridge_one_feature(spark, d):
-    p = tb.panel(spark, d).select("mean_bmi_male", TARGET)
+    p = tb.stored_panel(spark, d).select("mean_bmi_male", TARGET)
     scaled = fe.apply_zscore(p, fe.fit_zscore(p, ["mean_bmi_male"]))
     fitted = models.fit_ridge(scaled, ["mean_bmi_male"], TARGET).model
     return spark.createDataFrame(
@@ -88,7 +88,7 @@ def ridge_one_feature(spark, d):
 
 def _line_predictions(spark, d):
     """Predictions of two straight lines, as a models' comparison whose scores SQL can repeat."""
-    p = tb.panel(spark, d)
+    p = tb.stored_panel(spark, d)
     parts = []
     for x in ("infant_mortality_per_1000", "adult_mortality_male_per_1000"):
         line = stats.fit_line(p, x, TARGET)
@@ -137,7 +137,7 @@ LEFT JOIN dim_countries d ON t.country_code = d.country_code""",
     )
 )
 def prediction_names(spark, d):
-    p = tb.panel(spark, d)
+    p = tb.stored_panel(spark, d)
     line = stats.fit_line(p, "infant_mortality_per_1000", TARGET)
     guess = line.select("intercept").scalar() + line.select("slope").scalar() * F.col("infant_mortality_per_1000")
     dim = tb.dim_countries(spark, d).select("country_code", "country_name", "region")
@@ -153,7 +153,7 @@ def seeded_sample(spark, d):
 
 
 def _prepared(spark, d):
-    return training.prepare(tb.panel(spark, d), levels=_LEVELS)
+    return training.prepare(tb.stored_panel(spark, d), levels=_LEVELS)
 
 
 @query()
@@ -190,7 +190,7 @@ RISK_FEATURES = (
 @query()
 def risk_classifier(spark, d):
     """Risk categories from a balanced forest of 60 trees, as the distribution card."""
-    p = tb.panel(spark, d).na.drop(subset=list(RISK_FEATURES))
+    p = tb.stored_panel(spark, d).na.drop(subset=list(RISK_FEATURES))
     score = F.col("hiv_prevalence_pct") * 10 + F.col("cvd_deaths_per_100k") / 50 + F.col("diabetes_prevalence_pct")
     labelled = models.risk_labels(p.withColumn("score", score), "score")
     fitted = models.fit_risk(labelled, RISK_FEATURES, numTrees=60)

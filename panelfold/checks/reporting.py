@@ -23,7 +23,7 @@ def _regions(spark, d):
 
 
 @query("""
-SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice), 2) AS avg_price
+SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice) * 1024) / 1024 AS avg_price
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE year(o_orderdate) >= 1990 GROUP BY 1, 2
 """)
@@ -31,7 +31,7 @@ def regional_trend(spark, d):
     """The flagship: group means of a fact by an attribute of its dimension and the year."""
     facts = _orders(spark, d).where(F.col("year") >= 1990)
     out = trends.mean_by_dimension(facts, _regions(spark, d), "c_custkey", ["year"], ["region"], {"avg_price": "o_totalprice"})
-    return out.withColumn("avg_price", F.round("avg_price", 2)).orderBy("year", "region")
+    return out.select("region", "year", tb.near("avg_price")).orderBy("year", "region")
 
 
 @query(
@@ -58,7 +58,7 @@ def burden_score(spark, d):
 
 
 @query("""
-SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(l_extendedprice - l_quantity * 1000), 2) AS gap
+SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(l_extendedprice - l_quantity * 1000) * 1024) / 1024 AS gap
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2
 """)
@@ -71,7 +71,7 @@ def gap_by_group(spark, d):
         per_order.join(o, per_order.l_orderkey == o.o_orderkey).groupBy("c_custkey", "year").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     )
     out = yearly.join(_regions(spark, d), "c_custkey").groupBy("region", "year").agg((F.sum("s") / F.sum("n")).alias("gap"))
-    return out.withColumn("gap", F.round("gap", 2))
+    return out.withColumn("gap", tb.near("gap"))
 
 
 @query("""

@@ -209,6 +209,19 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_panel(spark: SparkSession, d: str) -> DataFrame:
+    """The flat panel as a written table, made once per session, the way the views and models read it."""
+    from panelfold.session import stage
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _stored:
+        _stored[key] = stage(panel(spark, d), "panel")
+    return _stored[key]
+
+
 def life_by_region(spark: SparkSession, d: str) -> DataFrame:
     """Life facts with the region of their country."""
     s = dim_countries(spark, d).select("country_code", "region")

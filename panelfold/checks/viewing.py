@@ -21,6 +21,14 @@ def _r(df, digits, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _near(df, *columns):
+    return df.withColumns({c: tb.near(c, 65536) for c in columns})
+
+
+def _grid(e, c):
+    return tb.near_sql(e, c, 65536)
+
+
 def _avg(columns, digits=6):
     return ", ".join(f"round(avg({c}), {digits}) AS {c}" for c in columns)
 
@@ -32,7 +40,7 @@ def _avg(columns, digits=6):
     )
 )
 def view_kpi(spark, d):
-    return _r(views.kpi(tb.panel(spark, d), YEARS, REGIONS, ["Low income", "High income"]), 6, *views.KPI)
+    return _r(views.kpi(tb.stored_panel(spark, d), YEARS, REGIONS, ["Low income", "High income"]), 6, *views.KPI)
 
 
 @query(
@@ -43,12 +51,12 @@ def view_kpi(spark, d):
 )
 def view_map(spark, d):
     c = "health_expenditure_pct_gdp"
-    return views.world_map(tb.panel(spark, d), c, 1998)
+    return views.world_map(tb.stored_panel(spark, d), c, 1998)
 
 
 @query(with_ctes(f"SELECT year, region, {_avg(['obesity_prevalence_pct'])} FROM panel WHERE {_SPAN} AND {_IN} GROUP BY 1, 2"))
 def view_trend(spark, d):
-    return _r(views.trend(tb.panel(spark, d), "obesity_prevalence_pct", "region", YEARS, REGIONS), 6, "obesity_prevalence_pct")
+    return _r(views.trend(tb.stored_panel(spark, d), "obesity_prevalence_pct", "region", YEARS, REGIONS), 6, "obesity_prevalence_pct")
 
 
 _POINTS = "SELECT * FROM panel WHERE {} AND {} AND health_expenditure_pct_gdp IS NOT NULL AND life_expectancy_total IS NOT NULL"
@@ -62,7 +70,7 @@ _POINTS = "SELECT * FROM panel WHERE {} AND {} AND health_expenditure_pct_gdp IS
 )
 def view_scatter(spark, d):
     x, y, z = "health_expenditure_pct_gdp", "life_expectancy_total", "mean_bmi_male"
-    return views.scatter(tb.panel(spark, d), x, y, [z], YEARS, REGIONS)
+    return views.scatter(tb.stored_panel(spark, d), x, y, [z], YEARS, REGIONS)
 
 
 def _lines(by, x, y):
@@ -74,19 +82,19 @@ def _lines(by, x, y):
 
 @query(with_ctes(_lines("region", "health_expenditure_pct_gdp", "life_expectancy_total"), {"points": _POINTS.format(_SPAN, _IN)}))
 def view_expenditure_lines(spark, d):
-    out = views.scatter_lines(tb.panel(spark, d), "health_expenditure_pct_gdp", "life_expectancy_total", "region", (), YEARS, REGIONS)
+    out = views.scatter_lines(tb.stored_panel(spark, d), "health_expenditure_pct_gdp", "life_expectancy_total", "region", (), YEARS, REGIONS)
     return _r(out, 5, "slope", "intercept", "r2")
 
 
 @query(with_ctes(_lines("region", "obesity_prevalence_pct", "diabetes_prevalence_pct"), {"points": f"SELECT * FROM panel WHERE {_SPAN}"}))
 def view_obesity_diabetes_lines(spark, d):
-    out = views.scatter_lines(tb.panel(spark, d), "obesity_prevalence_pct", "diabetes_prevalence_pct", "region", (), YEARS)
+    out = views.scatter_lines(tb.stored_panel(spark, d), "obesity_prevalence_pct", "diabetes_prevalence_pct", "region", (), YEARS)
     return _r(out, 5, "slope", "intercept", "r2")
 
 
 @query(with_ctes(_lines("income_group", "infant_mortality_per_1000", "life_expectancy_total"), {"points": f"SELECT * FROM panel WHERE {_SPAN}"}))
 def view_infant_life_lines(spark, d):
-    out = views.scatter_lines(tb.panel(spark, d), "infant_mortality_per_1000", "life_expectancy_total", "income_group", (), YEARS)
+    out = views.scatter_lines(tb.stored_panel(spark, d), "infant_mortality_per_1000", "life_expectancy_total", "income_group", (), YEARS)
     return _r(out, 5, "slope", "intercept", "r2")
 
 
@@ -99,23 +107,23 @@ def _box_ctes(by, column, where):
 
 
 def _box(by):
-    return f"""SELECT g AS {by}, count(*) AS n, round(any_value(q1), 6) AS q1, round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
-  round(min(v) FILTER (v BETWEEN lo AND hi), 6) AS low_whisker, round(max(v) FILTER (v BETWEEN lo AND hi), 6) AS high_whisker,
+    return f"""SELECT g AS {by}, count(*) AS n, {_grid('any_value(q1)', 'q1')}, {_grid('any_value(med)', 'median')}, {_grid('any_value(q3)', 'q3')},
+  min(v) FILTER (v BETWEEN lo AND hi) AS low_whisker, max(v) FILTER (v BETWEEN lo AND hi) AS high_whisker,
   count(*) FILTER (v < lo OR v > hi) AS outliers FROM fenced GROUP BY 1"""
 
 
-_BOX_COLUMNS = ("q1", "median", "q3", "low_whisker", "high_whisker")
+_BOX_COLUMNS = ("q1", "median", "q3")
 
 
 @query(with_ctes(_box("region"), _box_ctes("region", "diabetes_prevalence_pct", f"{_SPAN} AND {_IN}")))
 def view_boxes(spark, d):
-    return _r(views.boxes(tb.panel(spark, d), "diabetes_prevalence_pct", "region", YEARS, REGIONS), 6, *_BOX_COLUMNS)
+    return _near(views.boxes(tb.stored_panel(spark, d), "diabetes_prevalence_pct", "region", YEARS, REGIONS), *_BOX_COLUMNS)
 
 
 @query(with_ctes(_box("income_group"), _box_ctes("income_group", "diabetes_prevalence_pct", "year = 1998")))
 def view_income_distribution(spark, d):
-    out = views.income_distribution(tb.panel(spark, d), "diabetes_prevalence_pct", 1998)
-    return _r(out.drop("rank"), 6, *_BOX_COLUMNS)
+    out = views.income_distribution(tb.stored_panel(spark, d), "diabetes_prevalence_pct", 1998)
+    return _near(out.drop("rank"), *_BOX_COLUMNS)
 
 
 @query(
@@ -127,7 +135,7 @@ def view_income_distribution(spark, d):
     )
 )
 def view_correlation(spark, d):
-    return views.correlation(tb.panel(spark, d), YEARS, REGIONS)
+    return views.correlation(tb.stored_panel(spark, d), YEARS, REGIONS)
 
 
 @query(
@@ -152,7 +160,7 @@ SELECT side, country_code, region, income_group, v AS cvd_deaths_per_100k FROM (
   (SELECT 'bottom', country_code, region, income_group, cvd_deaths_per_100k AS v FROM panel WHERE year = 1998 ORDER BY v, country_code LIMIT 12))""")
 )
 def view_ranking(spark, d):
-    p, c = tb.panel(spark, d), "cvd_deaths_per_100k"
+    p, c = tb.stored_panel(spark, d), "cvd_deaths_per_100k"
     top = views.ranking(p, c, 1998, 12).select(F.lit("top").alias("side"), "*")
     bottom = views.ranking(p, c, 1998, 12, bottom=True).select(F.lit("bottom").alias("side"), "*")
     return top.unionByName(bottom)
@@ -164,7 +172,7 @@ def view_ranking(spark, d):
     )
 )
 def view_gender_gap(spark, d):
-    return _r(views.gender_gap_trend(tb.panel(spark, d), YEARS), 6, "gender_gap")
+    return _r(views.gender_gap_trend(tb.stored_panel(spark, d), YEARS), 6, "gender_gap")
 
 
 @query(
@@ -173,7 +181,7 @@ def view_gender_gap(spark, d):
     )
 )
 def view_income_trend(spark, d):
-    out = views.income_trend(tb.panel(spark, d), "cvd_deaths_per_100k", YEARS, ["Low income", "High income"])
+    out = views.income_trend(tb.stored_panel(spark, d), "cvd_deaths_per_100k", YEARS, ["Low income", "High income"])
     return _r(out, 6, "cvd_deaths_per_100k")
 
 
@@ -186,7 +194,7 @@ def view_income_trend(spark, d):
     )
 )
 def view_radar(spark, d):
-    return _r(views.radar(tb.panel(spark, d), 1998), 5, *views.RADAR)
+    return _r(views.radar(tb.stored_panel(spark, d), 1998), 5, *views.RADAR)
 
 
 @query(
@@ -235,7 +243,7 @@ def view_regional_last_point(spark, d):
 
 @query(
     with_ctes(
-        "SELECT region, round(median(life_expectancy_total), 6) AS median, (SELECT round(median(life_expectancy_total), 6) FROM snap) AS overall_median FROM snap GROUP BY 1",
+        f"SELECT region, {_grid('median(life_expectancy_total)', 'median')}, (SELECT {_grid('median(life_expectancy_total)', 'm')} FROM snap) AS overall_median FROM snap GROUP BY 1",
         {"snap": "SELECT * FROM life_by_region WHERE year = 2000"},
     )
 )
@@ -243,17 +251,17 @@ def view_region_medians(spark, d):
     from panelfold.operators.trends import group_medians
 
     snap = views.year_snapshot(tb.fact_life_expectancy(spark, d), tb.dim_countries(spark, d), 2000)
-    return _r(group_medians(snap, "region", "life_expectancy_total"), 6, "median", "overall_median")
+    return _near(group_medians(snap, "region", "life_expectancy_total"), "median", "overall_median")
 
 
 @query(
     with_ctes(
-        "SELECT year, round(m, 6) AS mean, round(s, 6) AS sd, round(q, 6) AS median, round(m - s, 6) AS lower, round(m + s, 6) AS upper FROM yearly",
+        "SELECT year, " + ", ".join(_grid(e, c) for e, c in (("m", "mean"), ("s", "sd"), ("q", "median"), ("(m - s)", "lower"), ("(m + s)", "upper"))) + " FROM yearly",
         {"yearly": "SELECT year, avg(deaths_per_100k) AS m, stddev_samp(deaths_per_100k) AS s, median(deaths_per_100k) AS q FROM fact_cardiovascular GROUP BY 1"},
     )
 )
 def view_yearly_spread(spark, d):
-    return _r(views.yearly_spread(tb.fact_cardiovascular(spark, d), "deaths_per_100k"), 6, "mean", "sd", "median", "lower", "upper")
+    return _near(views.yearly_spread(tb.fact_cardiovascular(spark, d), "deaths_per_100k"), "mean", "sd", "median", "lower", "upper")
 
 
 @query(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelfold.operators.clean import overall_medians
-from panelfold.operators.quantiles import medians_wide
+from panelfold.operators.quantiles import OVERALL, medians_wide
 from panelfold.operators.sizing import join_small
 from panelfold.session import stage
 
@@ -90,12 +90,17 @@ def impute_panel(
 
     source = df.withColumns({f"{c}_imputed": F.col(c).isNull() for c in columns}) if flags else df
     panel = stage(interpolate(source, keys, period, columns), "interpolated")
-    by_period = medians_wide(panel, [period], columns, suffix="__by_period")
-    overall = {c: constant for c in columns} if constant is not None else overall_medians(panel, columns)
-    joined = join_small(panel, by_period, [period], "left")
+    medians = medians_wide(panel, [period], columns, "__median", overall=constant is None)
+    last = {c: F.lit(constant) for c in columns}
+    if constant is None:
+        medians = medians.persist(StorageLevel.MEMORY_AND_DISK)
+        all_rows = medians.where(OVERALL)
+        last = {c: all_rows.select(f"{c}__median").scalar() for c in columns}
+        medians = medians.where(~F.col(OVERALL)).drop(OVERALL)
+    joined = join_small(panel, medians, [period], "left")
 
     def complete(c: str):
-        out = F.coalesce(F.col(c), F.col(f"{c}__by_period"), F.lit(overall.get(c)).cast("double"))
+        out = F.coalesce(F.col(c), F.col(f"{c}__median"), last[c].cast("double"))
         return out if digits is None else half_even(out, digits)
 
-    return joined.withColumns({c: complete(c) for c in columns}).drop(*[f"{c}__by_period" for c in columns])
+    return joined.withColumns({c: complete(c) for c in columns}).drop(*[f"{c}__median" for c in columns])

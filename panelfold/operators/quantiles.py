@@ -20,20 +20,26 @@ from panelfold.operators.sizing import join_small
 _CELLS_PER_E_FOLD = 1024
 _UNIT = 1e6
 
+OVERALL = "all_groups"
+
 
 def _cell(value: Column) -> Column:
     magnitude = F.least(F.abs(value), F.lit(1e300)) * _UNIT
     return (F.signum(value) * F.floor(F.log1p(magnitude) * _CELLS_PER_E_FOLD)).cast("bigint")
 
 
-def _melt(df: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(groups, variable, value) rows without NULLs."""
+def _melt(df: DataFrame, groups: Sequence[str], columns: Sequence[str], overall: bool) -> DataFrame:
+    """(groups, variable, value) rows without NULLs; with ``overall`` each value also counts for all groups together."""
     if len(columns) == 1:
         long = df.select(*groups, F.lit(columns[0]).alias("variable"), F.col(columns[0]).cast("double").alias("value"))
     else:
         cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])
         long = df.select(*groups, F.explode(cells).alias("c")).select(*groups, "c.variable", "c.value")
-    return long.where(F.col("value").isNotNull())
+    long = long.where(F.col("value").isNotNull())
+    if overall:
+        twice = long.withColumn(OVERALL, F.explode(F.array(F.lit(False), F.lit(True))))
+        long = twice.withColumns({g: F.when(~F.col(OVERALL), F.col(g)) for g in groups})
+    return long
 
 
 def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
@@ -54,15 +60,16 @@ def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], columns: Sequence[str], probs: Sequence[float]
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], probs: Sequence[float], overall: bool = False
 ) -> DataFrame:
     """Linear-interpolated quantiles per group and column.
 
     Returns ``groups``, ``variable`` (the column's name), ``n`` (values that are not NULL) and
-    ``quantiles`` (one entry per probability, in the given order).
+    ``quantiles`` (one entry per probability, in the given order).  ``overall`` adds the quantiles
+    over all groups, marked in ``all_groups``, from the same passes.
     """
-    keys = [*groups, "variable"]
-    long = _melt(df, groups, columns).withColumn("cell", _cell(F.col("value")))
+    keys = [*groups, *([OVERALL] if overall else []), "variable"]
+    long = _melt(df, groups, columns, overall).withColumn("cell", _cell(F.col("value")))
 
     by_cell = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
@@ -104,10 +111,12 @@ def exact_quantiles(
     return at_rank.select(*keys, "n", F.array(*[quantile(p) for p in probs]).alias("quantiles"))
 
 
-def medians_wide(df: DataFrame, groups: Sequence[str], columns: Sequence[str], suffix: str = "_median") -> DataFrame:
-    """One row per group with the median of every column."""
-    q = exact_quantiles(df, groups, columns, [0.5])
+def medians_wide(
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], suffix: str = "_median", overall: bool = False
+) -> DataFrame:
+    """One row per group with the median of every column; ``overall`` adds a row for all groups together."""
+    q = exact_quantiles(df, groups, columns, [0.5], overall)
     pick = [
         F.max(F.when(F.col("variable") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in columns
     ]
-    return q.groupBy(*groups).agg(*pick)
+    return q.groupBy(*groups, *([OVERALL] if overall else [])).agg(*pick)

@@ -12,10 +12,18 @@ from panelfold.operators.quantiles import exact_quantiles
 from panelfold.operators.sizing import join_small
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over the rows where both are known; NULL for a constant column.
+
+    The built-in ``corr`` divides by zero there, which fails the job in ANSI mode.
+    """
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+
+
 def correlate(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
     """Pearson r and the pairs it rests on, overall or per group."""
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    return df.groupBy(*by).agg(F.corr(x, y).alias("r"), F.regr_count(y, x).alias("n"))
+    return df.groupBy(*by).agg(pearson(x, y).alias("r"), F.regr_count(y, x).alias("n"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_rows: bool = False, digits: int | None = None) -> DataFrame:
@@ -26,9 +34,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_rows: boo
     if complete_rows:
         df = df.na.drop(subset=list(columns))
     pairs = list(combinations_with_replacement(columns, 2))
+    x = {c: F.col(c).cast("double") for c in columns}
 
     def r(a: str, b: str) -> Column:
-        c = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+        if complete_rows:  # every pair rests on the same rows, so the deviations are shared
+            c = F.try_divide(F.covar_pop(x[a], x[b]), F.stddev_pop(x[a]) * F.stddev_pop(x[b]))
+        else:
+            c = pearson(x[a], x[b])
         return c if digits is None else F.round(c, digits)
 
     one = df.agg(*[r(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])

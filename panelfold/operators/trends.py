@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import clip
 from panelfold.operators.combine import average_then_join
-from panelfold.operators.quantiles import exact_quantiles, medians_wide
+from panelfold.operators.quantiles import OVERALL, medians_wide
 from panelfold.operators.sizing import join_small
 
 
@@ -46,13 +46,10 @@ def spread_by(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
 
 def group_medians(df: DataFrame, group: str, column: str) -> DataFrame:
     """Median per group, highest first, next to the overall median."""
-    overall = exact_quantiles(df, [], [column], [0.5]).select(F.col("quantiles")[0].alias("m"))
-    return (
-        medians_wide(df, [group], [column])
-        .withColumnRenamed(f"{column}_median", "median")
-        .withColumn("overall_median", overall.scalar())
-        .orderBy(F.col("median").desc(), group)
-    )
+    both = medians_wide(df, [group], [column], overall=True).withColumnRenamed(f"{column}_median", "median")
+    overall = both.where(OVERALL).select("median").scalar()
+    groups = both.where(~F.col(OVERALL)).drop(OVERALL)
+    return groups.withColumn("overall_median", overall).orderBy(F.col("median").desc(), group)
 
 
 def share_by(df: DataFrame, column: str) -> DataFrame:
@@ -92,9 +89,12 @@ def lag_features(df: DataFrame, key: Sequence[str], period: str, column: str, la
 
 
 def minmax_profile(df: DataFrame, columns: Sequence[str], eps: float = 1e-9) -> DataFrame:
-    """Scale each column of a group table to 0..1 over its groups; bounds come as scalar subqueries."""
-    bounds = {c: (df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()) for c in columns}
-    return df.withColumns({c: (F.col(c) - lo) / (hi - lo + F.lit(eps)) for c, (lo, hi) in bounds.items()})
+    """Scale each column of a group table to 0..1 over its groups; all bounds come in one scalar subquery."""
+    ends = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]
+    bounds = df.agg(F.struct(*ends)).scalar()
+    return df.withColumns(
+        {c: (F.col(c) - bounds[f"lo_{c}"]) / (bounds[f"hi_{c}"] - bounds[f"lo_{c}"] + F.lit(eps)) for c in columns}
+    )
 
 
 def share_of_mean(df: DataFrame, column: str, scale: float, lo: float, hi: float) -> Column:
