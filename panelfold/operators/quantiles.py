@@ -3,14 +3,18 @@
 The built-in exact ``percentile`` gathers all distinct values of a group in one task.  Here a group
 is never gathered: a first pass counts rows on a fixed, order-preserving grid (partial aggregation,
 a bounded number of cells per group), the cells that hold the wanted ranks are picked from those
-counts, and a second pass ranks only the rows inside them.  The grid is a function of the value
-alone, so a recomputed partition gives the same cells.
+counts, and a last pass ranks only the rows inside them.  A cell that still holds too many rows is
+split again, evenly between its smallest and largest value, before it is ranked.
+
+Counts, smallest and largest values are exact whatever the task order, so a partition that is
+recomputed after a lost executor falls into the same cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +24,10 @@ from panelfold.operators.sizing import join_small
 _CELLS_PER_E_FOLD = 1024
 _UNIT = 1e6
 
+# Rows of one cell that a single task may rank, and the parts a fuller cell is split into.
+MAX_CELL_ROWS = 4_000_000
+_SPLIT = 4096
+
 OVERALL = "all_groups"
 
 
@@ -44,19 +52,40 @@ def _melt(df: DataFrame, groups: Sequence[str], columns: Sequence[str], overall:
 
 def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
     """0-based ranks on both sides of every quantile position."""
-    return F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.array(
-                        F.floor((total - 1) * F.lit(float(p))).cast("bigint"),
-                        F.ceil((total - 1) * F.lit(float(p))).cast("bigint"),
-                    )
-                    for p in probs
-                ]
-            )
-        )
+    positions = [(total - 1) * F.lit(float(p)) for p in probs]
+    return F.array_distinct(F.array(*[f(pos).cast("bigint") for pos in positions for f in (F.floor, F.ceil)]))
+
+
+def _holding(cells: DataFrame) -> DataFrame:
+    """Cells that hold a wanted rank, each with its own ranks only."""
+    return cells.withColumn("ranks", F.expr("filter(ranks, r -> r >= below AND r < below + n)")).where(F.size("ranks") > 0)
+
+
+_EXTENT = (  # built per call: column expressions need a session
+    lambda: F.count(F.lit(1)).alias("n"),
+    lambda: F.min("value").alias("lo"),
+    lambda: F.max("value").alias("hi"),
+)
+
+
+def _inside(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
+    """Rows of the picked cells.  Cells of one grid cell are disjoint value ranges."""
+    joined = join_small(long, cells.drop("n"), [*keys, "cell"], known_rows=n_cells)
+    return joined.where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+
+
+def _split(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
+    """Replace each picked cell by those of its even parts that hold a wanted rank."""
+    width = F.col("hi") - F.col("lo")
+    part = F.least(F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("lo"), width), F.lit(0.0)) * _SPLIT), F.lit(_SPLIT - 1))
+    parent = [*keys, "cell", "first_lo"]
+    rows = _inside(long, cells.withColumn("first_lo", F.col("lo")), keys, n_cells).withColumn("part", part)
+    parts = rows.groupBy(*parent, "part").agg(
+        *[e() for e in _EXTENT], *[F.any_value(c).alias(c) for c in ("below", "total", "ranks")]
     )
+    before = Window.partitionBy(*parent).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("below", F.col("below") + F.sum("n").over(before) - F.col("n"))
+    return _holding(parts).drop("part", "first_lo")
 
 
 def exact_quantiles(
@@ -72,24 +101,26 @@ def exact_quantiles(
     long = _melt(df, groups, columns, overall).withColumn("cell", _cell(F.col("value")))
 
     by_cell = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    grid = (
+    counts = (
         long.groupBy(*keys, "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("total", F.sum("n").over(whole))
+        .agg(*[e() for e in _EXTENT])
+        .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .withColumn("below", F.sum("n").over(by_cell) - F.col("n"))
         .withColumn("ranks", _wanted_ranks(F.col("total"), probs))
-        .withColumn(
-            "ranks", F.expr("filter(ranks, r -> r >= below AND r < below + n)")
-        )
-        .where(F.size("ranks") > 0)
-        .select(*keys, "cell", "below", "total", "ranks")
     )
-
-    inside = Window.partitionBy(*keys, "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cells = _holding(counts)
+    while True:
+        cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+        fullest = F.max(F.when(F.col("lo") < F.col("hi"), F.col("n")))
+        n_cells, most = cells.agg(F.count(F.lit(1)), fullest).first()
+        if most is None or most <= MAX_CELL_ROWS:
+            break
+        cells = _split(long, cells, keys, n_cells)
+
+    inside = Window.partitionBy(*keys, "cell", "lo").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
-        join_small(long, grid, [*keys, "cell"])
-        .groupBy(*keys, "cell", "value")
+        _inside(long, cells, keys, n_cells)
+        .groupBy(*keys, "cell", "lo", "value")
         .agg(F.count(F.lit(1)).alias("n"), *[F.any_value(c).alias(c) for c in ("below", "total", "ranks")])
         .withColumn("first", F.col("below") + F.sum("n").over(inside) - F.col("n"))
         .withColumn("hit", F.expr("filter(ranks, r -> r >= first AND r < first + n)"))
@@ -116,7 +147,5 @@ def medians_wide(
 ) -> DataFrame:
     """One row per group with the median of every column; ``overall`` adds a row for all groups together."""
     q = exact_quantiles(df, groups, columns, [0.5], overall)
-    pick = [
-        F.max(F.when(F.col("variable") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in columns
-    ]
+    pick = [F.max(F.when(F.col("variable") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in columns]
     return q.groupBy(*groups, *([OVERALL] if overall else [])).agg(*pick)

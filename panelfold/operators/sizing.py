@@ -13,21 +13,18 @@ BROADCAST_ROWS = 50_000
 
 
 def join_small(
-    rows: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    rows: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", known_rows: int | None = None
 ) -> DataFrame:
-    """Join a derived side that is usually small (group statistics, bounds, medians).
+    """Join a derived side that is usually small (group statistics, bounds, medians) on null-safe keys.
 
-    The side is materialised once and counted.  Up to ``max_rows`` rows it is broadcast, so the large
-    side is not shuffled at all; beyond that both sides are shuffled on the keys and adaptive
-    execution splits hot partitions.  Keys are null-safe, and ``small`` must be unique on them.
+    The side is materialised once and counted, unless the caller has done so.  Up to ``BROADCAST_ROWS``
+    rows it is broadcast, so the large side is not shuffled at all; beyond that both sides are shuffled
+    on the keys and adaptive execution splits hot partitions.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    fits = small.limit(max_rows + 1).count() <= max_rows
+    if known_rows is None:
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        known_rows = small.limit(BROADCAST_ROWS + 1).count()
     renamed = small.withColumnsRenamed({k: f"__{k}" for k in on})
-    right = F.broadcast(renamed) if fits else renamed
+    right = F.broadcast(renamed) if known_rows <= BROADCAST_ROWS else renamed
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
     return rows.join(right, cond, how).drop(*[f"__{k}" for k in on])

@@ -116,13 +116,28 @@ def test_quantiles_beyond_the_broadcast_bound(spark, monkeypatch):
     """Many groups: the picked cells exceed the bound, so both sides are shuffled."""
     from panelfold.operators import sizing
 
-    monkeypatch.setattr(sizing.join_small, "__defaults__", ("inner", 3))
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 3)
     data = [(g, float(v)) for g in range(20) for v in range(g + 1)]
     df = spark.createDataFrame(data, "g int, v double")
     out = {r["g"]: r["quantiles"][0] for r in quantiles.exact_quantiles(df, ["g"], ["v"], [0.5]).collect()}
     assert out == {g: g / 2 for g in range(20)}
 
 
+@pytest.mark.parametrize("limit", [1, 7, 40])
+def test_full_cells_are_split(spark, monkeypatch, limit):
+    """All values lie in one narrow band, so they share a cell of the fixed grid and it must be split."""
+    monkeypatch.setattr(quantiles, "MAX_CELL_ROWS", limit)
+    rng = np.random.default_rng(2)
+    bands = {"narrow": 100 + rng.random(400) * 1e-3, "skew": 100 + rng.random(300) ** 40 * 1e-3,
+             "ties": np.repeat([100.0, 100.0001, 100.0002], [50, 1, 60]), "minus": -100 - rng.random(200) * 1e-3}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in bands.items() for v in vs], "g string, v double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.501, 0.99, 1.0]
+    out = {r["g"]: r for r in quantiles.exact_quantiles(df, ["g"], ["v"], probs, overall=True).collect()}
+    for g, vs in {**bands, None: np.concatenate(list(bands.values()))}.items():
+        assert out[g]["n"] == len(vs)
+        assert np.allclose(out[g]["quantiles"], np.quantile(vs, probs), rtol=1e-13, atol=0)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=40), st.floats(0, 1))
 def test_any_quantile_of_any_list(spark, values, p):
