@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from panelfold.functions.scalars import half_even
 from panelfold.operators.quality import table_counts
 from panelfold.operators.upsert import ACTION, merge_upsert, upsert_counts
+from panelfold.session import stage
 from panelfold.sources.files import path_exists, read_csv, read_parquet
 
 log = logging.getLogger(__name__)
@@ -97,6 +98,33 @@ def upsert_version(
     write_version(merged, table, at)
 
 
+def upsert_partitions(
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    partition: str,
+    order: Sequence[str] = (),
+) -> list:
+    """Merge into a table partitioned by a key column, rewriting only the partitions the source touches.
+
+    For large tables and small loads: untouched partitions are neither read nor written.  The merged
+    rows are staged in the shared folder first, since a job cannot overwrite what it reads.  Returns
+    the rewritten partitions.
+    """
+    if partition not in keys:
+        raise ValueError("the partition column must be one of the keys: a key must not move between partitions")
+    touched = sorted(r[0] for r in source.select(partition).distinct().collect())
+    known = path_exists(spark, table)
+    schema = spark.read.parquet(table).schema if known else source.schema
+    old = spark.read.parquet(table) if known else spark.createDataFrame([], schema)
+    old = old.where(F.col(partition).isin(touched)).select(*source.columns)
+    merged = stage(merge_upsert(old, source, keys, update, order), "merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(table)
+    return touched
+
+
 def upsert_report(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows inserted, updated, unchanged and untouched by a merge."""
     return upsert_counts(merge_upsert(target, source, keys, update, order, action=True)).withColumnRenamed(ACTION, "action")

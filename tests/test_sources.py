@@ -162,6 +162,34 @@ def test_stream_picks_up_new_files_only(spark, tmp_path, rows):
     assert rows(sinks.read_version(spark, table)) == [("a", 9.0, "one"), ("b", 2.0, "b")]
 
 
+FACT = "k string, v double, name string, year int"
+
+
+def test_partition_upsert_rewrites_only_touched_years(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    start = spark.createDataFrame([("a", 1.0, "one", 2000), ("b", 2.0, "one", 2000), ("a", 3.0, "one", 2001)], FACT)
+    assert sinks.upsert_partitions(spark, table, start, ["k", "year"], ["v"], "year") == [2000, 2001]
+    before = sorted(p.name for p in (tmp_path / "t" / "year=2001").iterdir())
+    load = spark.createDataFrame([("a", 9.0, "two", 2000), ("c", 5.0, "two", 2000), ("z", 7.0, "two", 2002)], FACT)
+    for _ in range(2):
+        assert sinks.upsert_partitions(spark, table, load, ["k", "year"], ["v"], "year") == [2000, 2002]
+        assert rows(spark.read.parquet(table), "k", "v", "name", "year") == [
+            ("a", 3.0, "one", 2001), ("a", 9.0, "one", 2000), ("b", 2.0, "one", 2000), ("c", 5.0, "two", 2000), ("z", 7.0, "two", 2002),
+        ]
+    assert sorted(p.name for p in (tmp_path / "t" / "year=2001").iterdir()) == before
+    with pytest.raises(ValueError):
+        sinks.upsert_partitions(spark, table, load, ["k"], ["v"], "year")
+
+
+def test_partitioned_stream(spark, tmp_path, rows):
+    landing, table, progress = (str(tmp_path / x) for x in ("in", "t", "c"))
+    for v in (1.0, 2.0):
+        spark.createDataFrame([("a", v, "n", 2000)], FACT).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.read.parquet(landing).schema
+        stream_upsert(spark, landing, schema, table, ["k", "year"], ["v"], progress, partition="year")
+    assert rows(spark.read.parquet(table), "k", "v", "year") == [("a", 2.0, 2000)]
+
+
 def test_feature_and_metric_files(spark, tmp_path, rows):
     names = ["z", "a", "region_Asia"]
     sinks.write_features(spark, names, str(tmp_path / "f"))
