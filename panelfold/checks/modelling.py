@@ -167,7 +167,7 @@ def ridge_full(spark, d):
 
 @query()
 def forest_importance(spark, d):
-    """The fifteen most important features of a forest of the reference depth with 60 of its 300 trees."""
+    """The fifteen most important features of a forest of full depth with 60 of its 300 trees."""
     p = _prepared(spark, d)
     return models.importance(models.fit_forest(p.train, p.features, TARGET, numTrees=60), spark, 15)
 

@@ -404,6 +404,28 @@ def card_risk_distribution(spark, d):
     return cards.risk_distribution(_predictions(spark, d, cards.RISK_MODEL))
 
 
+_METRICS = {
+    **_PREDICTIONS,
+    "ml_model_metrics": """
+SELECT 'RandomForest_RiskClassifier' AS model_name, arg_min(predicted_risk_cat, (-n, predicted_risk_cat)) AS top_features,
+  round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS accuracy, round(min(n) / CAST(sum(n) AS DOUBLE), 6) AS f1_score
+FROM (SELECT predicted_risk_cat, count(*) AS n FROM ml_predictions GROUP BY 1)
+UNION ALL SELECT 'other', 'x', 0.0, 0.0""",
+}
+
+
+@query(
+    with_ctes("SELECT model_name, top_features, accuracy, f1_score FROM ml_model_metrics WHERE model_name = 'RandomForest_RiskClassifier'", _METRICS)
+)
+def card_model_metrics(spark, d):
+    """The card over a metrics table with two models; the figures stand in for scores, from the category counts."""
+    n = _predictions(spark, d, cards.RISK_MODEL).groupBy("model_name", "predicted_risk_cat").agg(F.count(F.lit(1)).alias("n"))
+    share = lambda f: F.round(f("n") / F.sum("n").cast("double"), 6)
+    top = F.min_by("predicted_risk_cat", F.struct(-F.col("n"), F.col("predicted_risk_cat")))
+    metrics = n.groupBy("model_name").agg(top.alias("top_features"), share(F.max).alias("accuracy"), share(F.min).alias("f1_score"))
+    return cards.model_metrics(metrics.unionByName(metrics.withColumn("model_name", F.lit("other"))))
+
+
 @query(
     with_ctes(
         """

@@ -44,7 +44,7 @@ def pivot_feeds(
     The last record by ``seq`` wins in each cell; ``first_seen`` columns keep the first one's text.
     Conditional aggregates over a known list of tags: one shuffle, combined map-side, no extra job.
     """
-    order = F.struct(*[F.col(c) for c in seq])
+    order = F.col(seq[0]) if len(seq) == 1 else F.struct(*[F.col(c) for c in seq])
     picks: list[Column] = [F.min_by(c, order).alias(c) for c in first_seen]
     for name, code in measures.items():
         mine = F.col(tag) == code

@@ -68,6 +68,10 @@ _EXTENT = (  # built per call: column expressions need a session
 )
 
 
+# What a cell carries along: rows below it, rows of its group, and its wanted ranks.
+_FACTS = ("below", "total", "ranks")
+
+
 def _inside(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
     """Rows of the picked cells.  Cells of one grid cell are disjoint value ranges."""
     joined = join_small(long, cells.drop("n"), [*keys, "cell"], known_rows=n_cells)
@@ -80,9 +84,8 @@ def _split(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int)
     part = F.least(F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("lo"), width), F.lit(0.0)) * _SPLIT), F.lit(_SPLIT - 1))
     parent = [*keys, "cell", "first_lo"]
     rows = _inside(long, cells.withColumn("first_lo", F.col("lo")), keys, n_cells).withColumn("part", part)
-    parts = rows.groupBy(*parent, "part").agg(
-        *[e() for e in _EXTENT], *[F.any_value(c).alias(c) for c in ("below", "total", "ranks")]
-    )
+    # the cell's own facts are grouping keys, which keeps this a hash aggregation of plain numbers
+    parts = rows.groupBy(*parent, *_FACTS, "part").agg(*[e() for e in _EXTENT])
     before = Window.partitionBy(*parent).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     parts = parts.withColumn("below", F.col("below") + F.sum("n").over(before) - F.col("n"))
     return _holding(parts).drop("part", "first_lo")
@@ -120,8 +123,8 @@ def exact_quantiles(
     inside = Window.partitionBy(*keys, "cell", "lo").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
         _inside(long, cells, keys, n_cells)
-        .groupBy(*keys, "cell", "lo", "value")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.any_value(c).alias(c) for c in ("below", "total", "ranks")])
+        .groupBy(*keys, "cell", "lo", *_FACTS, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("first", F.col("below") + F.sum("n").over(inside) - F.col("n"))
         .withColumn("hit", F.expr("filter(ranks, r -> r >= first AND r < first + n)"))
         .where(F.size("hit") > 0)

@@ -46,7 +46,7 @@ def spread_by(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
 
 def group_medians(df: DataFrame, group: str, column: str) -> DataFrame:
     """Median per group, highest first, next to the overall median."""
-    both = medians_wide(df, [group], [column], overall=True).withColumnRenamed(f"{column}_median", "median")
+    both = medians_wide(df, [group], [column], overall=True).withColumnRenamed(f"{column}_median", "median").persist()
     overall = both.where(OVERALL).select("median").scalar()
     groups = both.where(~F.col(OVERALL)).drop(OVERALL)
     return groups.withColumn("overall_median", overall).orderBy(F.col("median").desc(), group)
