@@ -37,11 +37,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_rows: boo
     x = {c: F.col(c).cast("double") for c in columns}
 
     def r(a: str, b: str) -> Column:
-        if complete_rows:  # every pair rests on the same rows, so the deviations are shared
+        if a == b:
+            c = F.when(F.var_pop(x[a]) > 0, F.lit(1.0))
+        elif complete_rows:  # every pair rests on the same rows, so the deviations are shared
             c = F.try_divide(F.covar_pop(x[a], x[b]), F.stddev_pop(x[a]) * F.stddev_pop(x[b]))
         else:
             c = pearson(x[a], x[b])
-        return c if digits is None else F.round(c, digits)
+        return c if digits is None or a == b else F.round(c, digits)
 
     one = df.agg(*[r(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
