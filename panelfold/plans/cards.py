@@ -76,7 +76,10 @@ def model_metrics(metrics: DataFrame, model: str = RISK_MODEL) -> DataFrame:
 def forecast_vs_actual(
     tables: Mapping[str, DataFrame], predictions: DataFrame, year: int = 2022, model: str = FORECAST_MODEL
 ) -> DataFrame:
-    """Forecast with bounds next to the actual value of ``year``, where there is one."""
+    """Forecast with bounds next to the actual value of ``year``, where there is one.
+
+    Pass ``model`` for forecasts stored under another name, such as those of ``operators.models``.
+    """
     mine = predictions.where(F.col("model_name") == model).join(
         tables["dim_countries"].select(KEY, "country_name", "region"), KEY, "inner"
     )
