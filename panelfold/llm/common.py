@@ -33,8 +33,11 @@ def temp_name(df: DataFrame, base: str) -> str:
     return base
 
 
+_KINDS = {"int": T.IntegerType, "long": T.LongType, "double": T.DoubleType, "string": T.StringType, "binary": T.BinaryType, "boolean": T.BooleanType}
+
+
 def as_schema(*fields: tuple[str, str]) -> T.StructType:
-    return T._parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in fields))
+    return T.StructType([T.StructField(n, _KINDS[t]()) for n, t in fields])
 
 
 def fold(column: str, parts: int) -> Column:

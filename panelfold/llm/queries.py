@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, toxicity
+from panelfold.llm import bpe, decontaminate, repeats, simhash, toxicity, wrappers
 from panelfold.llm.common import fold, read, text_of
 
 QUERIES: dict = {}
@@ -51,3 +51,38 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "toxic_loglik",
         "ordinary_loglik",
     )
+
+
+@_register
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under SimHash links of at most four bits."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, bits=4, seed=42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_register
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold, also with other numbers and names."""
+    return decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@_register
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the strings of 200 bytes that occur again."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.remove_repeats(documents, width=200)
+    n_bytes = F.octet_length(text_of("text")).cast("long")
+    return found.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@_register
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
