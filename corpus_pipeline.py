@@ -1,34 +1,71 @@
 """The training-data pipeline: stages over ``documents``, each reading what its predecessor kept.
 
-STAGES lists (name, function); a function takes (spark, docs, sf_dir).
+STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns the documents it keeps,
+with the columns it was given.  The last one adds the token ids.  Empty tables give empty results, and
+NULL or repeated ids are handled as each operator states.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, queries, toxicity
-from panelfold.llm.common import read, stage
-
-import public_tokenizers
+from panelfold.llm import bpe, decontaminate, queries, repeats, simhash, toxicity
+from panelfold.llm.common import importable, read, stage, temp_name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity of under 0.7."""
-    score = "_toxicity"
+    """Documents with a toxicity of under 0.7, by models of the labelled ones among all documents."""
+    importable(spark)
+    score = temp_name(docs, "toxicity")
     models = queries.toxicity_models(spark, read(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
-    return toxicity.score_texts(docs, models, score=score).where(f"{score} < 0.7").drop(score)
+    return toxicity.score_texts(docs, models, score=score).where(F.col(score) < 0.7).drop(score)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by SimHash: the one that names the component."""
+    importable(spark)
+    found = simhash.near_duplicates(docs, shingle=4, bits=4, seed=42)
+    copy = temp_name(docs, "copy")
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct()
+    return docs.join(others, F.col("doc_id") == F.col(copy), "left_anti")
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 200 bytes that occur again; characters cut in two go whole."""
+    importable(spark)
+    kept, spans = temp_name(docs, "kept"), temp_name(docs, "spans")
+    found = repeats.remove_repeats(docs, width=200, kept=kept, spans=spans)
+    # Bytes of a cut character decode to the replacement mark, which a whole text only holds by itself.
+    mark = F.lit("�")
+    text = F.when(F.size(spans) == 0, F.col("text")).otherwise(F.replace(F.decode(kept, "UTF-8"), mark, F.lit("")))
+    found = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.size(spans) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return found.select(*[f"`{c}`" for c in docs.columns])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.find_items(docs, read(spark, sf_dir, "benchmark"))
+    leak = temp_name(docs, "leak")
+    return docs.join(found.select(F.col("doc_id").alias(leak)).distinct(), F.col("doc_id") == F.col(leak), "left_anti")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their packed token ids and token counts."""
+    """Documents with their packed token ids and how many they are."""
+    importable(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
-    return coded.selectExpr("*", "cast(octet_length(ids) / 4 AS bigint) AS n_tokens")
+    return coded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("simhash", drop_near_copies),
+    ("suffix_dedup", drop_repeats),
+    ("decontaminate", drop_leaks),
     ("byte_bpe", tokenize),
 ]
 

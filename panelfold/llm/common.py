@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,13 +14,25 @@ from pyspark.sql import types as T
 
 from panelfold.session import scratch_dir, stage
 
-__all__ = ["as_schema", "by_bytes", "fold", "read", "stage", "scratch_dir", "temp_name", "text_of"]
+__all__ = ["as_schema", "by_bytes", "fold", "importable", "read", "stage", "scratch_dir", "temp_name", "text_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For local sessions; a cluster has the package installed or given with ``--py-files``, and a folder that
+    a worker does not have is passed over.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def text_of(column: str) -> Column:
     """The whole text; NULL counts as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

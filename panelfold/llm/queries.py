@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, decontaminate, repeats, simhash, toxicity, wrappers
-from panelfold.llm.common import fold, read, text_of
+from panelfold.llm import bpe, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, toxicity, wrappers
+from panelfold.llm.common import fold, importable, read, text_of
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def _register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = query
+    return query
 
 
 @_register
@@ -86,3 +93,34 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return wrappers.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_register
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of good quality of every document."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    training = toxicity.training_rows(documents, read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2, most=quality.TRAINING_TEXTS, of=F.min)
+    scored = quality.score_texts(documents, quality.fit(training, "quality"))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@_register
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = tokencount.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return tokencount.count_tokens(documents, vocabulary).drop("text")
+
+
+@_register
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@_register
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more likely every document is under the good documents' model than under that of all."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    good = read(spark, sf_dir, "labels").where("quality = 1")
+    return lmscore.score_texts(documents, lmscore.fit(documents, good)).drop("text")
