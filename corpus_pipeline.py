@@ -36,11 +36,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents without the strings of 200 bytes that occur again; characters cut in two go whole."""
     importable(spark)
     kept, spans = temp_name(docs, "kept"), temp_name(docs, "spans")
-    found = repeats.remove_repeats(docs, width=200, kept=kept, spans=spans)
-    # Bytes of a cut character decode to the replacement mark, which a whole text only holds by itself.
-    mark = F.lit("�")
-    text = F.when(F.size(spans) == 0, F.col("text")).otherwise(F.replace(F.decode(kept, "UTF-8"), mark, F.lit("")))
-    found = found.withColumn("text", text)
+    found = repeats.remove_repeats(docs, width=200, kept=kept, spans=spans, as_text=True).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.size(spans) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return found.select(*[f"`{c}`" for c in docs.columns])

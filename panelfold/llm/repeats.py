@@ -339,10 +339,13 @@ def _with_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(f"`{key}`").alias("row_key"), F.xxhash64(text_of(text)).alias("row_text"), text_of(text).alias("text"))
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200, kept: str = "kept", spans: str = "spans") -> DataFrame:
+def remove_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200, kept: str = "kept", spans: str = "spans", as_text: bool = False
+) -> DataFrame:
     """``df`` with the bytes that stay and the spans [start, end) of bytes that go.
 
-    A byte goes if a string of ``width`` bytes covering it also starts anywhere else.
+    A byte goes if a string of ``width`` bytes covering it also starts anywhere else.  With ``as_text`` what
+    stays is text again, without the characters that a span cuts in two.
     """
     if width < 2 * GRAM:
         raise ValueError(f"width must be at least {2 * GRAM}")
@@ -354,16 +357,16 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", width
     contexts = stage(_contexts(docs, runs.join(again, "h"), width), "contexts")
     marks = _repeated(contexts, width)
     marks = marks.groupBy("row_key", "row_text").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("marks"))
-    return _cut(df, marks, key, text, width, kept, spans)
+    return _cut(df, marks, key, text, width, kept, spans, as_text)
 
 
-def _cut(df: DataFrame, marks: DataFrame, key: str, text: str, width: int, kept: str, spans: str) -> DataFrame:
+def _cut(df: DataFrame, marks: DataFrame, key: str, text: str, width: int, kept: str, spans: str, as_text: bool) -> DataFrame:
     names = [temp_name(df, n) for n in ("row_key", "row_text", "marks")]
     marks = marks.toDF(*names)
     same = F.xxhash64(text_of(text)).eqNullSafe(marks[names[1]]) & df[f"`{key}`"].eqNullSafe(marks[names[0]])
     rows = df.join(marks, same, "left").select(*[df[f"`{c}`"] for c in df.columns], names[2])
     at, last = df.columns.index(text), len(df.columns)
-    added = T.StructType([T.StructField(kept, T.BinaryType()), T.StructField(spans, T.ArrayType(as_schema(("start", "int"), ("end", "int"))))])
+    added = T.StructType([T.StructField(kept, T.StringType() if as_text else T.BinaryType()), T.StructField(spans, T.ArrayType(as_schema(("start", "int"), ("end", "int"))))])
 
     def run(batches):
         span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -387,8 +390,9 @@ def _cut(df: DataFrame, marks: DataFrame, key: str, text: str, width: int, kept:
                 gone.append([{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())])
                 edges = [0, *np.column_stack([low, high]).ravel().tolist(), len(data)]
                 stay.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
+            left = pa.array([s.decode("utf-8", "ignore") for s in stay], pa.string()) if as_text else pa.array(stay, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:last], pa.array(stay, pa.binary()), pa.array(gone, span_type)], names=[*batch.schema.names[:last], kept, spans]
+                [*batch.columns[:last], left, pa.array(gone, span_type)], names=[*batch.schema.names[:last], kept, spans]
             )
 
     return rows.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
