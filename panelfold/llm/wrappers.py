@@ -37,7 +37,7 @@ _LONGEST_PERIOD = 16  # tokens of a stretch that may repeat; longer ones are ali
 _OPAQUE = "script|style|noscript|template|textarea|iframe|svg|select|object|math|title"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_OPAQUE})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|</?[a-z](?:\"[^\"<>]*\"|'[^'<>]*'|[^'\"<>])*>|</?[a-z][^<>]*>|[^<]+|<",
+    r"|<[!?][^>]*>|</?[a-z](?:\"[^\"<]*\"|'[^'<]*'|[^'\"<>])*>|</?[a-z][^<>]*>|[^<]+|<",
     re.S | re.I,
 )
 _NAME = re.compile(r"</?([a-z][a-z0-9:-]*)", re.I)
