@@ -63,16 +63,16 @@ def template(canonical_text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _windows(rows: DataFrame, keys: list[str], window: int) -> DataFrame:
     """(keys, n, at, h): every window's place and hash; ``n`` windows in all."""
-    rows = rows.select(*keys, F.transform(_words(template(canonical(F.col("text")))), lambda w: F.when(w.rlike(f"^[{NUMBER}-{NAME}]"), -F.ascii(w).cast("long")).otherwise(F.xxhash64(w))).alias("w"))
-    rows = rows.where(F.size("w") > 0).withColumn("n", F.greatest(F.lit(1), F.size("w") - (window - 1)))
+    rows = rows.select(*keys, F.transform(_words(template(canonical(F.col("text")))), lambda w: F.xxhash64(w)).alias("w"))
+    # No filter and no second use of the words: either would compute the canonical text once more.
+    rows = rows.withColumn("n", F.greatest(F.lit(1), F.size("w") - (window - 1)))
     hashes = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.xxhash64(F.slice("w", i, window)))
-    rows = rows.select(*keys, "n", F.posexplode(hashes).alias("at", "h"))
-    return rows
+    return rows.select(*keys, "n", F.posexplode(hashes).alias("at", "h"))
 
 
 def _items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
