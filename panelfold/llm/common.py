@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from panelfold.session import scratch_dir, stage
 
-__all__ = ["as_schema", "by_bytes", "fold", "importable", "read", "stage", "scratch_dir", "temp_name", "text_of"]
+__all__ = ["as_schema", "by_bytes", "discard", "fold", "importable", "read", "settle", "stage", "scratch_dir", "temp_name", "text_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,3 +70,18 @@ def by_bytes(batches, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBa
             to = max(at + 1, int(np.searchsorted(size, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """``stage``, after which nothing before it is needed: the driver drops shuffles no plan refers to any more."""
+    out = stage(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a staged table once all that was made of it is staged itself."""
+    spark = staged.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

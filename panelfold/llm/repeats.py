@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.llm.common import as_schema, by_bytes, stage, temp_name, text_of
+from panelfold.llm.common import as_schema, by_bytes, discard, settle, temp_name, text_of
 
 GRAM = 64
 MOST = 4096  # distinct contexts of one string in one block
@@ -117,10 +117,11 @@ def _text_runs(texts: list[bytes], width: int):
 # --- the index --------------------------------------------------------------------------------
 
 
-def suffix_array(text: np.ndarray, remaining: np.ndarray) -> np.ndarray:
+def suffix_array(text: np.ndarray, remaining: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Suffixes by prefix doubling; 0 ends a context and ends are ordered by place.
 
-    ``remaining`` counts the symbols up to and with the context's end.
+    ``remaining`` counts the symbols up to and with the context's end.  Also gives the groups of positions
+    that share their first ``shared`` symbols, the longest length of the doubling within ``width``.
     """
     n = len(text)
     packed = np.zeros(n, np.int64)
@@ -135,7 +136,7 @@ def suffix_array(text: np.ndarray, remaining: np.ndarray) -> np.ndarray:
     rank[order] = starts[np.cumsum(first) - 1]
     size = np.diff(np.append(starts, n))
     open_ = order[np.repeat(size > 1, size)]
-    h = 7
+    h, groups, shared = 7, rank.copy(), 7
     while True:
         open_ = open_[remaining[open_] > h]
         if not len(open_):
@@ -154,13 +155,24 @@ def suffix_array(text: np.ndarray, remaining: np.ndarray) -> np.ndarray:
         size = np.diff(np.append(starts, len(open_)))
         open_ = open_[np.repeat(size > 1, size)]
         h *= 2
-    return np.argsort(rank * n + np.arange(n))
-
-
-def _match(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffix pairs; an end matches nothing."""
+        if h <= width:
+            groups, shared = rank.copy(), h
+    # What still ties is equal up to its end.
+    tied = np.nonzero(np.bincount(rank, minlength=n)[rank] > 1)[0]
+    tied = tied[np.argsort(rank[tied], kind="stable")]
+    if len(tied):
+        k = np.arange(len(tied))
+        first = np.ones(len(tied), bool)
+        first[1:] = rank[tied][1:] != rank[tied][:-1]
+        rank[tied] += k - np.maximum.accumulate(np.where(first, k, 0))
+    order[rank] = np.arange(n)
+    return order, groups, shared
+
+
+def _match(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: int) -> np.ndarray:
+    """Length of the common prefix of suffix pairs that share ``known`` symbols; an end matches nothing."""
     padded = np.concatenate([text, np.zeros(16, text.dtype)])
-    out = np.zeros(len(a), np.int64)
+    out = np.full(len(a), known, np.int64)
     step = np.arange(16)
     for at in range(0, len(a), 1 << 15):
         open_ = np.arange(at, min(len(a), at + (1 << 15)))
@@ -173,8 +185,8 @@ def _match(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def matching_statistics(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Longest match of every position with another one, and where each context starts."""
+def matching_statistics(contexts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Match of every position with another one, exact from ``width`` on, and where each context starts."""
     lengths = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
     ends = np.cumsum(lengths)
     text = np.zeros(int(ends[-1]), np.int16)
@@ -182,7 +194,7 @@ def matching_statistics(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside[ends - 1] = False
     text[inside] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int16) + 1
     remaining = np.repeat(ends, lengths) - np.arange(len(text))
-    order = suffix_array(text, remaining)
+    order, groups, shared = suffix_array(text, remaining, width)
     before = text[order - 1]  # the Burrows-Wheeler transform; ends differ from each other
     new_run = np.ones(len(order), bool)
     new_run[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
@@ -191,15 +203,18 @@ def matching_statistics(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     best = np.zeros(len(text), np.int64)
     heads, tails = heads[heads > 0], tails[tails < len(order) - 1]
     for sampled, other in ((order[heads], order[heads - 1]), (order[tails], order[tails + 1])):
+        # Ends of runs whose match is too short to matter count as no match.
+        long = (groups[sampled] == groups[other]) & (remaining[sampled] > shared) & (remaining[other] > shared)
+        sampled, other = sampled[long], other[long]
         reach = np.zeros(len(text), np.int64)
-        reach[sampled] = sampled + _match(text, sampled, other)
+        reach[sampled] = sampled + _match(text, sampled, other, shared)
         best = np.maximum(best, np.maximum.accumulate(reach) - np.arange(len(text)))
     return best, ends - lengths
 
 
 def repeated_windows(contexts: list[bytes], copies: list[int], width: int) -> list[np.ndarray]:
     """For each of the distinct contexts, which of its windows occur again in it or in another one."""
-    best, start = matching_statistics(contexts)
+    best, start = matching_statistics(contexts, width)
     out = []
     for context, n, at in zip(contexts, copies, start.tolist()):
         windows = len(context) - width + 1
@@ -209,56 +224,56 @@ def repeated_windows(contexts: list[bytes], copies: list[int], width: int) -> li
 
 # --- Spark ------------------------------------------------------------------------------------
 
-_RUN = as_schema(("start", "int"), ("windows", "int"), ("h", "long"), ("distance", "int"))
-_CONTEXT = as_schema(("start", "int"), ("windows", "int"), ("h", "long"), ("distance", "int"), ("content", "long"), ("context", "binary"))
+# A run's place in its text: start, windows and distance in one number.
+_PLACED = as_schema(("row", "long"), ("place", "long"), ("h", "long"), ("content", "long"))
+_CONTEXT = as_schema(("h", "long"), ("content", "long"), ("distance", "int"), ("n", "long"), ("context", "binary"))
+_PART = as_schema(("of_h", "long"), ("of_content", "long"), ("offset", "int"), *[(f.name, f.dataType.typeName().replace("integer", "int")) for f in _CONTEXT.fields])
+_MASK = as_schema(("h", "long"), ("content", "long"), ("offset", "int"), ("windows", "int"), ("mask", "binary"))
+
+
+def _content(pieces: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces), np.uint64, len(pieces)).view(np.int64)
 
 
-def _key_fields(df: DataFrame) -> list[T.StructField]:
-    return [df.schema["row_key"], df.schema["row_text"]]
+def _batch(schema: T.StructType, *columns) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "integer": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[f.dataType.typeName()]) for c, f in zip(columns, schema.fields)], names=schema.names)
 
 
 def _runs(docs: DataFrame, width: int) -> DataFrame:
-    """Runs of every text, with the text's key and hash."""
-    rows = docs.select("row_key", "row_text", "text")
+    """(row, place, h, content) of the runs of every text."""
 
     def run(batches):
-        for batch in by_bytes(batches, 2):
-            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
+        for batch in by_bytes(batches, 1):
+            rows = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for row, start, windows, h, distance in _text_runs(texts, width):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(k).take(pa.array(row)) for k in (0, 1)],
-                        *[pa.array(x.astype(np.int32)) for x in (start, windows)],
-                        pa.array(h), pa.array(distance.astype(np.int32)),
-                    ],
-                    names=["row_key", "row_text", *_RUN.names],
-                )
+                content = _content([texts[k][a : a + n + width - 1] for k, a, n in zip(row.tolist(), start.tolist(), windows.tolist())])
+                yield _batch(_PLACED, rows[row], start << 16 | windows << 8 | distance, h, content)
 
-    return rows.mapInArrow(run, T.StructType([*_key_fields(docs), *_RUN.fields]))
+    return docs.select("row", "text").mapInArrow(run, _PLACED)
 
 
-def _contexts(docs: DataFrame, runs: DataFrame, width: int) -> DataFrame:
-    """The runs' contexts, cut out of their texts."""
-    wanted = runs.groupBy("row_key", "row_text").agg(F.collect_set(F.struct("start", "windows", "h", "distance")).alias("runs"))
-    wanted = wanted.select(F.col("row_key").alias("k"), F.col("row_text").alias("t"), "runs")
-    rows = docs.join(wanted, docs["row_text"].eqNullSafe(wanted["t"]) & docs["row_key"].eqNullSafe(wanted["k"])).select("row_key", "row_text", "text", "runs")
+def _contexts(docs: DataFrame, candidates: DataFrame, width: int) -> DataFrame:
+    """The distinct contexts of strings that lead several, each cut out of one of its texts."""
+    each = candidates.where("mixed").groupBy("h", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one"))
+    wanted = each.groupBy(F.col("one.row").alias("of")).agg(F.collect_list(F.struct("one.place", "h", "content", "n")).alias("runs"))
+    rows = docs.join(wanted, F.col("row") == F.col("of")).select("text", "runs")
 
     def run(batches):
-        for batch in by_bytes(batches, 2):
+        for batch in by_bytes(batches, 0):
             for k in range(batch.num_rows):
-                text = batch.column(2)[k].as_py().encode("utf-8", "surrogatepass")
-                part = pa.RecordBatch.from_struct_array(batch.column(3).slice(k, 1).flatten())
+                text = batch.column(0)[k].as_py().encode("utf-8", "surrogatepass")
+                part = pa.RecordBatch.from_struct_array(batch.column(1).slice(k, 1).flatten())
                 for at in range(0, part.num_rows, 4096):
-                    some = part.slice(at, 4096)
-                    pieces = [text[a : a + n + width - 1] for a, n in zip(some.column(0).to_pylist(), some.column(1).to_pylist())]
-                    yield _context_batch([batch.column(c).take(pa.array([k] * len(pieces))) for c in (0, 1)], some.columns, pieces)
+                    place, h, content, n = (c.to_numpy() for c in part.slice(at, 4096).columns)
+                    start, windows = place >> 16, place >> 8 & 255
+                    pieces = [text[a : a + m + width - 1] for a, m in zip(start.tolist(), windows.tolist())]
+                    # Of another text with the same row hash nothing is taken.
+                    own = np.nonzero(_content(pieces) == content)[0]
+                    yield _batch(_CONTEXT, h[own], content[own], (place & 255).astype(np.int32)[own], n[own], [pieces[i] for i in own])
 
-    return rows.mapInArrow(run, T.StructType([*_key_fields(docs), *_CONTEXT.fields]))
-
-
-def _context_batch(keys: list, columns: list, pieces: list[bytes]) -> pa.RecordBatch:
-    content = np.fromiter((xxhash.xxh64_intdigest(p) for p in pieces), np.uint64, len(pieces)).view(np.int64)
-    return pa.RecordBatch.from_arrays([*keys, *columns, pa.array(content), pa.array(pieces, pa.binary())], names=["row_key", "row_text", *_CONTEXT.names])
+    return rows.mapInArrow(run, _CONTEXT)
 
 
 def _refined(contexts: DataFrame, level: int, width: int) -> DataFrame:
@@ -267,76 +282,64 @@ def _refined(contexts: DataFrame, level: int, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rows, columns, pieces = [], ([], [], [], []), []
-            data = batch.to_pydict()
-            for k, (start, windows, h, distance, context) in enumerate(zip(*[data[c] for c in ("start", "windows", "h", "distance", "context")])):
-                at = 0
+            rows = []
+            for h, content, distance, n, context in zip(*[batch.column(f.name).to_pylist() for f in _CONTEXT.fields]):
+                at, windows = 0, len(context) - width + 1
                 while at < windows:
                     d = distance - at
                     low = d // size * size
-                    n = min(windows - at, d - low + 1)
+                    m = min(windows - at, d - low + 1)
                     common = context[distance - low : distance - (low + size - 1) + width]
                     key = xxhash.xxh64_intdigest(common, (h + level * 1000 + low) & (2**64 - 1))
-                    for column, value in zip(columns, (start + at, n, key - (key >> 63 << 64), d)):
-                        column.append(value)
-                    rows.append(k)
-                    pieces.append(context[at : at + n + width - 1])
-                    at += n
+                    piece = context[at : at + m + width - 1]
+                    rows.append((h, content, at, key - (key >> 63 << 64), 0, d, n, piece))
+                    at += m
             if rows:
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
-                yield _context_batch([batch.column(c).take(pa.array(rows)) for c in (0, 1)], [pa.array(c, t) for c, t in zip(columns, kinds)], pieces)
+                columns = list(zip(*rows))
+                columns[4] = _content(columns[7])
+                yield _batch(_PART, *columns)
+
+    return contexts.select(_CONTEXT.names).mapInArrow(run, _PART)
 
-    return contexts.mapInArrow(run, contexts.schema)
 
+def _indexed(contexts: DataFrame, width: int) -> DataFrame:
+    """Masks of the repeated windows of the contexts that have any, by blocks of whole strings."""
 
-def _masks(distinct: DataFrame, width: int) -> DataFrame:
-    """(h, content, mask): the repeated windows of each distinct context that has any."""
+    def flush(held):
+        found = repeated_windows([r[3] for r in held], [r[2] for r in held], width)
+        some = [(h, c, 0, len(m), np.packbits(m).tobytes()) for (h, c, _, _), m in zip(held, found) if m.any()]
+        return _batch(_MASK, *(zip(*some) if some else [[]] * 5))
 
     def run(batches):
         held: list[tuple] = []
         size = 0
-        last = None
-
-        def flush():
-            found = repeated_windows([r[2] for r in held], [r[3] for r in held], width)
-            some = [(r[0], r[1], np.packbits(m).tobytes()) for r, m in zip(held, found) if m.any()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int64()), pa.array([r[2] for r in some], pa.binary())],
-                names=["h", "content", "mask"],
-            )
-
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if size >= BLOCK and row[0] != last:
-                    yield flush()
+                if held and row[:2] == held[-1][:2]:
+                    continue  # from a repeated row
+                if size >= BLOCK and row[0] != held[-1][0]:
+                    yield flush(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[2]) + 1
-                last = row[0]
+                size += len(row[3]) + 1
         if held:
-            yield flush()
-
-    rows = distinct.select("h", "content", "context", "n").repartition("h").sortWithinPartitions("h")
-    return rows.mapInArrow(run, "h long, content long, mask binary")
-
-
-def _repeated(contexts: DataFrame, width: int, level: int = 0) -> DataFrame:
-    """(row_key, row_text, start, windows, mask) of the contexts with repeated windows."""
-    distinct = stage(contexts.groupBy("h", "content", "context").agg(F.count("*").alias("n")), "distinct-contexts")
-    wide = stage(distinct.groupBy("h").agg(F.count("*").alias("width")).where(F.col("width") > MOST).select("h"), "wide-strings")
-    any_wide = bool(wide.head(1))
-    narrow = distinct.join(wide, "h", "left_anti") if any_wide else distinct
-    masks = _masks(narrow, width)
-    out = contexts.select("row_key", "row_text", "start", "windows", "h", "content").join(masks, ["h", "content"])
-    out = out.select("row_key", "row_text", "start", "windows", "mask")
-    if any_wide:
-        split = stage(_refined(contexts.join(wide, "h", "left_semi").select(contexts.columns), level, width), "refined-contexts")
-        out = out.unionAll(_repeated(split, width, level + 1))
-    return out
+            yield flush(held)
+
+    rows = contexts.select("h", "content", "n", "context").repartition("h").sortWithinPartitions("h", "content")
+    return rows.mapInArrow(run, _MASK)
 
 
-def _with_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(F.col(f"`{key}`").alias("row_key"), F.xxhash64(text_of(text)).alias("row_text"), text_of(text).alias("text"))
+def _masks(contexts: DataFrame, width: int, level: int = 0) -> DataFrame:
+    """(h, content, offset, windows, mask) of distinct contexts; a context may have several, or none."""
+    wide = settle(contexts.groupBy("h").agg(F.count("*").alias("width")).where(F.col("width") > MOST).select("h"), "wide-strings")
+    if not wide.head(1):
+        return _indexed(contexts, width)
+    parts = settle(_refined(contexts.join(wide, "h", "left_semi"), level, width), "parts")
+    distinct = parts.groupBy("h", "content").agg(F.sum("n").alias("n"), F.first("distance").alias("distance"), F.first("context").alias("context"))
+    found = _masks(settle(distinct.select(_CONTEXT.names), "contexts"), width, level + 1)
+    back = parts.select("of_h", "of_content", F.col("offset").alias("shift"), "h", "content").join(found, ["h", "content"])
+    back = back.select(F.col("of_h").alias("h"), F.col("of_content").alias("content"), (F.col("shift") + F.col("offset")).alias("offset"), "windows", "mask")
+    return _indexed(contexts.join(wide, "h", "left_anti"), width).unionAll(back)
 
 
 def remove_repeats(
@@ -347,26 +350,35 @@ def remove_repeats(
     A byte goes if a string of ``width`` bytes covering it also starts anywhere else.  With ``as_text`` what
     stays is text again, without the characters that a span cuts in two.
     """
-    if width < 2 * GRAM:
-        raise ValueError(f"width must be at least {2 * GRAM}")
+    if width < 2 * GRAM or width - GRAM > 255:
+        raise ValueError(f"width must be in {2 * GRAM}..{GRAM + 255}")
     if {kept.lower(), spans.lower()} & {c.lower() for c in df.columns}:
         raise ValueError("a column of these names exists already")
-    docs = _with_rows(df, key, text)
-    runs = stage(_runs(docs, width), "runs")
-    again = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    contexts = stage(_contexts(docs, runs.join(again, "h"), width), "contexts")
-    marks = _repeated(contexts, width)
-    marks = marks.groupBy("row_key", "row_text").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("marks"))
-    return _cut(df, marks, key, text, width, kept, spans, as_text)
-
-
-def _cut(df: DataFrame, marks: DataFrame, key: str, text: str, width: int, kept: str, spans: str, as_text: bool) -> DataFrame:
-    names = [temp_name(df, n) for n in ("row_key", "row_text", "marks")]
+    docs = df.select(_row(key, text).alias("row"), text_of(text).alias("text"))
+    runs = settle(_runs(docs, width), "runs")
+    again = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
+    again = again.where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"))
+    candidates = settle(runs.join(again, "h"), "candidates")
+    discard(runs)
+    masks = _masks(settle(_contexts(docs, candidates, width), "contexts"), width)
+    # A string with one context is repeated whole.
+    alike = candidates.where("NOT mixed").select("row", "place", "content", F.lit(0).alias("offset"), F.lit(None).cast("int").alias("windows"), F.lit(None).cast("binary").alias("mask"))
+    mixed = candidates.where("mixed").join(masks, ["h", "content"]).select("row", "place", "content", "offset", "windows", "mask")
+    marks = mixed.unionAll(alike).groupBy("row").agg(F.collect_list(F.struct("place", "content", "offset", "windows", "mask")).alias("marks"))
+    return _cut(df, marks, _row(key, text), text, width, kept, spans, as_text)
+
+
+def _row(key: str, text: str):
+    """A hash of key and text.  A chance hit of another row is harmless: contents are compared before use."""
+    return F.xxhash64(F.col(f"`{key}`"), text_of(text))
+
+
+def _cut(df: DataFrame, marks: DataFrame, row, text: str, width: int, kept: str, spans: str, as_text: bool) -> DataFrame:
+    names = [temp_name(df, n) for n in ("row", "marks")]
     marks = marks.toDF(*names)
-    same = F.xxhash64(text_of(text)).eqNullSafe(marks[names[1]]) & df[f"`{key}`"].eqNullSafe(marks[names[0]])
-    rows = df.join(marks, same, "left").select(*[df[f"`{c}`"] for c in df.columns], names[2])
+    rows = df.join(marks, row == marks[names[0]], "left").select(*[df[f"`{c}`"] for c in df.columns], names[1])
     at, last = df.columns.index(text), len(df.columns)
-    added = T.StructType([T.StructField(kept, T.StringType() if as_text else T.BinaryType()), T.StructField(spans, T.ArrayType(as_schema(("start", "int"), ("end", "int"))))])
+    added = [T.StructField(kept, T.StringType() if as_text else T.BinaryType()), T.StructField(spans, T.ArrayType(as_schema(("start", "int"), ("end", "int"))))]
 
     def run(batches):
         span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -374,25 +386,35 @@ def _cut(df: DataFrame, marks: DataFrame, key: str, text: str, width: int, kept:
             stay, gone = [], []
             for k in range(batch.num_rows):
                 data = (batch.column(at)[k].as_py() or "").encode("utf-8", "surrogatepass")
-                found = batch.column(last)[k].as_py()
-                if not found:
-                    stay.append(data), gone.append([])
-                    continue
-                starts = np.zeros(len(data) + 1, np.int32)
-                for m in found:
-                    bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=m["windows"])
-                    begin = m["start"] + np.nonzero(bits)[0]
-                    starts[begin] = 1
-                begin = np.nonzero(starts)[0]
-                first = np.append(True, begin[1:] > begin[:-1] + width)
-                low = begin[first]
-                high = begin[np.append(first[1:], True)] + width
-                gone.append([{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())])
-                edges = [0, *np.column_stack([low, high]).ravel().tolist(), len(data)]
+                spans = _spans(data, batch.column(last).slice(k, 1), width) if batch.column(last)[k].is_valid else np.zeros((0, 2), np.int64)
+                gone.append([{"start": a, "end": b} for a, b in spans.tolist()])
+                edges = [0, *spans.ravel().tolist(), len(data)]
                 stay.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
             left = pa.array([s.decode("utf-8", "ignore") for s in stay], pa.string()) if as_text else pa.array(stay, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:last], left, pa.array(gone, span_type)], names=[*batch.schema.names[:last], kept, spans]
-            )
-
-    return rows.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], left, pa.array(gone, span_type)], names=[*batch.schema.names[:last], kept, spans_name])
+
+    spans_name = spans
+    return rows.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
+
+
+def _spans(data: bytes, marks: pa.Array, width: int) -> np.ndarray:
+    """[start, end) of the bytes under the marked windows."""
+    place, content, offset, windows, mask = pa.RecordBatch.from_struct_array(marks.flatten()).columns
+    place = place.to_numpy()
+    start, size = place >> 16, place >> 8 & 255
+    own = _content([data[a : a + n + width - 1] for a, n in zip(start.tolist(), size.tolist())]) == content.to_numpy()
+    windows = windows.fill_null(-1).to_numpy()
+    whole = own & (windows < 0)
+    edge = np.zeros(len(data) + 2, np.int64)  # +1 where marked windows begin, -1 behind the last of them
+    np.add.at(edge, start[whole], 1)
+    np.add.at(edge, start[whole] + size[whole], -1)
+    marked = np.cumsum(edge)[: len(data)] > 0
+    for k in np.nonzero(own & (windows >= 0))[0]:
+        bits = np.unpackbits(np.frombuffer(mask[k].as_py(), np.uint8), count=windows[k]).astype(bool)
+        begin = start[k] + offset[k].as_py()
+        marked[begin : begin + windows[k]] |= bits
+    begin = np.nonzero(marked)[0]
+    if not len(begin):
+        return np.zeros((0, 2), np.int64)
+    first = np.append(True, begin[1:] > begin[:-1] + width)
+    return np.column_stack([begin[first], begin[np.append(first[1:], True)] + width])
