@@ -357,7 +357,8 @@ def remove_repeats(
     docs = df.select(_row(key, text).alias("row"), text_of(text).alias("text"))
     runs = settle(_runs(docs, width), "runs")
     again = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
-    again = again.where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"))
+    # Written, so that the join with the runs is one of two plain shuffles, which can be split where a string is hot.
+    again = settle(again.where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed")), "repeated-strings")
     candidates = settle(runs.join(again, "h"), "candidates")
     discard(runs)
     masks = _masks(settle(_contexts(docs, candidates, width), "contexts"), width)
