@@ -25,12 +25,13 @@ def feed_outer_merge(spark, d):
 @query("""
 SELECT user_id, CAST(ts AS DATE) AS day, arg_min(props, event_id) AS first_props,
   arg_max(value, event_id) FILTER (event_type = 'click') AS click, arg_max(value, event_id) FILTER (event_type = 'view') AS view_value,
-  arg_max(value, event_id) FILTER (event_type = 'purchase') AS purchase
+  arg_max(value, event_id) FILTER (event_type = 'purchase') AS purchase, arg_max(value, event_id) FILTER (event_type = 'error') AS error,
+  arg_max(value, event_id) FILTER (event_type = 'signup') AS signup
 FROM events GROUP BY 1, 2
 """)
 def indicator_pivot(spark, d):
     e = table(spark, d, "events").withColumn("day", F.to_date("ts")).withColumnRenamed("props", "first_props")
-    tags = {"click": "click", "view_value": "view", "purchase": "purchase"}
+    tags = {"click": "click", "view_value": "view", "purchase": "purchase", "error": "error", "signup": "signup"}
     return combine.pivot_feeds(e, ["user_id", "day"], "event_type", "value", ["event_id"], tags, ["first_props"])
 
 

@@ -19,7 +19,8 @@ from panelfold.session import scratch_dir
 from panelfold.sources import files, sinks
 from panelfold.streaming.incremental import stream_upsert
 
-_CODE = letters_sql("c_custkey")
+_CODE = f"({letters_sql('c_custkey')})"
+_LOW_INCOME = ", ".join(f"'{c}'" for c in etl.LOW_INCOME_CODES)
 
 
 def _population(spark, d):
@@ -36,8 +37,7 @@ WHERE c_mktsegment NOT IN ('FURNITURE', 'AUTOMOBILE') AND c_acctbal <> 0 GROUP B
 
 _COUNTRIES_SQL = f"""
 SELECT {_CODE} AS country_code, substr(c_mktsegment, 1, 2) AS country_code_2, c_name AS country_name, r_name AS region, n_name AS sub_region,
-  CASE WHEN {_CODE} IN ('AFG', 'BFA', 'BDI', 'CAF', 'TCD', 'COD', 'ERI', 'ETH', 'GIN', 'GNB', 'HTI', 'PRK', 'LBR', 'MDG', 'MLI', 'MOZ',
-    'NER', 'RWA', 'SSD', 'SOM', 'SDN', 'SYR', 'TGO', 'UGA', 'YEM', 'ZMB', 'SLE', 'GMB', 'MWI', 'COG') THEN 'Low income' ELSE 'Lower middle income' END AS income_group,
+  CASE WHEN {_CODE} IN ({_LOW_INCOME}) THEN 'Low income' ELSE 'Lower middle income' END AS income_group,
   CASE WHEN coalesce(p.pop, CASE WHEN c_mktsegment <> 'MACHINERY' AND c_acctbal <> 0 THEN CAST(trunc(c_acctbal * 60) AS BIGINT) END) > 0
        THEN coalesce(p.pop, CAST(trunc(c_acctbal * 60) AS BIGINT)) ELSE 5000000 END AS population,
   CASE WHEN c_mktsegment <> 'MACHINERY' AND c_acctbal <> 0 THEN c_acctbal ELSE 1000 END AS area_km2,
@@ -59,12 +59,19 @@ def load_countries(spark, d):
 
 # --- indicator API ------------------------------------------------------------------------------
 
-# Which orders feed which indicator; the other indicators are feeds that failed.
+# Which orders feed which indicator.
 _API = {
     "life_expectancy_total": "true",
     "life_expectancy_male": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+    "life_expectancy_female": "o_orderpriority NOT IN ('1-URGENT', '2-HIGH')",
     "infant_mortality_per_1000": "o_orderstatus = 'F'",
+    "under5_mortality_per_1000": "o_orderstatus = 'O'",
+    "adult_mortality_male_per_1000": "o_orderstatus <> 'P'",
+    "adult_mortality_female_per_1000": "o_orderstatus = 'P'",
+    "neonatal_mortality_per_1000": "o_orderpriority = '1-URGENT'",
     "physicians_per_1000": "o_orderpriority = '5-LOW'",
+    "hospital_beds_per_1000": "o_orderkey % 3 = 0",
+    "health_expenditure_pct_gdp": "o_orderkey % 5 <> 0",
 }
 
 
@@ -104,17 +111,8 @@ def extract_indicators(spark, d):
     return wide.select("country_code", "country_name", "year", *_API)
 
 
-_ABSENT = [c for c in etl.INDICATORS if c not in _API]
-_LIFE_OUT = ", ".join(
-    "coalesce(nullif(life_expectancy_male, 0), 0) AS life_expectancy_male"
-    if c == "life_expectancy_male"
-    else f"{half_even_sql('life_expectancy_total + 2.5', 3)} AS life_expectancy_female"
-    if c == "life_expectancy_female"
-    else f"CAST(NULL AS DOUBLE) AS {c}"
-    if c in _ABSENT
-    else c
-    for c in etl.INDICATORS
-)
+# Every price is above zero, so neither gender's value is taken from the total.
+_LIFE_OUT = ", ".join(etl.INDICATORS)
 
 
 @query(

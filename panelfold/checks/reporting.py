@@ -34,27 +34,22 @@ def regional_trend(spark, d):
     return out.select("region", "year", tb.near("avg_price")).orderBy("year", "region")
 
 
-@query(
-    with_ctes("""
-SELECT d.country_name, d.region, round(avg(h.prevalence_pct) * 1024) / 1024 AS avg_hiv, round(avg(c.age_std_death_rate) * 1024) / 1024 AS avg_cvd,
-  round(avg(m.diabetes_prevalence_pct) * 1024) / 1024 AS avg_diab,
-  round((avg(h.prevalence_pct) * 10 + avg(c.age_std_death_rate) / 50 + avg(m.diabetes_prevalence_pct)) * 1024) / 1024 AS score
-FROM dim_countries d LEFT JOIN fact_hiv_aids h ON d.country_code = h.country_code
-LEFT JOIN fact_cardiovascular c ON d.country_code = c.country_code LEFT JOIN fact_diabetes_obesity m ON d.country_code = m.country_code
-WHERE h.year = 1999 GROUP BY d.country_name, d.region 
-ORDER BY avg(h.prevalence_pct) * 10 + avg(c.age_std_death_rate) / 50 + avg(m.diabetes_prevalence_pct) DESC NULLS LAST, d.country_name LIMIT 30""")
-)
+@query("""
+WITH late AS (SELECT o_custkey AS c, avg(o_totalprice) AS price FROM orders WHERE year(o_orderdate) = 1999 GROUP BY c),
+     done AS (SELECT o_custkey AS c, avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS closed FROM orders GROUP BY c)
+SELECT c_custkey, c_name, round(price * 1024) / 1024 AS price, round(closed * 1024) / 1024 AS closed, round((price / 2 + closed) * 1024) / 1024 AS score
+FROM late JOIN customer ON c_custkey = c LEFT JOIN done USING (c) ORDER BY price / 2 + closed DESC NULLS LAST, c_custkey LIMIT 3000
+""")
 def burden_score(spark, d):
-    s = tb.star(spark, d)
+    """Customers with an order of one year, by a score over two averages; those without a closed order rank last."""
+    o = table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     sources = {
-        "avg_hiv": (s["fact_hiv_aids"].where(F.col("year") == 1999), "prevalence_pct"),
-        "avg_cvd": (s["fact_cardiovascular"], "age_std_death_rate"),
-        "avg_diab": (s["fact_diabetes_obesity"], "diabetes_prevalence_pct"),
+        "price": (o.where(F.year("o_orderdate") == 1999), "o_totalprice"),
+        "closed": (o.withColumn("v", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), "v"),
     }
-    score = F.col("avg_hiv") * 10 + F.col("avg_cvd") / 50 + F.col("avg_diab")
-    dim = s["dim_countries"].select("country_code", "country_name", "region")
-    top = trends.burden_score(dim, sources, "country_code", score, 30, ["country_name"])
-    return top.select("country_name", "region", *[tb.near(c) for c in ("avg_hiv", "avg_cvd", "avg_diab", "score")])
+    dim = table(spark, d, "customer").select("c_custkey", "c_name")
+    top = trends.burden_score(dim, sources, "c_custkey", F.col("price") / 2 + F.col("closed"), 3000, ["c_custkey"])
+    return top.select("c_custkey", "c_name", *[tb.near(c) for c in ("price", "closed", "score")])
 
 
 @query("""

@@ -47,13 +47,20 @@ def near_sql(e: str, c: str, steps: int = 1024) -> str:
     return f"round({e} * {steps}) / {steps} AS {c}"
 
 
+def _code_places(k: str, div: str) -> list[str]:
+    """Places of a code's three signs: 26 capital letters, then signs of a long alphabet, which no table outgrows."""
+    more = f"({k} {div} 17576)"
+    return [f"(({k} {div} {d}) % 26 + 26 * (({more} {div} {m}) % 770))" for d, m in ((1, 1), (26, 770), (676, 592900))]
+
+
 def letters(k: str) -> Column:
-    """Three capital letters from an integer column."""
-    return F.concat(*[F.expr(f"chr(65 + ({k} div {d}) % 26)") for d in (1, 26, 676)])
+    """Three signs from an integer column: capital letters up to 17,576."""
+    signs = [f"CASE WHEN {i} < 26 THEN chr(65 + {i}) ELSE decode(unhex(hex(19942 + {i})), 'UTF-16BE') END" for i in _code_places(k, "div")]
+    return F.expr(" || ".join(signs))
 
 
 def letters_sql(k: str) -> str:
-    return f"chr(cast(65 + {k} % 26 AS INTEGER)) || chr(cast(65 + ({k} // 26) % 26 AS INTEGER)) || chr(cast(65 + ({k} // 676) % 26 AS INTEGER))"
+    return " || ".join(f"chr(CAST(CASE WHEN {i} < 26 THEN 65 + {i} ELSE 19942 + {i} END AS INTEGER))" for i in _code_places(k, "//"))
 
 
 # --- the star schema --------------------------------------------------------------------------

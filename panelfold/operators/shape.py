@@ -84,8 +84,8 @@ def repeatable_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int) ->
 
 
 def top_n(df: DataFrame, by: str, n: int, tie: Sequence[str], ascending: bool = False) -> DataFrame:
-    """Top or bottom ``n`` rows; ``tie`` columns make the choice unique."""
-    first = F.col(by).asc() if ascending else F.col(by).desc()
+    """Top or bottom ``n`` rows; ``tie`` columns make the choice unique and NULLs come last either way."""
+    first = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     return df.orderBy(first, *tie).limit(n)
 
 
@@ -93,8 +93,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
+def head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in a given order, NULLs last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
 def with_lookup(df: DataFrame, lookup: DataFrame, key: str, column: str, default) -> DataFrame:
-    """Left N:1 lookup with a default for keys that are absent or map to nothing."""
-    return df.join(lookup.select(key, column), key, "left").withColumn(
+    """Left N:1 lookup with a default for keys that are absent or map to nothing.
+
+    A lookup that repeats a key is reduced to its largest value, so rows are never multiplied.
+    """
+    one = lookup.groupBy(key).agg(F.max(column).alias(column))
+    return df.join(one, key, "left").withColumn(
         column, F.coalesce(F.col(column), F.lit(default))
     )

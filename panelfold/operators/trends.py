@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import clip
-from panelfold.operators.combine import average_then_join
+from panelfold.operators.combine import average_then_join, known_keys
 from panelfold.operators.quantiles import OVERALL, medians_wide
 from panelfold.operators.sizing import join_small
 
@@ -75,9 +75,13 @@ def first_last_change(df: DataFrame, by: Sequence[str], period: str, column: str
 def step_change(df: DataFrame, by: Sequence[str], period: str, columns: Sequence[str], floor: float | None = None) -> DataFrame:
     """Difference to the previous row of an aggregated series; the first row stays NULL.
 
-    Without ``by`` the window holds one row per period, since the input is one aggregated series.
+    Without ``by`` the input must be one aggregated series: the window then holds one row per period, and a
+    repeated period fails the job.
     """
     w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(period)
+    if not by:
+        again = F.lag(period).over(w) == F.col(period)
+        df = df.withColumn(period, F.when(again, F.raise_error(F.lit("repeated period")).cast(df.schema[period].dataType)).otherwise(F.col(period)))
     return df.withColumns({f"{c}_step": clip(F.col(c) - F.lag(c).over(w), lo=floor) for c in columns})
 
 
@@ -106,9 +110,12 @@ def share_of_mean(df: DataFrame, column: str, scale: float, lo: float, hi: float
 def burden_score(
     dim: DataFrame, sources: Mapping[str, tuple[DataFrame, str]], key: str, score: Column, n: int, tie: Sequence[str]
 ) -> DataFrame:
-    """Top ``n`` entities by a score over per-entity averages; rows without the first average drop out."""
-    first = next(iter(sources))
-    rows = average_then_join(dim, sources, key).where(F.col(first).isNotNull())
+    """Top ``n`` entities by a score over per-entity averages; entities without a row in the first fact drop out.
+
+    A row whose measure is NULL is a row: its entity stays, with a NULL score.
+    """
+    first, _ = next(iter(sources.values()))
+    rows = average_then_join(known_keys(dim, first, key), sources, key)
     return rows.withColumn("score", score).orderBy(F.col("score").desc_nulls_last(), *tie).limit(n)
 
 

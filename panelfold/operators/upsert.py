@@ -36,7 +36,7 @@ def merge_upsert(
     """Insert new keys, and on known keys overwrite only the ``update`` columns.
 
     Other columns keep the target's value on a match.  ``stamp`` columns get the current time on
-    insert; ``touch`` columns get it on insert and on every update.  ``action`` adds what happened:
+    insert; ``touch`` columns get it on insert and on every match, also where no value differs.  ``action`` adds what happened:
     inserted, updated, unchanged (matched, same values) or untouched (no source row).
     """
     src = latest_per_key(source, keys, order)
@@ -57,7 +57,7 @@ def merge_upsert(
 
     def cell(c: str):
         if c in touch:
-            return F.when(what.isin("inserted", "updated"), F.current_timestamp()).otherwise(F.col(c))
+            return F.when(in_s, F.current_timestamp()).otherwise(F.col(c))
         if c in timed:
             return F.when(in_t, F.col(c)).otherwise(F.current_timestamp())
         if c not in src.columns:

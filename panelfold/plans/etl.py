@@ -24,6 +24,8 @@ from panelfold.operators.clean import valid_rows
 from panelfold.operators.combine import known_keys, pivot_feeds
 from panelfold.operators.impute import impute_panel
 from panelfold.operators.shape import period_between, resolve_measures, with_lookup
+from panelfold.operators.upsert import latest_per_key
+from panelfold.schemas import STAMPS, TABLES
 
 # Period covered, and the indicator code behind each measure.
 PERIODS = (1990, 2022)
@@ -165,16 +167,17 @@ def income_group(code: str, sub_region: str) -> Column:
 
 
 def clean_countries(raw: DataFrame) -> DataFrame:
-    """Valid, named countries with every attribute filled."""
-    rows = valid_rows(raw, "country_code", "country_name")
+    """Valid, named countries with every attribute filled, one row per code.
+
+    A code that several documents have keeps one of them, chosen by content.
+    """
+    coded = valid_rows(raw, "country_code", "country_name").withColumn("country_code", clean_code("country_code"))
+    rows = latest_per_key(coded, ["country_code"], [])
     pop = safe_long("population")
     texts = {
         c: text_or(c, DEFAULT_TEXT.get(c), WIDTHS[c]) for c in ("region", "sub_region", "capital", "languages", "currency")
     }
-    coded = rows.withColumn("country_code", clean_code("country_code")).withColumn(
-        "income_group", income_group("country_code", "sub_region")
-    )
-    return coded.select(
+    return rows.withColumn("income_group", income_group("country_code", "sub_region")).select(
         "country_code",
         F.substring(F.coalesce("country_code_2", F.lit("")), 1, WIDTHS["country_code_2"]).alias("country_code_2"),
         F.substring(F.trim("country_name"), 1, WIDTHS["country_name"]).alias("country_name"),
@@ -194,6 +197,12 @@ def _with_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("double") for c in columns if c not in df.columns})
 
 
+def _fact(rows: DataFrame, table: str, source: str) -> DataFrame:
+    """The columns of a fact in the store's order, without the load's stamps."""
+    columns = [f.name for f in TABLES[table].fields if f.name not in STAMPS]
+    return rows.withColumn("data_source", F.lit(source)).select(*columns)
+
+
 def clean_life(raw: DataFrame, countries: DataFrame) -> DataFrame:
     """Life-expectancy facts: known countries, covered years, gaps filled, genders completed."""
     columns = list(INDICATORS)
@@ -202,7 +211,7 @@ def clean_life(raw: DataFrame, countries: DataFrame) -> DataFrame:
     full = full.withColumns(
         formulas.gendered_life("life_expectancy_total", "life_expectancy_male", "life_expectancy_female")
     )
-    return full.select("country_code", "country_name", "year", *columns, F.lit(SOURCE_API).alias("data_source"))
+    return _fact(full, "fact_life_expectancy", SOURCE_API)
 
 
 def _feed_rows(raw: DataFrame, countries: DataFrame, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -223,11 +232,7 @@ def clean_cardio(raw: DataFrame, countries: DataFrame) -> DataFrame:
     mean_rate = full.agg(F.avg("age_std_death_rate")).scalar()
     out = full.withColumns(formulas.cardio_indicators("age_std_death_rate", "high_sbp_deaths", mean_rate))
     out = out.withColumn("deaths_total", half_even_long(F.coalesce("deaths_total", F.lit(DEFAULT_CARDIO_DEATHS))))
-    return out.select(
-        "country_code", "country_name", "year", "deaths_per_100k", "deaths_total", "age_std_death_rate", "dalys_per_100k",
-        "share_of_deaths_pct", "high_sbp_deaths", "high_cholesterol_deaths", "smoking_deaths", "obesity_deaths",
-        F.lit(SOURCE_WHO).alias("data_source"),
-    )
+    return _fact(out, "fact_cardiovascular", SOURCE_WHO)
 
 
 def clean_epidemic(raw: DataFrame, countries: DataFrame) -> DataFrame:
@@ -241,12 +246,7 @@ def clean_epidemic(raw: DataFrame, countries: DataFrame) -> DataFrame:
             "prevalence_pct", "aids_deaths_total", "new_infections_total", "aids_deaths_per_100k", "population"
         )
     )
-    return out.select(
-        "country_code", "country_name", "year", "prevalence_pct", "people_living_with_hiv", "new_infections_total",
-        "new_infections_per_1000", "aids_deaths_total", "aids_deaths_per_100k", "pct_on_antiretroviral",
-        "children_living_with_hiv", "new_child_infections", "children_orphaned_by_aids",
-        F.lit(SOURCE_UNAIDS).alias("data_source"),
-    )
+    return _fact(out, "fact_hiv_aids", SOURCE_UNAIDS)
 
 
 def clean_metabolic(raw: DataFrame, countries: DataFrame) -> DataFrame:
@@ -258,11 +258,7 @@ def clean_metabolic(raw: DataFrame, countries: DataFrame) -> DataFrame:
     out = full.withColumns(formulas.metabolic_indicators(*names)).withColumn(
         "diabetes_deaths_total", half_even_long(F.coalesce("diabetes_deaths_total", F.lit(DEFAULT_DIABETES_DEATHS)))
     )
-    return out.select(
-        "country_code", "country_name", "year", "diabetes_prevalence_pct", "diabetes_deaths_total", "diabetes_deaths_per_100k",
-        "diabetes_age_std_rate", "obesity_prevalence_pct", "overweight_prevalence_pct", "child_obesity_pct", "mean_bmi_male",
-        "mean_bmi_female", "diabetes_health_spend_usd", F.lit(SOURCE_WHO).alias("data_source"),
-    )
+    return _fact(out, "fact_diabetes_obesity", SOURCE_WHO)
 
 
 def tag_feeds(feeds: Mapping[str, DataFrame], tag: str = "indicator") -> DataFrame:

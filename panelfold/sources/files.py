@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return without_nan(reader.csv(path))
 
 
-def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """JSON documents or arrays of documents, one file each or one per line."""
-    return without_nan(spark.read.schema(schema).option("multiLine", True).json(path))
+def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, lines: bool = True) -> DataFrame:
+    """JSON documents, one per line; with ``lines=False`` a document or an array of documents per file.
+
+    Lines can be split over tasks, a file that is one document or array cannot.  Malformed input fails.
+    """
+    reader = spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST")
+    return without_nan(reader.json(path))
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -41,20 +45,34 @@ def read_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def is_page(body: Column | str) -> Column:
+    """Whether a text is a JSON array, as paged answers are; NULL for a NULL text."""
+    text = F.col(body) if isinstance(body, str) else body
+    return F.when(text.isNotNull(), F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("["))
+
+
 def explode_pages(pages: DataFrame, body: str, record: T.StructType) -> DataFrame:
     """Records of ``[meta, [record, ...]]`` answers, with their place in the page.
 
-    A page without records gives no rows.  Other columns of ``pages`` are kept.
+    A page without records gives no rows, one that is not an array of JSON fails the job: filter on
+    ``is_page`` first to set such pages aside.  Other columns of ``pages`` are kept.
     """
     rest = [c for c in pages.columns if c != body]
-    records = F.from_json(F.get_json_object(body, "$[1]"), T.ArrayType(record))
+    broken = F.raise_error(F.concat(F.lit("not a page: "), F.substring(body, 1, 80))).cast("string")
+    whole = F.when(F.coalesce(is_page(body), F.lit(True)), F.col(body)).otherwise(broken)
+    records = F.from_json(F.get_json_object(whole, "$[1]"), T.ArrayType(record))
     return pages.select(*rest, F.posexplode(records).alias("at", "r")).select(*rest, "at", "r.*")
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str], cached: bool = False) -> DataFrame:
-    """Parquet table, kept in memory on request.  A missing path is an error."""
+def read_parquet(spark: SparkSession, path: str | Sequence[str], cached: bool = False, own: bool = False) -> DataFrame:
+    """Parquet table, kept in memory on request.  A missing path is an error.
+
+    ``own`` is for tables this library has written, which hold no NaN: they are read as they are, so that
+    filters on their numbers reach the scan.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    df = without_nan(spark.read.parquet(*paths))
+    df = spark.read.parquet(*paths)
+    df = df if own else without_nan(df)
     return df.cache() if cached else df
 
 

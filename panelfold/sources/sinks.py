@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -13,7 +14,7 @@ from panelfold.functions.scalars import half_even
 from panelfold.operators.quality import table_counts
 from panelfold.operators.upsert import ACTION, merge_upsert, upsert_counts
 from panelfold.session import stage
-from panelfold.sources.files import path_exists, read_csv, read_parquet
+from panelfold.sources.files import path_exists, read_csv, read_parquet, without_nan
 
 log = logging.getLogger(__name__)
 
@@ -37,9 +38,9 @@ def create_tables(spark: SparkSession, schemas: Mapping[str, T.StructType], data
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace a Parquet table by ``df`` and return it as read back."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return read_parquet(df.sparkSession, path)
+    """Replace a Parquet table by ``df`` and return it as read back.  NaN is written as NULL."""
+    without_nan(df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return read_parquet(df.sparkSession, path, own=True)
 
 
 def sync_csv(spark: SparkSession, folder: str, names: Sequence[str], out: str) -> DataFrame:
@@ -54,11 +55,26 @@ def sync_csv(spark: SparkSession, folder: str, names: Sequence[str], out: str) -
     return table_counts(loaded)
 
 
+def _numbers(spark: SparkSession, pattern: str) -> list[int]:
+    """Version numbers of the folders that match."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root)
+    names = [str(s.getPath()).split("/version=")[1] for s in (found or [])]
+    return sorted(int(n.split("/")[0]) for n in names)
+
+
 def versions(spark: SparkSession, table: str) -> list[int]:
     """Completed versions of a versioned table, oldest first."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/version=*/_SUCCESS")
-    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root)
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in (found or []))
+    return _numbers(spark, f"{table}/version=*/_SUCCESS")
+
+
+def prune_versions(spark: SparkSession, table: str, keep: int) -> list[int]:
+    """Delete all but the last ``keep`` completed versions; returns those deleted."""
+    old = versions(spark, table)[: -keep or None] if keep > 0 else []
+    for v in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/version={v}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
 
 
 def read_version(spark: SparkSession, table: str, at: int | None = None) -> DataFrame:
@@ -84,12 +100,13 @@ def upsert_version(
     order: Sequence[str] = (),
     touch: Sequence[str] = (),
     stamp: Sequence[str] = (),
+    parent: int | None = None,
 ) -> None:
-    """Merge ``source`` into the last version before ``at`` and write version ``at``.
+    """Merge ``source`` into version ``parent`` (the last one before ``at``) and write version ``at``.
 
-    Running it again with the same number gives the same version, so a replay changes nothing.
+    Running it again with the same numbers gives the same version, so a replay changes nothing.
     """
-    before = [v for v in versions(spark, table) if v < at]
+    before = [v for v in versions(spark, table) if v < at] if parent is None else [parent] if parent >= 0 else []
     if before:
         merged = merge_upsert(read_version(spark, table, before[-1]), source, keys, update, order, touch, stamp)
     else:
@@ -98,6 +115,28 @@ def upsert_version(
     write_version(merged, table, at)
 
 
+def claim_version(spark: SparkSession, table: str, load: str) -> tuple[int, int]:
+    """(version, parent) of a load, which is named once and for all: a replay gets the numbers it had before.
+
+    A new load gets the number after every version there is or that another load has claimed, and the last
+    completed version as its parent (-1: none).  Claims are kept beside the data; one load runs at a time.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    claims = fs.Path(f"{table}/_claims")
+    files = claims.getFileSystem(spark._jsc.hadoopConfiguration())
+    name = f"{hashlib.sha256(load.encode()).hexdigest()}"
+    found = files.globStatus(fs.Path(f"{table}/_claims/{name}.version=*.parent=*"))
+    if found:
+        version, parent = str(found[0].getPath().getName()).split(".version=")[1].split(".parent=")
+        return int(version), int(parent)
+    taken = [int(str(s.getPath().getName()).split(".version=")[1].split(".")[0]) for s in (files.globStatus(fs.Path(f"{table}/_claims/*.version=*")) or [])]
+    done = versions(spark, table)
+    version, parent = max([-1, *taken, *_numbers(spark, f"{table}/version=*")]) + 1, done[-1] if done else -1
+    files.mkdirs(claims)
+    files.create(fs.Path(claims, f"{name}.version={version}.parent={parent}"), False).close()
+    return version, parent
+
+
 def upsert_partitions(
     spark: SparkSession,
     table: str,
@@ -106,21 +145,30 @@ def upsert_partitions(
     update: Sequence[str],
     partition: str,
     order: Sequence[str] = (),
-) -> list:
+    touch: Sequence[str] = (),
+    stamp: Sequence[str] = (),
+) -> DataFrame:
     """Merge into a table partitioned by a key column, rewriting only the partitions the source touches.
 
-    For large tables and small loads: untouched partitions are neither read nor written.  The merged
-    rows are staged in the shared folder first, since a job cannot overwrite what it reads.  Returns
-    the rewritten partitions.
+    For large tables and small loads: untouched partitions are neither read nor written.  Columns the load
+    does not have keep their values, new ones are added.  The partition column is read in the source's
+    type, so a text such as ``01`` stays one.  The merged rows are staged in the shared folder first, since
+    a job cannot overwrite what it reads.  Returns the rewritten partitions as rows.
     """
     if partition not in keys:
         raise ValueError("the partition column must be one of the keys: a key must not move between partitions")
-    touched = sorted(r[0] for r in source.select(partition).distinct().collect())
-    known = path_exists(spark, table)
-    schema = spark.read.parquet(table).schema if known else source.schema
-    old = spark.read.parquet(table) if known else spark.createDataFrame([], schema)
-    old = old.where(F.col(partition).isin(touched)).select(*source.columns)
-    merged = stage(merge_upsert(old, source, keys, update, order), "merged")
+    touched = stage(source.select(partition).distinct(), "touched")
+    timed = [c for c in (*touch, *stamp) if c not in source.columns]
+    fields = [*source.schema.fields, *[T.StructField(c, T.TimestampType()) for c in dict.fromkeys(timed)]]
+    if path_exists(spark, table):
+        known = {f.name: f for f in spark.read.parquet(table).schema.fields}
+        kind = source.schema[partition]
+        schema = T.StructType([*[f for n, f in known.items() if n != partition], kind])
+        old = spark.read.schema(schema).parquet(table).join(touched, partition, "left_semi")
+        old = old.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in known})
+    else:
+        old = spark.createDataFrame([], T.StructType(fields))
+    merged = stage(merge_upsert(old, source, keys, update, order, touch, stamp), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(table)
     return touched
 

@@ -7,7 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from panelfold.sources.sinks import upsert_partitions, upsert_version
+from panelfold.sources.sinks import claim_version, prune_versions, upsert_partitions, upsert_version
+
+
+def query_id(checkpoint: str, spark: SparkSession) -> str:
+    """What Spark calls the query of a checkpoint: a checkpoint that was deleted and made anew has another id."""
+    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
 def stream_upsert(
@@ -22,15 +27,20 @@ def stream_upsert(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     file_format: str = "parquet",
     files_per_batch: int | None = None,
-    first_version: int = 1,
     partition: str | None = None,
+    touch: Sequence[str] = (),
+    stamp: Sequence[str] = (),
+    keep: int = 3,
 ) -> None:
     """Process everything that has landed since the last run, then stop.
 
-    Each micro-batch writes the version numbered after its batch id, so a batch that is replayed
-    after a failure overwrites its own version and leaves the table as it was.  With ``partition`` the
-    table is partitioned by that key and only the partitions of the batch are rewritten; a replay then
-    merges the same rows once more, which changes nothing either.
+    With ``partition``, the way for facts, the table is partitioned by that key and only the partitions
+    of a batch are rewritten; a replay merges the same rows once more, which changes nothing.
+
+    Without it each micro-batch merges into the last version and writes the next one, and only the last
+    ``keep`` versions stay.  A batch is known by its checkpoint and its number there: one that is replayed
+    writes its own version again from the same parent, while another feed, or the same one with a new
+    checkpoint, gets versions of its own behind all others.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
@@ -41,9 +51,11 @@ def stream_upsert(
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
         if partition is not None:
-            upsert_partitions(batch.sparkSession, table, rows, keys, update, partition, order)
+            upsert_partitions(batch.sparkSession, table, rows, keys, update, partition, order, touch, stamp)
             return
-        upsert_version(batch.sparkSession, table, rows, keys, update, at=first_version + batch_id, order=order)
+        at, parent = claim_version(batch.sparkSession, table, f"{query_id(checkpoint, spark)}:{batch_id}")
+        upsert_version(batch.sparkSession, table, rows, keys, update, at, order, touch, stamp, parent)
+        prune_versions(batch.sparkSession, table, keep)
 
     query = (
         reader.load(landing)

@@ -83,7 +83,7 @@ DOCS = [
 def test_countries_from_documents(spark, tmp_path):
     path = write(tmp_path, "c.json", json.dumps(DOCS))
     pop = spark.createDataFrame([("EEE", "77.9"), (" eee", "0"), ("", "5"), ("ABC", None)], "countryiso3code string, value string")
-    out = etl.clean_countries(etl.extract_countries(files.read_json(spark, path, schemas.COUNTRY_JSON), etl.population_lookup(pop)))
+    out = etl.clean_countries(etl.extract_countries(files.read_json(spark, path, schemas.COUNTRY_JSON, lines=False), etl.population_lookup(pop)))
     got = {r["country_code"]: r.asDict() for r in out.collect()}
     assert sorted(got) == ["ABC", "EEE", "TCD"]
     a, e, t = got["ABC"], got["EEE"], got["TCD"]
@@ -168,11 +168,11 @@ FACT = "k string, v double, name string, year int"
 def test_partition_upsert_rewrites_only_touched_years(spark, tmp_path, rows):
     table = str(tmp_path / "t")
     start = spark.createDataFrame([("a", 1.0, "one", 2000), ("b", 2.0, "one", 2000), ("a", 3.0, "one", 2001)], FACT)
-    assert sinks.upsert_partitions(spark, table, start, ["k", "year"], ["v"], "year") == [2000, 2001]
+    assert rows(sinks.upsert_partitions(spark, table, start, ["k", "year"], ["v"], "year")) == [(2000,), (2001,)]
     before = sorted(p.name for p in (tmp_path / "t" / "year=2001").iterdir())
     load = spark.createDataFrame([("a", 9.0, "two", 2000), ("c", 5.0, "two", 2000), ("z", 7.0, "two", 2002)], FACT)
     for _ in range(2):
-        assert sinks.upsert_partitions(spark, table, load, ["k", "year"], ["v"], "year") == [2000, 2002]
+        assert rows(sinks.upsert_partitions(spark, table, load, ["k", "year"], ["v"], "year")) == [(2000,), (2002,)]
         assert rows(spark.read.parquet(table), "k", "v", "name", "year") == [
             ("a", 3.0, "one", 2001), ("a", 9.0, "one", 2000), ("b", 2.0, "one", 2000), ("c", 5.0, "two", 2000), ("z", 7.0, "two", 2002),
         ]
@@ -181,6 +181,108 @@ def test_partition_upsert_rewrites_only_touched_years(spark, tmp_path, rows):
         sinks.upsert_partitions(spark, table, load, ["k"], ["v"], "year")
 
 
+def test_partition_upsert_keeps_columns_a_load_lacks(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    start = spark.createDataFrame([("a", 1.0, "one", 2000), ("b", 2.0, "two", 2000)], FACT)
+    sinks.upsert_partitions(spark, table, start, ["k", "year"], ["v"], "year")
+    load = spark.createDataFrame([("a", 9.0, 5, 2000), ("c", 3.0, 6, 2000)], "k string, v double, extra int, year int")
+    sinks.upsert_partitions(spark, table, load, ["k", "year"], ["v", "extra"], "year")
+    assert rows(spark.read.parquet(table), "k", "v", "name", "extra", "year") == [
+        ("a", 9.0, "one", 5, 2000), ("b", 2.0, "two", None, 2000), ("c", 3.0, None, 6, 2000),
+    ]
+
+
+def test_partition_upsert_of_text_partitions(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for v in (1.0, 2.0):
+        load = spark.createDataFrame([("a", v, "01"), ("a", v, "x")], "k string, v double, p string")
+        sinks.upsert_partitions(spark, table, load, ["k", "p"], ["v"], "p")
+    assert sorted(x.name for x in (tmp_path / "t").glob("p=*")) == ["p=01", "p=x"]
+    back = spark.read.schema("k string, v double, p string").parquet(table)
+    assert sorted((r.p, r.v) for r in back.collect()) == [("01", 2.0), ("x", 2.0)]
+
+
+def test_partition_upsert_stamps(spark, tmp_path):
+    table = str(tmp_path / "t")
+    load = lambda v: spark.createDataFrame([("a", v, 2000)], "k string, v double, year int")
+    sinks.upsert_partitions(spark, table, load(1.0), ["k", "year"], ["v"], "year", touch=["updated_at"], stamp=["loaded_at"])
+    first = spark.read.parquet(table).first()
+    sinks.upsert_partitions(spark, table, load(1.0), ["k", "year"], ["v"], "year", touch=["updated_at"], stamp=["loaded_at"])
+    second = spark.read.parquet(table).first()
+    assert first.loaded_at == second.loaded_at is not None and second.updated_at > first.updated_at
+
+
+def test_a_second_feed_and_a_new_checkpoint_lose_nothing(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def run(landing, progress, **more):
+        stream_upsert(spark, str(tmp_path / landing), schema, table, ["k"], ["v"], str(tmp_path / progress), **more)
+
+    def land(landing, *data):
+        spark.createDataFrame(list(data), SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / landing))
+
+    land("one", ("a", 1.0, "one"))
+    run("one", "c1")
+    land("one", ("b", 2.0, "one"))
+    run("one", "c1")
+    land("two", ("z", 9.0, "two"))
+    run("two", "c2")
+    assert rows(sinks.read_version(spark, table), "k", "v") == [("a", 1.0), ("b", 2.0), ("z", 9.0)]
+    land("one", ("a", 5.0, "one"))
+    run("one", "c3")  # everything once more from the first folder, in one batch
+    assert rows(sinks.read_version(spark, table), "k") == [("a",), ("b",), ("z",)]
+    land("two", ("y", 8.0, "two"))
+    run("two", "c2", keep=2)
+    assert rows(sinks.read_version(spark, table), "k") == [("a",), ("b",), ("y",), ("z",)]
+    assert len(sinks.versions(spark, table)) == 2
+
+
+def test_a_replayed_load_writes_its_own_version(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([x], SCHEMA) for x in (("a", 1.0, "one"), ("b", 2.0, "two")))
+    claims = []
+    for load, df in (("f:0", one), ("g:0", two), ("f:0", one), ("g:0", two)):
+        at, parent = sinks.claim_version(spark, table, load)
+        sinks.upsert_version(spark, table, df, ["k"], ["v"], at, parent=parent)
+        claims.append((at, parent))
+    assert claims == [(0, -1), (1, 0), (0, -1), (1, 0)]
+    assert rows(sinks.read_version(spark, table), "k") == [("a",), ("b",)]
+
+
+def test_json_lines(spark, tmp_path, rows):
+    path = write(tmp_path, "l.json", '{"k": "a"}\n{"k": "b"}\n{"k": "c"}\n')
+    assert rows(files.read_json(spark, path, "k string")) == [("a",), ("b",), ("c",)]
+    assert rows(files.read_json(spark, write(tmp_path, "d.json", '[{"k": "a"},\n {"k": "b"}]'), "k string", lines=False)) == [("a",), ("b",)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_json(spark, write(tmp_path, "x.json", '{"k": "a"}\n{"k": \n'), "k string").collect()
+
+
+def test_broken_pages_are_not_dropped(spark):
+    good = json.dumps([{"page": 1}, [{"countryiso3code": "abc", "date": "2000", "value": 1.5, "country": None}]])
+    pages = spark.createDataFrame([(1, good), (2, good[:-9]), (3, "<html>"), (4, '{"a": 1}'), (5, None)], "n int, body string")
+    assert [r.n for r in pages.where(~files.is_page("body")).orderBy("n").collect()] == [2, 3, 4]
+    assert files.explode_pages(pages.where(files.is_page("body")), "body", schemas.PAGED_RECORD).count() == 1
+    with pytest.raises(Exception, match="not a page"):
+        files.explode_pages(pages, "body", schemas.PAGED_RECORD).collect()
+
+
+def test_filters_on_numbers_reach_the_scan_of_own_tables(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0, 2000), ("b", float("nan"), 2001)], "k string, v double, year int")
+    back = sinks.replace_table(df, str(tmp_path / "t"), ["year"])
+    assert [r.v for r in back.orderBy("k").collect()] == [1.0, None]
+    plan = back.where("v > 0.5 AND year = 2000")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(v,0.5)" in plan and "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_repeated_countries_are_one(spark):
+    docs = [{"cca3": "ABC", "name": {"common": "One"}, "area": 1.0}, {"cca3": "abc ", "name": {"common": "Two"}, "area": 2.0}, {"cca3": "DEF", "name": {"common": "D"}}]
+    raw = spark.createDataFrame(docs, schemas.COUNTRY_JSON)
+    pop = spark.createDataFrame([], "countryiso3code string, value string")
+    out = etl.clean_countries(etl.extract_countries(raw, etl.population_lookup(pop)))
+    assert sorted(r.country_code for r in out.collect()) == ["ABC", "DEF"]
+
+
 def test_partitioned_stream(spark, tmp_path, rows):
     landing, table, progress = (str(tmp_path / x) for x in ("in", "t", "c"))
     for v in (1.0, 2.0):
