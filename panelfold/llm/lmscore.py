@@ -3,11 +3,12 @@
 A target and a background bigram model share one vocabulary and one list of bigrams, and are smoothed
 alike, so the difference of their losses says how a text differs from the background in the target's
 direction and not how rare its words are.  The background is counted over every document, the target over
-those of a given list; the vocabulary is the ``WORDS`` most frequent words and the list the ``PAIRS`` most
-frequent bigrams of the whole corpus.  These sizes are parameters of the model, which bound what is
-broadcast; all other words are scored as one unknown word, and all other bigrams by their back-off.
+those of a given list; the vocabulary is the most frequent words of the whole corpus and the list its most
+frequent bigrams, at most ``WORDS`` and ``PAIRS`` of them: those above the lowest frequency class that fits
+whole.  These sizes are parameters of the model, which bound what is collected and broadcast; all other
+words are scored as one unknown word, and all other bigrams by their back-off.
 
-Counting combines within each batch before the shuffle.  Defined results: NULL and empty texts have losses
+Counting combines ``_TOKENS`` words of a task at a time before the shuffle.  Defined results: NULL and empty texts have losses
 of zero; repeated rows count and are scored each; ids of the list without a document are ignored; without
 target documents both models are the background and every difference is zero.
 """
@@ -23,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.llm.common import as_schema, by_bytes, text_of
+from panelfold.llm.common import as_schema, by_bytes, settle, text_of
 from panelfold.llm.toxicity import words
 
 WORDS = 32_768
 PAIRS = 262_144
 DISCOUNT = 1.0  # what was seen once says nothing, so that a text does not vouch for itself
+_TOKENS = 1 << 23
 _START = 0  # before the first word; as a word, 0 is every word outside the vocabulary
 
 
@@ -78,35 +80,60 @@ def fit(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
     counts = rows.select("text").mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(most_words).select("word").collect()
-    ids = {r[0]: k for k, r in enumerate(top, 1)}
+    counts = settle(counts, "word-counts")
+    top = _most_frequent(counts, most_words).select("word", "n").collect()
+    ids = {w: k for k, (w, _) in enumerate(sorted(top, key=lambda r: (-r[1], r[0])), 1)}
     size = len(ids) + 1
     shipped = documents.sparkSession.sparkContext.broadcast(ids)
 
+    def combined(keys: list[np.ndarray], flags: list[np.ndarray]):
+        pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n, t = np.bincount(at, minlength=len(pairs)), np.bincount(at[np.concatenate(flags)], minlength=len(pairs))
+        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64)), pa.array(t.astype(np.int64))], names=["pair", "n", "t"])
+
     def count_pairs(batches):
-        for batch in by_bytes(batches, 0, 16 << 20):
+        keys, flags, held = [], [], 0
+        for batch in by_bytes(batches, 0):
             ids, ends = flat_ids(shipped.value, batch.column(0).to_pylist())
-            if not len(ids):
-                continue
-            before = np.concatenate([[_START], ids[:-1]])
-            starts = np.concatenate([[0], ends[:-1]])
-            before[starts[starts < len(ids)]] = _START
-            flags = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(ends, prepend=0)).astype(np.int64)
-            pairs, at = np.unique(before * size + ids, return_inverse=True)
-            n = np.bincount(at, minlength=len(pairs))
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64)), pa.array(np.bincount(at, flags, len(pairs)).astype(np.int64))], names=["pair", "n", "t"])
+            if len(ids):
+                before = np.concatenate([[_START], ids[:-1]])
+                starts = np.concatenate([[0], ends[:-1]])
+                before[starts[starts < len(ids)]] = _START
+                keys.append(before * size + ids)
+                flags.append(np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(ends, prepend=0)))
+                held += len(ids)
+            if held >= _TOKENS:
+                yield combined(keys, flags)
+                keys, flags, held = [], [], 0
+        if held:
+            yield combined(keys, flags)
 
     flagged = rows.join(marked, F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
-    pairs = flagged.mapInArrow(count_pairs, "pair long, n long, t long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).persist()
-    try:
-        each = pairs.groupBy((F.col("pair") % size).alias("word")).agg(F.sum("n"), F.sum("t")).collect()
-        befores = pairs.groupBy(F.floor(F.col("pair") / size).alias("before")).agg(F.sum("n"), F.sum("t")).collect()
-        kept = pairs.orderBy(F.desc("n"), "pair").limit(most_pairs).toPandas().sort_values("pair")
-    finally:
-        pairs.unpersist()
+    pairs = flagged.mapInArrow(count_pairs, "pair long, n long, t long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    pairs = settle(pairs, "pair-counts")
+    each = pairs.groupBy((F.col("pair") % size).alias("word")).agg(F.sum("n"), F.sum("t")).collect()
+    befores = pairs.groupBy(F.floor(F.col("pair") / size).alias("before")).agg(F.sum("n"), F.sum("t")).collect()
+    kept = _most_frequent(pairs, most_pairs).select("pair", "n", "t").toPandas().sort_values("pair")
     return _matched(ids, size, np.array(each, np.int64).reshape(-1, 3), np.array(befores, np.int64).reshape(-1, 3), kept.to_numpy(np.int64).reshape(-1, 3))
 
 
+def _class(n):
+    """Frequency classes, sixteen to an octave, so that there are few of them however large the corpus."""
+    return F.floor(F.log2(n) * 16)
+
+
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Rows of the highest frequency classes, as many classes as have at most ``most`` rows together."""
+    classes = sorted(counts.groupBy(_class("n").alias("c")).agg(F.count("*").alias("rows")).collect(), reverse=True)
+    lowest, total = None, 0
+    for c, rows in classes:
+        total += rows
+        if total > most:
+            break
+        lowest = c
+    return counts.where(F.lit(False)) if lowest is None else counts.where(_class("n") >= lowest)
+
+
 def _matched(ids: dict[str, int], size: int, each: np.ndarray, befores: np.ndarray, kept: np.ndarray) -> Matched:
     n = np.zeros((2, size))
     n[:, each[:, 0]] = each[:, 1:].T
