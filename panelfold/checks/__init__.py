@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("cleaning", "joining", "statistics", "reporting", "loading", "viewing", "modelling")
+MODULES = ("cleaning", "joining", "statistics", "reporting", "loading", "storing", "viewing", "modelling")
 
 
 def all_queries():

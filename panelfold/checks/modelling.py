@@ -10,7 +10,8 @@ from panelfold.checks.testbed import table, with_ctes
 from panelfold.operators import features as fe
 from panelfold.operators import models, shape, stats
 from panelfold.plans import cards, training
-from panelfold.plans.star import TARGET
+from panelfold.plans.star import MEASURES, TARGET
+from panelfold.session import stage
 
 _LEVELS = {
     "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
@@ -34,7 +35,7 @@ def _share():
 )
 def one_hot(spark, d):
     p = tb.stored_panel(spark, d).select("country_code", "year", *_LEVELS)
-    return fe.one_hot(p, fe.levels_of(tb.dim_countries(spark, d), list(_LEVELS)))
+    return fe.one_hot(p, fe.levels_of(tb.dim_countries(spark, d), list(_LEVELS), most=100))
 
 
 @query(
@@ -128,79 +129,123 @@ def champion(spark, d):
 
 
 @query(
-    with_ctes(
-        """
-SELECT t.country_code, t.year, actual, guess AS predicted, round(actual - guess, 1) AS error, country_name, region
-FROM (SELECT country_code, year, life_expectancy_total AS actual, round_even(b + m * infant_mortality_per_1000, 2) AS guess FROM panel, line0) t
-LEFT JOIN dim_countries d ON t.country_code = d.country_code""",
-        _LINES,
-    )
+    with_ctes("""
+SELECT m.country_code, m.year, actual, predicted, round_even(actual - predicted, 2) AS error, abs(round_even(actual - predicted, 2)) AS abs_error, country_name, region
+FROM (SELECT country_code, year, infant_mortality_per_1000 / 4 AS actual, CAST(year - 1960 AS DOUBLE) AS predicted FROM panel) m
+LEFT JOIN dim_countries d ON m.country_code = d.country_code""")
 )
 def prediction_names(spark, d):
-    p = tb.stored_panel(spark, d)
-    line = stats.fit_line(p, "infant_mortality_per_1000", TARGET)
-    guess = line.select("intercept").scalar() + line.select("slope").scalar() * F.col("infant_mortality_per_1000")
+    """The predictions table with its own error columns; the guess is a number both engines hold exactly."""
+    p = tb.stored_panel(spark, d).withColumns({"actual_value": F.col("infant_mortality_per_1000") / 4, "guess": (F.col("year") - 1960).cast("double")})
     dim = tb.dim_countries(spark, d).select("country_code", "country_name", "region")
-    out = models.prediction_table(p.withColumn("g", guess), ["country_code", "year"], TARGET, "g", dim, "country_code")
-    raw = F.round(F.col("actual") - F.col("predicted"), 1)
-    return out.withColumn("error", raw).drop("abs_error")
+    return models.prediction_table(p, ["country_code", "year"], "actual_value", "guess", dim, "country_code")
 
 
-@query()
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(concat_ws('|', '42', o_orderkey)), o_orderkey LIMIT 3500")
 def seeded_sample(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return shape.repeatable_sample(o, 3500, ["o_orderkey"], 42)
 
 
+_MD5_SHARE = "CAST('0x' || substr(md5(concat_ws('|', '42', country_code, year)), 1, 8) AS BIGINT) % 100"
+
+
+@query(with_ctes(f"SELECT country_code, year, {_MD5_SHARE} AS share, {_MD5_SHARE} < 80 AS in_train FROM panel"))
+def keyed_split(spark, d):
+    """The split that the modelling job uses."""
+    p = tb.stored_panel(spark, d).select("country_code", "year", fe.split_share(["country_code", "year"]).alias("share"))
+    train, test = fe.train_test(p, F.col("share"))
+    return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
+
+
 def _prepared(spark, d):
     return training.prepare(tb.stored_panel(spark, d), levels=_LEVELS)
 
 
-@query()
+_KNOWN = " AND ".join(f"{c} IS NOT NULL" for c in MEASURES) + " AND nullif(cvd_dalys_per_100k, 0) IS NOT NULL"
+
+
+@query(
+    with_ctes(
+        f"""
+SELECT 'Ridge Regression' AS model, count(*) FILTER (share >= 80) AS n, true AS close, (SELECT count(*) FROM panel) - count(*) AS left_out
+FROM (SELECT {_MD5_SHARE} AS share FROM panel WHERE {_KNOWN})"""
+    )
+)
 def ridge_full(spark, d):
-    """Scores of ridge on the 37 features."""
+    """Ridge on the 37 features: tested rows, rows left out, and whether its solution is that of the normal equations."""
     p = _prepared(spark, d)
     train, test = (fe.apply_zscore(x, p.scaling) for x in (p.train, p.test))
     fitted = models.fit_ridge(train, p.features, TARGET)
-    return models.score_models({fitted.name: fitted.predict(test)}, TARGET)
+    x, y = F.array(*p.features), F.col(TARGET)
+    predicted = stage(fitted.predict(train).select(x.alias("x"), (y - F.col("prediction")).alias("rest")), "ridge-rest")
+    # At the solution every feature's product with the residuals equals alpha times its coefficient.
+    products = predicted.agg(*[F.sum(F.col("x")[i] * F.col("rest")) for i in range(len(p.features))]).first()
+    close = all(abs(a - models.RIDGE_ALPHA * float(b)) < 1e-4 * max(1.0, abs(float(b))) for a, b in zip(products, fitted.model.coefficients))
+    scores = models.score_models({fitted.name: fitted.predict(test)}, TARGET)
+    return scores.select("model", "n", F.lit(close).alias("close"), F.lit(p.left_out).cast("long").alias("left_out"))
+
+
+_GROUP_MEANS = "SELECT year, round(avg(life_expectancy_total), 6) AS prediction, 100.0::DOUBLE AS importance_pct FROM panel GROUP BY year"
+
+
+def _group_means(spark, d, fit):
+    """One feature of few values, every row and every feature for each tree: the prediction is the group's mean."""
+    rows = tb.stored_panel(spark, d).select(F.col("year").cast("double").alias("period"), "year", TARGET)
+    fitted = fit(rows, ["period"], TARGET)
+    share = models.importance(fitted, spark).first()["importance_pct"]
+    return fitted.predict(rows).select("year", F.round("prediction", 6).alias("prediction"), F.lit(round(share, 6)).alias("importance_pct")).distinct()
+
+
+@query(with_ctes(_GROUP_MEANS))
+def forest_group_means(spark, d):
+    """The forest at its full number of trees."""
+    return _group_means(spark, d, lambda *a: models.fit_forest(*a, bootstrap=False, featureSubsetStrategy="all"))
+
+
+@query(with_ctes(_GROUP_MEANS))
+def boosted_group_means(spark, d):
+    """Boosted trees at their full number of rounds."""
+    return _group_means(spark, d, lambda *a: models.fit_boosted(*a, subsamplingRate=1.0, featureSubsetStrategy="all"))
 
 
 @query()
 def forest_importance(spark, d):
-    """The fifteen most important features of a forest of full depth with 60 of its 300 trees."""
+    """The fifteen most important features of the full forest."""
     p = _prepared(spark, d)
-    return models.importance(models.fit_forest(p.train, p.features, TARGET, numTrees=60), spark, 15)
+    return models.importance(models.fit_forest(p.train, p.features, TARGET), spark, 15)
 
 
 @query()
 def boosted_predictions(spark, d):
-    """Test predictions of 30 boosting rounds with the countries' names."""
+    """Test predictions of the full boosting with the countries' names."""
     p = _prepared(spark, d)
-    fitted = models.fit_boosted(p.train, p.features, TARGET, maxIter=30)
+    fitted = models.fit_boosted(p.train, p.features, TARGET)
     dim = tb.dim_countries(spark, d).select("country_code", "country_name", "region", "income_group")
     return models.prediction_table(fitted.predict(p.test), ["country_code", "year"], TARGET, "prediction", dim, "country_code")
 
 
-RISK_FEATURES = (
-    "cvd_deaths_per_100k", "hiv_prevalence_pct", "diabetes_prevalence_pct", "obesity_prevalence_pct", "life_expectancy_total",
-    "infant_mortality_per_1000", "physicians_per_1000", "health_expenditure_pct_gdp",
-)
-
-
 @query()
 def risk_classifier(spark, d):
-    """Risk categories from a balanced forest of 60 trees, as the distribution card."""
-    p = tb.stored_panel(spark, d).na.drop(subset=list(RISK_FEATURES))
-    score = F.col("hiv_prevalence_pct") * 10 + F.col("cvd_deaths_per_100k") / 50 + F.col("diabetes_prevalence_pct")
-    labelled = models.risk_labels(p.withColumn("score", score), "score")
-    fitted = models.fit_risk(labelled, RISK_FEATURES, numTrees=60)
-    return cards.risk_distribution(models.risk_table(fitted, shape.latest_snapshot(labelled, "year"), "country_code"))
+    """Risk categories from the full balanced forest, as the distribution card."""
+    return cards.risk_distribution(training.risk_job(tb.stored_panel(spark, d))[0])
+
+
+@query(
+    with_ctes("""
+SELECT f.country_code, f.year, p.life_expectancy_total AS life_expectancy_total_lag1, q.life_expectancy_total AS life_expectancy_total_lag2,
+  n.life_expectancy_total AS next, f.life_expectancy_total - p.life_expectancy_total AS life_expectancy_total_delta
+FROM fact_life_expectancy f LEFT JOIN fact_life_expectancy p ON p.country_code = f.country_code AND p.year = f.year - 1
+LEFT JOIN fact_life_expectancy q ON q.country_code = f.country_code AND q.year = f.year - 2
+LEFT JOIN fact_life_expectancy n ON n.country_code = f.country_code AND n.year = f.year + 1""")
+)
+def forecast_frame(spark, d):
+    facts = tb.fact_life_expectancy(spark, d).select("country_code", "year", TARGET)
+    return models.forecast_frame(facts, "country_code", "year", TARGET).drop(TARGET)
 
 
 @query()
 def next_year_forecast(spark, d):
-    """Next-year forecasts with bounds, from earlier years and two measures, after 30 boosting rounds."""
-    facts = tb.fact_life_expectancy(spark, d)
-    used = ["infant_mortality_per_1000", "physicians_per_1000"]
-    fitted, lo, hi = models.fit_forecast(facts, "country_code", "year", TARGET, used, maxIter=30)
-    return models.forecast_table(fitted, lo, hi, facts, "country_code", "year", TARGET)
+    """Forecasts of the year after 2000 with bounds, as the forecast card of the full boosting."""
+    predictions, _ = training.forecast_job(tb.fact_life_expectancy(spark, d), 2000)
+    return cards.forecast_vs_actual(tb.star(spark, d), predictions, 2000)

@@ -325,16 +325,42 @@ def view_threshold_fit(spark, d):
     return _r(_r(out, 5, "slope", "intercept", "r2"), 6, "r")
 
 
-@query()
+def _fit_sql(x, y, rows):
+    near = ", ".join(tb.near_sql(f"(SELECT {f}({y}, {x}) FROM {rows})", c, 1 << 16) for f, c in (("regr_slope", "slope"), ("regr_intercept", "intercept"), ("corr", "r")))
+    return near
+
+
+def _near_fit(df):
+    return df.withColumns({c: tb.near(c, 1 << 16) for c in ("slope", "intercept", "r")})
+
+
+@query(
+    with_ctes(
+        f"""
+SELECT country_code, year, region, infant_mortality_per_1000, life_expectancy_total, {_fit_sql('infant_mortality_per_1000', 'life_expectancy_total', 'life_by_region')}
+FROM life_by_region ORDER BY md5(concat_ws('|', '42', country_code, year)), country_code, year LIMIT 3500"""
+    )
+)
 def view_sampled_scatter(spark, d):
-    """A seeded sample of points with the line of all rows; the draw has no SQL twin."""
-    return views.sampled_scatter(tb.life_by_region(spark, d), "infant_mortality_per_1000", "life_expectancy_total", 3500, 42)
+    """A seeded sample of points with the line of all rows."""
+    return _near_fit(views.sampled_scatter(tb.life_by_region(spark, d), "infant_mortality_per_1000", "life_expectancy_total", 3500, 42))
 
 
-@query()
+@query(
+    with_ctes(
+        f"SELECT *, {_fit_sql('deaths_per_100k', 'life_expectancy_total', 'drawn')} FROM drawn",
+        {
+            "drawn": """
+SELECT c.country_code, d.country_name, d.region, c.year, c.deaths_per_100k, l.life_expectancy_total FROM fact_cardiovascular c
+JOIN fact_life_expectancy l ON l.country_code = c.country_code AND l.year = c.year JOIN dim_countries d ON d.country_code = c.country_code
+ORDER BY md5(concat_ws('|', '11', c.country_code, c.year)), c.country_code, c.year LIMIT 3000"""
+        },
+    )
+)
 def view_sample_fit(spark, d):
-    """Line over a seeded sample of two joined facts."""
-    return views.sample_fit(tb.fact_cardiovascular(spark, d), tb.fact_life_expectancy(spark, d), "deaths_per_100k", "life_expectancy_total", 3000, 11)
+    """Points, line and r of a seeded sample of two joined facts."""
+    s = tb.star(spark, d)
+    return _near_fit(views.sample_fit(s["fact_cardiovascular"], s["fact_life_expectancy"], s["dim_countries"], "deaths_per_100k", "life_expectancy_total", 3000, 11))
 
 
 # --- report cards -----------------------------------------------------------------------------------

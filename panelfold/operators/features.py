@@ -21,7 +21,7 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_first: bool
     return df.withColumns(out).drop(*levels)
 
 
-def levels_of(df: DataFrame, columns: Sequence[str], most: int = 1000) -> dict[str, list[str]]:
+def levels_of(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, list[str]]:
     """The levels of category columns.  A column with more than ``most`` levels is refused, not cut."""
     out = {}
     for c in columns:
@@ -37,16 +37,9 @@ def feature_list(columns: Sequence[str], exclude: Sequence[str]) -> list[str]:
 
 
 def split_share(keys: Sequence[str], seed: int = 42) -> Column:
-    """A repeatable number in 0..99 from the keys, the same for any partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
-
-
-def linear_share(terms: Mapping[str, int]) -> Column:
-    """A repeatable number in 0..99 from a weighted sum of integer keys; portable to SQL."""
-    total = F.lit(0).cast("bigint")
-    for c, weight in terms.items():
-        total = total + F.col(c).cast("bigint") * F.lit(weight)
-    return F.pmod(total, F.lit(100))
+    """A repeatable number in 0..99 from the keys, the same for any partitioning and repeatable in SQL."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
 
 
 def train_test(df: DataFrame, share: Column, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:

@@ -13,14 +13,13 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import category_rank, half_even
-from panelfold.operators.features import assemble
+from panelfold.operators.features import assemble, split_share, train_test
 from panelfold.operators.quantiles import exact_quantiles
-from panelfold.operators.trends import lag_features
-from panelfold.session import scratch_dir
+from panelfold.session import scratch_dir, stage
 
 # Model settings.
 RIDGE_ALPHA = 1.0
@@ -28,6 +27,8 @@ FOREST = {"numTrees": 300, "maxDepth": 14, "seed": 42}
 BOOSTED = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85", "seed": 42}
 RISK_FOREST = {"numTrees": 200, "maxDepth": 10, "seed": 42}
 RISK_LEVELS = ("Low", "Medium", "High", "Critical")
+RISK_NAME = "RandomForest_RiskClassifier"
+FORECAST_NAME = "Boosted_LifeExpectancyForecaster"
 
 # Twice the smallest node that may be split: both halves keep at least this many rows.
 MIN_ROWS_PER_NODE = 2
@@ -134,20 +135,25 @@ def residuals(predicted: DataFrame, label: str, prediction: str) -> DataFrame:
     return predicted.withColumn("residual", F.col(label) - F.col(prediction))
 
 
-def risk_labels(df: DataFrame, score: str, out: str = "risk") -> DataFrame:
-    """Low, Medium, High or Critical by the quartiles of a score.  The quartile rule is this library's choice."""
-    row = exact_quantiles(df, [], [score], [0.25, 0.5, 0.75]).select("quantiles").first()
-    if row is None:
+def risk_bounds(train: DataFrame, score: str) -> list[float] | None:
+    """Quartiles of a score over the training rows; none without a known score."""
+    row = exact_quantiles(train, [], [score], [0.25, 0.5, 0.75]).select("quantiles").first()
+    return None if row is None else list(row[0])
+
+
+def risk_labels(df: DataFrame, score: str, bounds: Sequence[float] | None, out: str = "risk") -> DataFrame:
+    """Low, Medium, High or Critical by given quartiles.  The quartile rule is this library's choice."""
+    if bounds is None:
         return df.withColumn(out, F.lit(None).cast("string"))
-    q1, q2, q3 = row[0]
+    q1, q2, q3 = bounds
     s = F.col(score)
     label = F.when(s <= q1, RISK_LEVELS[0]).when(s <= q2, RISK_LEVELS[1]).when(s <= q3, RISK_LEVELS[2]).when(s > q3, RISK_LEVELS[3])
     return df.withColumn(out, label)
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight rows / (classes x rows of the class), from one small aggregate."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    """Weight rows / (classes x rows of the class).  The classes are the risk levels, so one row each is collected."""
+    counts = {r[0]: r[1] for r in df.where(F.col(label).isin(*RISK_LEVELS)).groupBy(label).count().collect()}
     total, classes = sum(counts.values()), len(counts)
     w: Column = F.lit(None).cast("double")
     for value, n in counts.items():
@@ -160,7 +166,7 @@ def fit_risk(train: DataFrame, features: Sequence[str], risk: str = "risk", **se
     _checkpointed(train.sparkSession)
     rows = balanced_weights(train.withColumn("label", (category_rank(risk, RISK_LEVELS) - 1).cast("double")), risk)
     clf = RandomForestClassifier(labelCol="label", weightCol="weight", cacheNodeIds=True, **{**RISK_FOREST, **settings})
-    return Fitted("RandomForest_RiskClassifier", clf.fit(assemble(rows, features)), list(features))
+    return Fitted(RISK_NAME, clf.fit(assemble(rows, features)), list(features))
 
 
 def risk_table(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:
@@ -170,7 +176,7 @@ def risk_table(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:
     names = F.array(*[F.lit(x) for x in RISK_LEVELS])
     return out.select(
         key,
-        F.lit(fitted.name).alias("model_name"),
+        F.lit(RISK_NAME).alias("model_name"),
         F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted_risk_cat"),
         F.array_max(p).alias("risk_probability"),
     )
@@ -183,38 +189,72 @@ def classifier_scores(fitted: Fitted, df: DataFrame, risk: str = "risk") -> dict
 
 
 def forecast_frame(df: DataFrame, key: str, period: str, target: str) -> DataFrame:
-    """Current value, earlier values, their change, and the next row's value as the label."""
-    from pyspark.sql import Window
+    """Current value, those of one and two periods before, their change, and the next period's value as the label.
 
+    Neighbours are by the calendar: across a gap they are NULL.  A repeated (key, period) fails the job, which
+    also bounds the rows of a key.
+    """
     w = Window.partitionBy(key).orderBy(period)
-    return lag_features(df, [key], period, target).withColumn("next", F.lead(target).over(w))
+    p, v = F.col(period), F.col(target)
+    again = F.lag(period).over(w) == p
+
+    def at(distance: int, rows: int) -> Column:
+        return F.when(F.lag(period, rows).over(w) == p - distance, F.lag(target, rows).over(w))
+
+    out = df.withColumns(
+        {
+            period: F.when(again, F.raise_error(F.lit("repeated (key, period)")).cast(df.schema[period].dataType)).otherwise(p),
+            f"{target}_lag1": at(1, 1),
+            f"{target}_lag2": F.coalesce(at(2, 2), at(2, 1)),
+            "next": F.when(F.lead(period).over(w) == p + 1, F.lead(target).over(w)),
+        }
+    )
+    return out.withColumn(f"{target}_delta", v - F.col(f"{target}_lag1"))
+
+
+@dataclass(frozen=True)
+class Forecaster:
+    """A fitted forecaster, its interval's ends and its error, both from rows it has not seen."""
+
+    fitted: Fitted
+    low: float | None
+    high: float | None
+    rmse: float | None
 
 
 def fit_forecast(
     df: DataFrame, key: str, period: str, target: str, features: Sequence[str], coverage: float = 0.95, **settings
-) -> tuple[Fitted, float, float]:
-    """Boosted trees for the next period, with residual quantiles as interval ends (this library's choice)."""
+) -> Forecaster:
+    """Boosted trees for the next period on four fifths of the rows.
+
+    The interval's ends are quantiles of the other rows' residuals (this library's choice), so they are
+    those of unseen values; they are NULL where no row is left over.
+    """
     inputs = [*features, target, f"{target}_lag1", f"{target}_lag2", f"{target}_delta"]
-    frame = forecast_frame(df, key, period, target)
-    train = frame.where(F.col("next").isNotNull()).na.drop(subset=inputs)
-    fitted = fit_boosted(train, inputs, "next", **settings)
-    fitted = Fitted("Boosted_Forecaster", fitted.model, fitted.features)
+    frame = forecast_frame(df, key, period, target).where(F.col("next").isNotNull()).na.drop(subset=inputs)
+    frame = stage(frame.select(key, period, "next", *inputs), "forecast-rows")
+    train, held = train_test(frame, split_share([key, period]))
+    boosted = fit_boosted(train, inputs, "next", **settings)
+    fitted = Fitted(FORECAST_NAME, boosted.model, boosted.features)
+    rest = stage(residuals(fitted.predict(held), "next", "prediction").select("residual"), "residuals")
     tail = (1.0 - coverage) / 2.0
-    rest = residuals(fitted.predict(train), "next", "prediction")
-    lo, hi = exact_quantiles(rest, [], ["residual"], [tail, 1.0 - tail]).select("quantiles").first()[0]
-    return fitted, lo, hi
-
-
-def forecast_table(fitted: Fitted, lo: float, hi: float, df: DataFrame, key: str, period: str, target: str) -> DataFrame:
-    """Next-period forecast with bounds for the last row of every key."""
-    frame = forecast_frame(df, key, period, target).where(F.col("next").isNull()).na.drop(subset=fitted.features)
-    p = F.col("prediction")
-    return fitted.predict(frame).select(
+    ends = exact_quantiles(rest, [], ["residual"], [tail, 1.0 - tail]).select("quantiles").first()
+    low, high = ends[0] if ends else (None, None)
+    rmse = rest.agg(F.sqrt(F.avg(F.col("residual") * F.col("residual")))).first()[0]
+    return Forecaster(fitted, low, high, rmse)
+
+
+def forecast_table(f: Forecaster, df: DataFrame, key: str, period: str, target: str, year: int) -> DataFrame:
+    """Forecast of ``year`` + 1 with bounds, one row per key; NULL where the key lacks a value the model needs."""
+    frame = forecast_frame(df, key, period, target).where(F.col(period) == year).na.drop(subset=f.fitted.features)
+    guess = f.fitted.predict(frame).select(key, F.col("prediction").alias("predicted_le_total"))
+    p = F.col("predicted_le_total")
+    return df.select(key).distinct().join(guess, key, "left").select(
         key,
-        F.lit(fitted.name).alias("model_name"),
-        p.alias("predicted_le_total"),
-        (p + F.lit(lo)).alias("predicted_le_lower"),
-        (p + F.lit(hi)).alias("predicted_le_upper"),
+        F.lit(f.fitted.name).alias("model_name"),
+        p,
+        (p + F.lit(f.low).cast("double")).alias("predicted_le_lower"),
+        (p + F.lit(f.high).cast("double")).alias("predicted_le_upper"),
     )
 
 

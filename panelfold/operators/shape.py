@@ -77,9 +77,9 @@ def checked_column(name: str, allowed: Iterable[str]) -> str:
 def repeatable_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int) -> DataFrame:
     """``n`` rows in the order of a seeded hash of their keys; all rows when there are fewer.
 
-    The draw depends on the keys alone, so it is the same for any partitioning.
+    The draw depends on the keys alone, so it is the same for any partitioning and can be repeated in SQL.
     """
-    draw: Column = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    draw: Column = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     return df.orderBy(draw, *keys).limit(n)
 
 

@@ -1,4 +1,4 @@
-"""The six report cards, as SQL text over the store's tables and as DataFrame twins."""
+"""The six report cards over the store's tables."""
 
 from __future__ import annotations
 
@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import category_rank
 from panelfold.operators.combine import left_join_where
+from panelfold.operators.models import FORECAST_NAME, RISK_NAME
 from panelfold.operators.trends import burden_score, mean_by_dimension
 
-# Order of risk categories, and the model names the cards ask for.
+# Order of risk categories.
 RISK_ORDER = ("Critical", "High", "Medium", "Low")
-RISK_MODEL = "RandomForest_RiskClassifier"
-FORECAST_MODEL = "XGBoost_LifeExpectancyForecaster"
+# The names under which the modelling job stores its results.
+RISK_MODEL = RISK_NAME
+FORECAST_MODEL = FORECAST_NAME
 
 KEY = "country_code"
 
@@ -78,7 +80,7 @@ def forecast_vs_actual(
 ) -> DataFrame:
     """Forecast with bounds next to the actual value of ``year``, where there is one.
 
-    Pass ``model`` for forecasts stored under another name, such as those of ``operators.models``.
+    Pass ``model`` for forecasts stored under another name than those of ``operators.models``.
     """
     mine = predictions.where(F.col("model_name") == model).join(
         tables["dim_countries"].select(KEY, "country_name", "region"), KEY, "inner"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelfold.functions.scalars import category_rank
 from panelfold.operators import shape, stats, trends
 from panelfold.plans.etl import INCOME_GROUPS
+from panelfold.session import stage
 
 # Indicators a view may show, and the columns of the matrix, the radar and the cards.
 INDICATORS = (
@@ -178,11 +179,16 @@ def sampled_scatter(rows: DataFrame, x: str, y: str, n: int, seed: int) -> DataF
     )
 
 
-def sample_fit(left: DataFrame, right: DataFrame, x: str, y: str, n: int, seed: int) -> DataFrame:
-    """Line and r over a sample of two facts joined on country and year."""
+def sample_fit(left: DataFrame, right: DataFrame, dim: DataFrame, x: str, y: str, n: int, seed: int) -> DataFrame:
+    """Sampled points of two facts joined on country and year, with names and the sample's own line and r."""
     joined = left.select("country_code", "year", x).join(right.select("country_code", "year", y), ["country_code", "year"])
-    sample = shape.repeatable_sample(joined, n, ["country_code", "year"], seed)
-    return stats.fit_line(sample, x, y)
+    named = joined.join(dim.select("country_code", "country_name", "region"), "country_code")
+    sample = stage(shape.repeatable_sample(named, n, ["country_code", "year"], seed), "sample")
+    line = stats.fit_line(sample, x, y)
+    r = stats.correlate(sample, x, y).select("r").scalar()
+    return sample.select("country_code", "country_name", "region", "year", x, y).withColumns(
+        {"slope": line.select("slope").scalar(), "intercept": line.select("intercept").scalar(), "r": r}
+    )
 
 
 def threshold_fit(fact: DataFrame, x: str, y: str, gate: str, above: float) -> DataFrame:

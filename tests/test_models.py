@@ -46,7 +46,7 @@ def test_split_is_disjoint_and_whole(data):
 
 def test_one_hot_drops_the_first_level(spark, rows):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "g string, v int")
-    out = fe.one_hot(df, fe.levels_of(df, ["g"]))
+    out = fe.one_hot(df, fe.levels_of(df, ["g"], most=10))
     assert out.columns == ["v", "g_b", "g_c"]
     assert rows(out) == [(1, 1.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 1.0)]
     with pytest.raises(ValueError):
@@ -81,7 +81,7 @@ def test_trees_importance_and_saving(spark, data, tmp_path):
 
 
 def test_risk_labels_weights_and_classifier(data):
-    labelled = m.risk_labels(data, "y")
+    labelled = m.risk_labels(data, "y", m.risk_bounds(data, "y"))
     counts = {r[0]: r[1] for r in labelled.groupBy("risk").count().collect()}
     assert counts == {"Low": 75, "Medium": 75, "High": 75, "Critical": 75}
     w = m.balanced_weights(labelled.where("risk != 'Low' OR t < 1992"), "risk")
@@ -95,12 +95,33 @@ def test_risk_labels_weights_and_classifier(data):
 
 
 def test_forecast_bounds_hold_their_share(data):
-    fitted, lo, hi = m.fit_forecast(data, "k", "t", "y", ["a"], coverage=0.8, maxIter=5, maxDepth=2)
-    assert lo < 0 < hi
-    out = m.forecast_table(fitted, lo, hi, data, "k", "t", "y")
+    f = m.fit_forecast(data, "k", "t", "y", ["a"], coverage=0.8, maxIter=5, maxDepth=2)
+    assert f.low < 0 < f.high and f.rmse > 0 and f.fitted.name == m.FORECAST_NAME
+    last = data.agg(F.max("t")).first()[0]
+    out = m.forecast_table(f, data, "k", "t", "y", last)
     assert out.count() == 30 and out.where("predicted_le_lower > predicted_le_total OR predicted_le_upper < predicted_le_total").count() == 0
 
 
+def test_forecast_frame_follows_the_calendar(spark, rows):
+    data = [("a", 1990, 1.0), ("a", 1992, 3.0), ("a", 1993, 4.0), ("a", 2020, 9.0), ("b", 1993, 5.0)]
+    out = m.forecast_frame(spark.createDataFrame(data, "k string, t int, y double"), "k", "t", "y")
+    assert rows(out, "k", "t", "y_lag1", "y_lag2", "next", "y_delta") == [
+        ("a", 1990, None, None, None, None), ("a", 1992, None, 1.0, 4.0, None), ("a", 1993, 3.0, None, None, 1.0),
+        ("a", 2020, None, None, None, None), ("b", 1993, None, None, None, None),
+    ]
+    with pytest.raises(Exception, match="repeated"):
+        m.forecast_frame(spark.createDataFrame(data + [data[0]], "k string, t int, y double"), "k", "t", "y").collect()
+
+
+def test_forecast_answers_for_one_year_and_names_the_rest(spark, data):
+    f = m.fit_forecast(data, "k", "t", "y", ["a"], maxIter=2, maxDepth=2)
+    years = sorted(r[0] for r in data.select("t").distinct().collect())
+    gone = data.select("k").first()[0]
+    rest = data.where((F.col("k") != gone) | (F.col("t") != years[-2]))
+    out = {r.k: r.predicted_le_total for r in m.forecast_table(f, rest, "k", "t", "y", years[-2]).collect()}
+    assert len(out) == 30 and out[gone] is None and all(v is not None for k, v in out.items() if k != gone)
+
+
 def test_prediction_table_rounds_before_the_error(spark, rows):
     df = spark.createDataFrame([("a", 1, 10.0, 9.996), ("x", 1, 1.0, 2.0)], "k string, t int, y double, p double")
     dim = spark.createDataFrame([("a", "A")], "k string, n string")

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelfold.checks import testbed as tb
-from panelfold.plans import star, training, views
+from panelfold import schemas
+from panelfold.plans import cards, star, training, views
 from panelfold.sources import sinks
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,6 +49,28 @@ def test_whole_job(spark, panel, tmp_path):
     scores = spark.read.json(str(tmp_path / "scores"))
     assert scores.where("champion").select("model").first()[0] == best
     assert spark.read.parquet(str(tmp_path / "panel")).count() == panel.count()
+    # the feature panel has every row, and the categories as they are
+    features = spark.read.parquet(str(tmp_path / "feature_panel"))
+    assert features.count() == panel.count() and set(panel.columns) < set(features.columns) and {"region", "income_group"} <= set(features.columns)
+    assert p.left_out == panel.count() - panel.na.drop().count()
+
+
+def test_models_fill_the_tables_that_the_cards_read(spark, panel, tmp_path):
+    facts = tb.fact_life_expectancy(spark, SF_DIR)
+    risk = training.risk_job(panel, numTrees=10, maxDepth=4)
+    forecast = training.forecast_job(facts, 2000, maxIter=3, maxDepth=3)
+    predictions, metrics = training.store_results(str(tmp_path), risk, forecast)
+    assert [f.name for f in predictions.schema] == schemas.TABLES["ml_predictions"].names
+    assert [f.name for f in metrics.schema] == schemas.TABLES["ml_model_metrics"].names
+    distribution = cards.risk_distribution(predictions).collect()
+    assert sum(r.country_count for r in distribution) == panel.na.drop(subset=[*training.RISK_FEATURES]).select("country_code").distinct().count()
+    one = cards.model_metrics(metrics).collect()
+    assert len(one) == 1 and 0 <= one[0].accuracy <= 1 and 0 <= one[0].f1_score <= 1 and one[0].top_features.count(",") == 4
+    tables = {"dim_countries": tb.dim_countries(spark, SF_DIR), "fact_life_expectancy": facts}
+    shown = cards.forecast_vs_actual(tables, predictions, 2000)
+    assert shown.count() == facts.select("country_code").distinct().count()
+    assert shown.where("forecast_le_2001 IS NOT NULL").count() > 0
+    assert metrics.where("model_name = 'Boosted_LifeExpectancyForecaster'").first().rmse > 0
 
 
 def test_views_check_their_columns(panel):
