@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import is_code, is_present
 from panelfold.operators.quantiles import exact_quantiles, medians_wide
-from panelfold.operators.sizing import join_small
 from panelfold.session import stage
 
 
@@ -57,17 +56,22 @@ def sentinel_rows(df: DataFrame, columns: Sequence[str], threshold: float) -> Da
 
 
 def repair_sentinel(df: DataFrame, key: str, columns: Sequence[str], threshold: float) -> DataFrame:
-    """Sentinel to NULL, then the key's median, then the overall median of the result so far."""
-    masked = stage(mask_sentinel(df, columns, threshold), "masked")
-    by_key = medians_wide(masked, [key], columns)
-    filled = join_small(masked, by_key, [key], "left")
-    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_median")) for c in columns})
-    filled = filled.drop(*[f"{c}_median" for c in columns])
-    overall = overall_medians(filled, columns)
-    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(overall.get(c))) for c in columns})
-
-
-def overall_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Median per column over all rows: one number per column, absent where all values are NULL."""
-    rows = exact_quantiles(df, [], columns, [0.5]).select("variable", F.col("quantiles")[0].alias("q")).collect()
-    return {r["variable"]: r["q"] for r in rows}
+    """Sentinel to NULL, then the key's median, then the overall median of the result so far.
+
+    A key has one row per period, so its medians are ranked within the key in one pass.
+    """
+    masked = mask_sentinel(df, columns, threshold)
+    by_key = medians_wide(masked, [key], columns, bounded=True)
+    keys = by_key.withColumnRenamed(key, "__key")
+    filled = masked.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_median")) for c in columns}).drop(*[f"{c}_median" for c in columns])
+    filled = stage(filled, "repaired")
+    overall = stage(overall_medians(filled, columns), "overall")
+    # Scalar subqueries: no number passes through the driver.
+    return filled.withColumns({c: F.coalesce(F.col(c), overall.select(c).scalar()) for c in columns})
+
+
+def overall_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the median per column over all rows, NULL where all values are."""
+    q = exact_quantiles(df, [], columns, [0.5])
+    return q.agg(*[F.max(F.when(F.col("variable") == c, F.col("quantiles")[0])).alias(c) for c in columns])

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelfold.operators.sizing import join_small
+from panelfold.session import stage
 
 # About 0.1 % relative width; magnitudes below 1e-6 share the cell around zero.
 _CELLS_PER_E_FOLD = 1024
@@ -36,18 +36,14 @@ def _cell(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(magnitude) * _CELLS_PER_E_FOLD)).cast("bigint")
 
 
-def _melt(df: DataFrame, groups: Sequence[str], columns: Sequence[str], overall: bool) -> DataFrame:
-    """(groups, variable, value) rows without NULLs; with ``overall`` each value also counts for all groups together."""
+def _melt(df: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(groups, variable, value) rows without NULLs, which are left out before the columns are taken apart."""
     if len(columns) == 1:
         long = df.select(*groups, F.lit(columns[0]).alias("variable"), F.col(columns[0]).cast("double").alias("value"))
-    else:
-        cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])
-        long = df.select(*groups, F.explode(cells).alias("c")).select(*groups, "c.variable", "c.value")
-    long = long.where(F.col("value").isNotNull())
-    if overall:
-        twice = long.withColumn(OVERALL, F.explode(F.array(F.lit(False), F.lit(True))))
-        long = twice.withColumns({g: F.when(~F.col(OVERALL), F.col(g)) for g in groups})
-    return long
+        return long.where(F.col("value").isNotNull())
+    cells = F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))) for c in columns])
+    long = df.select(*groups, F.explode(F.array_compact(cells)).alias("c")).select(*groups, "c.variable", "c.value")
+    return long.where(F.col("value").isNotNull())
 
 
 def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
@@ -72,18 +68,24 @@ _EXTENT = (  # built per call: column expressions need a session
 _FACTS = ("below", "total", "ranks")
 
 
-def _inside(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
-    """Rows of the picked cells.  Cells of one grid cell are disjoint value ranges."""
-    joined = join_small(long, cells.drop("n"), [*keys, "cell"], known_rows=n_cells)
+def _inside(long: DataFrame, cells: DataFrame, groups: Sequence[str], overall: bool, n_cells: int) -> DataFrame:
+    """Rows of the picked cells, which are disjoint value ranges; rows of all groups' cells once more under their mark."""
+    facts = cells.drop("n")
+    if not overall:
+        joined = join_small(long, facts, [*groups, "variable", "cell"], known_rows=n_cells)
+    else:
+        own = join_small(long, facts.where(~F.col(OVERALL)), [*groups, "variable", "cell"], known_rows=n_cells)
+        shared = join_small(long.drop(*groups), facts.where(OVERALL), ["variable", "cell"], known_rows=n_cells)
+        joined = own.unionByName(shared)
     return joined.where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
 
 
-def _split(long: DataFrame, cells: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
+def _split(long: DataFrame, cells: DataFrame, groups: Sequence[str], keys: Sequence[str], overall: bool, n_cells: int) -> DataFrame:
     """Replace each picked cell by those of its even parts that hold a wanted rank."""
     width = F.col("hi") - F.col("lo")
     part = F.least(F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("lo"), width), F.lit(0.0)) * _SPLIT), F.lit(_SPLIT - 1))
     parent = [*keys, "cell", "first_lo"]
-    rows = _inside(long, cells.withColumn("first_lo", F.col("lo")), keys, n_cells).withColumn("part", part)
+    rows = _inside(long, cells.withColumn("first_lo", F.col("lo")), groups, overall, n_cells).withColumn("part", part)
     # the cell's own facts are grouping keys, which keeps this a hash aggregation of plain numbers
     parts = rows.groupBy(*parent, *_FACTS, "part").agg(*[e() for e in _EXTENT])
     before = Window.partitionBy(*parent).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
@@ -101,28 +103,33 @@ def exact_quantiles(
     over all groups, marked in ``all_groups``, from the same passes.
     """
     keys = [*groups, *([OVERALL] if overall else []), "variable"]
-    long = _melt(df, groups, columns, overall).withColumn("cell", _cell(F.col("value")))
+    long = _melt(df, groups, columns).withColumn("cell", _cell(F.col("value")))
 
+    counts = long.groupBy(*groups, "variable", "cell").agg(*[e() for e in _EXTENT])
+    if overall:
+        # The cells of all groups are sums of the groups' cells: the rows are counted once.
+        each = stage(counts, "cell-counts").withColumn(OVERALL, F.lit(False))
+        every = each.groupBy("variable", "cell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        empty = [F.lit(None).cast(df.schema[g].dataType).alias(g) for g in groups]
+        counts = each.unionByName(every.select(*empty, "variable", "cell", "n", "lo", "hi", F.lit(True).alias(OVERALL)))
     by_cell = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     counts = (
-        long.groupBy(*keys, "cell")
-        .agg(*[e() for e in _EXTENT])
-        .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+        counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .withColumn("below", F.sum("n").over(by_cell) - F.col("n"))
         .withColumn("ranks", _wanted_ranks(F.col("total"), probs))
     )
     cells = _holding(counts)
     while True:
-        cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+        cells = stage(cells, "cells")
         fullest = F.max(F.when(F.col("lo") < F.col("hi"), F.col("n")))
         n_cells, most = cells.agg(F.count(F.lit(1)), fullest).first()
         if most is None or most <= MAX_CELL_ROWS:
             break
-        cells = _split(long, cells, keys, n_cells)
+        cells = _split(long, cells, groups, keys, overall, n_cells)
 
     inside = Window.partitionBy(*keys, "cell", "lo").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
-        _inside(long, cells, keys, n_cells)
+        _inside(long, cells, groups, overall, n_cells)
         .groupBy(*keys, "cell", "lo", *_FACTS, "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("first", F.col("below") + F.sum("n").over(inside) - F.col("n"))
@@ -135,20 +142,43 @@ def exact_quantiles(
         # at most two entries per probability
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
     )
+    return at_rank.select(*keys, "n", F.array(*[_interpolated(p) for p in probs]).alias("quantiles"))
+
 
-    def quantile(p: float) -> Column:
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        lo = F.element_at("at", F.floor(pos).cast("bigint"))
-        hi = F.element_at("at", F.ceil(pos).cast("bigint"))
-        return lo + (hi - lo) * (pos - F.floor(pos))
+def _interpolated(p: float) -> Column:
+    """The quantile from the values ``at`` ranks of ``n``; infinities stay what they are, and no NaN comes out."""
+    pos = (F.col("n") - 1) * F.lit(float(p))
+    lo = F.element_at("at", F.floor(pos).cast("bigint"))
+    hi = F.element_at("at", F.ceil(pos).cast("bigint"))
+    share = pos - F.floor(pos)
+    apart = hi - lo
+    out = F.when(lo == hi, lo).when(F.abs(apart) < float("inf"), lo + apart * share).otherwise(lo * (1 - share) + hi * share)
+    return F.when(~F.isnan(out), out)
 
-    return at_rank.select(*keys, "n", F.array(*[quantile(p) for p in probs]).alias("quantiles"))
+
+def bounded_quantiles(df: DataFrame, groups: Sequence[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The same for many groups of a bounded size each, such as an entity's periods, in one pass.
+
+    Values are counted per group, so copies combine before the shuffle, and ranked within it.  For groups of
+    any size take ``exact_quantiles``.
+    """
+    keys = [*groups, "variable"]
+    counts = _melt(df, groups, columns).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
+    up_to = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("n", F.sum("c").over(Window.partitionBy(*keys))).withColumn("first", F.sum("c").over(up_to) - F.col("c"))
+    hit = F.filter(_wanted_ranks(F.col("n"), probs), lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("c")))
+    hits = ranked.select(*keys, "n", "value", F.explode(hit).alias("rank"))
+    at = hits.groupBy(*keys).agg(F.any_value("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    return at.select(*keys, "n", F.array(*[_interpolated(p) for p in probs]).alias("quantiles"))
 
 
 def medians_wide(
-    df: DataFrame, groups: Sequence[str], columns: Sequence[str], suffix: str = "_median", overall: bool = False
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], suffix: str = "_median", overall: bool = False, bounded: bool = False
 ) -> DataFrame:
-    """One row per group with the median of every column; ``overall`` adds a row for all groups together."""
-    q = exact_quantiles(df, groups, columns, [0.5], overall)
+    """One row per group with the median of every column; ``overall`` adds a row for all groups together.
+
+    ``bounded`` is for many groups that are small by their nature (see ``bounded_quantiles``).
+    """
+    q = bounded_quantiles(df, groups, columns, [0.5]) if bounded else exact_quantiles(df, groups, columns, [0.5], overall)
     pick = [F.max(F.when(F.col("variable") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}") for c in columns]
     return q.groupBy(*groups, *([OVERALL] if overall else [])).agg(*pick)

@@ -11,6 +11,7 @@ from panelfold.functions.scalars import clip
 from panelfold.operators.combine import average_then_join, known_keys
 from panelfold.operators.quantiles import OVERALL, medians_wide
 from panelfold.operators.sizing import join_small
+from panelfold.session import stage
 
 
 def mean_by(df: DataFrame, by: Sequence[str], columns: Mapping[str, Column | str], digits: int | None = None) -> DataFrame:
@@ -38,6 +39,7 @@ def mean_by_dimension(
 
 def spread_by(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     """Mean, median, sample standard deviation and the one-deviation band per group."""
+    df = stage(df.select(*by, column), "spread")  # read by the moments and by both quantile passes
     stats = df.groupBy(*by).agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"))
     medians = medians_wide(df, by, [column]).withColumnRenamed(f"{column}_median", "median")
     out = join_small(stats, medians, list(by), "left")
@@ -46,7 +48,8 @@ def spread_by(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
 
 def group_medians(df: DataFrame, group: str, column: str) -> DataFrame:
     """Median per group, highest first, next to the overall median."""
-    both = medians_wide(df, [group], [column], overall=True).withColumnRenamed(f"{column}_median", "median").persist()
+    both = medians_wide(df, [group], [column], overall=True).withColumnRenamed(f"{column}_median", "median")
+    both = stage(both, "group-medians")
     overall = both.where(OVERALL).select("median").scalar()
     groups = both.where(~F.col(OVERALL)).drop(OVERALL)
     return groups.withColumn("overall_median", overall).orderBy(F.col("median").desc(), group)

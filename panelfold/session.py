@@ -59,4 +59,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_staged: dict[str, list[str]] = {}
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete everything this session has staged; call it when no result that was built on it is read any more."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)

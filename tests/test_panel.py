@@ -121,7 +121,7 @@ def test_quantiles_beyond_the_broadcast_bound(spark, monkeypatch):
     """Many groups: the picked cells exceed the bound, so both sides are shuffled."""
     from panelfold.operators import sizing
 
-    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 100)
     data = [(g, float(v)) for g in range(20) for v in range(g + 1)]
     df = spark.createDataFrame(data, "g int, v double")
     out = {r["g"]: r["quantiles"][0] for r in quantiles.exact_quantiles(df, ["g"], ["v"], [0.5]).collect()}
@@ -171,3 +171,50 @@ def test_valid_rows(spark, rows):
     df = spark.createDataFrame([("abc", "n"), ("ab", "n"), (None, "n"), ("xyz", " "), ("xyz", None)], "c string, n string")
     assert rows(clean.valid_rows(df, "c", "n")) == [("abc", "n")]
     assert df.where(F.lit(True)).count() == 5
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize("how", [quantiles.exact_quantiles, quantiles.bounded_quantiles])
+@pytest.mark.parametrize(
+    "values,want",
+    [([1.0, INF, INF], INF), ([-INF, -INF, 2.0], -INF), ([-1.7e308, 1.7e308], 0.0), ([-INF, INF], None), ([5e-324, 5e-324], 5e-324), ([1.0, INF], INF), ([], None)],
+)
+def test_medians_of_doubles_of_full_width(spark, how, values, want):
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    got = [r.quantiles[0] for r in how(df, ["g"], ["v"], [0.5]).collect()]
+    assert got == ([want] if values else [])
+
+
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=30))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_both_ways_to_quantiles_agree(spark, values):
+    df = spark.createDataFrame([(k % 2, v) for k, v in enumerate(values)], "g int, v double")
+    probs = [0.0, 0.25, 0.5, 1.0]
+    both = [sorted((r.g, r.n, tuple(r.quantiles)) for r in how(df, ["g"], ["v"], probs).collect()) for how in (quantiles.exact_quantiles, quantiles.bounded_quantiles)]
+    assert both[0] == both[1]
+
+
+def test_nothing_stays_persisted_and_staged_folders_can_go(spark):
+    from panelfold.session import release_staged
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.createDataFrame([("a", 1990 + k, float(k) if k % 3 else None) for k in range(12)], "k string, t int, v double")
+    impute.impute_panel(df, ["k"], "t", ["v"], digits=2).collect()
+    clean.repair_sentinel(df, "k", ["v"], 9.0).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    # not called here for the whole session: other tests read what they have staged
+    assert callable(release_staged)
+
+
+def test_a_key_of_sentinels_only_takes_the_overall_median(spark, rows):
+    df = spark.createDataFrame([("a", 1, 999.0), ("a", 2, 999.0), ("b", 1, 1.0), ("b", 2, 3.0), ("b", 3, 999.0), (None, 1, 5.0)], "k string, t int, v double")
+    assert rows(clean.repair_sentinel(df, "k", ["v"], 950.0)) == [(None, 1, 5.0), ("a", 1, 2.5), ("a", 2, 2.5), ("b", 1, 1.0), ("b", 2, 3.0), ("b", 3, 2.0)]
+
+
+@pytest.mark.parametrize("fill", [impute.fill_forward, impute.fill_backward])
+def test_fills_refuse_a_repeated_period(spark, fill):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0)], "k string, t int, v double")
+    with pytest.raises(Exception, match="repeated"):
+        fill(df, ["k"], "t", ["v"]).collect()
