@@ -116,7 +116,9 @@ def count_links(members: DataFrame, cosine: float, tile: int = TILE) -> DataFram
     """
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     place = F.pmod(F.xxhash64("first"), F.ceil(F.col("size") / F.lit(tile))).cast("int")
-    tiles = members.join(sizes, "component").withColumn("tile", place).groupBy("component", "tile")
+    # Dealt by tile before the tiles are gathered: the join alone would leave a hot component in one task.
+    placed = members.join(sizes, "component").withColumn("tile", place).repartition("component", "tile")
+    tiles = placed.groupBy("component", "tile")
     tiles = stage(tiles.agg(F.collect_list(F.struct("first", "n", "length", "vector")).alias("rows")), "tiles")
     left = tiles.select("component", "tile", F.col("rows").alias("a"), (F.col("tile") % _SALTS).alias("salt"))
     right = tiles.select("component", F.col("tile").alias("other"), F.col("rows").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
