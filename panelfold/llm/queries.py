@@ -1,4 +1,4 @@
-"""The registered queries of the numbered operators, with their SQL where there is one."""
+"""The registered queries of the numbered operators."""
 
 from __future__ import annotations
 
@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from panelfold.llm import bpe, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, toxicity, wrappers
 from panelfold.llm.common import fold, importable, read, text_of
+from panelfold.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 
 
 def _register(fn):
