@@ -124,9 +124,7 @@ FROM fact_hiv_aids h JOIN fact_cardiovascular c ON h.country_code = c.country_co
 )
 def fact_to_fact(spark, d):
     h, c = tb.fact_hiv_aids(spark, d), tb.fact_cardiovascular(spark, d)
-    return h.select("country_code", "year", "prevalence_pct").join(
-        c.select("country_code", "year", "deaths_per_100k"), ["country_code", "year"]
-    )
+    return combine.fact_to_fact(h, c, "country_code", "year", "prevalence_pct", "deaths_per_100k")
 
 
 def _orders(spark, d):

@@ -13,9 +13,10 @@ from panelfold.checks.joining import paged, parsed_documents
 from panelfold.checks.registry import query
 from panelfold.checks.testbed import half_even_sql, imputed_sql, letters_sql, table, with_ctes
 from panelfold.operators import combine, quality
+from panelfold.operators.features import levels_of
 from panelfold.operators.upsert import merge_upsert
 from panelfold.plans import etl
-from panelfold.session import scratch_dir
+from panelfold.session import scratch_dir, stage
 from panelfold.sources import files, sinks
 from panelfold.streaming.incremental import stream_upsert
 
@@ -76,23 +77,23 @@ _API = {
 
 
 def _indicator_records(spark, d):
-    """One page of records per customer and indicator; a year without orders has an empty value."""
+    """One feed per indicator, a page of records per customer; a year without orders has an empty value."""
     o = table(spark, d, "orders").withColumn("code", tb.letters("o_custkey"))
     yearly = o.groupBy("code", F.year("o_orderdate").alias("y")).agg(
-        *[
-            F.max(F.when(F.expr(cond), tb.cents("o_totalprice"))).alias(f"m{i}")
-            for i, cond in enumerate(_API.values())
-        ]
+        *[F.max(F.when(F.expr(cond), tb.cents("o_totalprice"))).alias(c) for c, cond in _API.items()]
     )
-    parts = [F.struct(F.lit(etl.INDICATORS[c]).alias("tag"), F.col(f"m{i}").alias("m")) for i, c in enumerate(_API)]
-    long = yearly.select("code", "y", F.explode(F.array(*parts)).alias("p")).select("code", "y", "p.*")
-    record = F.struct(
-        F.col("code").alias("countryiso3code"),
-        F.col("y").cast("string").alias("date"),
-        (F.col("m") / 64).cast("string").alias("value"),
-        F.struct(F.col("code").alias("value")).alias("country"),
-    )
-    return files.explode_pages(paged(long, ["code", "tag"], record), "body", schemas.PAGED_RECORD)
+    yearly = stage(yearly, "api")  # read by every feed
+
+    def feed(c):
+        record = F.struct(
+            F.col("code").alias("countryiso3code"),
+            F.col("y").cast("string").alias("date"),
+            (F.col(c) / 64).cast("string").alias("value"),
+            F.struct(F.col("code").alias("value")).alias("country"),
+        )
+        return files.explode_pages(paged(yearly, ["code"], record), "body", schemas.PAGED_RECORD)
+
+    return etl.tag_feeds({etl.INDICATORS[c]: feed(c) for c in _API}, "tag")
 
 
 _API_CTES = {
@@ -107,7 +108,7 @@ _API_CTES = {
 
 @query(with_ctes("SELECT country_code, country_code AS country_name, year, " + ", ".join(_API) + " FROM api", _API_CTES))
 def extract_indicators(spark, d):
-    wide = etl.extract_indicators(_indicator_records(spark, d), "tag", ["at"])
+    wide = etl.extract_indicators(_indicator_records(spark, d), "tag", ["feed_no", "at"])
     return wide.select("country_code", "country_name", "year", *_API)
 
 
@@ -122,7 +123,7 @@ _LIFE_OUT = ", ".join(etl.INDICATORS)
     )
 )
 def load_life_expectancy(spark, d):
-    return etl.clean_life(etl.extract_indicators(_indicator_records(spark, d), "tag", ["at"]), _countries(spark, d))
+    return etl.clean_life(etl.extract_indicators(_indicator_records(spark, d), "tag", ["feed_no", "at"]), _countries(spark, d))
 
 
 # --- CSV-like feeds -------------------------------------------------------------------------------
@@ -337,3 +338,32 @@ def stream_upsert_orders(spark, d):
             spark, f"{folder}/landing", source.schema, f"{folder}/table", ["o_orderkey"], ["o_totalprice"], f"{folder}/progress"
         )
     return sinks.read_version(spark, f"{folder}/table")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def json_lines_round_trip(spark, d):
+    c = table(spark, d, "customer")
+    folder = _folder(spark, "json")
+    c.write.json(folder)
+    return files.read_json(spark, folder, c.schema)
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS position, feature FROM (SELECT DISTINCT c_mktsegment AS feature FROM customer)")
+def feature_list_round_trip(spark, d):
+    """A feature list made of the levels of a column, as written and read."""
+    names = levels_of(table(spark, d, "customer"), ["c_mktsegment"], most=100)["c_mktsegment"]
+    folder = _folder(spark, "features")
+    sinks.write_features(spark, names, folder)
+    return spark.createDataFrame(list(enumerate(sinks.read_features(spark, folder))), "position int, feature string")
+
+
+@query("SELECT 'dim_countries' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'fact_hiv_aids', 0")
+def created_tables(spark, d):
+    """Tables of the store created in the catalog; creating them again leaves the dimension's rows alone."""
+    database = f"store_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    some = {t: schemas.TABLES[t] for t in ("dim_countries", "fact_hiv_aids")}
+    sinks.create_tables(spark, some, database)
+    sinks.conform(tb.dim_countries(spark, d), some["dim_countries"]).write.insertInto(f"{database}.dim_countries")
+    sinks.create_tables(spark, some, database)
+    return quality.table_counts({t: spark.table(f"{database}.{t}") for t in some})

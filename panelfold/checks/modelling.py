@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelfold.checks import testbed as tb
@@ -11,7 +13,7 @@ from panelfold.operators import features as fe
 from panelfold.operators import models, shape, stats
 from panelfold.plans import cards, training
 from panelfold.plans.star import MEASURES, TARGET
-from panelfold.session import stage
+from panelfold.session import scratch_dir, stage
 
 _LEVELS = {
     "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
@@ -203,6 +205,19 @@ def forest_group_means(spark, d):
     return _group_means(spark, d, lambda *a: models.fit_forest(*a, bootstrap=False, featureSubsetStrategy="all"))
 
 
+@query(with_ctes(_GROUP_MEANS))
+def stored_forest(spark, d):
+    """A small forest, written, read and asked again."""
+
+    def fit(*a):
+        fitted = models.fit_forest(*a, numTrees=5, bootstrap=False, featureSubsetStrategy="all")
+        folder = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
+        models.save_model(fitted, folder)
+        return models.load_model(folder, fitted.name, fitted.features)
+
+    return _group_means(spark, d, fit)
+
+
 @query(with_ctes(_GROUP_MEANS))
 def boosted_group_means(spark, d):
     """Boosted trees at their full number of rounds."""

@@ -8,7 +8,7 @@ from panelfold.checks import testbed as tb
 from panelfold.checks.registry import query
 from panelfold.checks.testbed import EVENT_TYPES, table, with_ctes
 from panelfold.functions.scalars import category_rank
-from panelfold.operators import quality, shape, trends
+from panelfold.operators import clean, quality, shape, trends
 
 
 def _orders(spark, d):
@@ -253,7 +253,7 @@ def range_check(spark, d):
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal <= 0")
 def anomaly_report(spark, d):
-    return table(spark, d, "customer").where(F.col("c_acctbal") <= 0).select("c_custkey", "c_acctbal")
+    return clean.not_above(table(spark, d, "customer"), "c_acctbal").select("c_custkey", "c_acctbal")
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("customer", "orders", "lineitem", "events")))

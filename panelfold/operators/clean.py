@@ -55,6 +55,11 @@ def sentinel_rows(df: DataFrame, columns: Sequence[str], threshold: float) -> Da
     return df.where(hit)
 
 
+def not_above(df: DataFrame, column: str, bound: float = 0.0) -> DataFrame:
+    """Rows whose value is impossible: at or below a bound that it must exceed.  NULL is unknown, not impossible."""
+    return df.where(F.col(column) <= bound)
+
+
 def repair_sentinel(df: DataFrame, key: str, columns: Sequence[str], threshold: float) -> DataFrame:
     """Sentinel to NULL, then the key's median, then the overall median of the result so far.
 

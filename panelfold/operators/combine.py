@@ -62,6 +62,11 @@ def star_join(dim: DataFrame, facts: Sequence[DataFrame], key: str, period: str)
     return panel.join(dim, key, "inner")
 
 
+def fact_to_fact(left: DataFrame, right: DataFrame, key: str, period: str, x: str, y: str) -> DataFrame:
+    """One measure of each of two facts, where both have the (key, period)."""
+    return left.select(key, period, x).join(right.select(key, period, y), [key, period], "inner")
+
+
 def known_keys(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return rows.join(dim.select(key), key, "left_semi")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import category_rank
 from panelfold.operators import shape, stats, trends
+from panelfold.operators.combine import fact_to_fact
 from panelfold.plans.etl import INCOME_GROUPS
 from panelfold.session import stage
 
@@ -181,7 +182,7 @@ def sampled_scatter(rows: DataFrame, x: str, y: str, n: int, seed: int) -> DataF
 
 def sample_fit(left: DataFrame, right: DataFrame, dim: DataFrame, x: str, y: str, n: int, seed: int) -> DataFrame:
     """Sampled points of two facts joined on country and year, with names and the sample's own line and r."""
-    joined = left.select("country_code", "year", x).join(right.select("country_code", "year", y), ["country_code", "year"])
+    joined = fact_to_fact(left, right, "country_code", "year", x, y)
     named = joined.join(dim.select("country_code", "country_name", "region"), "country_code")
     sample = stage(shape.repeatable_sample(named, n, ["country_code", "year"], seed), "sample")
     line = stats.fit_line(sample, x, y)
