@@ -255,7 +255,7 @@ def _judge(path: str) -> tuple[bool, bool]:
         name, words = _words(symbol)
         if name in _FURNITURE or words & _COMMENT_WORDS or (name == "header" and not inside):
             furniture = True
-        elif words & _FURNITURE_WORDS and not (name in _MAIN and not words & _COMMENT_WORDS):
+        elif (words - {"header"} if inside else words) & _FURNITURE_WORDS and not (name in _MAIN and not words & _COMMENT_WORDS):
             furniture = furniture or inside or not words & _MAIN_WORDS and name != "body" and name != "html"
         if not inside and (name in _MAIN or words & _MAIN_WORDS):
             inside = True
@@ -282,7 +282,17 @@ def main_slots(wrapper: list) -> list[str]:
     if any(inside and not furniture for inside, furniture in judged.values()):
         return sorted(p for p, (inside, furniture) in judged.items() if inside and not furniture)
     links = {p for p, repeated in found.items() if repeated and any(_words(s)[0] == "a" for s in p.split("/")) and "/p" not in p}
-    return sorted(p for p, (_, furniture) in judged.items() if not furniture and p not in links)
+    kept = sorted(p for p, (_, furniture) in judged.items() if not furniture and p not in links)
+    if kept:
+        return kept
+    # Every role speaks of furniture, as where a column of the layout is named after the sidebar beside it: elements alone decide.
+    plain = {p: "/".join(_words(s)[0] for s in p.split("/")) for p in found}
+    return sorted(p for p in found if not _judge(plain[p])[1] and p not in links and not _COMMENT_WORDS & {w for s in p.split("/") for w in _words(s)[1]})
+
+
+def has_main(page: str) -> bool:
+    """Whether a page has a main element of its own."""
+    return any(kind == "<" and (_words(v)[0] in _MAIN or _words(v)[1] & _MAIN_WORDS) for kind, v, _ in tokens(page))
 
 
 def main_text(page: str, slots: frozenset[str]) -> str:
@@ -346,7 +356,10 @@ def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "tex
     def run(batches):
         for batch in by_bytes(batches, at):
             each = [frozenset(s or ()) for s in batch.column(last).to_pylist()]
-            texts = [main_text(p or "", s) for p, s in zip(batch.column(at).to_pylist(), each)]
+            pages = [p or "" for p in batch.column(at).to_pylist()]
+            texts = [main_text(p, s) for p, s in zip(pages, each)]
+            # A page without the main element that its host's other pages have is read by its own stream.
+            texts = [t or (main_text(p, frozenset(main_slots(stream(p)))) if p and not has_main(p) else "") for t, p in zip(texts, pages)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(texts, pa.string())], names=[*batch.schema.names[:last], out])
 
     return rows.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))

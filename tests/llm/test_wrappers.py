@@ -50,6 +50,8 @@ def own(page):
         ('<nav><article><p>teaser</p></article></nav><article><p a="x>y">real</p><p>unclosed <b>bold<br><p>next', "real\n\nunclosed bold\n\nnext"),
         ('<article><header><h1>Title</h1></header><p>x</p><div class="share social">s</div><footer>by me</footer></article>', "Title\n\nx"),
         ("<article><p>a < b and c<d</p></article>", "a < b and c<d"),
+        ('<article><div class="post-header"><h1>Title</h1></div><p>x</p></article>', "Title\n\nx"),
+        ('<div class="content-with-sidebar"><p>the text</p><nav>n</nav></div>', "the text"),
     ],
 )
 def test_other_pages(page, text):
@@ -83,6 +85,13 @@ def test_alignment_makes_optionals_and_repeats():
         assert re.fullmatch(language(wrapper), symbols), (wrapper, symbols)
 
 
+def test_a_page_without_its_hosts_main_element(spark):
+    rows = [(k, "http://h.example/", f"<nav>menu</nav><article><p>text {k}</p></article>") for k in range(5)]
+    rows += [(5, "http://h.example/", "<nav>menu</nav><div><p>other make</p></div><footer>f</footer>"), (6, "http://h.example/", "<p>beside</p><article></article>")]
+    got = {r.page_id: r.text for r in W.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{k: f"text {k}" for k in range(5)}, 5: "other make", 6: ""}
+
+
 def test_edge_rows(spark):
     rows = [
         (1, "http://a.example/x", "<article><p>one</p></article>", "k"), (1, "http://a.example/x", "<article><p>one</p></article>", "k"),
