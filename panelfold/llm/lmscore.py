@@ -108,7 +108,8 @@ def fit(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str
         if held:
             yield combined(keys, flags)
 
-    flagged = rows.join(marked, F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
+    # The list grows with the corpus, so the join is a shuffle at every size.
+    flagged = rows.join(marked.hint("merge"), F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
     pairs = flagged.mapInArrow(count_pairs, "pair long, n long, t long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     pairs = settle(pairs, "pair-counts")
     each = pairs.groupBy((F.col("pair") % size).alias("word")).agg(F.sum("n"), F.sum("t")).collect()
