@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import half_even
 from panelfold.operators.quantiles import exact_quantiles
+from panelfold.session import stage
 
 # Columns a null audit leaves out.
 AUDIT_SKIP = ("id", "created_at", "updated_at", "loaded_at")
@@ -56,8 +57,12 @@ def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _rows_from(one, cells).where(F.col("missing") > 0)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per column."""
+def describe_numeric(df: DataFrame, columns: Sequence[str], derived: bool = True) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact quartiles per column.
+
+    The rows are read three times: a ``derived`` input is written once first, a stored table is read again.
+    """
+    df = stage(df.select(*columns), "described") if derived else df
     cols = {c: F.col(c).cast("double") for c in columns}
     one = df.agg(
         *[

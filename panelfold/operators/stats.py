@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelfold.operators.quantiles import exact_quantiles
 from panelfold.operators.sizing import join_small
+from panelfold.session import stage
 
 
 def pearson(x: Column, y: Column) -> Column:
@@ -83,8 +84,12 @@ def _fenced(df: DataFrame, by: Sequence[str], column: str, reach: float) -> Data
     return join_small(df.where(F.col(column).isNotNull()), fences, by)
 
 
-def box_stats(df: DataFrame, by: Sequence[str], column: str, reach: float = 1.5) -> DataFrame:
-    """Quartiles, whisker ends (last points inside the fences) and the number of points outside."""
+def box_stats(df: DataFrame, by: Sequence[str], column: str, reach: float = 1.5, derived: bool = True) -> DataFrame:
+    """Quartiles, whisker ends (last points inside the fences) and the number of points outside.
+
+    The rows are read three times: a ``derived`` input is written once first, a stored table is read again.
+    """
+    df = stage(df.select(*by, column), "box") if derived else df
     v = F.col(column)
     inside = (v >= F.col("low_fence")) & (v <= F.col("high_fence"))
     fenced = _fenced(df.select(*by, column), by, column, reach)

@@ -37,9 +37,12 @@ def mean_by_dimension(
     return joined.groupBy(*by_dim, *by_fact).agg(*means)
 
 
-def spread_by(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
-    """Mean, median, sample standard deviation and the one-deviation band per group."""
-    df = stage(df.select(*by, column), "spread")  # read by the moments and by both quantile passes
+def spread_by(df: DataFrame, by: Sequence[str], column: str, derived: bool = True) -> DataFrame:
+    """Mean, median, sample standard deviation and the one-deviation band per group.
+
+    The rows are read three times: a ``derived`` input is written once first, a stored table is read again.
+    """
+    df = stage(df.select(*by, column), "spread") if derived else df
     stats = df.groupBy(*by).agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"))
     medians = medians_wide(df, by, [column]).withColumnRenamed(f"{column}_median", "median")
     out = join_small(stats, medians, list(by), "left")
