@@ -3,20 +3,34 @@
 A target and a background bigram model share one vocabulary and one list of bigrams, and are smoothed
 alike, so the difference of their losses says how a text differs from the background in the target's
 direction and not how rare its words are.  The background is counted over every document, the target over
-those of a given list; the vocabulary is the most frequent words of the whole corpus and the list its most
-frequent bigrams, at most ``WORDS`` and ``PAIRS`` of them: those above the lowest frequency class that fits
-whole.  These sizes are parameters of the model, which bound what is collected and broadcast; all other
-words are scored as one unknown word, and all other bigrams by their back-off.
+those of a given list.  Every word and every pair of the corpus is in the models: what was seen once has its
+discount as its whole count, so a pair seen once is its back-off exactly and needs no entry, and all other
+pairs have one, however many there are.
+
+A word is its 64-bit hash, or a small number where it is usual in a sample of ``_SAMPLE`` texts, which makes the
+tables shorter.  Counts and the values made of them are Spark tables.  The most frequent words
+and pairs, up to ``HEAD_WORDS`` and ``HEAD_PAIRS``, are broadcast too and scored where the text is; a
+document's other distinct words and pairs are joined to the tables, but for those that a bitmap of the tables'
+keys rules out.  Those are seldom by that choice (over
+``HEAD_PAIRS`` pairs are about as frequent as any of them), so no key of the join is hot.  The head's sizes
+change the cost and no result.
+
+``most_words`` and ``most_pairs`` make models of a wanted size instead: the highest frequency classes that fit
+whole, all other words as one unknown word, all other pairs by their back-off.
 
 Counting combines ``_TOKENS`` words of a task at a time before the shuffle.  Defined results: NULL and empty texts have losses
-of zero; repeated rows count and are scored each; ids of the list without a document are ignored; without
-target documents both models are the background and every difference is zero.
+of zero; a word that the corpus lacks has the count zero and as a context says nothing; repeated rows count
+and are scored each; ids of the list without a document are ignored; without target documents both models
+are the background and every difference is zero.
 """
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.llm.common import as_schema, by_bytes, settle, text_of
+from panelfold.llm.common import as_schema, by_bytes, discard, settle, stage, temp_name, text_of
 from panelfold.llm.toxicity import words
 
-WORDS = 32_768
-PAIRS = 262_144
+HEAD_WORDS = 1 << 16
+HEAD_PAIRS = 1 << 18
 DISCOUNT = 1.0  # what was seen once says nothing, so that a text does not vouch for itself
-_TOKENS = 1 << 23
+_TOKENS = 1 << 22
+_KNOWN = 1 << 19  # words whose hashes a worker remembers
+_SAMPLE, _SAMPLE_CHARS, _USUAL = 4096, 1 << 14, 1 << 16
+_SLOTS = 27  # bits of the bitmap's address
+_ALONE, _LAST = -1, -2  # stand before a word for the word by itself, and for the last of a text
 _START = 0  # before the first word; as a word, 0 is every word outside the vocabulary
 
 
@@ -69,10 +87,261 @@ def flat_ids(ids: dict[str, int], texts: list[str]) -> tuple[np.ndarray, np.ndar
     return np.fromiter((ids.get(w, 0) for ws in each for w in ws), np.int64, total), ends
 
 
-def fit(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", most_words: int = WORDS, most_pairs: int = PAIRS) -> Matched:
+class _Hashes(dict):
+    """Number of a word: that of a usual one, or its 64-bit hash."""
+
+    def __init__(self, usual: dict[str, int]):
+        self.usual = usual
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _KNOWN:
+            self.clear()
+        h = self.usual.get(word) or int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+        self[word] = h
+        return h
+
+
+def _usual_words(rows: DataFrame) -> dict[str, int]:
+    """Numbers from 1 for the most frequent words of the texts with the smallest hash; they change no result."""
+
+    def count(batches):
+        n = Counter(w for batch in batches for t in batch.column(0).to_pylist() for w in words(t))
+        top = n.most_common(_USUAL)
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([k for _, k in top], pa.int64())], names=["word", "n"])
+
+    some = rows.select(F.substring("text", 1, _SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("text"), "text").limit(_SAMPLE)
+    found = some.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(_USUAL)
+    return {r[0]: k for k, r in enumerate(found.select("word").collect(), 1)}
+
+
+def _hashed(hashes: _Hashes, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word before, word) of all texts in a row, and the texts' ends."""
+    each = [words(t) for t in texts]
+    ends = np.cumsum([len(w) for w in each]).astype(np.int64)
+    word = np.fromiter((hashes[w] for ws in each for w in ws), np.int64, int(ends[-1]) if len(ends) else 0)
+    before = np.roll(word, 1)
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    before[starts[starts < len(word)]] = _START
+    return before, word, ends
+
+
+def _pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return before * np.int64(0x1E3779B97F4A7C15) + word * np.int64(0x42B2AE3D27D4EB4F)
+
+
+def _word_key(word: np.ndarray) -> np.ndarray:
+    return word * np.int64(0x27D4EB2F165667C5)
+
+
+def _last_key(word: np.ndarray) -> np.ndarray:
+    return word * np.int64(0x165667B19E3779F9) + np.int64(1)
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key in the sorted table, and whether it is there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+@dataclass
+class Head:
+    """Losses in nats of frequent words and pairs, sorted by key; index 0 of the first axis is the background."""
+
+    start: np.ndarray  # of what stands before the first word, as a context
+    unseen: np.ndarray  # of a word without a count
+    word_keys: np.ndarray
+    word: np.ndarray
+    rest: np.ndarray
+    pair_keys: np.ndarray
+    pair: np.ndarray  # what a pair's loss differs from its back-off by
+    usual: dict[str, int]
+    bitmap: np.ndarray | None = None  # of the keys of the table that holds the others
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys.view(np.uint64) >> np.uint64(64 - _SLOTS)
+        return (self.bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+    def sums(self, hashes: _Hashes, texts: list[str]):
+        """Summed losses of each text by the head, its number of words, and (ends, key, n) of what the tables may hold."""
+        before, word, ends = _hashed(hashes, texts)
+        n = np.diff(ends, prepend=0)
+        text = np.repeat(np.arange(len(texts)), n)
+        out = np.where(n > 0, self.start[:, None], 0.0)
+        asked = []
+        for keys, table in ((word, self.word_keys), (_pair_key(before, word), self.pair_keys)):
+            each, of = np.unique(keys, return_inverse=True)
+            at, hit = _found(table, each)
+            if table is self.word_keys:
+                value = np.repeat(self.unseen[:, None], len(each), axis=1)
+                value[:, hit] = (self.word + self.rest)[:, at[hit]]
+                each = _word_key(each)
+            else:
+                value = np.zeros((2, len(each)))
+                value[:, hit] = self.pair[:, at[hit]]
+            for c in (0, 1):
+                out[c] += np.bincount(text, value[c][of], len(texts))
+            if self.bitmap is not None and len(each):
+                rare = (~hit & self.may_hold(each))[of]
+                cell, times = np.unique(text[rare] * len(each) + of[rare], return_counts=True)
+                asked.append((cell // len(each), each[cell % len(each)], times))
+        last = ends[n > 0] - 1
+        at, hit = _found(self.word_keys, word[last])
+        out[:, np.nonzero(n)[0][hit]] -= self.rest[:, at[hit]]
+        if self.bitmap is not None:
+            asked.append((np.nonzero(n)[0][~hit], _last_key(word[last[~hit]]), np.ones((~hit).sum(), np.int64)))
+        texts_of, keys, times = (np.concatenate([a[k] for a in asked] or [np.zeros(0, np.int64)]) for k in range(3))
+        order = np.argsort(texts_of, kind="stable")
+        return out, n, (np.searchsorted(texts_of[order], np.arange(len(texts) + 1)), keys[order], times[order])
+
+
+@dataclass
+class Whole:
+    """Models of every word and pair: the head, and a table (key, v0, v1) of what the others add to it."""
+
+    head: Head
+    table: DataFrame | None
+
+
+def _pair_counts(flagged: DataFrame, usual: dict[str, int]) -> DataFrame:
+    """(b, w, n, t): how often a word stands after another, by itself and last, in all texts and in the target's."""
+    shipped = flagged.sparkSession.sparkContext.broadcast(usual)
+
+    def combined(parts: list[tuple]):
+        before, word, flags, last = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        rows = []
+        for b, w, f in ((before, word, flags), (np.full(len(word), _ALONE), word, flags), (np.full(last.sum(), _LAST), word[last], flags[last])):
+            key = _pair_key(b, w)
+            order = np.argsort(key)
+            key = key[order]
+            starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
+            n, t = np.diff(np.append(starts, len(key))), np.add.reduceat(f[order].astype(np.int64), starts)
+            rows.append((b[order[starts]], w[order[starts]], n, t))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[k] for r in rows])) for k in range(4)], names=["b", "w", "n", "t"])
+
+    def count(batches):
+        hashes, parts, held = _Hashes(shipped.value), [], 0
+        for batch in by_bytes(batches, 0):
+            before, word, ends = _hashed(hashes, batch.column(0).to_pylist())
+            if len(word):
+                flags = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                last = np.zeros(len(word), bool)
+                last[ends[ends > 0] - 1] = True
+                parts.append((before, word, np.repeat(flags, np.diff(ends, prepend=0)), last))
+                held += len(word)
+            if held >= _TOKENS:
+                yield combined(parts)
+                parts, held = [], 0
+        if held:
+            yield combined(parts)
+
+    return flagged.mapInArrow(count, "b long, w long, n long, t long").groupBy("b", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _bitmap(table: DataFrame) -> np.ndarray:
+    """Which leading bits of the keys occur, as words of 64."""
+    slot = F.shiftrightunsigned("key", 64 - _SLOTS)
+    words = table.select(F.shiftright(slot, 6).alias("at"), (slot % 64).cast("int").alias("bit"))
+    words = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = np.zeros(1 << (_SLOTS - 6), np.uint64)
+    out[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _fit_whole(rows: DataFrame, flagged: DataFrame, head_words: int, head_pairs: int) -> Whole:
+    usual = _usual_words(rows)
+    # A pair seen once has a share of zero.
+    counts = _pair_counts(flagged, usual).where((F.col("n") > DISCOUNT) | F.col("b").isin(_ALONE, _LAST))
+    counts = counts_staged = settle(counts, "pair-counts")
+    if not counts.agg(F.sum("t")).first()[0]:  # no target: both are the background
+        counts = counts.withColumn("t", F.col("n"))
+    over = lambda c: F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0))
+    both = {"n": "0", "t": "1"}
+    each, last = counts.where(F.col("b") == _ALONE), counts.where(F.col("b") == _LAST)
+    pairs = counts.where(~F.col("b").isin(_ALONE, _LAST))
+    all_of = each.agg(F.count("*"), *[F.coalesce(f, F.lit(0)).cast("double") for c in both for f in (F.sum(c), F.sum(over(c)))]).first()
+    size = all_of[0] + 1
+    total = {"n": max(all_of[1], 1.0), "t": max(all_of[3], 1.0)}
+    left = {"n": 1 - all_of[2] / total["n"], "t": 1 - all_of[4] / total["t"]}
+    floor = (F.col("n") + 1) / F.lit(all_of[1] + size)
+    # A word is a context as often as it occurs and is not the last; the place before the first is one in each text.
+    none = F.lit(0.0)
+    parts = [
+        each.select(F.col("w").alias("b"), F.col("n").alias("cn"), F.col("t").alias("ct"), none.alias("sn"), none.alias("st")),
+        last.select("w", -F.col("n"), -F.col("t"), none, none),
+        last.select(F.lit(_START).cast("long"), "n", "t", none, none),
+        pairs.select("b", F.lit(0), F.lit(0), over("n"), over("t")),
+    ]
+    contexts = reduce(DataFrame.unionAll, parts).groupBy("b").agg(*[F.sum(c).cast("double").alias(c) for c in ("cn", "ct", "sn", "st")])
+    share_left = lambda c: F.greatest(1 - F.col(f"s{c}") / F.greatest(F.col(f"c{c}"), F.lit(1.0)), F.lit(1e-9))
+    contexts = contexts.select("b", *[f"c{c}" for c in both], *[(-F.log(share_left(c))).alias(f"r{k}") for c, k in both.items()])
+    contexts = stage(contexts, "contexts")
+    values = each.select("w", "n", *[(-F.log(over(c) / F.lit(total[c]) + F.lit(left[c]) * floor)).alias(f"p{k}") for c, k in both.items()])
+    rests = contexts.select(F.col("b").alias("w"), "r0", "r1")
+    single = stage(values.join(rests, "w"), "word-values")
+    known = pairs.join(contexts, "b").join(values.drop("n"), "w")
+    share = lambda c: over(c) / F.greatest(F.col(f"c{c}"), F.lit(1.0))
+    gain = [(-F.log1p(share(c) * F.exp(F.col(f"r{k}") + F.col(f"p{k}")))).alias(f"v{k}") for c, k in both.items()]
+    paired = settle(known.select("b", "w", "n", *gain), "pair-values")
+
+    def split(table: DataFrame, most: int):
+        lowest = _lowest_class(table, most)
+        if lowest is None:
+            return table.where(F.lit(False)), table
+        return table.where(_class("n") >= lowest), table.where(_class("n") < lowest)
+
+    (top, other), (top_pairs, other_pairs) = split(single, head_words), split(paired, head_pairs)
+    top, top_pairs = top.toArrow().sort_by("w"), top_pairs.toArrow()
+    keys = _pair_key(top_pairs["b"].to_numpy(), top_pairs["w"].to_numpy())
+    order = np.argsort(keys)
+    start = contexts.where(F.col("b") == _START).select("r0", "r1").first() or (0.0, 0.0)
+    unseen = -np.log(np.maximum([left["n"], left["t"]], 1e-300) / (all_of[1] + size))
+    cells = lambda t, *names: np.stack([t[c].to_numpy() for c in names])
+    head = Head(np.array(start, float), unseen, top["w"].to_numpy(), cells(top, "p0", "p1"), cells(top, "r0", "r1"), keys[order], cells(top_pairs, "v0", "v1")[:, order], usual)
+
+    def word_rows(batches):
+        for batch in batches:
+            w, *v = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+            gained = [v[c] + v[c + 2] - unseen[c] for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((_word_key(w), _last_key(w)), *[(gained[c], -v[c + 2]) for c in (0, 1)])], names=["key", "v0", "v1"])
+
+    def pair_rows(batches):
+        for batch in batches:
+            b, w = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_pair_key(b, w)), batch.column(2), batch.column(3)], names=["key", "v0", "v1"])
+
+    schema = "key long, v0 double, v1 double"
+    staged = [counts_staged, contexts, single, paired]
+    if not other.take(1) and not other_pairs.take(1):
+        for t in staged:
+            discard(t)
+        return Whole(head, None)
+    rare = other.select("w", "p0", "p1", "r0", "r1").mapInArrow(word_rows, schema)
+    table = settle(rare.unionAll(other_pairs.select("b", "w", "v0", "v1").mapInArrow(pair_rows, schema)), "rare-values")
+    for t in staged:
+        discard(t)
+    return Whole(replace(head, bitmap=_bitmap(table)), table)
+
+
+def fit(
+    documents: DataFrame,
+    target: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    most_words: int | None = None,
+    most_pairs: int | None = None,
+    head_words: int = HEAD_WORDS,
+    head_pairs: int = HEAD_PAIRS,
+) -> Whole | Matched:
     """Matched models of all ``documents`` and of those whose key is in ``target``."""
     rows = documents.select(F.col(f"`{key}`").alias("row"), text_of(text).alias("text"))
     marked = target.select(F.col(f"`{key}`").alias("of")).where("of IS NOT NULL").distinct().withColumn("in_target", F.lit(True))
+    # The list grows with the corpus, so the join is a shuffle at every size.
+    flagged = rows.join(marked.hint("merge"), F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
+    if most_words is None and most_pairs is None:
+        return _fit_whole(rows, flagged, head_words, head_pairs)
+    most_words, most_pairs = (sys.maxsize if m is None else m for m in (most_words, most_pairs))
 
     def count_words(batches):
         for batch in by_bytes(batches, 0, 16 << 20):
@@ -108,8 +377,6 @@ def fit(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str
         if held:
             yield combined(keys, flags)
 
-    # The list grows with the corpus, so the join is a shuffle at every size.
-    flagged = rows.join(marked.hint("merge"), F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
     pairs = flagged.mapInArrow(count_pairs, "pair long, n long, t long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     pairs = settle(pairs, "pair-counts")
     each = pairs.groupBy((F.col("pair") % size).alias("word")).agg(F.sum("n"), F.sum("t")).collect()
@@ -123,8 +390,8 @@ def _class(n):
     return F.floor(F.log2(n) * 16)
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Rows of the highest frequency classes, as many classes as have at most ``most`` rows together."""
+def _lowest_class(counts: DataFrame, most: int) -> int | None:
+    """The lowest of the highest frequency classes that have at most ``most`` rows together."""
     classes = sorted(counts.groupBy(_class("n").alias("c")).agg(F.count("*").alias("rows")).collect(), reverse=True)
     lowest, total = None, 0
     for c, rows in classes:
@@ -132,6 +399,12 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
         if total > most:
             break
         lowest = c
+    return lowest
+
+
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Rows of the highest frequency classes, as many classes as have at most ``most`` rows together."""
+    lowest = _lowest_class(counts, most)
     return counts.where(F.lit(False)) if lowest is None else counts.where(_class("n") >= lowest)
 
 
@@ -155,19 +428,62 @@ def _matched(ids: dict[str, int], size: int, each: np.ndarray, befores: np.ndarr
     return Matched(ids, -np.log(p), -np.log(rest), kept[:, 0], -np.log(share + rest[:, left] * p[:, right]))
 
 
-def score_texts(df: DataFrame, models: Matched, text: str = "text") -> DataFrame:
-    """``df`` with ``n_words``, both mean losses per word and their ``difference`` (target less background)."""
-    added = ["n_words", "target_loss", "background_loss", "difference"]
-    if set(added) & {c.lower() for c in df.columns}:
-        raise ValueError(f"a column of {added} exists already")
+_ADDED = ["n_words", "target_loss", "background_loss", "difference"]
+
+
+def score_texts(df: DataFrame, models: Whole | Matched, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` with ``n_words``, both mean losses per word and their ``difference`` (target less background).
+
+    Without ``keep_text`` the text is left out, and is not carried through the join either.
+    """
+    if set(_ADDED) & {c.lower() for c in df.columns}:
+        raise ValueError(f"a column of {_ADDED} exists already")
+    if isinstance(models, Whole):
+        return _score_whole(df, models, text, keep_text)
+    out = _score_matched(df, models, text)
+    return out if keep_text else out.drop(text)
+
+
+def _score_whole(df: DataFrame, models: Whole, text: str, keep_text: bool) -> DataFrame:
+    shipped = df.sparkSession.sparkContext.broadcast(models.head)
+    at = df.columns.index(text)
+    kept = [c for c in df.columns if keep_text or c != text]
+    names = [temp_name(df, c) for c in ("sum0", "sum1", "keys", "times", "row")]
+    sum0, sum1, keys, times, row = names
+    fields = [f for f in df.schema.fields if f.name in kept] + as_schema(("n_words", "long"), (sum0, "double"), (sum1, "double")).fields
+    schema = T.StructType([*fields, T.StructField(keys, T.ArrayType(T.LongType())), T.StructField(times, T.ArrayType(T.LongType()))])
+
+    def run(batches):
+        hashes = _Hashes(shipped.value.usual)
+        for batch in by_bytes(batches, at):
+            sums, n, (ends, key, many) = shipped.value.sums(hashes, [t or "" for t in batch.column(at).to_pylist()])
+            same = [batch.column(k) for k in range(batch.num_columns) if keep_text or k != at]
+            lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x.astype(np.int64))) for x in (key, many)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), *lists], names=[*kept, "n_words", *names[:4]])
+
+    scored = df.mapInArrow(run, schema)
+    per_word = lambda c: F.col(c) / F.greatest(F.col("n_words"), F.lit(1))
+    if models.table is not None:
+        scored = settle(scored.withColumn(row, F.monotonically_increasing_id()), "scored")
+        asked = scored.select(F.col(row).alias("of"), F.inline(F.arrays_zip(F.col(keys).alias("key"), F.col(times).alias("times"))))
+        more = asked.join(models.table, "key").groupBy("of").agg(F.sum(F.col("times") * F.col("v0")).alias("v0"), F.sum(F.col("times") * F.col("v1")).alias("v1"))
+        more = more.select(*[F.col(c).alias(temp_name(scored, f"{c}_more")) for c in ("of", "v0", "v1")])
+        of, v0, v1 = more.columns
+        scored = scored.drop(keys, times).join(more, F.col(row) == F.col(of), "left")
+        scored = scored.withColumns({sum0: F.col(sum0) + F.coalesce(v0, F.lit(0.0)), sum1: F.col(sum1) + F.coalesce(v1, F.lit(0.0))})
+    losses = {"target_loss": per_word(sum1), "background_loss": per_word(sum0), "difference": per_word(sum1) - per_word(sum0)}
+    return scored.withColumns(losses).select(*[f"`{c}`" for c in kept], *_ADDED)
+
+
+def _score_matched(df: DataFrame, models: Matched, text: str) -> DataFrame:
     shipped = df.sparkSession.sparkContext.broadcast(models)
     at = df.columns.index(text)
-    schema = T.StructType([*df.schema.fields, *as_schema(("n_words", "long"), *[(c, "double") for c in added[1:]]).fields])
+    schema = T.StructType([*df.schema.fields, *as_schema(("n_words", "long"), *[(c, "double") for c in _ADDED[1:]]).fields])
 
     def run(batches):
         for batch in by_bytes(batches, at):
             loss, n = shipped.value.losses([t or "" for t in batch.column(at).to_pylist()])
             new = [pa.array(n.astype(np.int64)), pa.array(loss[1]), pa.array(loss[0]), pa.array(loss[1] - loss[0])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *_ADDED])
 
     return df.mapInArrow(run, schema)

@@ -125,4 +125,4 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much more likely every document is under the good documents' model than under that of all."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     good = read(spark, sf_dir, "labels").where("quality = 1")
-    return lmscore.score_texts(documents, lmscore.fit(documents, good)).drop("text")
+    return lmscore.score_texts(documents, lmscore.fit(documents, good), keep_text=False)

@@ -75,6 +75,29 @@ def test_against_dictionaries(spark, docs, most_words, most_pairs, target):
         assert got[k][0] == n and np.allclose(got[k][1:], (t, b, t - b))
 
 
+@pytest.mark.parametrize("head_words,head_pairs", [(1 << 18, 1 << 20), (4, 3), (0, 0), (1 << 18, 0), (0, 1 << 20)])
+@pytest.mark.parametrize("target", [{1, 2, 77}, set()])
+def test_no_word_or_pair_is_left_out_whatever_is_broadcast(spark, docs, target, head_words, head_pairs):
+    chosen = spark.createDataFrame([(i,) for i in target] + [(None,)], "doc_id long")
+    models = lmscore.fit(docs(DOCS), chosen, head_words=head_words, head_pairs=head_pairs)
+    out = lmscore.score_texts(docs([(k, t) for k, (_, t) in enumerate(DOCS)]), models)
+    assert out.columns[:2] == ["doc_id", "text"]
+    got = {r.doc_id: (r.n_words, r.target_loss, r.background_loss, r.difference) for r in out.collect()}
+    for k, (n, t, b) in enumerate(slow_losses(DOCS, target, 10**9, 10**9, [t for _, t in DOCS])):
+        assert got[k][0] == n and np.allclose(got[k][1:], (t, b, t - b))
+
+
+def test_the_models_grow_with_the_corpus(spark, docs):
+    """More words and pairs than the former 32,768 and 262,144: rare ones keep losses of their own."""
+    name = lambda k: "".join(chr(97 + (k // 26**i) % 26) for i in range(4))
+    rare = [" ".join(name(k) for k in range(a, a + 400)) for a in range(0, 40_000, 400)]
+    rows = [(k, t) for k, t in enumerate(rare * 2)] + [(k, " ".join([name(k)] * 3)) for k in range(300, 40_300, 1000)]
+    chosen = spark.createDataFrame([(0,), (100,)], "doc_id long")
+    out = lmscore.score_texts(docs(rows), lmscore.fit(docs(rows), chosen, head_words=1000, head_pairs=1000)).collect()
+    by_text = {r.text: r.difference for r in out}
+    assert by_text[rare[0]] < min(by_text[t] for t in rare[1:]) - 1
+
+
 def test_empty_tables(spark, docs):
     chosen = spark.createDataFrame([], "doc_id long")
     models = lmscore.fit(docs([]), chosen)
