@@ -6,8 +6,13 @@ within their block, and the blocks' unions are joined across passes by connected
 may be denser than a neighbour window, so the links inside components are then counted exactly, tile
 against tile, without emitting pairs: no partner is lost to the window's bound.
 
+How many passes that takes depends on the rows and on how dense they lie, so it is measured: after a round of
+passes, ``SAMPLE`` vectors are compared with all.  The next round has more passes and a wider window, and a
+sample of its own, until of the sampled vectors with a link a share of ``RECALL`` has all of them in its
+component.  Links that the samples miss are added.  A table of up to ``SAMPLE`` vectors is thus compared whole.
+
 Equal vectors are one vector with a count.  What can be missed is a link between vectors that no chain of
-found pairs connects; the tests measure recall against brute force.
+found pairs connects; the share is measured and not zero for certain beyond the sample.
 
 Defined results: a vector that is NULL, zero, or holds a NULL or non-finite component links with nothing
 and is its own component; vectors of different lengths never link; a repeated id is as many vectors; an
@@ -27,6 +32,9 @@ from panelfold.llm.components import components
 PASSES = 16
 BITS = 60  # signs of a key
 NEIGHBOURS = 32
+WIDEST = 256  # window from which on only the passes grow
+SAMPLE = 2048
+RECALL = 0.99
 TILE = 256  # vectors
 _SALTS = 16
 _ROWS = 4096  # vectors compared at once
@@ -108,6 +116,55 @@ def near_classes(vectors: DataFrame, cosine: float, passes: int = PASSES, neighb
     return ordered.mapInArrow(compared, "a long, b long")
 
 
+def _sampled_links(vectors: DataFrame, found: DataFrame, cosine: float, turn: int) -> DataFrame:
+    """(sampled, component, other): sampled vectors with a link, and each component they have one to; NULL for their own."""
+    known = vectors.join(found, vectors["first"] == found["node"], "left")
+    known = known.select("first", "length", "vector", F.coalesce("component", "first").alias("component"))
+    chosen = vectors.orderBy(F.xxhash64(F.lit(turn), "first"), "first").limit(SAMPLE).select(F.col("first").alias("chosen"))
+    sample = known.join(F.broadcast(chosen), F.col("first") == F.col("chosen")).drop("chosen").toArrow().combine_chunks()
+    parts = {}
+    for n in np.unique(sample["length"].to_numpy()):
+        part = sample.filter(pa.array(sample["length"].to_numpy() == n))
+        parts[int(n)] = part["first"].to_numpy(), part["component"].to_numpy(), _unit(_matrix(part["vector"].combine_chunks()))
+    shipped = vectors.sparkSession.sparkContext.broadcast(parts)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(at, _ROWS)
+                lengths = some.column(1).to_numpy(zero_copy_only=False)
+                for n in np.unique(lengths):
+                    if int(n) not in shipped.value:
+                        continue
+                    first, component, sampled = shipped.value[int(n)]
+                    part = some.filter(pa.array(lengths == n))
+                    ids, of = part.column(0).to_numpy(zero_copy_only=False), part.column(3).to_numpy(zero_copy_only=False)
+                    s, v = np.nonzero(sampled @ _unit(_matrix(part.column(2))).T >= cosine)
+                    s, v = s[first[s] != ids[v]], v[first[s] != ids[v]]
+                    rows = np.unique(np.column_stack([s, of[v]]), axis=0)
+                    s, other = rows[:, 0], rows[:, 1]
+                    yield pa.RecordBatch.from_arrays([pa.array(first[s]), pa.array(component[s]), pa.array(other, mask=other == component[s])], names=["sampled", "component", "other"])
+
+    return known.mapInArrow(run, "sampled long, component long, other long")
+
+
+def near_components(vectors: DataFrame, cosine: float, passes: int = PASSES, neighbours: int = NEIGHBOURS, seed: int = 1) -> DataFrame:
+    """(node, component) by rounds of passes, until a sample's links are found."""
+    known, turn, done = None, 0, 0
+    while True:
+        pairs = near_classes(vectors, cosine, passes, neighbours, seed + turn)
+        found = stage(components(pairs if known is None else pairs.unionAll(known)), "components")
+        links = stage(_sampled_links(vectors, found, cosine, turn), "sampled")
+        linked, missed = links.agg(F.countDistinct("sampled"), F.countDistinct(F.when(F.col("other").isNotNull(), F.col("sampled")))).first()
+        if not missed:
+            return found
+        known = found.select("node", "component").unionAll(links.where("other IS NOT NULL").select("component", "other"))
+        if missed <= (1 - RECALL) * linked:
+            return stage(components(known.toDF("a", "b")), "components")
+        done += passes
+        turn, passes, neighbours = turn + 1, done, max(neighbours, min(2 * neighbours, WIDEST))
+
+
 def count_links(members: DataFrame, cosine: float, tile: int = TILE) -> DataFrame:
     """(first, links): for each member, how many other vectors of its component reach the cosine.
 
@@ -160,7 +217,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     classes = valid.groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     classes = stage(classes.withColumn("length", F.size("vector")), "vectors")
     scaled = classes.withColumn("m", largest).withColumn("vector", F.transform("vector", lambda v: v / F.col("m"))).drop("m")
-    found = stage(components(near_classes(scaled, cosine, **passes)), "components")
+    found = near_components(scaled, cosine, **passes)
     members = scaled.join(found, scaled["first"] == found["node"]).select("component", "first", "n", "length", "vector")
     links = count_links(members, cosine)
     known = classes.join(found, classes["first"] == found["node"], "left").join(links, "first", "left")

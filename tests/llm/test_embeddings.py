@@ -53,6 +53,25 @@ def test_a_component_of_several_tiles_is_counted_exactly(spark):
     assert [got[k] for k in range(len(x))] == want.tolist()
 
 
+def cone(n, pairs, mutual=0.8, cosine=0.955, seed=5):
+    """``n`` unit vectors of a mutual cosine, the first ``pairs`` of them each with a partner at ``cosine``."""
+    r = np.random.default_rng(seed)
+    across = r.standard_normal((n, 64))
+    across[:, 0] = 0
+    x = np.sqrt(1 - mutual) * across / np.linalg.norm(across, axis=1)[:, None]
+    x[:, 0] = np.sqrt(mutual)
+    away = r.standard_normal((pairs, 64))
+    away -= np.einsum("ij,ij->i", away, x[:pairs])[:, None] * x[:pairs]
+    return np.concatenate([x, cosine * x[:pairs] + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away, axis=1)[:, None]])
+
+
+def test_passes_go_on_until_dense_pairs_are_found(spark):
+    x = cone(5000, 1000)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.component_id for r in E.near_duplicates(df, passes=2, neighbours=4).collect()}
+    assert np.mean([got[5000 + k] == got[k] for k in range(1000)]) > 0.97
+
+
 def test_edge_rows(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
