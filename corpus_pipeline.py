@@ -24,12 +24,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by SimHash: the one that names the component."""
+    """One row of each group linked by SimHash: that of the smallest id, then the smallest hash of the text.
+
+    Every row counts by itself: of rows with one id only near copies go, and a row with a NULL id is a copy
+    like any other, kept only where no row of its group has an id.
+    """
     importable(spark)
-    found = simhash.near_duplicates(docs, shingle=4, bits=4, seed=42)
+    row = temp_name(docs, "row")
+    # Written once, so that the numbers hold however often the rows are read.
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = simhash.near_duplicates(docs, key=row, shingle=4, bits=4, seed=42).select(F.col(row).alias("of"), "component_id")
+    found = stage(found, "copies")
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    found = found.join(several, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("text"), F.col(row).alias("best"))
+    named = docs.select(F.col(row).alias("of"), order.alias("order")).join(found, "of")
+    best = named.groupBy("component_id").agg(F.min("order").alias("order")).select("component_id", "order.best")
     copy = temp_name(docs, "copy")
-    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct()
-    return docs.join(others, F.col("doc_id") == F.col(copy), "left_anti")
+    others = found.join(best, "component_id").where("of <> best").select(F.col("of").alias(copy))
+    return docs.join(others, F.col(row) == F.col(copy), "left_anti").drop(row)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,15 @@ def test_odd_rows(spark, sf, name, step):
     out = step(spark, docs, sf)
     assert out.columns[: len(docs.columns)] == docs.columns and out.count() >= 2
     assert step(spark, docs.where("false"), sf).count() == 0
+
+
+def test_one_row_of_each_group_of_copies_stays_whatever_its_id(spark, sf):
+    texts = [" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma")]
+    ids = [(5, 0), (None, 0), (5, 0), (9, 0), (7, 1), (7, 1), (None, 2), (None, 2), (7, 2)]
+    docs = spark.createDataFrame([(i, texts[t], "x") for i, t in ids[:8]], "doc_id long, text string, row string").repartition(3)
+    out = C.drop_near_copies(spark, docs, sf)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, texts.index(r.text)) for r in out.collect()) == [(0, 2), (5, 0), (7, 1)]
+    # An id that two texts share does not make them copies.
+    docs = spark.createDataFrame([(i, texts[t]) for i, t in ids], "doc_id long, text string")
+    assert sorted((r.doc_id, texts.index(r.text)) for r in C.drop_near_copies(spark, docs, sf).collect()) == [(5, 0), (7, 1), (7, 2)]
