@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, toxicity, wrappers
-from panelfold.llm.common import fold, importable, read, text_of
+from panelfold.llm import bpe, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
+from panelfold.llm.common import fold, importable, read, scratch_dir, text_of
 from panelfold.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -126,3 +127,12 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     good = read(spark, sf_dir, "labels").where("quality = 1")
     return lmscore.score_texts(documents, lmscore.fit(documents, good), keep_text=False)
+
+
+@_register
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the token files."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    written = tokenfiles.write_tokens(documents, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return written.checksums()
