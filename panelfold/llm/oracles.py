@@ -75,4 +75,31 @@ SELECT doc_id, item_id, n_windows, n_matched, coalesce(n_slots, 0) AS n_slots, c
 FROM found LEFT JOIN agreed USING (doc_id, item_id) WHERE coalesce(n_consistent, 0) >= {d.LEAST_CONSISTENT} * coalesce(n_slots, 0)
 """
 
-ORACLES = {"op4_suffix_dedup": REPEATS, "op6_embeddings": EMBEDDINGS, "op9_decontaminate": LEAKS}
+
+
+def _clusters(rounds: int = 10, clusters: int = 8) -> str:
+    """Lloyd's rounds, one after another, each distance computed."""
+    distance = "list_sum(list_transform(list_zip(k.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    parts = [
+        """k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda v: CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+          FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(CAST(v AS DOUBLE)))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x
+          FROM (SELECT sha256('3:' || vec_id) AS h, x FROM k ORDER BY h NULLS LAST, x LIMIT {clusters}))""",
+    ]
+    for t in range(rounds + 1):
+        parts.append(f"""a{t} AS MATERIALIZED (SELECT r, CAST(m % {clusters} AS INTEGER) AS c, CAST(m // {clusters} AS BIGINT) AS d
+          FROM (SELECT r, min(CAST({distance} AS HUGEINT) * {clusters} + c.c) AS m FROM k CROSS JOIN c{t} c GROUP BY r))""")
+        if t < rounds:
+            parts.append(f"""c{t + 1} AS MATERIALIZED (SELECT p.c, coalesce(n.x, p.x) AS x FROM c{t} p LEFT JOIN (
+              SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS x
+              FROM (SELECT c, i, sum(v) AS s, count(*) AS n FROM (SELECT a.c, unnest(k.x) AS v, unnest(range(64)) AS i FROM k JOIN a{t} a ON a.r = k.r) GROUP BY c, i)
+              GROUP BY c) n ON n.c = p.c)""")
+    return f"""WITH {", ".join(parts)}
+      SELECT vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+        CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+      FROM k JOIN a{rounds} a ON a.r = k.r JOIN c{rounds} c ON c.c = a.c"""
+
+
+CLUSTERS = _clusters()
+
+ORACLES = {"op11_centroids": CLUSTERS, "op4_suffix_dedup": REPEATS, "op6_embeddings": EMBEDDINGS, "op9_decontaminate": LEAKS}

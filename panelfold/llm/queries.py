@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
+from panelfold.llm import bpe, centroids, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
 from panelfold.llm.common import fold, importable, read, scratch_dir, text_of
 from panelfold.llm.oracles import ORACLES
 
@@ -136,3 +136,9 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
     written = tokenfiles.write_tokens(documents, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return written.checksums()
+
+
+@_register
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest of eight centroids after ten rounds, and the clusters' inertia."""
+    return centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
