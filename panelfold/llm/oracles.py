@@ -102,4 +102,65 @@ def _clusters(rounds: int = 10, clusters: int = 8) -> str:
 
 CLUSTERS = _clusters()
 
-ORACLES = {"op11_centroids": CLUSTERS, "op4_suffix_dedup": REPEATS, "op6_embeddings": EMBEDDINGS, "op9_decontaminate": LEAKS}
+
+def _conversations() -> str:
+    """Damage, faults, costs from the last row to the first, and the edits replayed."""
+    given = {"z": "u", "s": "u", "u": "a", "a": "u"}
+    keeps = {"z": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    def way(state: str, cost: str, edit: str) -> str:
+        return f"{{'c': d.{state}.c + {cost}, 'a': '{edit}' || d.{state}.a}}"
+
+    def least(options: list[str]) -> str:
+        return f"list_sort(list_filter([{', '.join(options)}], lambda w: w IS NOT NULL))[1]"
+
+    def edited(state: str) -> str:
+        kept = [f"CASE WHEN r.initial = '{i}' AND NOT r.gone THEN {way(to, 'r.more', 'K')} END" for i, to in keeps[state].items()]
+        return least([way(state, "4", "D"), f"CASE WHEN NOT r.gone THEN {way(given[state], '3 + r.more', 'R')} END", *kept])
+
+    def inserted(state: str) -> str:
+        one, two = given[state], given[given[state]]
+        more = [f"{{'c': e_{s}.c + {3 * n}, 'a': '{'I' * n}' || e_{s}.a}}" for n, s in ((1, one), (2, two))]
+        return least([f"e_{state}", *more])
+
+    tail = {"z": (0, ""), "s": (6, "II"), "u": (3, "I"), "a": (0, "")}
+    base = ", ".join(f"{{'c': CAST({c} AS BIGINT), 'a': '{a}'}} AS {s}" for s, (c, a) in tail.items())
+    given_role = "CASE WHEN e = 'u' THEN 'assistant' ELSE 'user' END"
+    return f"""WITH RECURSIVE
+t AS (SELECT coalesce('=' || conv_id, '') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+-- crc32 by its polynomial, bit by bit
+b AS (SELECT place, CAST(4294967295 AS BIGINT) AS c, 1 AS i FROM (SELECT DISTINCT place FROM t)
+  UNION ALL SELECT place, list_reduce([xor(c, CAST(ascii(substr(place, i, 1)) AS BIGINT)), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END), i + 1 FROM b WHERE i <= length(place)),
+h AS (SELECT place, xor(c, CAST(4294967295 AS BIGINT)) % 20 AS kind FROM b WHERE i = length(place) + 1),
+m AS (SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM t JOIN h USING (place) WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, left(role, 64), left(text, 64), md5(md5(role) || md5(text)), copy) AS i FROM m),
+f AS (SELECT *, left(role, 1) AS initial, regexp_full_match(text, '[ \\t-\\r]*') AS blank,
+        row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[.!?][ \\t-\\r]*\\z') AS open FROM o),
+r AS (SELECT *, blank OR again AS gone, CASE WHEN open THEN 3 ELSE 0 END AS more, lag(initial) OVER (PARTITION BY k ORDER BY i) || initial AS pair FROM f),
+n AS (SELECT k, count(*) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+        CAST(count(*) FILTER (blank) AS BIGINT) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (open AND NOT gone) AS truncated,
+        count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY k),
+d AS (SELECT k, n + 1 AS i, {base} FROM n
+  UNION ALL SELECT k, i, {", ".join(f"{inserted(s)} AS {s}" for s in given)} FROM (
+    SELECT d.k, r.i, {", ".join(f"{edited(s)} AS e_{s}" for s in given)} FROM d JOIN r ON r.k = d.k AND r.i = d.i - 1)),
+e AS (SELECT k, z.c AS cost, z.a AS audit FROM d WHERE i = 1),
+w AS (SELECT k, audit, 1 AS p, CAST(1 AS BIGINT) AS i, 'z' AS e, CAST([] AS VARCHAR[]) AS said FROM e
+  UNION ALL SELECT w.k, audit, p + 1, CASE WHEN x = 'I' THEN w.i ELSE w.i + 1 END,
+    CASE x WHEN 'D' THEN e WHEN 'K' THEN r.initial ELSE left({given_role}, 1) END,
+    CASE x WHEN 'D' THEN said WHEN 'K' THEN list_append(said, r.role || ':' || r.text)
+      WHEN 'R' THEN list_append(said, {given_role} || ':' || r.text) ELSE list_append(said, {given_role} || ':') END
+  FROM (SELECT *, substr(audit, p, 1) AS x FROM w WHERE p <= length(audit)) w LEFT JOIN r ON r.k = w.k AND r.i = w.i),
+a AS (SELECT k, sha256(array_to_string(said, chr(10))) AS sha FROM w WHERE p = length(audit) + 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS k FROM conversations) c LEFT JOIN n USING (k) LEFT JOIN e USING (k) LEFT JOIN a USING (k)
+"""
+
+
+CONVERSATIONS = _conversations()
+
+ORACLES = {"op11_centroids": CLUSTERS, "op12_conversations": CONVERSATIONS, "op4_suffix_dedup": REPEATS, "op6_embeddings": EMBEDDINGS, "op9_decontaminate": LEAKS}

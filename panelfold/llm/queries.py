@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelfold.llm import bpe, centroids, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
+from panelfold.llm import bpe, centroids, conversations, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
 from panelfold.llm.common import fold, importable, read, scratch_dir, text_of
 from panelfold.llm.oracles import ORACLES
 
@@ -142,3 +142,9 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest of eight centroids after ten rounds, and the clusters' inertia."""
     return centroids.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@_register
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return conversations.repair_damaged(read(spark, sf_dir, "conversations"))
