@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +45,12 @@ PAGE_ROWS = 512  # rows of a page, for the narrow columns
 _REMEMBERED = 1 << 19  # stretches whose ids a worker remembers
 _BATCH = 2 << 20  # bytes of text encoded at once
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+")
-_MARKS = ".,!?;:"
+# Letters and then signs that make one match; an apostrophe may begin another one.
+_ENDED = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+)([!-&(-/:-@\[-`{-~]+)")
 # Byte-level vocabularies show each byte as a character: printable ones as themselves, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
-_SPACE = chr(_SHOWN[32])
+_SPACE, _FEED = chr(_SHOWN[32]), chr(_SHOWN[10])
 _ADDED = ("part", "at", "n_tokens", "tokens")
 
 
@@ -65,16 +67,22 @@ class Encoder:
 
     def __init__(self, made: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_str(made)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
+        self.tokenizer.model._resize_cache(0)  # what it would remember is remembered here
         self.known: dict[str, bytes | None] = {}
+        self.ends: dict[str, bytes] = {}
         self.by_stretch = self._by_stretch(json.loads(made))
         if self.by_stretch:
-            self.model._resize_cache(0)  # what it would remember is remembered here
-            self.feed = _packed(self._whole(["\n"])[0])
-            self.marks = {m: _packed(ids) for m, ids in zip(_MARKS, self._whole(list(_MARKS)))}
+            self.split = Tokenizer(self.tokenizer.model)
+            self.split.pre_tokenizer = CharDelimiterSplit("\n")
+            vocabulary = self.tokenizer.get_vocab()
+            # Of ids that begin with a space, or hold a line feed.
+            self.spaced, self.fed = np.zeros((2, max(vocabulary.values()) + 1), bool)
+            for token, i in vocabulary.items():
+                self.spaced[i], self.fed[i] = token[0] == _SPACE, _FEED in token
 
     def _by_stretch(self, made: dict) -> bool:
         """Whether stretches between spaces can be encoded by themselves."""
@@ -89,54 +97,79 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _match(self, before: str, letters: str) -> bytes:
-        """Ids of letters, with a space before them or none, which are one match: the library's model alone gives them."""
-        seen = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_SHOWN)
-        return _packed([t.id for t in self.model.tokenize(before + seen)])
+    def _words(self, words: list[str], before: str, begins: np.ndarray) -> list[bytes]:
+        """Ids of words of letters behind a space or line feed; none begins inside a match, so one call gives them for all."""
+        if not words:
+            return []
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN) for w in words]
+        ids = np.array(self.split.encode_batch_fast([before + f"\n{before}".join(shown)], add_special_tokens=False)[0].ids, "<u4")
+        ends = [*(4 * np.nonzero(begins[ids])[0][1:]).tolist(), 4 * len(ids)]
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, stretches: set[str]) -> None:
-        """Remember the ids of stretches; None if white space at an end ties one to its neighbour.
+    def _learn(self, stretches: list[str]) -> None:
+        """Remember the ids of new stretches; None if white space at an end ties one to its neighbour.
 
         A stretch has a space before it, or begins with a line feed instead.
         """
-        others = []
+        known, ends = self.known, self.ends
+        words, lines, ended, others = set(), set(), [], []
         for s in stretches:
-            line = s[:1] == "\n"
-            body, before = (s[1:], "") if line else (s, _SPACE)
-            if not body or body[0].isspace() or body[-1].isspace():
-                self.known[s] = None
-            elif _LETTERS.fullmatch(body):
-                ids = self._match(before, body)
-                self.known[s] = self.feed + ids if line else ids
-            elif body[-1] in self.marks and _LETTERS.fullmatch(body, 0, len(body) - 1):
-                ids = self.known.get(s[:-1]) or (self.feed if line else b"") + self._match(before, body[:-1])
-                self.known[s] = ids + self.marks[s[-1]]
+            if (s.isascii() and s.isalpha()) or _LETTERS.fullmatch(s):
+                words.add(s)
+            elif found := _ENDED.fullmatch(s):
+                word, end = found.groups()
+                ended.append((s, word, end))
+                if word not in known:
+                    (lines if s[0] == "\n" else words).add(word)
+            elif s[:1] == "\n" and _LETTERS.fullmatch(s, 1):
+                lines.add(s)
+            elif s in ("", "\n") or (s[1].isspace() if s[0] == "\n" else s[0].isspace()) or s[-1].isspace():
+                known[s] = None
             else:
                 others.append(s)
+        each = list(words)
+        known.update(zip(each, self._words(each, _SPACE, self.spaced), strict=True))
+        each = list(lines)
+        known.update(zip(each, self._words([s[1:] for s in each], f"{_FEED}\n", self.fed), strict=True))
+        new = list({end for _, _, end in ended} - ends.keys())
+        ends.update(zip(new, map(_packed, self._whole(new))))
+        for s, word, end in ended:
+            known[s] = known[word] + ends[end]
         for s, ids in zip(others, self._whole([s if s[0] == "\n" else f" {s}" for s in others])):
-            self.known[s] = _packed(ids)
+            known[s] = _packed(ids)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_stretch:
-            return [_packed(ids) for ids in self._whole(texts)]
-        if len(self.known) > _REMEMBERED:
+        texts = pc.fill_null(texts, "")
+        if not self.by_stretch or not len(texts):
+            return [_packed(ids) for ids in self._whole(texts.to_pylist())]
+        if len(self.known) + len(self.ends) > _REMEMBERED:
             self.known.clear()
-        each = [t.replace("\n", " \n").split(" ") for t in texts]
-        self._learn(set().union(*[s[1:] for s in each]) - self.known.keys())
-        out, left = [], []
-        for k, (stretches, first) in enumerate(zip(each, self._whole([s[0] for s in each]))):
-            try:
-                # A first stretch without white space at its end stands alone too.
-                rest = b"".join(map(self.known.__getitem__, stretches[1:]))
-                alone = not rest or (stretches[0] and not stretches[0][-1].isspace())
-            except TypeError:  # a stretch of unknown ids
-                alone = False
-            if not alone:
-                left.append(k)
-            out.append(_packed(first) + rest if alone else b"")
-        for k, ids in zip(left, self._whole([texts[k] for k in left])):
-            out[k] = _packed(ids)
+            self.ends.clear()
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        n = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        start = np.cumsum(n) - n
+        flat = cut.flatten()
+        coded = flat.dictionary_encode()
+        stretches = coded.dictionary.to_pylist()
+        self._learn([s for s in stretches if s not in self.known])
+        ids = [self.known[s] for s in stretches]
+        # A text's first stretch has no space before it; where white space ends it, or is all there is of another, the text is encoded whole.
+        firsts = flat.take(pa.array(start)).to_pylist()
+        place = coded.indices.to_numpy().astype(np.int64)
+        tied = np.fromiter((i is None for i in ids), bool, len(ids))[place]
+        tied[start] = [not s or s[-1].isspace() for s in firsts]
+        whole = (np.add.reduceat(tied, start, dtype=np.int64) > 0) & (n > 1)
+        place[start] = len(ids) + np.arange(len(firsts))
+        ids += map(_packed, self._whole(firsts))
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(place))
+        edges = np.frombuffer(joined.buffers()[1], np.int64)[np.append(start, len(place))].tolist()
+        data = memoryview(joined.buffers()[2] or b"")
+        out = [bytes(data[a:b]) for a, b in zip(edges, edges[1:])]
+        again = np.nonzero(whole)[0].tolist()
+        for k, of in zip(again, self._whole([texts[k].as_py() for k in again])):
+            out[k] = _packed(of)
         return out
 
 
@@ -203,7 +236,7 @@ def _encoded(ordered: DataFrame, text: str, tokenizer: str, end_id: int) -> Data
     def run(batches):
         encode, place = _encoder(shipped.value), 0
         for batch in by_bytes(batches, at, _BATCH):
-            ids = [i + end for i in encode([t or "" for t in batch.column(at).to_pylist()])]
+            ids = [i + end for i in encode(batch.column(at))]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             ends = place + np.cumsum(n)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends - place).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
