@@ -8,8 +8,12 @@ either side becomes an iteration of a repeated group or an optional.  The result
 Its slots are judged once: a slot is main text if its elements say so, or, where a host marks no main
 element, if it is not furniture or a repeated list of links.  A page's texts are kept or left by their slot.
 
-Hot hosts: streams are reduced to distinct ones before the shuffle, folded in ``_SALTS`` parts per host and
-then once more, so a host with a third of all pages reaches one task as a few wrappers.
+Texts are compared too where no element marks the main text: a block that is the same on all pages that have its slot,
+``LEAST_PAGES`` different ones or more, is a string of the template and left out; one that differs anywhere is text.
+Inside a marked main element names decide: there, pages of one article in several versions look like a template.
+
+Hot hosts: streams are reduced to distinct ones before the shuffle and folded in a tree, ``_GROUP`` streams at a time, each
+round written to the shared folder; blocks are compared by counts.  So no task gets more of a host than ``_GROUP`` wrappers.
 
 Defined results: NULL and empty pages have an empty text; a page without a valid host belongs to the host
 of no name; repeated pages are extracted alike; a NULL key stays NULL; other columns are kept whatever
@@ -26,14 +30,17 @@ from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelfold.llm.common import by_bytes, stage, temp_name
+from panelfold.operators.sizing import join_small
 
-_SALTS = 32
-_LONGEST_PERIOD = 16  # tokens of a stretch that may repeat; longer ones are aligned as optionals
+LEAST_PAGES = 8
+_GROUP = 64  # streams of a host that one task aligns
+_LONGEST_PERIOD = 64  # tokens of a stretch that may repeat; longer ones are aligned as optionals
 _OPAQUE = "script|style|noscript|template|textarea|iframe|svg|select|object|math|title"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_OPAQUE})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
@@ -57,6 +64,11 @@ _FURNITURE_WORDS = frozenset(
     " pager pagination popup privacy promo promoted promotion recommended related replies reply reviews share sharing sidebar signup social"
     " sponsor sponsored subscribe tags teaser toolbar tracking warning widget widgets complementary contentinfo search alert".split()
 )
+# Words of the layout, which in a compound leave it to the other words what it is: "ad-box", but not "social-history".
+_LAYOUT_WORDS = frozenset(
+    "area bar block bottom box btn button buttons col column container content footer global group header holder icons inner item items left"
+    " link links list outer page panel pane primary right row secondary section site slot text top unit wrap wrapper".split()
+)
 _COMMENT_WORDS = frozenset("comment comments commentlist replies reply disqus responses".split())
 _MAIN = frozenset("article main".split())
 _MAIN_WORDS = frozenset("main articlebody article-body article-content post-content post-body entry-content story-body main-content".split())
@@ -243,9 +255,16 @@ def fold_streams(streams: list[list]) -> list:
     return wrapper
 
 
-def _words(symbol: str) -> tuple[str, set[str]]:
+@lru_cache(maxsize=1 << 14)
+def _words(symbol: str) -> tuple[str, frozenset[str]]:
+    """Element and roles.  A compound role also counts as its words, if none of them says anything else."""
     name, *roles = symbol.split(".")
-    return name, {w for r in roles for w in (r, *re.split(r"[-_\d]+", r)) if w}
+    found = set(roles)
+    for r in roles:
+        parts = {w for w in re.split(r"[-_\d]+", r) if w}
+        if parts <= _LAYOUT_WORDS | _FURNITURE_WORDS | _COMMENT_WORDS:
+            found |= parts
+    return name, frozenset(found)
 
 
 def _judge(path: str) -> tuple[bool, bool]:
@@ -273,21 +292,30 @@ def _slots(wrapper: list, repeated: bool = False):
             yield item[1:], repeated
 
 
+def _names(path: str) -> set[str]:
+    return {_words(s)[0] for s in path.split("/")}
+
+
 def main_slots(wrapper: list) -> list[str]:
     """Paths of the wrapper's slots that hold main text."""
+    return judged_slots(wrapper)[0]
+
+
+def judged_slots(wrapper: list) -> tuple[list[str], bool]:
+    """Paths of the wrapper's slots that hold main text, and whether elements mark them."""
     found: dict[str, bool] = {}
     for path, repeated in _slots(wrapper):
         found[path] = found.get(path, False) or repeated
     judged = {p: _judge(p) for p in found}
     if any(inside and not furniture for inside, furniture in judged.values()):
-        return sorted(p for p, (inside, furniture) in judged.items() if inside and not furniture)
-    links = {p for p, repeated in found.items() if repeated and any(_words(s)[0] == "a" for s in p.split("/")) and "/p" not in p}
+        return sorted(p for p, (inside, furniture) in judged.items() if inside and not furniture), True
+    links = {p for p, repeated in found.items() if repeated and "a" in _names(p) and "p" not in _names(p)}
     kept = sorted(p for p, (_, furniture) in judged.items() if not furniture and p not in links)
     if kept:
-        return kept
+        return kept, False
     # Every role speaks of furniture, as where a column of the layout is named after the sidebar beside it: elements alone decide.
     plain = {p: "/".join(_words(s)[0] for s in p.split("/")) for p in found}
-    return sorted(p for p in found if not _judge(plain[p])[1] and p not in links and not _COMMENT_WORDS & {w for s in p.split("/") for w in _words(s)[1]})
+    return sorted(p for p in found if not _judge(plain[p])[1] and p not in links and not _COMMENT_WORDS & {w for s in p.split("/") for w in _words(s)[1]}), False
 
 
 def has_main(page: str) -> bool:
@@ -295,30 +323,44 @@ def has_main(page: str) -> bool:
     return any(kind == "<" and (_words(v)[0] in _MAIN or _words(v)[1] & _MAIN_WORDS) for kind, v, _ in tokens(page))
 
 
-def main_text(page: str, slots: frozenset[str]) -> str:
-    """Blocks of the page's texts in ``slots``, parted by empty lines."""
-    blocks: list[str] = []
+def blocks(page: str, slots: frozenset[str]):
+    """(path, text) of the blocks of a page's texts in ``slots``; the path is that of the first text that is not blank."""
     open_: list[str] = []
+    first = ""
     for kind, value, path in tokens(page):
         if kind == "#":
             if path in slots:
+                first = first or ("" if value.isspace() else path)
                 open_.append(value)
         else:
             name = value.split(".", 1)[0]
             if name == "br":
                 open_.append("\n")
             elif name in _BLOCK and open_:
-                blocks.append("".join(open_))
-                open_ = []
-    blocks.append("".join(open_))
-    return "\n\n".join(b for b in (" ".join(html.unescape(b).split()) for b in blocks) if b)
+                text = " ".join(html.unescape("".join(open_)).split())
+                if text:
+                    yield first, text
+                open_, first = [], ""
+    text = " ".join(html.unescape("".join(open_)).split())
+    if text:
+        yield first, text
+
+
+def main_text(page: str, slots: frozenset[str], template: frozenset[int] = frozenset()) -> str:
+    """Blocks of the page's texts in ``slots``, parted by empty lines, without those of the template."""
+    return "\n\n".join(text for path, text in blocks(page, slots) if not template or _hash(path, text) not in template)
+
+
+def _hash(path: str, text: str = "") -> int:
+    h = xxhash.xxh64_intdigest(f"{path}\0{text}".encode("utf-8", "surrogatepass"))
+    return h - (h >> 63 << 64)
 
 
 # --- Spark ------------------------------------------------------------------------------------
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, slots) from rows of (host, html)."""
+    """(host, wrapper, slots, marked) from rows of (host, html)."""
 
     def streams(batches):
         for batch in by_bytes(batches, 1):
@@ -329,16 +371,52 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         wrapper = fold_streams([json.loads(s) for s in group["stream"]])
         return pd.DataFrame({"host": group["host"].iloc[:1], "stream": [json.dumps(wrapper)]})
 
-    distinct = pages.mapInArrow(streams, "host string, stream string").distinct()
-    parts = distinct.groupBy("host", F.pmod(F.xxhash64("stream"), F.lit(_SALTS)).alias("part")).applyInPandas(fold, "host string, stream string")
-    whole = parts.groupBy("host").applyInPandas(fold, "host string, stream string")
+    found = stage(pages.mapInArrow(streams, "host string, stream string").distinct(), "streams")
+    while True:
+        counts = stage(found.groupBy("host").agg(F.count("*").alias("n")), "stream-counts")
+        most = counts.agg(F.max("n")).first()[0] or 0
+        if most <= 1:
+            break
+        # The groups of a round are dealt by a hash of the round too, or a group would stay together.
+        part = F.pmod(F.xxhash64("stream", F.lit(most)), F.ceil(F.col("n") / _GROUP))
+        dealt = join_small(found, counts, ["host"]).withColumn("part", part)
+        found = stage(dealt.groupBy("host", "part").applyInPandas(fold, "host string, stream string"), "streams")
 
     def judge(batches):
         for batch in batches:
-            slots = [main_slots(json.loads(s)) for s in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slots, pa.list_(pa.string()))], names=["host", "wrapper", "slots"])
+            judged = [judged_slots(json.loads(s)) for s in batch.column(1).to_pylist()]
+            columns = [pa.array([s for s, _ in judged], pa.list_(pa.string())), pa.array([m for _, m in judged], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["host", "wrapper", "slots", "marked"])
+
+    return found.mapInArrow(judge, "host string, wrapper string, slots array<string>, marked boolean")
 
-    return whole.mapInArrow(judge, "host string, wrapper string, slots array<string>")
+
+def template_blocks(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, template): hashes of the blocks that are the same wherever a host has their slot, on hosts that mark no main text.
+
+    A host of which nothing would be left, as all its blocks are the same, has none.
+    """
+    open_ = wrappers.where("NOT marked").select("host", "slots")
+
+    def run(batches):
+        for batch in by_bytes(batches, 1):
+            rows = set()
+            for h, page, slots in zip(*[c.to_pylist() for c in batch.columns]):
+                of = _hash(page)
+                rows |= {(h, _hash(path), _hash(path, text), of) for path, text in blocks(page, frozenset(slots or ()))}
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["host", "path", "block", "page"])
+
+    each = join_small(pages, open_, ["host"]).select("host", "html", "slots").mapInArrow(run, "host string, path long, block long, page long")
+    each = stage(each, "blocks")
+    # Copies of a page are one page.
+    pages_of = each.groupBy("host", "path", "page").agg(F.lit(1).alias("one")).groupBy("host", "path").agg(F.count("*").alias("pages"))
+    having = each.groupBy("host", "path", "block", "page").agg(F.lit(1).alias("one")).groupBy("host", "path", "block").agg(F.count("*").alias("n"))
+    same = F.col("n") == F.col("pages")
+    judged = stage(having.join(pages_of, ["host", "path"]).select("host", "block", same.alias("same"), (same & (F.col("pages") >= LEAST_PAGES)).alias("fixed")), "judged-blocks")
+    left = judged.groupBy("host").agg(F.bool_or(~F.col("same")).alias("differs")).where("differs").select("host")
+    return judged.where("fixed").join(left, "host", "left_semi").groupBy("host").agg(F.collect_set("block").alias("template"))
 
 
 def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "text") -> DataFrame:
@@ -347,19 +425,24 @@ def extract(df: DataFrame, url: str = "url", page: str = "html", out: str = "tex
         raise ValueError(f"column {out} exists already")
     host = F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     body = F.coalesce(F.col(f"`{page}`").cast("string"), F.lit(""))
-    wrappers = stage(infer_wrappers(df.select(host.alias("host"), body.alias("html"))), "wrappers")
-    at_host, slots = temp_name(df, "wrapper_host"), temp_name(df, "wrapper_slots")
-    known = wrappers.select(F.col("host").alias(at_host), F.col("slots").alias(slots))
-    rows = df.withColumn(at_host, host).join(known, at_host, "left").select(*[f"`{c}`" for c in df.columns], slots)
+    pages = df.select(host.alias("host"), body.alias("html"))
+    wrappers = stage(infer_wrappers(pages), "wrappers")
+    if wrappers.where("NOT marked").head(1):
+        wrappers = wrappers.join(template_blocks(pages, wrappers), "host", "left")
+    else:
+        wrappers = wrappers.withColumn("template", F.lit(None).cast("array<long>"))
+    at_host, slots, template = (temp_name(df, f"wrapper_{c}") for c in ("host", "slots", "template"))
+    known = wrappers.select(F.col("host").alias(at_host), F.col("slots").alias(slots), F.col("template").alias(template))
+    rows = df.withColumn(at_host, host).join(known, at_host, "left").select(*[f"`{c}`" for c in df.columns], slots, template)
     at, last = df.columns.index(page), len(df.columns)
 
     def run(batches):
         for batch in by_bytes(batches, at):
-            each = [frozenset(s or ()) for s in batch.column(last).to_pylist()]
+            each = [[frozenset(s or ()) for s in batch.column(last + k).to_pylist()] for k in (0, 1)]
             pages = [p or "" for p in batch.column(at).to_pylist()]
-            texts = [main_text(p, s) for p, s in zip(pages, each)]
+            texts = [main_text(p, s, t) for p, s, t in zip(pages, *each)]
             # A page without the main element that its host's other pages have is read by its own stream.
-            texts = [t or (main_text(p, frozenset(main_slots(stream(p)))) if p and not has_main(p) else "") for t, p in zip(texts, pages)]
+            texts = [t or (main_text(p, frozenset(main_slots(stream(p))), of) if p and not has_main(p) else "") for t, p, of in zip(texts, pages, each[1])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(texts, pa.string())], names=[*batch.schema.names[:last], out])
 
     return rows.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))

@@ -92,6 +92,36 @@ def test_a_page_without_its_hosts_main_element(spark):
     assert got == {**{k: f"text {k}" for k in range(5)}, 5: "other make", 6: ""}
 
 
+@pytest.mark.parametrize("name", ["social-history", "legal-analysis", "alert-system-review"])
+def test_compound_names_are_not_cut(name):
+    assert own(f'<article><p>before</p><section class="{name}"><p>main text</p></section></article>') == "before\n\nmain text"
+
+
+def _strange(k):
+    return f'<div class="q1">Home</div><div class="q2">Subscribe today</div><div class="q3"><h2>title {k}</h2><p>text {k} of the page</p><p>And so on.</p></div><div class="q2">All rights reserved</div>'
+
+
+def test_texts_that_are_the_same_on_all_pages_are_the_template(spark):
+    rows = [(k, "http://h.example/", _strange(k)) for k in range(20)] * 2
+    rows += [(100 + k, "http://few.example/", _strange(k)) for k in range(W.LEAST_PAGES - 1)] + [(200 + k, "http://same.example/", _strange(1) + f"<!-- {k} -->") for k in range(20)]
+    got = {r.page_id: r.text for r in W.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert all(got[k] == f"title {k}\n\ntext {k} of the page" for k in range(20))  # "And so on." ends every page
+    # Too few pages, and pages that are all alike, tell nothing.
+    assert all(got[k].startswith("Home\n\nSubscribe today") and got[k].endswith("All rights reserved") for k in [*range(100, 107), *range(200, 220)])
+
+
+def test_a_hot_host_is_folded_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(W, "_GROUP", 4)
+    r = random.Random(3)
+    part = ["<p>t</p>", "<h2>t</h2>", "<ul><li>a<li>b</ul>", "<div class=ad>t</div>", "<table><tr><td>t</table>", "<i>x</i>"]
+    rows = [(k, "http://h.example/", f"<nav>n</nav><article><p>text {k}</p>{''.join(r.choices(part, k=8))}</article>") for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = W.infer_wrappers(df.selectExpr("'h' AS host", "html")).collect()
+    want = {s for _, _, p in rows for s, _ in W._slots(W.stream(p))}
+    assert len(whole) == 1 and {s for s, _ in W._slots(json.loads(whole[0].wrapper))} == want and whole[0].marked
+    assert {r.page_id: r.text for r in W.extract(df).collect()} == {k: own(p) for k, _, p in rows}
+
+
 def test_edge_rows(spark):
     rows = [
         (1, "http://a.example/x", "<article><p>one</p></article>", "k"), (1, "http://a.example/x", "<article><p>one</p></article>", "k"),
