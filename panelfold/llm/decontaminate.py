@@ -2,7 +2,8 @@
 
 Numbers, units after numbers and capitalised words inside a sentence become typed slots; the rest is
 lower-cased words without punctuation.  Windows of ``WINDOW`` template words of the benchmark are joined by
-hash with the windows of every document.  A document holds an item if enough of the item's windows occur,
+hash with the windows of every document.  A document holds an item if enough of the item's windows occur in one
+alignment (the shift most windows share, and those up to ``NEAR`` words beside it, as after an inserted word),
 and if the slots of the aligned stretch are filled consistently: one value of the item must stand for one
 value of the document throughout.  So an item with other numbers or names is found, while a text that only
 shares turns of phrase is not.
@@ -26,6 +27,7 @@ from panelfold.llm.common import stage, text_of
 WINDOW = 5
 LEAST_COVERAGE = 0.5  # of an item's windows
 LEAST_RUN = 25  # or so many windows, of a long item
+NEAR = 8  # words that an alignment may slip
 LEAST_CONSISTENT = 0.8  # of the aligned slots
 BROADCAST_WINDOWS = 1_000_000  # 16 bytes each before the map's overhead
 
@@ -114,14 +116,16 @@ def find_items(
         table = F.broadcast(table)
     hits = stage(_windows(docs, ["doc_id"], window).select("doc_id", "at", "h").join(table, "h").drop("h"), "hits")
     size = known.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"))
-    found = hits.select("doc_id", "item_id", "item_at").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched"))
-    found = found.join(size, "item_id").where((F.col("n_matched") >= coverage * F.col("n_windows")) | (F.col("n_matched") >= run))
     # The alignment that most windows share.
     shifts = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.count("*").alias("n"), F.collect_set("item_at").alias("places")
     )
     best = shifts.groupBy("doc_id", "item_id").agg(F.max(F.struct("n", -F.col("shift"), "shift", "places")).alias("b"))
-    found = stage(found.join(best.select("doc_id", "item_id", "b.shift", "b.places"), ["doc_id", "item_id"]), "candidates")
+    best = stage(best.select("doc_id", "item_id", "b.shift", "b.places"), "alignments")
+    near = hits.join(best.drop("places"), ["doc_id", "item_id"]).where(F.abs(F.col("at") - F.col("item_at") - F.col("shift")) <= NEAR)
+    found = near.select("doc_id", "item_id", "item_at").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched"))
+    found = found.join(size, "item_id").where((F.col("n_matched") >= coverage * F.col("n_windows")) | (F.col("n_matched") >= run))
+    found = stage(found.join(best, ["doc_id", "item_id"]), "candidates")
     slots = _consistency(found, docs, items, window)
     out = found.join(slots, ["doc_id", "item_id"], "left").na.fill(0, ["n_slots", "n_consistent"])
     out = out.where(F.col("n_consistent") >= consistent * F.col("n_slots"))

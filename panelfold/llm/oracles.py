@@ -61,12 +61,13 @@ ik AS (SELECT item_id, i - 1 AS item_at, array_to_string(w[i : i + {_LAST}], ' '
        WHERE len(list_filter(w[i : i + {_LAST}], lambda x: NOT regexp_matches(x, {_MARK}))) > 0),
 hits AS (SELECT doc_id, item_id, pos, item_at FROM dk JOIN ik USING (k)),
 size AS (SELECT item_id, count(DISTINCT item_at) AS n_windows FROM ik GROUP BY item_id),
-found AS (SELECT doc_id, item_id, n_windows, count(DISTINCT item_at) AS n_matched FROM hits JOIN size USING (item_id) GROUP BY ALL
-          HAVING n_matched >= {d.LEAST_COVERAGE} * n_windows OR n_matched >= {d.LEAST_RUN}),
 shifts AS (SELECT doc_id, item_id, pos - item_at AS shift, list(DISTINCT item_at) AS places,
              row_number() OVER (PARTITION BY doc_id, item_id ORDER BY count(*) DESC, pos - item_at) AS place FROM hits GROUP BY doc_id, item_id, pos - item_at),
+best AS (SELECT doc_id, item_id, shift, places FROM shifts WHERE place = 1),
+found AS (SELECT doc_id, item_id, n_windows, count(DISTINCT item_at) AS n_matched FROM hits JOIN best USING (doc_id, item_id) JOIN size USING (item_id)
+          WHERE abs(pos - item_at - shift) <= {d.NEAR} GROUP BY ALL HAVING n_matched >= {d.LEAST_COVERAGE} * n_windows OR n_matched >= {d.LEAST_RUN}),
 asked AS (SELECT doc_id, item_id, shift, v[i] AS value, i - 1 AS slot, places
-          FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM found JOIN shifts USING (doc_id, item_id) JOIN iw USING (item_id) WHERE place = 1)
+          FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM found JOIN best USING (doc_id, item_id) JOIN iw USING (item_id))
           WHERE regexp_matches(v[i], {_MARK}) AND len(list_filter(places, lambda p: p <= i - 1 AND i - 1 < p + {d.WINDOW})) > 0),
 filled AS (SELECT doc_id, item_id, value, v[slot + shift + 1] AS filling, count(*) AS n FROM asked JOIN dw USING (doc_id) GROUP BY ALL),
 agreed AS (SELECT doc_id, item_id, CAST(sum(n) AS BIGINT) AS n_slots, CAST(sum(most) AS BIGINT) AS n_consistent

@@ -40,11 +40,13 @@ def slow_find(docs, items):
             for k in range(max(1, len(words) - D.WINDOW + 1) if words else 0):
                 at.setdefault(tuple(words[k : k + D.WINDOW]), []).append(k)
             hits = [(k, p) for k, w in windows.items() for p in at.get(w, ())]
-            matched = {k for k, _ in hits}
-            if not matched or not (len(matched) >= D.LEAST_COVERAGE * len(windows) or len(matched) >= D.LEAST_RUN):
+            if not hits:
                 continue
             shifts = Counter(p - k for k, p in hits)
             shift = min(shifts, key=lambda s: (-shifts[s], s))
+            matched = {k for k, p in hits if abs(p - k - shift) <= D.NEAR}
+            if not (len(matched) >= D.LEAST_COVERAGE * len(windows) or len(matched) >= D.LEAST_RUN):
+                continue
             places = {k for k, p in hits if p - k == shift}
             filling = {}
             for s, v in enumerate(values):
@@ -97,6 +99,15 @@ def test_without_broadcast(spark, docs, monkeypatch):
     assert sorted(D.find_items(docs(DOCS), benchmark).collect()) == want
 
 
+def test_windows_count_in_one_alignment(spark, docs):
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(160)]
+    item = " ".join(words)
+    parted = " ".join(" ".join([*words[k : k + 7], *["between"] * 20]) for k in range(0, 160, 7))  # 66 of 156 windows, none near another
+    slipped = " ".join([*words[:80], "extra", *words[80:]])
+    rows = D.find_items(docs([(1, parted), (2, slipped)]), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.n_matched) for r in rows] == [(2, 152)]
+
+
 def test_empty_tables(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert D.find_items(docs(DOCS), empty).count() == 0

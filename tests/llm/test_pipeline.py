@@ -53,6 +53,15 @@ def test_odd_rows(spark, sf, name, step):
     assert step(spark, docs.where("false"), sf).count() == 0
 
 
+def test_leaks_are_told_by_row(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog while the other animals of the farm sleep"
+    spark.createDataFrame([(None, item), (3, "another item of some eight words or more here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = [(None, f"we saw {item} today"), (1, f"{item} again"), (1, "a clean text that shares its id"), (None, "clean without an id"), (2, f"{item[:40]} only")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(texts)], "doc_id long, text string, row int")
+    out = C.drop_leaks(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and sorted(r.row for r in out.collect()) == [2, 3, 4]
+
+
 def test_one_row_of_each_group_of_copies_stays_whatever_its_id(spark, sf):
     texts = [" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma")]
     ids = [(5, 0), (None, 0), (5, 0), (9, 0), (7, 1), (7, 1), (None, 2), (None, 2), (7, 2)]
