@@ -56,10 +56,17 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.find_items(docs, read(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item.
+
+    Every row counts by itself, also one with a NULL id or one that shares its id; so does every item.
+    """
+    row = temp_name(docs, "row")
+    # Written once, so that the numbers hold however often the rows are read.
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    items = stage(read(spark, sf_dir, "benchmark").select(F.monotonically_increasing_id().alias("item_id"), "text"), "items")
+    found = decontaminate.find_items(docs.select(row, "text"), items, key=row)
     leak = temp_name(docs, "leak")
-    return docs.join(found.select(F.col("doc_id").alias(leak)).distinct(), F.col("doc_id") == F.col(leak), "left_anti")
+    return docs.join(found.select(F.col(row).alias(leak)).distinct(), F.col(row) == F.col(leak), "left_anti").drop(row)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
