@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from panelfold.checks import testbed as tb
 from panelfold.checks.registry import query
 from panelfold.checks.testbed import table, with_ctes
+from panelfold.functions import scalars as sc
 from panelfold.operators import features as fe
 from panelfold.operators import models, shape, stats
 from panelfold.plans import cards, training
 from panelfold.plans.star import MEASURES, TARGET
 from panelfold.session import scratch_dir, stage
+from panelfold.sources import sinks
 
 _LEVELS = {
     "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
@@ -264,3 +266,179 @@ def next_year_forecast(spark, d):
     """Forecasts of the year after 2000 with bounds, as the forecast card of the full boosting."""
     predictions, _ = training.forecast_job(tb.fact_life_expectancy(spark, d), 2000)
     return cards.forecast_vs_actual(tb.star(spark, d), predictions, 2000)
+
+
+# --- checked parts of the two jobs ------------------------------------------------------------------
+
+_LEVEL = "CASE WHEN {s} <= q1 THEN 'Low' WHEN {s} <= q2 THEN 'Medium' WHEN {s} <= q3 THEN 'High' ELSE 'Critical' END"
+_RISK = {
+    "scored": f"SELECT country_code, year, infant_mortality_per_1000 + diabetes_prevalence_pct AS score, {_SHARE} < 80 AS train FROM panel",
+    "ends": "SELECT quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.5) AS q2, quantile_cont(score, 0.75) AS q3 FROM scored WHERE train",
+    "labelled": f"SELECT country_code, year, train, {_LEVEL.format(s='score')} AS risk FROM scored, ends",
+}
+
+
+def _risk_rows(spark, d):
+    p = tb.stored_panel(spark, d)
+    score = F.col("infant_mortality_per_1000") + F.col("diabetes_prevalence_pct")
+    rows = p.select("country_code", "year", score.alias("score"), (_share() < 80).alias("train"))
+    return models.risk_labels(rows, "score", models.risk_bounds(rows.where("train"), "score"))
+
+
+@query(
+    with_ctes(
+        """
+SELECT country_code, year, risk, round((SELECT count(*) FROM labelled WHERE train) / (4.0 * count(*) OVER (PARTITION BY risk)), 6) AS weight FROM labelled WHERE train""",
+        _RISK,
+    )
+)
+def risk_labels(spark, d):
+    """Quartile labels and balanced weights of the training rows."""
+    return models.balanced_weights(_risk_rows(spark, d).where("train"), "risk").select("country_code", "year", "risk", F.round("weight", 6).alias("weight"))
+
+
+@query(
+    with_ctes(
+        """
+SELECT round(avg(CASE WHEN risk = guess THEN 1.0 ELSE 0.0 END), 6) AS accuracy, round((SELECT sum(rows * f1) / sum(rows) FROM (
+  SELECT sum(CASE WHEN risk = c THEN 1 ELSE 0 END) AS rows, 2.0 * sum(CASE WHEN risk = c AND guess = c THEN 1 ELSE 0 END)
+    / (sum(CASE WHEN risk = c THEN 1 ELSE 0 END) + sum(CASE WHEN guess = c THEN 1 ELSE 0 END)) AS f1
+  FROM judged, (VALUES ('Low'), ('Medium'), ('High'), ('Critical')) v(c) GROUP BY c)), 6) AS f1 FROM judged""",
+        {
+            **_RISK,
+            "judged": "SELECT a.risk, b.risk AS guess FROM labelled a JOIN labelled b ON b.country_code = a.country_code AND b.year = a.year - 1 WHERE NOT a.train",
+        },
+    )
+)
+def risk_scores(spark, d):
+    """Accuracy and F1 of taking last year's category, on the rows outside the training part."""
+    rows = stage(_risk_rows(spark, d).select("country_code", "year", "train", "risk"), "risk")
+    number = (sc.category_rank("risk", models.RISK_LEVELS) - 1).cast("double")
+    before = rows.select("country_code", (F.col("year") + 1).alias("year"), number.alias("prediction"))
+    judged = rows.where(~F.col("train")).withColumn("label", number).join(before, ["country_code", "year"])
+    found = models.label_scores(stage(judged.select("label", "prediction"), "judged"))
+    return spark.createDataFrame([(round(found["accuracy"], 6), round(found["f1"], 6))], "accuracy double, f1 double")
+
+
+# The last known value as a forecast: SQL can repeat it, and its errors are those of any model to the interval.
+_LAST_VALUE = {
+    "errors": """SELECT d.region, f.year, n.life_expectancy_total - f.life_expectancy_total AS residual
+FROM fact_life_expectancy f JOIN fact_life_expectancy n ON n.country_code = f.country_code AND n.year = f.year + 1
+JOIN dim_countries d ON d.country_code = f.country_code""",
+    "ranked": """SELECT *, row_number() OVER (PARTITION BY region ORDER BY residual) AS place, count(*) OVER (PARTITION BY region) AS n FROM errors WHERE year < 1999""",
+    "bounds": """SELECT region, max(n) AS n, max(residual) FILTER (place = floor((n + 1) * 0.1 + 1e-9)) AS low,
+  max(residual) FILTER (place = ceil((n + 1) * 0.9 - 1e-9)) AS high FROM ranked GROUP BY region""",
+}
+
+
+@query(
+    with_ctes(
+        """
+SELECT region, b.n AS n, low, high, count(*) AS later, count(*) FILTER (coalesce(residual >= low, true) AND coalesce(residual <= high, true)) AS inside
+FROM errors JOIN bounds b USING (region) WHERE year >= 1999 GROUP BY ALL""",
+        _LAST_VALUE,
+    )
+)
+def forecast_bounds(spark, d):
+    """Conformal bounds by region from the years before 1999, and how many later errors lie inside."""
+    facts = tb.life_by_region(spark, d).select("country_code", "region", "year", TARGET)
+    frame = models.forecast_frame(facts, "country_code", "year", TARGET).where(F.col("next").isNotNull())
+    errors = stage(frame.select("region", "year", (F.col("next") - F.col(TARGET)).alias("residual")), "errors")
+    bounds = stage(models.conformal_bounds(errors.where("year < 1999"), ["region"], coverage=0.8), "bounds")
+    held = models.coverage(errors.where("year >= 1999"), bounds, "region").withColumnRenamed("n", "later")
+    return bounds.join(held, "region")
+
+
+@query(
+    with_ctes(
+        "SELECT p.*, round(life_expectancy_female - life_expectancy_male, 6) AS gender_le_gap, round(physicians_per_1000 * health_expenditure_pct_gdp, 6) AS healthcare_density "
+        f"FROM (SELECT country_code, year, {', '.join(MEASURES)} FROM panel) p"
+    )
+)
+def panel_export(spark, d):
+    """The engineered panel as it is exported: every row and measure, read back."""
+    stored = sinks.replace_table(training.engineered(tb.stored_panel(spark, d)), f"{scratch_dir(spark)}/export-{uuid.uuid4().hex}")
+    more = [F.round(c, 6).alias(c) for c in ("gender_le_gap", "healthcare_density")]
+    return stored.select("country_code", "year", *MEASURES, *more)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25")
+def ordered_head(spark, d):
+    """The first rows of an ordered table."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return shape.head(o, ["o_totalprice", "o_orderkey"], 25)
+
+
+_TWO = "SELECT country_code, year, region, life_expectancy_total AS y FROM panel"
+
+
+@query(
+    with_ctes(
+        "SELECT DISTINCT region, year, round(avg(y) OVER (PARTITION BY region, year), 6) AS prediction FROM two",
+        {"two": _TWO},
+    )
+)
+def forest_two_features(spark, d):
+    """Two features and trees deep enough to part every pair of their values: the prediction is the pair's mean."""
+    return _pair_means(spark, d, lambda *a: models.fit_forest(*a, numTrees=20, minInstancesPerNode=1, bootstrap=False, featureSubsetStrategy="all"))
+
+
+@query(
+    with_ctes(
+        "SELECT DISTINCT region, year, round(avg(y) OVER (PARTITION BY region, year), 6) AS prediction FROM two",
+        {"two": _TWO},
+    )
+)
+def boosted_two_features(spark, d):
+    """The same of boosted trees, each of which is deep enough too."""
+    return _pair_means(spark, d, lambda *a: models.fit_boosted(*a, maxIter=5, maxDepth=14, subsamplingRate=1.0, featureSubsetStrategy="all"))
+
+
+def _pairs(spark, d):
+    place = F.array_position(F.array(*[F.lit(r) for r in _LEVELS["region"]]), F.col("region")).cast("double")
+    return tb.stored_panel(spark, d).select(F.col("year").cast("double").alias("period"), place.alias("place"), "region", "year", TARGET)
+
+
+def _pair_means(spark, d, fit):
+    rows = _pairs(spark, d)
+    fitted = fit(rows, ["period", "place"], TARGET)
+    return fitted.predict(rows).select("region", "year", F.round("prediction", 6).alias("prediction")).distinct()
+
+
+_REGIONS = "[" + ", ".join(f"'{r}'" for r in _LEVELS["region"]) + "]"
+
+
+def _best_split(rows: str, by: str = "") -> str:
+    """The cut of one feature that takes away most of the squares about the mean, of all rows or of each part."""
+    part, of = (f"{by}, ", f"PARTITION BY {by}") if by else ("", "")
+    values = f"SELECT {part}f, v, count(*) AS n, sum(y) AS s FROM {rows} GROUP BY ALL"
+    sums = f"""SELECT {part}f, v, sum(n) OVER (PARTITION BY {part}f ORDER BY v) AS nl, sum(s) OVER (PARTITION BY {part}f ORDER BY v) AS sl,
+      sum(n) OVER (PARTITION BY {part}f) AS n, sum(s) OVER (PARTITION BY {part}f) AS s FROM ({values})"""
+    gains = f"SELECT {part}f, v, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM ({sums}) WHERE nl < n"
+    return f"SELECT * FROM ({gains}) QUALIFY row_number() OVER ({of} ORDER BY gain DESC) = 1"
+
+
+_LONG = "SELECT {more}'period' AS f, period AS v, y FROM {rows} UNION ALL SELECT {more}'place', place, y FROM {rows}"
+_TREE = {
+    "two": f"SELECT CAST(year AS DOUBLE) AS period, CAST(list_position({_REGIONS}, region) AS DOUBLE) AS place, life_expectancy_total AS y FROM panel",
+    "long": _LONG.format(more="", rows="two"),
+    "root": _best_split("long"),
+    "sides": "SELECT CASE WHEN CASE root.f WHEN 'period' THEN period ELSE place END <= root.v THEN 0 ELSE 1 END AS side, period, place, y FROM two, root",
+    "side_long": _LONG.format(more="side, ", rows="sides"),
+    "leaves": _best_split("side_long", "side"),
+    "gains": "SELECT f, gain FROM root UNION ALL SELECT f, gain FROM leaves",
+}
+
+
+@query(
+    with_ctes(
+        "SELECT f AS feature, round(100 * coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance_pct "
+        "FROM (VALUES ('period'), ('place')) v(f) LEFT JOIN gains USING (f) GROUP BY f",
+        _TREE,
+    )
+)
+def tree_importance(spark, d):
+    """Importance of two features in trees of two levels, from the squares that each split takes away."""
+    rows = _pairs(spark, d)
+    fitted = models.fit_forest(rows, ["period", "place"], TARGET, numTrees=10, maxDepth=2, minInstancesPerNode=1, bootstrap=False, featureSubsetStrategy="all")
+    return models.importance(fitted, spark).withColumn("importance_pct", F.round("importance_pct", 6))

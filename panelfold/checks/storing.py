@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelfold import schemas
 from panelfold.checks import testbed as tb
+from panelfold.checks.joining import _PANEL_COLUMNS
 from panelfold.checks.loading import _folder
 from panelfold.checks.registry import query
 from panelfold.checks.testbed import with_ctes
+from panelfold.operators import quality
 from panelfold.plans import load
+from panelfold.plans.delta import PanelStore
+from panelfold.plans.star import flat_panel
+from panelfold.sources import sinks
 
 # Two measures of each fact that the comparison looks at, in the store's types.
 _SHOWN = {
@@ -92,21 +99,53 @@ def upsert_dim_countries(spark, d):
     return out.select("country_code", "country_name", "region", "population", "sub_region", kept.alias("first_time_kept"))
 
 
-_AUDITED = ("fact_life_expectancy", "fact_hiv_aids")
+_DIM_COLUMNS = ("country_code", "country_name", "region", "sub_region", "income_group", "population")
+
+
+def _audit_sql(table):
+    """Rows, periods and the share of empty cells; a column that the fixture lacks is empty throughout."""
+    audited = [c for c in schemas.TABLES[table].names if c not in quality.AUDIT_SKIP]
+    given = _DIM_COLUMNS if table == schemas.DIMENSION else ("country_code", "year", *tb.FACT_COLUMNS[table])
+    nulls = " + ".join([f"count(*) * {sum(c not in given for c in audited)}", *[f"count(*) FILTER ({c} IS NULL)" for c in audited if c in given]])
+    periods = ["CAST(NULL AS INTEGER)"] * 2 if table == schemas.DIMENSION else ["CAST(min(year) AS INTEGER)", "CAST(max(year) AS INTEGER)"]
+    pct = f"round_even(({nulls}) / (count(*) * {len(audited)}) * 100.0, 2)"
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, {periods[0]} AS first_period, {periods[1]} AS last_period, {pct} AS null_pct, "
+        f"CASE WHEN {pct} < 1.0 THEN 'complete' ELSE 'incomplete' END AS status FROM {table}"
+    )
+
+
+@query(with_ctes(" UNION ALL ".join(_audit_sql(t) for t in (schemas.DIMENSION, *schemas.FACTS))))
+def audit_star(spark, d):
+    """Rows, periods and empty cells of all five tables of the loaded store."""
+    tables = load.load_star(spark, _folder(spark, "store"), tb.star(spark, d), "only")
+    counts, report = load.load_report(tables)
+    return report.join(counts, ["table_name", "row_count"])
+
+
+@query(with_ctes(f"SELECT {_PANEL_COLUMNS} FROM panel"))
+def star_panel_bucketed(spark, d):
+    """The flat panel over facts that are stored by country and year, so that they meet without a shuffle."""
+    root, name = _folder(spark, "buckets"), f"b{uuid.uuid4().hex}"
+    star = tb.star(spark, d)
+    stored = {t: sinks.write_bucketed(star[t], f"{name}_{t}", schemas.KEYS[t], buckets=16, path=f"{root}/{t}") for t in schemas.FACTS}
+    return flat_panel(star[schemas.DIMENSION], *[stored[t] for t in schemas.FACTS])
 
 
 @query(
     with_ctes(
-        " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(min(year) AS INTEGER) AS first_period, CAST(max(year) AS INTEGER) AS last_period FROM {t}" for t in _AUDITED
-        )
-        + " UNION ALL SELECT 'dim_countries', count(*), NULL, NULL FROM dim_countries"
+        f"SELECT c_custkey, year, {tb.near_sql('v', 'v')}, {tb.near_sql('w', 'w')} FROM imputed",
+        tb.imputed_sql("sparse_panel", "c_custkey", "year", ["v", "w"]),
     )
 )
-def audit_star(spark, d):
-    """Rows and periods of the loaded store; its shares of empty cells are those of the fixture's absent columns."""
-    star = tb.star(spark, d)
-    clean = {"dim_countries": star["dim_countries"], **{t: star[t] for t in _AUDITED}}
-    tables = load.load_star(spark, _folder(spark, "store"), clean, "only")
-    counts, report = load.load_report(tables)
-    return report.join(counts, ["table_name", "row_count"]).select("table_name", "row_count", "first_period", "last_period")
+def delta_loads(spark, d):
+    """The imputed panel after loads that bring new customers and correct others, the last of them twice."""
+    rows = tb.sparse_panel(spark, d)
+    store = PanelStore(spark, _folder(spark, "delta"), ["c_custkey"], "year", ["v", "w"], buckets=16)
+    part = F.col("c_custkey") % 16
+    wrong = F.when((part == 4) & (F.col("year") > 1996), F.lit(None)).when(part == 5, F.col("v") + 1000).otherwise(F.col("v"))
+    store.load(rows.where(part != 3).withColumn("v", wrong))
+    store.load(rows.where(part.isin(3, 4)))
+    for _ in range(2):
+        store.load(rows.where((part == 5) | (F.col("c_custkey") == 1)))
+    return store.read().select("c_custkey", "year", tb.near("v"), tb.near("w"))

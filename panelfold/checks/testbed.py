@@ -205,6 +205,14 @@ def fact_cardiovascular(spark: SparkSession, d: str) -> DataFrame:
     return _with(yearly, _CARDIO)
 
 
+FACT_COLUMNS = {
+    "fact_life_expectancy": tuple(_LIFE),
+    "fact_cardiovascular": tuple(_CARDIO),
+    "fact_hiv_aids": tuple(_EPIDEMIC),
+    "fact_diabetes_obesity": tuple(_METABOLIC),
+}
+
+
 def star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {
         "dim_countries": dim_countries(spark, d),

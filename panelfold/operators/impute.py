@@ -61,21 +61,22 @@ def interpolate(
     return ends.withColumns({c: filled(c) for c in columns}).drop(*helpers)
 
 
-def _once(df: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
+def one_per_period(df: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
+    """``df``, where a repeated (key, period) fails the job."""
     again = F.lag(period).over(Window.partitionBy(*keys).orderBy(period)) == F.col(period)
     return df.withColumn(period, F.when(again, F.raise_error(F.lit("repeated (key, period)")).cast(df.schema[period].dataType)).otherwise(F.col(period)))
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], period: str, columns: Sequence[str]) -> DataFrame:
     """The last known value; a key has one row per period, and a repeated one fails the job."""
-    df = _once(df, keys, period)
+    df = one_per_period(df, keys, period)
     w = Window.partitionBy(*keys).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
 def fill_backward(df: DataFrame, keys: Sequence[str], period: str, columns: Sequence[str]) -> DataFrame:
     """The next known value, under the same condition."""
-    df = _once(df, keys, period)
+    df = one_per_period(df, keys, period)
     w = Window.partitionBy(*keys).orderBy(F.col(period).desc()).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
@@ -102,8 +103,8 @@ def impute_panel(
     last = {c: F.lit(constant) for c in columns}
     if constant is None:
         medians = stage(medians, "medians")
-        all_rows = medians.where(OVERALL)
-        last = {c: all_rows.select(f"{c}__median").scalar() for c in columns}
+        whole = medians.where(OVERALL).select(F.struct(*[f"{c}__median" for c in columns])).scalar()
+        last = {c: whole[f"{c}__median"] for c in columns}
         medians = medians.where(~F.col(OVERALL)).drop(OVERALL)
     joined = join_small(panel, medians, [period], "left")
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
@@ -17,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import category_rank, half_even
-from panelfold.operators.features import assemble, split_share, train_test
-from panelfold.operators.quantiles import exact_quantiles
+from panelfold.operators.features import assemble
+from panelfold.operators.quantiles import exact_quantiles, order_statistics
 from panelfold.session import scratch_dir, stage
 
 # Model settings.
@@ -71,9 +72,8 @@ def fit_ridge(train: DataFrame, features: Sequence[str], label: str, alpha: floa
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, **settings) -> Fitted:
     _checkpointed(train.sparkSession)
-    reg = RandomForestRegressor(
-        labelCol=label, minInstancesPerNode=MIN_ROWS_PER_NODE, cacheNodeIds=True, checkpointInterval=10, **{**FOREST, **settings}
-    )
+    settings = {"minInstancesPerNode": MIN_ROWS_PER_NODE, **FOREST, **settings}
+    reg = RandomForestRegressor(labelCol=label, cacheNodeIds=True, checkpointInterval=10, **settings)
     return Fitted("Random Forest", reg.fit(assemble(train, features)), list(features))
 
 
@@ -183,7 +183,11 @@ def risk_table(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:
 
 
 def classifier_scores(fitted: Fitted, df: DataFrame, risk: str = "risk") -> dict[str, float]:
-    rows = fitted.predict(df.withColumn("label", (category_rank(risk, RISK_LEVELS) - 1).cast("double")))
+    return label_scores(fitted.predict(df.withColumn("label", (category_rank(risk, RISK_LEVELS) - 1).cast("double"))))
+
+
+def label_scores(rows: DataFrame) -> dict[str, float]:
+    """Accuracy and F1 (weighted by the classes' rows) of ``prediction`` against ``label``, both as class numbers."""
     ev = MulticlassClassificationEvaluator(labelCol="label")
     return {m: ev.evaluate(rows, {ev.metricName: m}) for m in ("accuracy", "f1")}
 
@@ -212,50 +216,107 @@ def forecast_frame(df: DataFrame, key: str, period: str, target: str) -> DataFra
     return out.withColumn(f"{target}_delta", v - F.col(f"{target}_lag1"))
 
 
+def conformal_bounds(rows: DataFrame, by: Sequence[str] = (), residual: str = "residual", coverage: float = 0.95) -> DataFrame:
+    """(by, n, low, high): the ends of residuals that a further one of the group falls between with the wanted chance.
+
+    They are the group's own residuals at the ranks that hold for any distribution, if the rows are
+    exchangeable: the floor((n + 1) a)-th and the ceil((n + 1) (1 - a))-th with a tail of a on each side.  NULL where the
+    group has too few residuals for such a rank.
+    """
+    if not by:
+        return conformal_bounds(rows.withColumn("__all", F.lit(0)), ["__all"], residual, coverage).drop("__all")
+    tail = (1.0 - coverage) / 2.0
+    low, high = lambda n: F.floor((n + 1) * tail + 1e-9) - 1, lambda n: F.ceil((n + 1) * (1.0 - tail) - 1e-9) - 1
+    at = order_statistics(rows, by, [residual], lambda n: [low(n), high(n)])
+    ends = at.select(*[F.col(b).alias(f"__{b}") for b in by], *[F.try_element_at("at", f(F.col("n")).cast("bigint")).alias(c) for c, f in (("low", low), ("high", high))])
+    sizes = rows.groupBy(*by).agg(F.count(residual).alias("n"))
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by])
+    return sizes.join(F.broadcast(ends), same, "left").select(*by, "n", "low", "high")  # one row a group
+
+
+def coverage(rows: DataFrame, bounds: DataFrame, by: str, residual: str = "residual") -> DataFrame:
+    """(by, n, inside): residuals, and how many of them lie within their group's bounds; an end that is NULL bounds nothing."""
+    ends = bounds.select(F.col(by).alias("__by"), "low", "high")
+    met = rows.join(F.broadcast(ends), F.col(by).eqNullSafe(F.col("__by")))  # one row a group
+    r = F.col(residual)
+    inside = F.coalesce(r >= F.col("low"), F.lit(True)) & F.coalesce(r <= F.col("high"), F.lit(True))
+    return met.groupBy(by).agg(F.count(residual).alias("n"), F.count_if(inside & r.isNotNull()).alias("inside"))
+
+
+def backtest(
+    frame: DataFrame, period: str, origins: Sequence[int], fit: Callable[[DataFrame], Fitted], keep: Sequence[str] = (), label: str = "next"
+) -> DataFrame:
+    """(keep, period, label, prediction, residual) by a rolling origin.
+
+    For each origin a model is fitted on the rows whose label was known by then and asked for the origin's own
+    rows, so that no forecast has seen its own or a later period.  An origin without earlier rows is left out.
+    """
+    parts = []
+    for origin in origins:
+        known = frame.where(F.col(period) < origin)
+        if known.head(1):
+            asked = fit(known).predict(frame.where(F.col(period) == origin))
+            parts.append(stage(residuals(asked, label, "prediction").select(*keep, period, label, "prediction", "residual"), "origin"))
+    if not parts:
+        empty = residuals(frame.withColumn("prediction", F.lit(None).cast("double")), label, "prediction").where(F.lit(False))
+        return empty.select(*keep, period, label, "prediction", "residual")
+    return reduce(DataFrame.unionByName, parts)
+
+
 @dataclass(frozen=True)
 class Forecaster:
-    """A fitted forecaster, its interval's ends and its error, both from rows it has not seen."""
+    """A fitted forecaster, its interval's ends and its error, both from later periods than it has seen.
+
+    ``bounds`` has the ends of each group of ``by``, where the forecaster was fitted with one.
+    """
 
     fitted: Fitted
     low: float | None
     high: float | None
     rmse: float | None
+    by: str | None = None
+    bounds: DataFrame | None = None
 
 
 def fit_forecast(
-    df: DataFrame, key: str, period: str, target: str, features: Sequence[str], coverage: float = 0.95, **settings
+    df: DataFrame, key: str, period: str, target: str, features: Sequence[str], coverage: float = 0.95, by: str | None = None, **settings
 ) -> Forecaster:
-    """Boosted trees for the next period on four fifths of the rows.
+    """Boosted trees for the next period on the first four fifths of the periods.
 
-    The interval's ends are quantiles of the other rows' residuals (this library's choice), so they are
-    those of unseen values; they are NULL where no row is left over.
+    The interval's ends are conformal bounds of the residuals in the later periods, so neighbouring periods of one key are
+    not on both sides; with ``by`` each group has its own.  They are NULL where too few rows are left over.
     """
     inputs = [*features, target, f"{target}_lag1", f"{target}_lag2", f"{target}_delta"]
     frame = forecast_frame(df, key, period, target).where(F.col("next").isNotNull()).na.drop(subset=inputs)
-    frame = stage(frame.select(key, period, "next", *inputs), "forecast-rows")
-    train, held = train_test(frame, split_share([key, period]))
+    frame = stage(frame.select(key, period, "next", *inputs, *([by] if by and by not in inputs else [])), "forecast-rows")
+    periods = sorted(r[0] for r in frame.select(period).distinct().collect())  # one a period
+    cut = periods[-max(1, len(periods) // 5)] if len(periods) > 1 else None
+    train, held = (frame, frame.where(F.lit(False))) if cut is None else (frame.where(F.col(period) < cut), frame.where(F.col(period) >= cut))
     boosted = fit_boosted(train, inputs, "next", **settings)
     fitted = Fitted(FORECAST_NAME, boosted.model, boosted.features)
-    rest = stage(residuals(fitted.predict(held), "next", "prediction").select("residual"), "residuals")
-    tail = (1.0 - coverage) / 2.0
-    ends = exact_quantiles(rest, [], ["residual"], [tail, 1.0 - tail]).select("quantiles").first()
-    low, high = ends[0] if ends else (None, None)
+    rest = stage(residuals(fitted.predict(held), "next", "prediction").select("residual", *([by] if by else [])), "residuals")
+    ends = conformal_bounds(rest, coverage=coverage).first()
+    low, high = (ends["low"], ends["high"]) if ends else (None, None)
     rmse = rest.agg(F.sqrt(F.avg(F.col("residual") * F.col("residual")))).first()[0]
-    return Forecaster(fitted, low, high, rmse)
+    return Forecaster(fitted, low, high, rmse, by, conformal_bounds(rest, [by], coverage=coverage) if by else None)
 
 
 def forecast_table(f: Forecaster, df: DataFrame, key: str, period: str, target: str, year: int) -> DataFrame:
-    """Forecast of ``year`` + 1 with bounds, one row per key; NULL where the key lacks a value the model needs."""
+    """Forecast of ``year`` + 1 with bounds, one row per key; NULL where the key lacks a value the model needs.
+
+    A group that has no bounds of its own takes those of all.
+    """
     frame = forecast_frame(df, key, period, target).where(F.col(period) == year).na.drop(subset=f.fitted.features)
-    guess = f.fitted.predict(frame).select(key, F.col("prediction").alias("predicted_le_total"))
-    p = F.col("predicted_le_total")
-    return df.select(key).distinct().join(guess, key, "left").select(
-        key,
-        F.lit(f.fitted.name).alias("model_name"),
-        p,
-        (p + F.lit(f.low).cast("double")).alias("predicted_le_lower"),
-        (p + F.lit(f.high).cast("double")).alias("predicted_le_upper"),
-    )
+    guess = f.fitted.predict(frame)
+    ends = {c: F.lit(v).cast("double") for c, v in (("low", f.low), ("high", f.high))}
+    if f.bounds is not None:
+        own = f.bounds.select(F.col(f.by).alias("__by"), F.col("low").alias("__low"), F.col("high").alias("__high"))
+        guess = guess.join(F.broadcast(own), F.col(f.by).eqNullSafe(F.col("__by")), "left")  # one row a group
+        ends = {c: F.coalesce(f"__{c}", v) for c, v in ends.items()}
+    p = F.col("prediction")
+    guess = guess.select(key, p.alias("predicted_le_total"), (p + ends["low"]).alias("predicted_le_lower"), (p + ends["high"]).alias("predicted_le_upper"))
+    names = ("predicted_le_total", "predicted_le_lower", "predicted_le_upper")
+    return df.select(key).distinct().join(guess, key, "left").select(key, F.lit(f.fitted.name).alias("model_name"), *names)
 
 
 def save_model(fitted: Fitted, path: str) -> None:

@@ -12,7 +12,7 @@ recomputed after a lost executor falls into the same cells.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,22 +93,60 @@ def _split(long: DataFrame, cells: DataFrame, groups: Sequence[str], keys: Seque
     return _holding(parts).drop("part", "first_lo")
 
 
+def cell_counts(df: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows, smallest and largest value by group, variable and grid cell: what quantiles are picked from.
+
+    Counts of disjoint parts of a table are merged by ``merged_counts``, so each part is counted once.
+    """
+    long = _melt(df, groups, columns).withColumn("cell", _cell(F.col("value")))
+    return long.groupBy(*groups, "variable", "cell").agg(*[e() for e in _EXTENT])
+
+
+def merged_counts(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Cell counts of several parts as those of their union."""
+    return counts.groupBy(*groups, "variable", "cell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], columns: Sequence[str], probs: Sequence[float], overall: bool = False
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], probs: Sequence[float], overall: bool = False, counts: DataFrame | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles per group and column.
 
     Returns ``groups``, ``variable`` (the column's name), ``n`` (values that are not NULL) and
     ``quantiles`` (one entry per probability, in the given order).  ``overall`` adds the quantiles
-    over all groups, marked in ``all_groups``, from the same passes.
+    over all groups, marked in ``all_groups``, from the same passes.  ``counts`` are the cell counts of
+    ``df`` where they are known already; then the rows are only read to rank the picked cells.
+    """
+    at = _at_ranks(df, groups, columns, lambda total: _wanted_ranks(total, probs), overall, counts)
+    return at.select(*groups, *([OVERALL] if overall else []), "variable", "n", F.array(*[_interpolated(p) for p in probs]).alias("quantiles"))
+
+
+def order_statistics(df: DataFrame, groups: Sequence[str], columns: Sequence[str], ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
+    """Values at ranks that depend on the number of values: ``ranks`` gives 0-based ranks from the group's count.
+
+    Returns ``groups``, ``variable``, ``n`` and ``at``, a map from rank to value; a rank outside the group is not in
+    it, and a group without any of its ranks is not in the result.
     """
+
+    def wanted(total: Column) -> Column:
+        return F.array_distinct(F.filter(F.array(*[r.cast("bigint") for r in ranks(total)]), lambda r: (r >= 0) & (r < total)))
+
+    return _at_ranks(df, groups, columns, wanted)
+
+
+def _at_ranks(
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], wanted: Callable[[Column], Column], overall: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
+    """(groups, variable, n, at): the values at the wanted ranks."""
     keys = [*groups, *([OVERALL] if overall else []), "variable"]
     long = _melt(df, groups, columns).withColumn("cell", _cell(F.col("value")))
 
-    counts = long.groupBy(*groups, "variable", "cell").agg(*[e() for e in _EXTENT])
+    if counts is None:
+        counts = cell_counts(df, groups, columns)
+        counts = stage(counts, "cell-counts") if overall else counts
     if overall:
         # The cells of all groups are sums of the groups' cells: the rows are counted once.
-        each = stage(counts, "cell-counts").withColumn(OVERALL, F.lit(False))
+        each = counts.withColumn(OVERALL, F.lit(False))
         every = each.groupBy("variable", "cell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         empty = [F.lit(None).cast(df.schema[g].dataType).alias(g) for g in groups]
         counts = each.unionByName(every.select(*empty, "variable", "cell", "n", "lo", "hi", F.lit(True).alias(OVERALL)))
@@ -116,7 +154,7 @@ def exact_quantiles(
     counts = (
         counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .withColumn("below", F.sum("n").over(by_cell) - F.col("n"))
-        .withColumn("ranks", _wanted_ranks(F.col("total"), probs))
+        .withColumn("ranks", wanted(F.col("total")))
     )
     cells = _holding(counts)
     while True:
@@ -137,12 +175,10 @@ def exact_quantiles(
         .where(F.size("hit") > 0)
         .select(*keys, "total", "value", F.explode("hit").alias("rank"))
     )
-    at_rank = hits.groupBy(*keys).agg(
+    return hits.groupBy(*keys).agg(
         F.any_value("total").alias("n"),
-        # at most two entries per probability
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"),  # an entry for each wanted rank
     )
-    return at_rank.select(*keys, "n", F.array(*[_interpolated(p) for p in probs]).alias("quantiles"))
 
 
 def _interpolated(p: float) -> Column:

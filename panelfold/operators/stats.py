@@ -27,31 +27,79 @@ def correlate(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFram
     return df.groupBy(*by).agg(pearson(x, y).alias("r"), F.regr_count(y, x).alias("n"))
 
 
+_GRAM = "i int, j int, n long, mx double, my double, sxx double, syy double, sxy double, xlo double, xhi double, ylo double, yhi double"
+
+
+def gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """For each pair of columns (i <= j), over the rows where both are known: n, means, squares and products about them, extremes.
+
+    One pass over the columns: a task multiplies blocks of rows with the mask of what is known, so all pairs
+    come from a few matrix products, and sends one row a pair.  Every column is taken from its first known value on, so a
+    constant one has squares of zero.
+    """
+    k = len(columns)
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def block(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        start = np.full(k, np.nan)
+        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            known = ~np.isnan(x)
+            for c in np.nonzero(np.isnan(start) & known.any(axis=0))[0]:
+                start[c] = x[known[:, c].argmax(), c]
+            mask, moved = known.astype(float), np.where(known, x - start, 0.0)
+            n += mask.T @ mask
+            s += moved.T @ mask  # [i, j]: of column i where j is known
+            q += (moved * moved).T @ mask
+            p += moved.T @ moved
+            for j in range(k):
+                both = known & known[:, j : j + 1]
+                lo[:, j] = np.minimum(lo[:, j], np.where(both, x, np.inf).min(axis=0, initial=np.inf))
+                hi[:, j] = np.maximum(hi[:, j], np.where(both, x, -np.inf).max(axis=0, initial=-np.inf))
+        i, j = np.nonzero(np.triu(n > 0))
+        if len(i):
+            mean = s / np.maximum(n, 1)
+            sq, at = q - s * mean, np.nan_to_num(start)[:, None] + mean
+            cells = [n[i, j].astype(np.int64), at[i, j], at[j, i], sq[i, j], sq[j, i], (p - s * mean.T)[i, j], lo[i, j], hi[i, j], lo[j, i], hi[j, i]]
+            names = [f.split()[0] for f in _GRAM.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, cells)], names=names)
+
+    # One row a task and pair: written, so that the common means are known when the parts' are taken from them.
+    parts = stage(values.mapInArrow(block, _GRAM), "gram")
+    means = parts.groupBy("i", "j").agg(*[(F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(g) for m, g in (("mx", "gx"), ("my", "gy"))])
+    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    about = {"sxx": dx * dx, "syy": dy * dy, "sxy": dx * dy}
+    return parts.join(F.broadcast(means), ["i", "j"]).groupBy("i", "j").agg(  # one row a pair
+        F.sum("n").alias("n"),
+        *[F.any_value(g).alias(m) for m, g in (("mx", "gx"), ("my", "gy"))],
+        *[F.sum(F.col(s) + F.col("n") * moved).alias(s) for s, moved in about.items()],
+        *[f(c).alias(c) for c, f in (("xlo", F.min), ("xhi", F.max), ("ylo", F.min), ("yhi", F.max))],
+    )
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_rows: bool = False, digits: int | None = None) -> DataFrame:
     """All pairs as (a, b, r) rows from one pass.
 
-    Pairs use the rows where both are known, or only fully known rows with ``complete_rows``.
+    Pairs use the rows where both are known, or only fully known rows with ``complete_rows``.  A column that is constant
+    there, or never known, has NULL.
     """
     if complete_rows:
         df = df.na.drop(subset=list(columns))
-    pairs = list(combinations_with_replacement(columns, 2))
-    x = {c: F.col(c).cast("double") for c in columns}
-
-    def r(a: str, b: str) -> Column:
-        if a == b:
-            c = F.when(F.var_pop(x[a]) > 0, F.lit(1.0))
-        elif complete_rows:  # every pair rests on the same rows, so the deviations are shared
-            c = F.try_divide(F.covar_pop(x[a], x[b]), F.stddev_pop(x[a]) * F.stddev_pop(x[b]))
-        else:
-            c = pearson(x[a], x[b])
-        return c if digits is None or a == b else F.round(c, digits)
-
-    one = df.agg(*[r(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"{i}").alias("r")))
-    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    varies = (F.col("xlo") < F.col("xhi")) & (F.col("ylo") < F.col("yhi"))
+    r = F.when(varies, F.try_divide("sxy", F.sqrt(F.greatest("sxx", F.lit(0.0))) * F.sqrt(F.greatest("syy", F.lit(0.0)))))
+    r = F.when(varies & (F.col("i") == F.col("j")), 1.0).otherwise(r if digits is None else F.round(r, digits))
+    found = gram(df, columns).select("i", "j", r.alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    every = df.sparkSession.createDataFrame(pairs, "i int, j int").join(F.broadcast(found), ["i", "j"], "left")  # one row a pair
+    name = lambda c: F.element_at(names, F.col(c) + 1)
+    one = every.select(name("i").alias("a"), name("j").alias("b"), "r")
+    return one.unionAll(every.where("i <> j").select(name("j"), name("i"), "r"))
 
 
 def fit_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

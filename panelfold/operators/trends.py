@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import clip
 from panelfold.operators.combine import average_then_join, known_keys
+from panelfold.operators.impute import one_per_period
 from panelfold.operators.quantiles import OVERALL, medians_wide
 from panelfold.operators.sizing import join_small
 from panelfold.session import stage
@@ -92,7 +93,8 @@ def step_change(df: DataFrame, by: Sequence[str], period: str, columns: Sequence
 
 
 def lag_features(df: DataFrame, key: Sequence[str], period: str, column: str, lags: Sequence[int] = (1, 2)) -> DataFrame:
-    """Values of earlier rows of a key and the change to the nearest one."""
+    """Values of earlier rows of a key and the change to the nearest one; a repeated (key, period) fails the job."""
+    df = one_per_period(df, key, period)
     w = Window.partitionBy(*key).orderBy(period)
     out = df.withColumns({f"{column}_lag{n}": F.lag(column, n).over(w) for n in lags})
     return out.withColumn(f"{column}_delta", F.col(column) - F.col(f"{column}_lag{lags[0]}"))

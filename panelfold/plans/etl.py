@@ -26,6 +26,7 @@ from panelfold.operators.impute import impute_panel
 from panelfold.operators.shape import period_between, resolve_measures, with_lookup
 from panelfold.operators.upsert import latest_per_key
 from panelfold.schemas import STAMPS, TABLES
+from panelfold.session import stage
 
 # Period covered, and the indicator code behind each measure.
 PERIODS = (1990, 2022)
@@ -228,7 +229,7 @@ def _feed_rows(raw: DataFrame, countries: DataFrame, wanted: Mapping[str, Sequen
 def clean_cardio(raw: DataFrame, countries: DataFrame) -> DataFrame:
     """Cardiovascular facts from the merged feeds."""
     rows = _feed_rows(raw, countries, CARDIO_COLUMNS)
-    full = impute_panel(rows, ["country_code"], "year", list(CARDIO_COLUMNS), digits=4)
+    full = stage(impute_panel(rows, ["country_code"], "year", list(CARDIO_COLUMNS), digits=4), "cardio")  # for the mean and for the rows
     mean_rate = full.agg(F.avg("age_std_death_rate")).scalar()
     out = full.withColumns(formulas.cardio_indicators("age_std_death_rate", "high_sbp_deaths", mean_rate))
     out = out.withColumn("deaths_total", half_even_long(F.coalesce("deaths_total", F.lit(DEFAULT_CARDIO_DEATHS))))

@@ -85,7 +85,7 @@ def scatter_lines(
 
 def boxes(panel: DataFrame, indicator: str, by: str = "region", years: tuple[int, int] = (2000, 2022), regions: Values = None) -> DataFrame:
     c = shape.checked_column(indicator, INDICATORS)
-    return stats.box_stats(_chosen(panel, years, regions), [by], c)
+    return stats.box_stats(_chosen(panel, years, regions), [by], c, derived=False)  # filters that reach the stored panel
 
 
 def correlation(panel: DataFrame, years: tuple[int, int] = (2000, 2022), regions: Values = None, columns: Sequence[str] = INDICATORS) -> DataFrame:
@@ -103,7 +103,7 @@ def ranking(panel: DataFrame, indicator: str, year: int, n: int, bottom: bool =
 def income_distribution(panel: DataFrame, indicator: str, year: int) -> DataFrame:
     """Box statistics per income group in their natural order; not filtered by region."""
     c = shape.checked_column(indicator, INDICATORS)
-    out = stats.box_stats(shape.snapshot(panel, "year", year), ["income_group"], c)
+    out = stats.box_stats(shape.snapshot(panel, "year", year), ["income_group"], c, derived=False)
     return out.withColumn("rank", category_rank("income_group", INCOME_GROUPS)).orderBy("rank")
 
 

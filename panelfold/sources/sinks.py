@@ -43,6 +43,19 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return read_parquet(df.sparkSession, path, own=True)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """Write a table that is dealt by its keys into sorted buckets, and return it as a reader sees it.
+
+    Tables of as many buckets by the same keys join and aggregate on them without a shuffle.  One file a bucket is
+    written, so the files' order is that of the keys; a key with very many rows makes its bucket large, so
+    take keys that are (nearly) unique, as those of facts are.
+    """
+    spark = df.sparkSession
+    dealt = without_nan(df).repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
+
+
 def sync_csv(spark: SparkSession, folder: str, names: Sequence[str], out: str) -> DataFrame:
     """Replace one table per CSV; a missing file is reported and skipped.  Returns the row counts."""
     loaded = {}
@@ -152,11 +165,14 @@ def upsert_partitions(
 
     For large tables and small loads: untouched partitions are neither read nor written.  Columns the load
     does not have keep their values, new ones are added.  The partition column is read in the source's
-    type, so a text such as ``01`` stays one.  The merged rows are staged in the shared folder first, since
-    a job cannot overwrite what it reads.  Returns the rewritten partitions as rows.
+    type, so a text such as ``01`` stays one.  The source is staged once, so that its partitions and its rows
+    are those of one evaluation, and so are the merged rows, since a job cannot overwrite what it reads.  Each
+    partition's files are replaced by themselves: a reader during the load may see some old and some new ones.
+    Returns the rewritten partitions as rows.
     """
     if partition not in keys:
         raise ValueError("the partition column must be one of the keys: a key must not move between partitions")
+    source = stage(source, "source")
     touched = stage(source.select(partition).distinct(), "touched")
     timed = [c for c in (*touch, *stamp) if c not in source.columns]
     fields = [*source.schema.fields, *[T.StructField(c, T.TimestampType()) for c in dict.fromkeys(timed)]]

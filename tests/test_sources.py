@@ -301,3 +301,27 @@ def test_feature_and_metric_files(spark, tmp_path, rows):
     assert rows(spark.read.json(str(tmp_path / "m")), "r2", "rmse", "mae") == [(0.9876, 1.235, 0.5)] or rows(
         spark.read.json(str(tmp_path / "m")), "r2", "rmse", "mae"
     ) == [(0.9877, 1.235, 0.5)]
+
+
+def test_bucketed_facts_meet_without_a_shuffle(spark, tmp_path):
+    from panelfold.plans.star import CARDIO, EPIDEMIC, LIFE, METABOLIC, flat_panel
+    from panelfold.sources import sinks
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = []
+        for name, columns in (("life", LIFE), ("cardio", CARDIO), ("epidemic", EPIDEMIC), ("metabolic", METABOLIC)):
+            rows = spark.range(400).selectExpr("CAST(id % 20 AS string) AS country_code", "CAST(1990 + id div 20 AS int) AS year", *[f"CAST(id AS double) AS {c}" for c in columns.values()])
+            facts.append(sinks.write_bucketed(rows, f"bucketed_{name}", ["country_code", "year"], 8, str(tmp_path / name)))
+        dim = spark.range(20).selectExpr("CAST(id AS string) AS country_code", "'r' AS region", "'i' AS income_group")
+        panel = flat_panel(dim, *facts)
+        assert panel.count() == 400
+        both = facts[0].join(facts[1], ["country_code", "year"]).join(facts[2], ["country_code", "year"]).join(facts[3], ["country_code", "year"])
+        assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+        # What is left are the two sides of the join with the dimension.
+        assert panel._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("life", "cardio", "epidemic", "metabolic"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")

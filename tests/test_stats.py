@@ -80,3 +80,35 @@ def test_share_of_a_missing_mean(spark, rate):
     df = spark.createDataFrame([(rate,)], "r double")
     got = df.select(trends.share_of_mean(df, "r", 31.5, 12.0, 58.0).alias("s")).first()["s"]
     assert got == (12.0 if rate == 0.0 else None)
+
+
+def test_all_pairs_in_one_pass(spark):
+    """Forty columns with gaps, against numpy pair by pair."""
+    import numpy as np
+
+    from panelfold.operators.stats import correlation_matrix
+
+    r = np.random.default_rng(8)
+    x = r.normal(size=(400, 40)) + 1e6 * r.normal(size=40)
+    x[:, 1] = 2 * x[:, 0] + 3
+    x[:, 2] = 0.1  # constant
+    x[r.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = np.nan  # never known
+    x[:200, 4], x[200:, 5] = np.nan, np.nan  # never together
+    names = [f"v{i}" for i in range(40)]
+    rows = [[None if np.isnan(v) else float(v) for v in row] for row in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(g.a, g.b): g.r for g in correlation_matrix(df, names).collect()}
+    assert len(got) == 1600
+    for i in range(40):
+        for j in range(40):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[both, i], x[both, j]
+            want = np.corrcoef(a, b)[0, 1] if both.sum() > 1 and np.ptp(a) > 0 and np.ptp(b) > 0 else None
+            assert (got[names[i], names[j]] is None) == (want is None), (i, j)
+            assert want is None or abs(got[names[i], names[j]] - want) < 1e-9
+    known = names[6:12]
+    listwise = {(g.a, g.b): g.r for g in correlation_matrix(df, known, complete_rows=True).collect()}
+    full = x[:, 6:12][~np.isnan(x[:, 6:12]).any(axis=1)]
+    assert all(abs(listwise[a, b] - np.corrcoef(full, rowvar=False)[i, j]) < 1e-9 for i, a in enumerate(known) for j, b in enumerate(known))
+    assert all(g.r is None for g in correlation_matrix(df.where("false"), names[:3]).collect())
