@@ -35,7 +35,8 @@ from panelfold.llm.common import as_schema, by_bytes, discard, settle, temp_name
 GRAM = 64
 MOST = 4096  # distinct contexts of one string in one block
 BLOCK = 1 << 20  # bytes indexed at once, or one string's contexts
-_SEGMENT = 1 << 21  # bytes of a text looked at once
+_SEGMENT = 1 << 18  # bytes of a text looked at once
+_SLICE = 1 << 20  # bytes of texts held as Python objects
 _PLACE = np.uint64((1 << 23) - 1)  # places inside a segment
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CLASSES = (34, 8, 2, 1)  # windows that share a longer common part, by level
@@ -45,9 +46,11 @@ _CLASSES = (34, 8, 2, 1)  # windows that share a longer common part, by level
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+    """``h`` itself, mixed."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 1):
+        h ^= h >> np.uint64(33)
+        h *= np.uint64(factor)
+    return h
 
 
 def _grams(data: np.ndarray, gram: int) -> np.ndarray:
@@ -244,7 +247,7 @@ def _runs(docs: DataFrame, width: int) -> DataFrame:
     """(row, place, h, content) of the runs of every text."""
 
     def run(batches):
-        for batch in by_bytes(batches, 1):
+        for batch in by_bytes(batches, 1, _SLICE):
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for row, start, windows, h, distance in _text_runs(texts, width):
@@ -258,10 +261,12 @@ def _contexts(docs: DataFrame, candidates: DataFrame, width: int) -> DataFrame:
     """The distinct contexts of strings that lead several, each cut out of one of its texts."""
     each = candidates.where("mixed").groupBy("h", "content").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one"))
     wanted = each.groupBy(F.col("one.row").alias("of")).agg(F.collect_list(F.struct("one.place", "h", "content", "n")).alias("runs"))
-    rows = docs.join(wanted, F.col("row") == F.col("of")).select("text", "runs")
+    # Equal rows are one before they meet.
+    distinct = docs.groupBy("row").agg(F.first("text").alias("text"))
+    rows = distinct.join(wanted, F.col("row") == F.col("of")).select("text", "runs")
 
     def run(batches):
-        for batch in by_bytes(batches, 0):
+        for batch in by_bytes(batches, 0, _SLICE):
             for k in range(batch.num_rows):
                 text = batch.column(0)[k].as_py().encode("utf-8", "surrogatepass")
                 part = pa.RecordBatch.from_struct_array(batch.column(1).slice(k, 1).flatten())
@@ -365,7 +370,8 @@ def remove_repeats(
     # A string with one context is repeated whole.
     alike = candidates.where("NOT mixed").select("row", "place", "content", F.lit(0).alias("offset"), F.lit(None).cast("int").alias("windows"), F.lit(None).cast("binary").alias("mask"))
     mixed = candidates.where("mixed").join(masks, ["h", "content"]).select("row", "place", "content", "offset", "windows", "mask")
-    marks = mixed.unionAll(alike).groupBy("row").agg(F.collect_list(F.struct("place", "content", "offset", "windows", "mask")).alias("marks"))
+    # A set: equal rows have one hash and the same marks, which are as many as one of them has runs.
+    marks = mixed.unionAll(alike).groupBy("row").agg(F.collect_set(F.struct("place", "content", "offset", "windows", "mask")).alias("marks"))
     return _cut(df, marks, _row(key, text), text, width, kept, spans, as_text)
 
 
@@ -383,7 +389,7 @@ def _cut(df: DataFrame, marks: DataFrame, row, text: str, width: int, kept: str,
 
     def run(batches):
         span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in by_bytes(batches, at):
+        for batch in by_bytes(batches, at, _SLICE):
             stay, gone = [], []
             for k in range(batch.num_rows):
                 data = (batch.column(at)[k].as_py() or "").encode("utf-8", "surrogatepass")

@@ -118,3 +118,24 @@ def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     want = {i: (len((t or "").encode()), len((t or "").encode()) - len(k), len(s), hashlib.sha256(k).hexdigest()) for (i, t), (k, s) in zip(rows, slow([t for _, t in rows], 200))}
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op4_suffix_dedup"](spark, sf).collect()} == want
+
+
+def test_equal_rows_have_the_marks_of_one(spark, monkeypatch):
+    r = random.Random(11)
+    text = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(600))
+    other = text[:2000] + "x" + text[2001:]
+    sizes = []
+    cut = repeats._cut
+
+    def counted(df, marks, *rest):
+        sizes.append(marks.selectExpr("max(size(marks))").first()[0])
+        return cut(df, marks, *rest)
+
+    monkeypatch.setattr(repeats, "_cut", counted)
+    for ids in ([1] * 200, [None] * 200, range(200)):
+        rows = [(i, text) for i in ids] + [(1000, other)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = repeats.remove_repeats(df).collect()
+        want = dict(zip([t for _, t in rows[-2:]], slow([text, *[t for _, t in rows[-2:]]], 200)[1:]))
+        assert len(got) == 201 and all(bytes(g.kept) == want[g.text][0] for g in got)
+    assert max(sizes) < 2 * len(text) / 100  # about one run in 137 bytes, however many rows
