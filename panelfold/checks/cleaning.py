@@ -31,6 +31,19 @@ def panel_interpolate(spark, d):
     return out.select("c_custkey", "year", near("v"), near("w"))
 
 
+@query(
+    with_ctes(
+        f"SELECT event_type, event_id, {near_sql('v', 'v')} FROM interp",
+        {"long_keys": "SELECT event_type, event_id, CASE WHEN event_id % 3 = 0 THEN CAST(round(value * 100) AS BIGINT) / 64 END AS v FROM events", **interpolated_sql("long_keys", "event_type", "event_id", ["v"])},
+    )
+)
+def panel_interpolate_long(spark, d):
+    """A fifth of all events to a key: the keys are cut into segments."""
+    e = table(spark, d, "events")
+    rows = e.select("event_type", "event_id", F.when(F.col("event_id") % 3 == 0, cents("value") / 64).alias("v"))
+    return impute.interpolate_long(rows, ["event_type"], "event_id", ["v"]).select("event_type", "event_id", near("v"))
+
+
 @query(
     with_ctes(
         """

@@ -17,6 +17,7 @@ from panelfold.plans import load
 from panelfold.plans.delta import PanelStore
 from panelfold.plans.star import flat_panel
 from panelfold.sources import sinks
+from panelfold.streaming.maintained import MaintainedMeans, stream_means
 
 # Two measures of each fact that the comparison looks at, in the store's types.
 _SHOWN = {
@@ -149,3 +150,70 @@ def delta_loads(spark, d):
     for _ in range(2):
         store.load(rows.where((part == 5) | (F.col("c_custkey") == 1)))
     return store.read().select("c_custkey", "year", tb.near("v"), tb.near("w"))
+
+
+@query(with_ctes(" UNION ALL ".join(_audit_sql(t) for t in (schemas.DIMENSION, *schemas.FACTS))))
+def audit_of_writes(spark, d):
+    """The same figures, taken by the jobs that write the tables."""
+    return load.load_audited(spark, _folder(spark, "audited"), tb.star(spark, d))
+
+
+@query("""
+SELECT o_orderkey, 'changed' AS status, 'o_totalprice' AS columns FROM orders WHERE o_orderkey % 97 = 0
+UNION ALL SELECT o_orderkey, 'changed', 'o_custkey,o_orderpriority' FROM orders WHERE o_orderkey % 101 = 0 AND o_orderkey % 97 <> 0
+UNION ALL SELECT o_orderkey, 'missing', '' FROM orders WHERE o_orderkey % 103 = 0 AND o_orderkey % 97 <> 0 AND o_orderkey % 101 <> 0
+UNION ALL SELECT -o_orderkey, 'extra', '' FROM orders WHERE o_orderkey % 103 = 0 AND o_orderkey % 97 <> 0 AND o_orderkey % 101 <> 0
+""")
+def reconcile_content(spark, d):
+    """A written table with changed cells and exchanged rows, of as many rows as its source."""
+    o = tb.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    k = F.col("o_orderkey")
+    price, other = k % 97 == 0, (k % 101 == 0) & (k % 97 != 0)
+    gone = (k % 103 == 0) & ~price & ~other
+    sink = o.withColumns({
+        "o_totalprice": F.when(price, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_custkey": F.when(other, -F.col("o_custkey")).otherwise(F.col("o_custkey")),
+        "o_orderpriority": F.when(other, F.lit(None)).otherwise(F.col("o_orderpriority")),
+        "o_orderkey": F.when(gone, -k).otherwise(k),
+    })
+    stored = sinks.replace_table(sink, f"{_folder(spark, 'reconciled')}/orders")
+    found = quality.reconcile_content(o, stored, ["o_orderkey"])
+    return found.withColumn("columns", F.array_join(F.array_sort("columns"), ","))
+
+
+@query(
+    with_ctes("""
+SELECT country_code, year, life_expectancy_total FROM fact_life_expectancy
+WHERE CAST(country_code AS BIGINT) % 7 <> 0 OR (CAST(country_code AS BIGINT) % 14 = 0 AND year >= 1999)""")
+)
+def deletes_and_replays(spark, d):
+    """Countries that were deleted stay so when an older load is repeated; what a later load brings of them is there."""
+    facts = tb.fact_life_expectancy(spark, d).select("country_code", "year", "life_expectancy_total")
+    path, keys = f"{_folder(spark, 'ordered')}/facts", ["country_code", "year"]
+    number = F.col("country_code").cast("bigint")
+    first = lambda: sinks.upsert_ordered(spark, path, facts, keys, ["life_expectancy_total"], "year", at=1)
+    first()
+    sinks.delete_ordered(spark, path, facts.where(number % 7 == 0).select("country_code").distinct(), ["country_code"], "year", at=2)
+    sinks.upsert_ordered(spark, path, facts.where((number % 14 == 0) & (F.col("year") >= 1999)), keys, ["life_expectancy_total"], "year", at=3)
+    first()
+    sinks.delete_ordered(spark, path, facts.where(number % 7 == 0).select("country_code").distinct(), ["country_code"], "year", at=2)
+    return sinks.read_ordered(spark, path).select("country_code", "year", "life_expectancy_total")
+
+
+@query("""
+SELECT o_orderpriority, count(*) AS n, round(avg(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_totalprice + 100 END) * 64) / 64 AS mean_price
+FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 4 = 0 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority) FROM orders) GROUP BY 1
+""")
+def stream_group_means(spark, d):
+    """Means by priority after corrections that move orders between groups, and after files that are late or come twice."""
+    o = tb.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    folder, k = _folder(spark, "means"), F.col("o_orderkey")
+    wrong = o.withColumns({"o_totalprice": F.col("o_totalprice") + 100, "seq": F.lit(2)})
+    right = o.where(k % 2 == 0).withColumns({"o_orderpriority": F.when(k % 4 == 0, "1-URGENT").otherwise(F.col("o_orderpriority")), "seq": F.lit(3)})
+    late = o.where(k % 3 == 0).withColumns({"o_totalprice": F.lit(1.0), "seq": F.lit(1)})
+    store = MaintainedMeans(spark, f"{folder}/store", ["o_orderkey"], ["o_orderpriority"], ["o_totalprice"], "seq", buckets=8)
+    for part in (wrong, right, late, right):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        stream_means(store, f"{folder}/landing", part.schema, f"{folder}/checkpoint")
+    out = store.read()
+    return out.select("o_orderpriority", "n", tb.near("o_totalprice", 64).alias("mean_price"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import half_even
@@ -179,3 +180,90 @@ def reconcile(source: Mapping[str, DataFrame], sink: Mapping[str, DataFrame]) ->
     a = table_counts(source).withColumnRenamed("row_count", "source_rows")
     b = table_counts(sink).withColumnRenamed("row_count", "sink_rows")
     return a.join(b, "table_name", "full_outer").withColumn("same", F.col("source_rows").eqNullSafe(F.col("sink_rows")))
+
+
+# --- reconciliation by content -------------------------------------------------------------------
+
+
+def _row_hash(columns: Sequence[str]) -> Column:
+    """A row's hash; a NULL counts by its place, as a hash leaves it out otherwise."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c), F.col(c).isNull())])
+
+
+def content_digest(df: DataFrame, keys: Sequence[str], parts: int = 1024) -> DataFrame:
+    """(part, n, total, mixed): rows of each range of key hashes, and the sum and exclusive or of their hashes.
+
+    The digest does not depend on the order of rows or of tasks, counts repeated rows, and is one aggregation.
+    """
+    part = F.pmod(_row_hash(keys), F.lit(parts)).cast("int")
+    rows = df.select(part.alias("part"), _row_hash(sorted(df.columns)).alias("h"))
+    return rows.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("total"), F.bit_xor("h").alias("mixed"))
+
+
+def reconcile_content(source: DataFrame, sink: DataFrame, keys: Sequence[str], parts: int = 1024) -> DataFrame:
+    """Where two tables of one schema differ: (keys, status, columns), no rows if they hold the same rows as often.
+
+    Digests are compared first; only the rows of parts that differ are looked at, by key and row hash.  A key
+    is ``missing`` (in the source only), ``extra`` (in the sink only) or ``changed``: then ``columns`` names the cells that
+    differ, if it has one row on either side, and is empty if one side repeats a row.
+    """
+    if sorted(source.columns) != sorted(sink.columns):
+        raise ValueError("the tables have different columns")
+    names = sorted(source.columns)
+    a, b = content_digest(source, keys, parts), content_digest(sink, keys, parts)
+    facts = ("n", "total", "mixed")
+    both = a.join(b.select(F.col("part").alias("p"), *[F.col(c).alias(f"{c}_b") for c in facts]), F.col("part") == F.col("p"), "full_outer")
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"{c}_b")) for c in facts])
+    unlike = [r[0] for r in both.where(~same).select(F.coalesce("part", "p")).collect()]  # at most ``parts``
+    part = F.pmod(_row_hash(keys), F.lit(parts)).cast("int")
+    marked = [df.where(part.isin(unlike)).select(*names).withColumn("__side", F.lit(k)) for k, df in enumerate((source, sink))]
+    # Copies of a row are counted before rows of a key meet.
+    counts = marked[0].unionByName(marked[1]).groupBy(*names).agg(*[F.count_if(F.col("__side") == k).alias(f"__n{k}") for k in (0, 1)])
+    odd = counts.where("__n0 <> __n1")
+    rest = [c for c in names if c not in keys]
+    cells = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(1).alias("one"))
+    side = lambda k: F.col(f"__n{k}") > F.col(f"__n{1 - k}")
+    # The first odd row of either side tells the cells; a key with more of them has no list.
+    each = odd.groupBy(*keys).agg(
+        *[f.alias(f"__{n}{k}") for k in (0, 1) for n, f in (("rows", F.count_if(side(k))), ("row", F.min(F.when(side(k), cells))), ("had", F.sum(f"__n{k}")))]
+    )
+    differ = F.array_compact(F.array(*[F.when(~F.col(f"__row0.{c}").eqNullSafe(F.col(f"__row1.{c}")), F.lit(c)) for c in rest])) if rest else F.array().cast("array<string>")
+    single = (F.col("__rows0") == 1) & (F.col("__rows1") == 1)
+    status = F.when(F.col("__had1") == 0, "missing").when(F.col("__had0") == 0, "extra").otherwise("changed")
+    listed = F.when((status == "changed") & single, differ).otherwise(F.array().cast("array<string>"))
+    return each.select(*keys, status.alias("status"), listed.alias("columns"))
+
+
+# --- the audit of a write, taken while it is written -----------------------------------------------
+
+
+class WriteAudit:
+    """The audit of one table, collected by the job that writes it: no second scan.
+
+    Write ``of(df)`` instead of ``df``; after the write, ``report`` is the row that ``audit`` would give for the table.
+    """
+
+    def __init__(self, spark, table: str, columns: Sequence[str], period: str = "year", limit_pct: float = 1.0):
+        self.spark, self.table, self.period, self.limit_pct = spark, table, period, limit_pct
+        self.audited = [c for c in columns if c not in AUDIT_SKIP]
+        self.observation = Observation(f"audit-{uuid.uuid4().hex}")
+        self.has_period = period in columns
+
+    def of(self, df: DataFrame) -> DataFrame:
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(self.audited)]
+        periods = [F.min(self.period).cast("int").alias("first_period"), F.max(self.period).cast("int").alias("last_period")] if self.has_period else []
+        return df.observe(self.observation, F.count(F.lit(1)).alias("row_count"), *periods, *nulls)
+
+    def empty_cells(self) -> dict[str, int]:
+        """NULL cells by column."""
+        seen = self.observation.get
+        return {c: seen[f"null_{i}"] for i, c in enumerate(self.audited)}
+
+    def report(self) -> DataFrame:
+        seen, nulls = self.observation.get, sum(self.empty_cells().values())
+        n = seen["row_count"]
+        one = self.spark.createDataFrame(
+            [(self.table, n, seen.get("first_period"), seen.get("last_period"), nulls)], "table_name string, row_count long, first_period int, last_period int, nulls long"
+        )
+        share = half_even(F.col("nulls") / F.lit(max(n * len(self.audited), 1)) * 100.0, 2)
+        return one.withColumn("null_pct", share).withColumn("status", F.when(F.col("null_pct") < self.limit_pct, "complete").otherwise("incomplete")).drop("nulls")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.operators.quality import audit, table_counts
+from panelfold.operators.quality import WriteAudit, audit, table_counts
 from panelfold.schemas import DIMENSION, FACTS, KEYS, STAMPS, TABLES, measures
 from panelfold.sources import sinks
 
@@ -55,6 +56,18 @@ def load_star(spark: SparkSession, root: str, clean: Mapping[str, DataFrame], lo
     return {t: read_table(spark, root, t) for t in (DIMENSION, *FACTS) if t in clean}
 
 
+def load_audited(spark: SparkSession, root: str, clean: Mapping[str, DataFrame], limit_pct: float = 1.0) -> DataFrame:
+    """First load of the given clean tables, each written and audited in one scan; returns the audit's rows."""
+    reports = []
+    for table in (DIMENSION, *FACTS):
+        if table in clean:
+            rows = sinks.conform(clean[table], _clean_schema(table))
+            seen = WriteAudit(spark, table, rows.columns, PERIOD, limit_pct)
+            sinks.replace_table(seen.of(rows), f"{root.rstrip('/')}/{table}", [PERIOD] if table != DIMENSION else [])
+            reports.append(seen.report())
+    return reduce(DataFrame.unionByName, reports)
+
+
 def load_report(tables: Mapping[str, DataFrame], limit_pct: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """Rows per table, and the audit of periods and empty cells."""
     return table_counts(tables), audit(tables, PERIOD, limit_pct)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,6 +190,69 @@ def upsert_partitions(
     return touched
 
 
+# --- loads and deletes in any order ----------------------------------------------------------------
+
+LOADED, KEPT = "_at", "_kept"  # number of the load a row is from, and whether it is not deleted
+
+
+def _deletions(spark: SparkSession, table: str) -> DataFrame | None:
+    """(keys, _gone): the last deletion of each key."""
+    where = f"{table}.deleted"
+    return read_version(spark, where) if versions(spark, where) else None
+
+
+def delete_ordered(spark: SparkSession, table: str, doomed: DataFrame, keys: Sequence[str], partition: str, at: int) -> None:
+    """Delete the rows of some keys (a table's keys or some of them) that loads up to number ``at`` have brought.
+
+    The deletion is kept: a load with a smaller number that comes, or comes again, later does not bring the rows
+    back, one with a larger number does.  Deletions of a table name the same key columns.  Only the partitions that hold
+    such rows are rewritten, in which the rows are marked.
+    """
+    new = stage(doomed.select(*keys, F.lit(at).cast("long").alias("_gone")).distinct(), "deleted")
+    old = _deletions(spark, table)
+    every = new if old is None else old.unionByName(new).groupBy(*keys).agg(F.max("_gone").alias("_gone"))
+    done = versions(spark, f"{table}.deleted")
+    write_version(stage(every, "deletions"), f"{table}.deleted", done[-1] + 1 if done else 0)
+    prune_versions(spark, f"{table}.deleted", 2)
+    if not path_exists(spark, table):
+        return
+    rows = spark.read.parquet(table)
+    old_rows = (F.col(LOADED) <= at) & F.col(KEPT)
+    hit = [r[0] for r in rows.where(old_rows).join(new, list(keys), "left_semi").select(partition).distinct().collect()]  # one a partition
+    if hit:
+        named = new.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__gone"))
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
+        near = rows.where(F.col(partition).isin(hit)).join(named, same, "left")
+        kept = F.col(KEPT) & ~(F.coalesce("__gone", F.lit(False)) & (F.col(LOADED) <= at))
+        out = stage(near.withColumn(KEPT, kept).select(*rows.columns), "kept")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(table)
+
+
+def upsert_ordered(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], update: Sequence[str], partition: str, at: int) -> None:
+    """``upsert_partitions`` for loads that may come late or again: number ``at`` decides, not the time of arrival.
+
+    A row replaces one of the same key from a load with a smaller number or the same, and is left out if a deletion
+    of a larger number names its key.
+    """
+    rows = source
+    gone = _deletions(spark, table)
+    if gone is not None:
+        names = [c for c in gone.columns if c != "_gone"]
+        later = gone.where(F.col("_gone") >= at).select(*[F.col(c).alias(f"__{c}") for c in names])
+        rows = rows.join(later, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__{c}") for c in names]), "left_anti")
+    if path_exists(spark, table):
+        newer = spark.read.parquet(table).where(F.col(LOADED) > at).select(*[F.col(k).alias(f"__{k}") for k in keys])
+        rows = rows.join(newer, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys]), "left_anti")
+    rows = stage(rows.withColumns({LOADED: F.lit(at).cast("long"), KEPT: F.lit(True)}), "ordered")
+    if rows.head(1):
+        upsert_partitions(spark, table, rows, keys, [*update, LOADED, KEPT], partition)
+
+
+def read_ordered(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table written by ``upsert_ordered`` and ``delete_ordered``."""
+    return spark.read.parquet(table).where(KEPT).drop(KEPT, LOADED)
+
+
 def upsert_report(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows inserted, updated, unchanged and untouched by a merge."""
     return upsert_counts(merge_upsert(target, source, keys, update, order, action=True)).withColumnRenamed(ACTION, "action")
