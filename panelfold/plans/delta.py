@@ -126,7 +126,8 @@ class PanelStore:
         return report
 
     def _overwrite(self, rows: DataFrame, part: str, by: list[str]) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self._at(part))
+        # One file a partition, whatever the number of tasks.
+        rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self._at(part))
 
     def _next_version(self) -> int:
         done = sinks.versions(self.spark, self._at("medians"))
