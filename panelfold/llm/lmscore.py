@@ -18,7 +18,8 @@ change the cost and no result.
 ``most_words`` and ``most_pairs`` make models of a wanted size instead: the highest frequency classes that fit
 whole, all other words as one unknown word, all other pairs by their back-off.
 
-Counting combines ``_TOKENS`` words of a task at a time before the shuffle.  Defined results: NULL and empty texts have losses
+Counting combines ``_TOKENS`` words of a task at a time before the shuffle, and what is left of the pairs is summed in parts
+of a bounded size.  Defined results: NULL and empty texts have losses
 of zero; a word that the corpus lacks has the count zero and as a context says nothing; repeated rows count
 and are scored each; ids of the list without a document are ignored; without target documents both models
 are the background and every difference is zero.
@@ -40,14 +41,16 @@ from pyspark.sql import types as T
 
 from panelfold.llm.common import as_schema, by_bytes, discard, settle, stage, temp_name, text_of
 from panelfold.llm.toxicity import words
+from panelfold.operators.sizing import join_small
 
 HEAD_WORDS = 1 << 16
 HEAD_PAIRS = 1 << 18
 DISCOUNT = 1.0  # what was seen once says nothing, so that a text does not vouch for itself
-_TOKENS = 1 << 22
+_TOKENS = 1 << 21
+_PART_WORDS = 1 << 20  # of the corpus, whose pairs one part holds
 _KNOWN = 1 << 19  # words whose hashes a worker remembers
 _SAMPLE, _SAMPLE_CHARS, _USUAL = 4096, 1 << 14, 1 << 16
-_SLOTS = 27  # bits of the bitmap's address
+_SLOTS = 28  # bits of the bitmap's address at most: 32 MB, an eighth full with 2^25 keys
 _ALONE, _LAST = -1, -2  # stand before a word for the word by itself, and for the last of a text
 _START = 0  # before the first word; as a word, 0 is every word outside the vocabulary
 
@@ -101,17 +104,27 @@ class _Hashes(dict):
         return h
 
 
-def _usual_words(rows: DataFrame) -> dict[str, int]:
-    """Numbers from 1 for the most frequent words of the texts with the smallest hash; they change no result."""
+def _usual_words(rows: DataFrame) -> tuple[dict[str, int], int]:
+    """Numbers from 1 for the most frequent words of about ``_SAMPLE`` texts, which change no result, and about how many words there are.
+
+    The sample is all texts with a small hash, so no text leaves its task.
+    """
 
     def count(batches):
-        n = Counter(w for batch in batches for t in batch.column(0).to_pylist() for w in words(t))
+        n = Counter()
+        for batch in by_bytes(batches, 0):
+            n.update(w for t in batch.column(0).to_pylist() for w in words(t))
         top = n.most_common(_USUAL)
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([k for _, k in top], pa.int64())], names=["word", "n"])
 
-    some = rows.select(F.substring("text", 1, _SAMPLE_CHARS).alias("text")).orderBy(F.xxhash64("text"), "text").limit(_SAMPLE)
-    found = some.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(_USUAL)
-    return {r[0]: k for k, r in enumerate(found.select("word").collect(), 1)}
+    total = rows.count()
+    share = min(1.0, _SAMPLE / max(total, 1))
+    chosen = rows.where(F.pmod(F.xxhash64("row", "text"), F.lit(1 << 32)) < F.lit(int(share * (1 << 32)) + 1))
+    counts = chosen.select(F.substring("text", 1, _SAMPLE_CHARS).alias("text")).mapInArrow(count, "word string, n long")
+    counts = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "sampled-words")
+    found = counts.orderBy(F.desc("n"), "word").limit(_USUAL)
+    n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {r[0]: k for k, r in enumerate(found.select("word").collect(), 1)}, int(n_words / share)
 
 
 def _hashed(hashes: _Hashes, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +173,7 @@ class Head:
     bitmap: np.ndarray | None = None  # of the keys of the table that holds the others
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys.view(np.uint64) >> np.uint64(64 - _SLOTS)
+        slot = keys.view(np.uint64) >> np.uint64(58 - (len(self.bitmap) - 1).bit_length())
         return (self.bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
     def sums(self, hashes: _Hashes, texts: list[str]):
@@ -204,25 +217,81 @@ class Whole:
     table: DataFrame | None
 
 
-def _pair_counts(flagged: DataFrame, usual: dict[str, int]) -> DataFrame:
-    """(b, w, n, t): how often a word stands after another, by itself and last, in all texts and in the target's."""
+def _combined(b: np.ndarray, w: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(b, w, n, t) with each pair once, in the order of the pairs' keys as unsigned numbers."""
+    key = _pair_key(b, w).view(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1]) if len(key) else np.zeros(0, np.int64)
+    if not len(key):
+        return b, w, n, t
+    return b[order[starts]], w[order[starts]], np.add.reduceat(n[order], starts), np.add.reduceat(t[order], starts)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The values' bytes, the lowest of all first: planes of zeros compress to nothing."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _values(blob: bytes, at: int, n: int, kind: str) -> tuple[np.ndarray, int]:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64), at + n * width
+
+
+def _packed(b: np.ndarray, w: np.ndarray, n: np.ndarray, t: np.ndarray) -> bytes:
+    """The columns in the order of ``b``: which words have a number, the numbers, the other words' hashes, and the counts."""
+    order = np.argsort(b)
+    parts = []
+    for c in (b[order], w[order]):
+        usual = (c >= _LAST) & (c < 1 << 24)
+        parts += [np.packbits(usual).tobytes(), int(usual.sum()).to_bytes(4, "little"), _planes((c[usual] - _LAST).astype("<u4")), _planes(c[~usual].astype("<i8"))]
+    kind = "<u1" if n.max(initial=0) < 256 else "<i8"
+    parts += [_planes(c[order].astype(kind)) for c in (n, t)]
+    return len(b).to_bytes(4, "little") + bytes([np.dtype(kind).itemsize]) + b"".join(parts)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
+    rows, kind, at, out = int.from_bytes(blob[:4], "little"), {1: "<u1", 8: "<i8"}[blob[4]], 5, []
+    for _ in range(2):
+        size = (rows + 7) // 8
+        usual = np.unpackbits(np.frombuffer(blob, np.uint8, size, at), count=rows).astype(bool)
+        few = int.from_bytes(blob[at + size : at + size + 4], "little")
+        c = np.empty(rows, np.int64)
+        c[usual], at = _values(blob, at + size + 4, few, "<u4")
+        c[usual] += _LAST
+        c[~usual], at = _values(blob, at, rows - few, "<i8")
+        out.append(c)
+    for _ in range(2):
+        c, at = _values(blob, at, rows, kind)
+        out.append(c)
+    return tuple(out)
+
+
+def _pair_counts(flagged: DataFrame, usual: dict[str, int], n_words: int) -> DataFrame:
+    """(b, w, n, t): how often a word stands after another, by itself and last, in all texts and in the target's.
+
+    Pairs seen once are counted and then left out, as their discount is their whole count.  A task counts ``_TOKENS``
+    words at a time and deals its pairs by their key into parts, of which there are as many as keep
+    one in a task's memory; a part travels as one row.
+    """
     shipped = flagged.sparkSession.sparkContext.broadcast(usual)
+    bits = max(4, int(np.ceil(np.log2(max(n_words, 1) / _PART_WORDS + 1))))
 
-    def combined(parts: list[tuple]):
+    def dealt(parts: list[tuple]):
         before, word, flags, last = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        rows = []
-        for b, w, f in ((before, word, flags), (np.full(len(word), _ALONE), word, flags), (np.full(last.sum(), _LAST), word[last], flags[last])):
-            key = _pair_key(b, w)
-            order = np.argsort(key)
-            key = key[order]
-            starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
-            n, t = np.diff(np.append(starts, len(key))), np.add.reduceat(f[order].astype(np.int64), starts)
-            rows.append((b[order[starts]], w[order[starts]], n, t))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[k] for r in rows])) for k in range(4)], names=["b", "w", "n", "t"])
+        b = np.concatenate([before, np.full(len(word), _ALONE), np.full(last.sum(), _LAST)])
+        w, f = np.concatenate([word, word, word[last]]), np.concatenate([flags, flags, flags[last]])
+        del before, word, flags, last
+        b, w, n, t = _combined(b, w, np.ones(len(w), np.int64), f.astype(np.int64))
+        part = (_pair_key(b, w).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1, [len(part)]])
+        blobs = [_packed(b[x:y], w[x:y], n[x:y], t[x:y]) for x, y in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], names=["part", "pairs"])
 
     def count(batches):
         hashes, parts, held = _Hashes(shipped.value), [], 0
-        for batch in by_bytes(batches, 0):
+        for batch in by_bytes(batches, 0, 1 << 20):
             before, word, ends = _hashed(hashes, batch.column(0).to_pylist())
             if len(word):
                 flags = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -231,28 +300,51 @@ def _pair_counts(flagged: DataFrame, usual: dict[str, int]) -> DataFrame:
                 parts.append((before, word, np.repeat(flags, np.diff(ends, prepend=0)), last))
                 held += len(word)
             if held >= _TOKENS:
-                yield combined(parts)
+                yield dealt(parts)
                 parts, held = [], 0
         if held:
-            yield combined(parts)
+            yield dealt(parts)
+
+    def summed(batches):
+        part, held, size = None, [], 0
+
+        def out():
+            b, w, n, t = _combined(*[np.concatenate([h[k] for h in held]) for k in range(4)])
+            kept = (n > DISCOUNT) | (b == _ALONE) | (b == _LAST)
+            return pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (b, w, n, t)], names=["b", "w", "n", "t"])
+
+        for batch in batches:
+            for p, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part is not None and p != part:
+                    yield out()
+                    held, size = [], 0
+                part = p
+                held.append(_unpacked(blob.as_py()))
+                size += len(held[-1][0])
+                if size > 4 * _PART_WORDS and len(held) > 1:
+                    held = [_combined(*[np.concatenate([h[k] for h in held]) for k in range(4)])]
+                    size = len(held[0][0])
+        if held:
+            yield out()
 
-    return flagged.mapInArrow(count, "b long, w long, n long, t long").groupBy("b", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    parts = flagged.mapInArrow(count, "part int, pairs binary").repartition(1 << bits, "part").sortWithinPartitions("part")
+    return parts.mapInArrow(summed, "b long, w long, n long, t long")
 
 
 def _bitmap(table: DataFrame) -> np.ndarray:
-    """Which leading bits of the keys occur, as words of 64."""
-    slot = F.shiftrightunsigned("key", 64 - _SLOTS)
+    """Which leading bits of the keys occur, as words of 64; there are about eight places a key, up to a bound."""
+    slots = min(_SLOTS, max(16, (8 * table.count()).bit_length()))
+    slot = F.shiftrightunsigned("key", 64 - slots)
     words = table.select(F.shiftright(slot, 6).alias("at"), (slot % 64).cast("int").alias("bit"))
     words = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
-    out = np.zeros(1 << (_SLOTS - 6), np.uint64)
+    out = np.zeros(1 << (slots - 6), np.uint64)
     out[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
 def _fit_whole(rows: DataFrame, flagged: DataFrame, head_words: int, head_pairs: int) -> Whole:
-    usual = _usual_words(rows)
-    # A pair seen once has a share of zero.
-    counts = _pair_counts(flagged, usual).where((F.col("n") > DISCOUNT) | F.col("b").isin(_ALONE, _LAST))
+    usual, n_words = _usual_words(rows)
+    counts = _pair_counts(flagged, usual, n_words)
     counts = counts_staged = settle(counts, "pair-counts")
     if not counts.agg(F.sum("t")).first()[0]:  # no target: both are the background
         counts = counts.withColumn("t", F.col("n"))
@@ -336,9 +428,9 @@ def fit(
 ) -> Whole | Matched:
     """Matched models of all ``documents`` and of those whose key is in ``target``."""
     rows = documents.select(F.col(f"`{key}`").alias("row"), text_of(text).alias("text"))
-    marked = target.select(F.col(f"`{key}`").alias("of")).where("of IS NOT NULL").distinct().withColumn("in_target", F.lit(True))
-    # The list grows with the corpus, so the join is a shuffle at every size.
-    flagged = rows.join(marked.hint("merge"), F.col("row") == F.col("of"), "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
+    marked = target.select(F.col(f"`{key}`").alias("row")).where("row IS NOT NULL").distinct().withColumn("in_target", F.lit(True))
+    # The list grows with the corpus: it is broadcast as long as its measured size allows, else both sides are shuffled.
+    flagged = join_small(rows, marked, ["row"], "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
     if most_words is None and most_pairs is None:
         return _fit_whole(rows, flagged, head_words, head_pairs)
     most_words, most_pairs = (sys.maxsize if m is None else m for m in (most_words, most_pairs))

@@ -98,6 +98,16 @@ def test_the_models_grow_with_the_corpus(spark, docs):
     assert by_text[rare[0]] < min(by_text[t] for t in rare[1:]) - 1
 
 
+def test_pairs_travel_unchanged():
+    r = np.random.default_rng(4)
+    for size in (1, 7, 300):
+        for most in (200, 10**9):
+            b, w = (np.where(r.random(size) < 0.5, r.integers(-2, 70_000, size), r.integers(-(2**63), 2**63 - 1, size)) for _ in range(2))
+            n, t = r.integers(1, most, size), r.integers(0, 2, size)
+            rows = lmscore._unpacked(lmscore._packed(b, w, n, t))
+            assert sorted(zip(*(c.tolist() for c in rows))) == sorted(zip(*(c.tolist() for c in (b, w, n, t))))
+
+
 def test_empty_tables(spark, docs):
     chosen = spark.createDataFrame([], "doc_id long")
     models = lmscore.fit(docs([]), chosen)
