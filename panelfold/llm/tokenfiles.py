@@ -42,8 +42,8 @@ from panelfold.llm.common import as_schema, by_bytes, temp_name, text_of
 ROW_GROUP = 16 << 20  # bytes
 PAGE = 64 << 10  # bytes
 PAGE_ROWS = 512  # rows of a page, for the narrow columns
-_REMEMBERED = 1 << 19  # stretches whose ids a worker remembers
-_BATCH = 2 << 20  # bytes of text encoded at once
+_REMEMBERED = 3 << 18  # stretches whose ids a worker remembers
+_BATCH = 4 << 20  # bytes of text encoded at once
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+")
 # Letters and then signs that make one match; an apostrophe may begin another one.
 _ENDED = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+)([!-&(-/:-@\[-`{-~]+)")
@@ -139,11 +139,11 @@ class Encoder:
         for s, ids in zip(others, self._whole([s if s[0] == "\n" else f" {s}" for s in others])):
             known[s] = _packed(ids)
 
-    def __call__(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def __call__(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each followed by ``end`` (packed ids), and how many each text has."""
         texts = pc.fill_null(texts, "")
         if not self.by_stretch or not len(texts):
-            return [_packed(ids) for ids in self._whole(texts.to_pylist())]
+            return _joined([_packed(ids) + end for ids in self._whole(texts.to_pylist())])
         if len(self.known) + len(self.ends) > _REMEMBERED:
             self.known.clear()
             self.ends.clear()
@@ -153,24 +153,36 @@ class Encoder:
         flat = cut.flatten()
         coded = flat.dictionary_encode()
         stretches = coded.dictionary.to_pylist()
-        self._learn([s for s in stretches if s not in self.known])
-        ids = [self.known[s] for s in stretches]
+        ids = list(map(self.known.get, stretches))
+        new = [k for k, i in enumerate(ids) if i is None]
+        self._learn([s for s in map(stretches.__getitem__, new) if s not in self.known])
+        for k in new:
+            ids[k] = self.known[stretches[k]]
         # A text's first stretch has no space before it; where white space ends it, or is all there is of another, the text is encoded whole.
         firsts = flat.take(pa.array(start)).to_pylist()
         place = coded.indices.to_numpy().astype(np.int64)
-        tied = np.fromiter((i is None for i in ids), bool, len(ids))[place]
+        tied = np.zeros(len(ids), bool)
+        tied[[k for k in new if ids[k] is None]] = True
+        tied = tied[place]
         tied[start] = [not s or s[-1].isspace() for s in firsts]
         whole = (np.add.reduceat(tied, start, dtype=np.int64) > 0) & (n > 1)
         place[start] = len(ids) + np.arange(len(firsts))
         ids += map(_packed, self._whole(firsts))
-        joined = pa.array(ids, pa.large_binary()).take(pa.array(place))
-        edges = np.frombuffer(joined.buffers()[1], np.int64)[np.append(start, len(place))].tolist()
-        data = memoryview(joined.buffers()[2] or b"")
-        out = [bytes(data[a:b]) for a, b in zip(edges, edges[1:])]
+        place = np.insert(place, start + n, len(ids))  # the end behind each text
+        joined = pa.array([*ids, end], pa.large_binary()).take(pa.array(place))
+        edges = np.frombuffer(joined.buffers()[1], np.int64)[: len(place) + 1][np.append(start + np.arange(len(n)), len(place))]
+        data = np.frombuffer(joined.buffers()[2] or b"", np.uint8)[: edges[-1]]
+        if not whole.any():
+            return data.view("<i4"), np.diff(edges) // 4
+        out = [data[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
         again = np.nonzero(whole)[0].tolist()
         for k, of in zip(again, self._whole([texts[k].as_py() for k in again])):
-            out[k] = _packed(of)
-        return out
+            out[k] = _packed(of) + end
+        return _joined(out)
+
+
+def _joined(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(packed), "<i4"), np.fromiter(map(len, packed), np.int64, len(packed)) // 4
 
 
 @lru_cache(maxsize=1)
@@ -236,10 +248,9 @@ def _encoded(ordered: DataFrame, text: str, tokenizer: str, end_id: int) -> Data
     def run(batches):
         encode, place = _encoder(shipped.value), 0
         for batch in by_bytes(batches, at, _BATCH):
-            ids = [i + end for i in encode(batch.column(at))]
-            n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            ids, n = encode(batch.column(at), end)
             ends = place + np.cumsum(n)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends - place).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends - place).astype(np.int32)), pa.array(ids))
             same = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*same, batch.column("part"), pa.array(ends - n), pa.array(n.astype(np.int32)), lists], names=schema.names)
             place = int(ends[-1])
