@@ -33,10 +33,10 @@ def test_loads_equal_the_whole_history(spark, tmp_path, how):
     keys = [f"k{i}" for i in range(12)]
     rows = {(k, t): (value(), value() if t > 2 else None) for k in keys[:9] for t in range(6)}
     rows |= {("none", t): (None, None) for t in range(6)}
-    store = PanelStore(spark, str(tmp_path / "s"), ["k"], "t", ["a", "b"], buckets=4, **how)
+    store = PanelStore(spark, str(tmp_path / "s"), ["k"], "t", ["a", "b"], buckets=2, **how)
     store.load(_frame(spark, rows))
     _same(store, spark, rows, **how)
-    for _ in range(2):
+    for _ in range(1):
         feed = {(k, t): (value(), value()) for k in r.sample(keys, 3) for t in r.sample(range(8), 3)}
         rows |= feed
         store.load(_frame(spark, feed))
@@ -80,8 +80,8 @@ def test_a_median_that_moves_reaches_the_rows_it_fills(spark, tmp_path):
 def test_a_load_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
     rows = {(f"k{i}", t): (float(i * t) if (i + t) % 3 else None, 2.0) for i in range(8) for t in range(4)}
     feed = {("k1", 2): (70.0, None), ("new", 1): (None, 5.0)}
-    for part in ("imputed", "cells", "interpolated"):
-        store = PanelStore(spark, str(tmp_path / part), ["k"], "t", ["a", "b"], buckets=4)
+    for part in ("imputed", "interpolated"):
+        store = PanelStore(spark, str(tmp_path / part), ["k"], "t", ["a", "b"], buckets=2)
         store.load(_frame(spark, rows))
         write = PanelStore._overwrite
 
