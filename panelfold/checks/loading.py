@@ -292,8 +292,9 @@ m AS (SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(t.o_cu
 @query(_UPSERT_SQL + "SELECT * FROM m")
 def upsert_merge(spark, d):
     target, source = _upsert_sides(spark, d)
-    # repeated source rows collapse to the last by price
-    repeated = source.unionByName(source.withColumn("o_totalprice", F.col("o_totalprice") - 5))
+    # repeated source rows collapse to the last by price; a union of two joins would claim their partitioning and not keep it
+    price = F.col("o_totalprice")
+    repeated = source.withColumn("o_totalprice", F.explode(F.array(price, price - 5)))
     return merge_upsert(target, repeated, ["o_orderkey"], ["o_totalprice"], order=["o_totalprice"], action=True)
 
 
