@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 
-from panelfold.checks import loading
+from panelfold.checks import loading, testbed
 
 
 @pytest.fixture
@@ -28,3 +29,33 @@ def test_upsert_merge_with_shuffled_joins(spark, tmp_path, shuffled_joins):
     assert got == [
         (1, 10, 100.0, "5-LOW", "untouched"), (2, 10, 100.0, "5-LOW", "unchanged"), (3, 11, 101.0, "2-HIGH", "updated"), (4, 12, 101.0, "0-NEW", "inserted"),
     ]
+
+
+def test_panel_shuffles_each_row_once_a_key(spark, tmp_path, shuffled_joins):
+    """Facts are joined as they were grouped: one shuffle by (country, year) each, and line items pass one by their order."""
+    day = [datetime.datetime(y, 5, 1) for y in (1997, 1998)]
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "X", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "a", 0, 5.0, "BUILDING")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": (
+            [(1, 1, "F", 10.0, day[0], "1-URGENT"), (1, 1, "F", 20.0, day[0], "1-URGENT"), (2, 1, "F", 30.0, day[1], "2-HIGH")],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+        ),
+        "lineitem": (
+            [(1, 2.0, 1.0, 0.01, day[0]), (1, 3.0, None, 0.02, day[0]), (2, 4.0, 1.5, None, day[0]), (2, 4.0, 1.5, 0.0, None), (None, 9.0, 9.0, 0.0, day[0]), (2, 5.0, 2.5, 0.03, day[1])],
+            "l_orderkey long, l_quantity double, l_extendedprice double, l_tax double, l_shipdate timestamp",
+        ),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    facts = {r.year: r for r in testbed.fact_cardiovascular(spark, str(tmp_path)).collect()}
+    # order 1 is there twice, so each of its lines counts twice
+    assert {y: (r.deaths_total, r.high_sbp_deaths, r.smoking_deaths, r.deaths_per_100k) for y, r in facts.items()} == {
+        1997: (500, 14.0, 6.0, 350 / 50000), 1998: (100, 5.0, 3.0, 250 / 10000), None: (100, 4.0, 0.0, 150 / 10000),
+    }
+    panel = testbed.panel(spark, str(tmp_path))
+    assert sorted(r.year for r in panel.collect()) == [1997, 1998]
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", panel._jdf.queryExecution().sparkPlan().toString() + panel._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1])
+    by = [tuple(re.sub(r"#\d+L?", "", k).split(", ")) for k in keys]
+    assert sum(k[0] == "l_orderkey" for k in by) == 1 and sum(k == ("country_code", "year") or len(k) == 2 for k in by) == 4, by
