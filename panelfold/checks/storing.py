@@ -213,7 +213,7 @@ def stream_group_means(spark, d):
     late = o.where(k % 3 == 0).withColumns({"o_totalprice": F.lit(1.0), "seq": F.lit(1)})
     store = MaintainedMeans(spark, f"{folder}/store", ["o_orderkey"], ["o_orderpriority"], ["o_totalprice"], "seq", buckets=8)
     for part in (wrong, right, late, right):
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        part.write.mode("append").parquet(f"{folder}/landing")
         stream_means(store, f"{folder}/landing", part.schema, f"{folder}/checkpoint")
     out = store.read()
     return out.select("o_orderpriority", "n", tb.near("o_totalprice", 64).alias("mean_price"))

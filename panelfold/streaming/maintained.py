@@ -51,7 +51,9 @@ class MaintainedMeans:
         """
         bucket = F.pmod(F.hash(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets))
         columns = list(dict.fromkeys([*self.keys, *self.groups, *self.measures, self.order]))
-        rows = latest_per_key(batch.select(*columns), self.keys, [self.order]).withColumn(BUCKET, bucket)
+        # dealt evenly first: a landed file is one task's, and that task would sort all of its rows by key
+        dealt = batch.select(*columns).hint("rebalance")
+        rows = latest_per_key(dealt, self.keys, [self.order]).withColumn(BUCKET, bucket)
         rows = stage(rows, "batch")
         touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most all buckets
         old = None

@@ -6,8 +6,11 @@ import datetime
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelfold.checks import loading, testbed
+from panelfold.operators.upsert import latest_per_key
+from panelfold.streaming import maintained
 
 
 @pytest.fixture
@@ -59,3 +62,25 @@ def test_panel_shuffles_each_row_once_a_key(spark, tmp_path, shuffled_joins):
     keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", panel._jdf.queryExecution().sparkPlan().toString() + panel._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1])
     by = [tuple(re.sub(r"#\d+L?", "", k).split(", ")) for k in keys]
     assert sum(k[0] == "l_orderkey" for k in by) == 1 and sum(k == ("country_code", "year") or len(k) == 2 for k in by) == 4, by
+
+
+def test_a_landed_file_is_not_one_tasks(spark, tmp_path, monkeypatch):
+    """The rows of a batch that comes in one partition are dealt before they are reduced by key."""
+    seen = []
+
+    def reduced(rows, keys, order):
+        every = F.sum(F.xxhash64(*rows.columns) % 7)  # so that no column is left out of the dealing
+        parts = rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("count"), every).collect()
+        seen.append([r["count"] for r in parts])
+        return latest_per_key(rows, keys, order)
+
+    monkeypatch.setattr(maintained, "latest_per_key", reduced)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        batch = spark.range(100_000).selectExpr("id % 99999 AS k", "id % 3 AS g", "double(id) AS v", "id AS seq").coalesce(1)
+        store = maintained.MaintainedMeans(spark, str(tmp_path / "s"), ["k"], ["g"], ["v"], "seq", buckets=2)
+        store.apply(batch, "one")
+        assert sum(r.n for r in store.read().collect()) == 99_999
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(seen[0]) > 1 and max(seen[0]) < 60_000, seen
