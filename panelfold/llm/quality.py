@@ -4,8 +4,7 @@ Shallow random trees are fitted on statistics of labelled texts; every path from
 conjunctive rule.  A logistic regression with a lasso penalty weighs the rules, most of them at zero, and
 the rest is compiled into one Spark column expression.  Scoring is a projection: no shuffle, no Python.
 
-The trees and weights are fitted on at most ``TRAINING_TEXTS`` labelled texts (those with the smallest hash
-of the id).  Defined results: NULL and empty texts have statistics of zero and the score of those; NULL
+The trees and weights are fitted on every labelled text of the training part.  Defined results: NULL and empty texts have statistics of zero and the score of those; NULL
 labels are left out; a repeated id is of quality only if all its labels are; without labels of both kinds
 every score is the smoothed share of good ones.
 """
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 from panelfold.llm.common import stage, temp_name, text_of
 
-TRAINING_TEXTS = 16_384
 TREES = 24
 DEPTH = 4
 PENALTY = 0.001
@@ -102,7 +100,7 @@ def tree_rules(description: str, names: list[str]) -> list[tuple[tuple[str, bool
 
 
 def fit(training: DataFrame, label: str, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY, seed: int = 11) -> Ensemble:
-    """An ensemble from rows of ``text`` and a 0/1 ``label``, which the caller has bounded."""
+    """An ensemble from rows of ``text`` and a 0/1 ``label``."""
     rows = training.select(text_of("text").alias("t"), F.col(label).cast("double").alias("good"))
     statistic = statistics(F.col("t"))
     names = list(statistic)

@@ -102,7 +102,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of good quality of every document."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    training = toxicity.training_rows(documents, read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2, most=quality.TRAINING_TEXTS, of=F.min)
+    training = toxicity.training_rows(documents, read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2, of=F.min)
     scored = quality.score_texts(documents, quality.fit(training, "quality"))
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

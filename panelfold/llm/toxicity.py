@@ -6,8 +6,9 @@ as likely under either and says nothing.  A text's evidence is the difference of
 per word, over the whole text and over its most telling passage of ``PASSAGE`` words; a logistic
 calibration, fitted on training texts that the counts have not seen, turns it into a probability.
 
-The models are fitted on at most ``TRAINING_TEXTS`` labelled texts (those with the smallest hash of the
-id), which bounds what is collected and broadcast.  Scoring is one pass without a shuffle.
+The models are fitted on every labelled text of the training part.  What is collected and broadcast is the models:
+words and pairs with a count of their own, whose number follows the vocabulary and not the texts.  Counts, the
+removal of copies and the calibration are Spark's sums and joins.  Scoring is one pass without a shuffle.
 
 Defined results: NULL and empty texts have log-likelihoods of zero and the score of that evidence; labels
 that are NULL are left out, a repeated id counts as toxic if any of its rows is, and copies of a text under
@@ -30,7 +31,6 @@ from pyspark.sql import types as T
 
 from panelfold.llm.common import as_schema, by_bytes, stage, text_of
 
-TRAINING_TEXTS = 16_384
 LEAST_TEXTS = 6  # texts, and different words before it, that a word needs for a count of its own
 LEAST_PAIR_TEXTS = 20  # texts that two words in a row need
 DISCOUNT = 2.0
@@ -102,34 +102,44 @@ class Models:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Ridge logistic regression by Newton's method on the few columns of evidence."""
-    w = np.zeros(x.shape[1])
+def _logistic(rows: DataFrame, x: list[str], y: str, ridge: float = 1e-2) -> np.ndarray:
+    """Ridge logistic regression by Newton's method on the few columns ``x``; each step's sums are one aggregation."""
+    w = np.zeros(len(x))
+    upper = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(w)), x.T @ (p - y) + ridge * w)
+        z = reduce(lambda a, b: a + b, [F.col(c) * F.lit(float(v)) for c, v in zip(x, w)])
+        p = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+        at = rows.select(*x, y, p.alias("__p"))
+        slope = [F.sum(F.col(c) * (F.col("__p") - F.col(y))) for c in x]
+        bend = [F.sum(F.col(x[i]) * F.col(x[j]) * F.col("__p") * (1 - F.col("__p"))) for i, j in upper]
+        sums = [float(v) for v in at.agg(*slope, *bend).first()]
+        hessian = ridge * np.eye(len(x))
+        for (i, j), v in zip(upper, sums[len(x) :]):
+            hessian[i, j] += v
+            hessian[j, i] += v if i != j else 0.0
+        step = np.linalg.solve(hessian, np.array(sums[: len(x)]) + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, keep, key: str = "doc_id", text: str = "text", most: int = TRAINING_TEXTS, of=F.max) -> DataFrame:
-    """(row, text, label) of at most ``most`` labelled documents with the smallest hash of their id.
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, keep, key: str = "doc_id", text: str = "text", most: int | None = None, of=F.max) -> DataFrame:
+    """(row, text, label) of every labelled document, or of at most ``most`` of them with the smallest hash of their id.
 
     ``of`` reduces the labels of a repeated id.
-    The chosen ids are bounded by ``most``, so they are broadcast and the texts are not shuffled.
     """
-    known = labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(of(label).cast("int").alias(label))
-    chosen = known.orderBy(F.xxhash64(F.lit(7), key), key).limit(most)
+    chosen = labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(of(label).cast("int").alias(label))
+    if most is not None:
+        chosen = chosen.orderBy(F.xxhash64(F.lit(7), key), key).limit(most)
     rows = documents.select(F.col(f"`{key}`").alias("row"), text_of(text).alias("text"))
-    return rows.join(F.broadcast(chosen.withColumnRenamed(key, "row")), "row")
+    return rows.join(chosen.withColumnRenamed(key, "row"), "row")
 
 
 def fit(training: DataFrame, label: str) -> Models:
-    """Models from rows of ``row``, ``text`` and a 0/1 ``label``, which the caller has bounded."""
+    """Models from rows of ``row``, ``text`` and a 0/1 ``label``."""
     rows = stage(training.select("row", "text", F.col(label).cast("int").alias("toxic"), F.xxhash64("text").alias("of")), "training")
-    rows = rows.drop("toxic").join(F.broadcast(_without_copies(rows)), ["row", "of"])
+    rows = rows.drop("toxic").join(_without_copies(rows), ["row", "of"])
     rows = rows.select("text", "toxic", (F.pmod("of", F.lit(4)) == 0).alias("held"))
     counted = rows.where("NOT held").select("text", "toxic")
 
@@ -189,19 +199,20 @@ def _without_copies(rows: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 4)), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 5), " "))
     )
     seeds = (1, 2, 3)
-    rows = rows.withColumn("w", F.split(F.lower(F.trim("text")), r"\s+")).withColumn("h", F.array_distinct(hashes))
+    texts = rows.select(F.struct("of", "row").alias("me"), "toxic", F.split(F.lower(F.trim("text")), r"\s+").alias("w"))
+    shingles = texts.withColumn("h", F.array_distinct(hashes))
     least = [F.array_min(F.transform("h", lambda x, s=s: F.xxhash64(x, F.lit(s)))).alias(f"m{s}") for s in seeds]
-    rows = stage(rows.dropDuplicates(["row", "of"]).select(F.struct("of", "row").alias("me"), "toxic", "h", *least), "shingles")
+    # Only the three smallest hashes are kept; the shingles of the few texts that are compared are made once more.
+    rows = stage(shingles.select("me", "toxic", *least).dropDuplicates(["me"]), "shingles")
     pairs = []
     for s in seeds:
         first = rows.groupBy(f"m{s}", "toxic").agg(F.min("me").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         pairs.append(rows.select("me", "toxic", f"m{s}").join(first, [f"m{s}", "toxic"]).where("me <> first").select("me", "first"))
-    # At most three a training text, so the shingles of other texts stay where they are.
     pairs = stage(reduce(DataFrame.unionAll, pairs).distinct(), "alike")
-    firsts = pairs.select("first").distinct()
-    one = rows.select("me", "h").join(F.broadcast(pairs), "me")
-    other = rows.select(F.col("me").alias("first"), F.col("h").alias("g")).join(F.broadcast(firsts), "first")
-    met = one.join(other, "first").where(F.size(F.array_intersect("h", "g")) >= ALIKE * F.size(F.array_union("h", "g")))
+    asked = pairs.select("me").union(pairs.select(F.col("first").alias("me"))).distinct()
+    asked = texts.drop("toxic").join(asked, "me", "left_semi").dropDuplicates(["me"]).withColumn("h", F.array_distinct(hashes)).select("me", "h")
+    asked = stage(asked, "asked")
+    met = pairs.join(asked, "me").join(asked.select(F.col("me").alias("first"), F.col("h").alias("g")), "first").where(F.size(F.array_intersect("h", "g")) >= ALIKE * F.size(F.array_union("h", "g")))
     left = rows.select("me", "toxic").join(met.select("me").distinct(), "me", "left_anti")
     return left.select("me.row", "me.of", "toxic")
 
@@ -244,21 +255,22 @@ def _assemble(counts: DataFrame, ids: dict[str, int]) -> Models:
 
 def _calibrate(models: Models, held: DataFrame, rows: DataFrame) -> None:
     shipped = held.sparkSession.sparkContext.broadcast(models)
+    x = ["x0", "x1", "x2", "x3"]
 
     def run(batches):
         for batch in by_bytes(batches, 0, _SLICE):
-            e = shipped.value.evidence(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(e[:, k]) for k in range(4)] + [batch.column(1)], names=["a", "b", "c", "d", "toxic"])
+            f = shipped.value.features(shipped.value.evidence(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(f[:, k]) for k in range(4)] + [batch.column(1)], names=[*x, "toxic"])
 
-    found = held.mapInArrow(run, "a double, b double, c double, d double, toxic int").toPandas().to_numpy(float)
-    y = found[:, 4]
-    if len(models.ids) == 0 or not 0 < y.sum() < len(y):
+    found = stage(held.mapInArrow(run, "x0 double, x1 double, x2 double, x3 double, toxic int"), "evidence")
+    toxic, n = found.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+    if len(models.ids) == 0 or not 0 < toxic < n:
         share = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
         models.weights = np.array([np.log((share[0] + 1) / (share[1] - share[0] + 1)), 0, 0, 0])
         if len(models.ids):
             models.weights[2] = 1.0
     else:
-        models.weights = _logistic(models.features(found[:, :4]), y)
+        models.weights = _logistic(found, x, "toxic")
 
 
 def score_texts(df: DataFrame, models: Models, text: str = "text", score: str = "score", details: bool = False) -> DataFrame:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime
 import re
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelfold.checks import loading, testbed
+from panelfold.llm import quality, queries, toxicity
 from panelfold.operators.upsert import latest_per_key
 from panelfold.streaming import maintained
 
@@ -84,3 +87,26 @@ def test_a_landed_file_is_not_one_tasks(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(seen[0]) > 1 and max(seen[0]) < 60_000, seen
+
+
+def test_every_labelled_text_is_a_training_row(spark):
+    documents = spark.range(17_000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    labels = spark.range(17_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    rows = toxicity.training_rows(documents, labels, "toxic", F.col("doc_id") % 3 != 1)
+    assert rows.count() == sum(i % 3 != 1 for i in range(17_000))
+    training = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(queries.quality, "fit", lambda rows, label: training.append(rows.count()) or quality.Ensemble((), 0.0))
+        m.setattr(queries, "read", lambda spark, d, name: {"documents": documents, "labels": labels.withColumnRenamed("toxic", "quality")}[name])
+        queries.QUERIES["op2_quality"](spark, "")
+    assert training == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(17_000))]
+
+
+def test_calibration_sums_equal_the_whole(spark):
+    r = np.random.default_rng(3)
+    x = np.column_stack([np.ones(300), r.normal(size=(300, 3))])
+    y = (x @ [0.5, 2.0, -1.0, 0.0] + r.normal(size=300) > 0).astype(int)
+    df = spark.createDataFrame([(*map(float, a), int(b)) for a, b in zip(x, y)], "a double, b double, c double, d double, y int").repartition(5)
+    w = toxicity._logistic(df, ["a", "b", "c", "d"], "y")
+    p = 1 / (1 + np.exp(-x @ w))
+    assert np.abs(x.T @ (p - y) + 1e-2 * w).max() < 1e-6  # the penalised likelihood has no slope there
