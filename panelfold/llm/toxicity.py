@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelfold.llm.common import as_schema, by_bytes, stage, text_of
+from panelfold.operators.sizing import join_small
 
 LEAST_TEXTS = 6  # texts, and different words before it, that a word needs for a count of its own
 LEAST_PAIR_TEXTS = 20  # texts that two words in a row need
@@ -139,8 +140,7 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, keep, key
 def fit(training: DataFrame, label: str) -> Models:
     """Models from rows of ``row``, ``text`` and a 0/1 ``label``."""
     rows = stage(training.select("row", "text", F.col(label).cast("int").alias("toxic"), F.xxhash64("text").alias("of")), "training")
-    rows = rows.drop("toxic").join(_without_copies(rows), ["row", "of"])
-    rows = rows.select("text", "toxic", (F.pmod("of", F.lit(4)) == 0).alias("held"))
+    rows = _without_copies(rows).select("text", "toxic", (F.pmod("of", F.lit(4)) == 0).alias("held"))
     counted = rows.where("NOT held").select("text", "toxic")
 
     def texts_with(batches):
@@ -162,10 +162,13 @@ def fit(training: DataFrame, label: str) -> Models:
                     if c == toxic
                 ]
                 if keys:
-                    every, n = np.unique(np.concatenate(keys), axis=0, return_counts=True)
-                    _, texts = np.unique(np.concatenate([np.unique(k, axis=0) for k in keys]), axis=0, return_counts=True)
+                    # one number a pair: sorting numbers costs a fraction of sorting rows
+                    keys = [(k[:, 0] + _LOWEST << _WORD_BITS) | k[:, 1] for k in keys]
+                    every, n = np.unique(np.concatenate(keys), return_counts=True)
+                    _, texts = np.unique(np.concatenate([np.unique(k) for k in keys]), return_counts=True)
+                    before, word = (every >> _WORD_BITS) - _LOWEST, every & (1 << _WORD_BITS) - 1
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(every[:, 0]), pa.array(every[:, 1].astype(np.int32)), pa.array(n * (1 - toxic)), pa.array(n * toxic), pa.array(texts)],
+                        [pa.array(before), pa.array(word.astype(np.int32)), pa.array(n * (1 - toxic)), pa.array(n * toxic), pa.array(texts)],
                         names=["before", "word", "n0", "n1", "texts"],
                     )
 
@@ -177,6 +180,7 @@ def fit(training: DataFrame, label: str) -> Models:
 
 
 _ALONE = -1  # stands before a word for the word by itself
+_LOWEST, _WORD_BITS = 1 << 33, 29  # what makes every word before another positive, and the bits of a word's number
 
 
 def _pair_keys(ids: list[int]) -> np.ndarray:
@@ -189,7 +193,7 @@ def _pair_keys(ids: list[int]) -> np.ndarray:
 
 
 def _without_copies(rows: DataFrame) -> DataFrame:
-    """(row, of, toxic): one text of each group of copies with one label.
+    """The rows of one text of each group of copies with one label.
 
     Copies in the training rows would make every word of a copied text look like a sign of its class.  Two texts
     are copies if their sets of five-word shingles are alike to ``ALIKE`` or more; each is compared with the
@@ -199,6 +203,7 @@ def _without_copies(rows: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 4)), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 5), " "))
     )
     seeds = (1, 2, 3)
+    every = rows
     texts = rows.select(F.struct("of", "row").alias("me"), "toxic", F.split(F.lower(F.trim("text")), r"\s+").alias("w"))
     shingles = texts.withColumn("h", F.array_distinct(hashes))
     least = [F.array_min(F.transform("h", lambda x, s=s: F.xxhash64(x, F.lit(s)))).alias(f"m{s}") for s in seeds]
@@ -209,12 +214,10 @@ def _without_copies(rows: DataFrame) -> DataFrame:
         first = rows.groupBy(f"m{s}", "toxic").agg(F.min("me").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         pairs.append(rows.select("me", "toxic", f"m{s}").join(first, [f"m{s}", "toxic"]).where("me <> first").select("me", "first"))
     pairs = stage(reduce(DataFrame.unionAll, pairs).distinct(), "alike")
-    asked = pairs.select("me").union(pairs.select(F.col("first").alias("me"))).distinct()
-    asked = texts.drop("toxic").join(asked, "me", "left_semi").dropDuplicates(["me"]).withColumn("h", F.array_distinct(hashes)).select("me", "h")
-    asked = stage(asked, "asked")
-    met = pairs.join(asked, "me").join(asked.select(F.col("me").alias("first"), F.col("h").alias("g")), "first").where(F.size(F.array_intersect("h", "g")) >= ALIKE * F.size(F.array_union("h", "g")))
-    left = rows.select("me", "toxic").join(met.select("me").distinct(), "me", "left_anti")
-    return left.select("me.row", "me.of", "toxic")
+    one = join_small(texts, pairs, ["me"], known_rows=pairs.count()).select("me", "first", F.array_distinct(hashes).alias("h"))
+    other = join_small(texts, pairs.select(F.col("first").alias("me")).distinct(), ["me"]).select(F.col("me").alias("first"), F.array_distinct(hashes).alias("g"))
+    met = one.join(other, "first").where(F.size(F.array_intersect("h", "g")) >= ALIKE * F.size(F.array_union("h", "g")))
+    return join_small(every, met.select("me.row", "me.of").distinct(), ["row", "of"], "left_anti")
 
 
 def _assemble(counts: DataFrame, ids: dict[str, int]) -> Models:
