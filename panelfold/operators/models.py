@@ -7,13 +7,16 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.base import Model
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +37,12 @@ FORECAST_NAME = "Boosted_LifeExpectancyForecaster"
 # Twice the smallest node that may be split: both halves keep at least this many rows.
 MIN_ROWS_PER_NODE = 2
 
+# How the work of a fit is cut.  Each task of a forest's fit sends on the histograms of every node, however few of its
+# rows are there, so more tasks a fit are more work: they are as few as their rows allow, and several fits run at once.
+FEW_ROWS = 10_000  # up to here a table is fitted as it lies, in one fit
+TASK_ROWS = 1 << 18
+FIT_TREES = 25
+
 
 @dataclass(frozen=True)
 class Fitted:
@@ -53,6 +62,42 @@ def _checkpointed(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(os.path.join(scratch_dir(spark), f"ml-{uuid.uuid4().hex}"))
 
 
+def _parts(rows: DataFrame, least: int = 1) -> int:
+    """Tasks that ``rows`` are dealt to, ``least`` or more; 0 for a table of few rows, which stays as it lies."""
+    n = rows.count()
+    return 0 if n <= FEW_ROWS else max(least, -(-n // TASK_ROWS))
+
+
+def _grown(forest: Estimator, rows: DataFrame) -> Model:
+    """The model of ``forest``, whose trees are grown by several fits of FIT_TREES, each with a seed of its own.
+
+    No tree depends on another, so as many fits run at once as their tasks leave cores idle; what a fit holds of a
+    row grows with its own trees only.  All trees see all rows.
+    """
+    needed = [forest.getFeaturesCol(), forest.getLabelCol(), *([forest.getWeightCol()] if forest.isDefined("weightCol") else [])]
+    wanted, parts = forest.getNumTrees(), _parts(rows)
+    if not parts or wanted <= FIT_TREES:
+        return forest.fit(rows)
+    sc = rows.sparkSession.sparkContext
+    dealt = rows.select(*needed).repartition(parts)
+    sizes = [min(FIT_TREES, wanted - i) for i in range(0, wanted, FIT_TREES)]
+    # far apart, as a task's own seed is the fit's and the task's number
+    fits = [forest.copy({forest.numTrees: n, forest.seed: forest.getSeed() + 1_000_003 * i}) for i, n in enumerate(sizes)]
+    grow = inheritable_thread_target(rows.sparkSession)(lambda f: f.fit(dealt))
+    pool = ThreadPool(min(len(fits), max(1, sc.defaultParallelism // parts)))
+    try:
+        models = pool.map(grow, fits, chunksize=1)
+    finally:
+        pool.close()
+    grown = [t for m in models for t in m._java_obj.trees()]
+    first = models[0]._java_obj
+    kind = reduce(getattr, grown[0].getClass().getName().split("."), sc._jvm)
+    trees = JavaWrapper._new_java_array(grown, kind)
+    sizes = [first.numFeatures(), *([first.numClasses()] if hasattr(models[0], "numClasses") else [])]
+    made = JavaWrapper._new_java_obj(first.getClass().getName(), forest.uid, trees, *sizes)
+    return forest._copyValues(type(models[0])(made))
+
+
 def fit_ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float = RIDGE_ALPHA) -> Fitted:
     """Ridge on already standardised features.
 
@@ -74,7 +119,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, **settings
     _checkpointed(train.sparkSession)
     settings = {"minInstancesPerNode": MIN_ROWS_PER_NODE, **FOREST, **settings}
     reg = RandomForestRegressor(labelCol=label, cacheNodeIds=True, checkpointInterval=10, **settings)
-    return Fitted("Random Forest", reg.fit(assemble(train, features)), list(features))
+    return Fitted("Random Forest", _grown(reg, assemble(train, features)), list(features))
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str, **settings) -> Fitted:
@@ -166,7 +211,7 @@ def fit_risk(train: DataFrame, features: Sequence[str], risk: str = "risk", **se
     _checkpointed(train.sparkSession)
     rows = balanced_weights(train.withColumn("label", (category_rank(risk, RISK_LEVELS) - 1).cast("double")), risk)
     clf = RandomForestClassifier(labelCol="label", weightCol="weight", cacheNodeIds=True, **{**RISK_FOREST, **settings})
-    return Fitted(RISK_NAME, clf.fit(assemble(rows, features)), list(features))
+    return Fitted(RISK_NAME, _grown(clf, assemble(rows, features)), list(features))
 
 
 def risk_table(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:

@@ -129,3 +129,28 @@ def test_prediction_table_rounds_before_the_error(spark, rows):
     assert rows(out) == [("a", 1, 10.0, 10.0, 0.0, 0.0, "A"), ("x", 1, 1.0, 2.0, -1.0, 1.0, None)]
     raw = m.prediction_table(df, ["k", "t"], "y", "p", dim, "k", rounded=False)
     assert abs(rows(raw)[0][4] - 0.004) < 1e-9
+
+
+def test_forest_is_grown_by_several_fits_of_few_tasks(spark, data, tmp_path, monkeypatch):
+    for name, value in (("FEW_ROWS", 10), ("TASK_ROWS", 100), ("FIT_TREES", 4)):
+        monkeypatch.setattr(m, name, value)
+    seen = []
+    for kind in (m.RandomForestRegressor, m.RandomForestClassifier):
+        fit = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, rows, fit=fit: seen.append((self.getNumTrees(), rows.rdd.getNumPartitions(), self.getSeed())) or fit(self, rows))
+    forest = m.fit_forest(data.repartition(7), ["a", "b", "c"], "y", numTrees=10, maxDepth=4)
+    assert sorted(s[:2] for s in seen) == [(2, 3), (4, 3), (4, 3)] and len({s[2] for s in seen}) == 3
+    assert len(forest.model.trees) == 10 and abs(sum(r[1] for r in m.importance(forest, spark).collect()) - 100) < 1e-9
+    mean = sum(t.transform(m.assemble(data, ["a", "b", "c"])).selectExpr("sum(prediction)").first()[0] for t in forest.model.trees) / 10
+    assert abs(forest.predict(data).selectExpr("sum(prediction)").first()[0] - mean) < 1e-6
+    m.save_model(forest, str(tmp_path / "m"))
+    again = m.load_model(str(tmp_path / "m"), forest.name, forest.features)
+    assert len(again.model.trees) == 10 and again.predict(data).exceptAll(forest.predict(data)).count() == 0
+    # every tree has every row: where trees have no choice, the forest is the group's mean
+    whole = m.fit_forest(data.withColumn("p", F.col("t").cast("double")), ["p"], "y", numTrees=9, bootstrap=False, featureSubsetStrategy="all")
+    got = whole.predict(data.withColumn("p", F.col("t").cast("double"))).groupBy("t").agg(F.max("prediction").alias("p"), F.avg("y").alias("y"))
+    assert all(abs(r.p - r.y) < 1e-9 for r in got.collect())
+    seen.clear()
+    risk = m.fit_risk(data.withColumn("risk", F.element_at(F.array(*map(F.lit, m.RISK_LEVELS)), (F.col("t") % 4 + 1).cast("int"))), ["a", "b"], numTrees=6)
+    assert len(seen) == 2 and len(risk.model.trees) == 6 and risk.model.numClasses == 4
+    assert risk.predict(data).select("probability").first()[0].toArray().sum() > 0.999
