@@ -131,24 +131,22 @@ def load_life_expectancy(spark, d):
 
 def _feeds(spark, d, names):
     """Headed feeds keyed by (Entity, Code, Year); each measure is the highest order of some kind."""
-    o = table(spark, d, "orders").select(
-        F.concat(F.lit("E"), F.col("o_custkey").cast("string")).alias("Entity"),
-        tb.letters("o_custkey").alias("Code"),
-        F.year("o_orderdate").alias("Year"),
-        "o_orderpriority",
-        "o_orderstatus",
-        (tb.cents("o_totalprice") / 65536).alias("x"),
-    )
     kinds = [
         F.lit(True),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
         F.col("o_orderstatus") == "F",
         F.col("o_orderpriority") == "5-LOW",
         F.col("o_orderstatus") == "O",
-    ]
-    return [
-        o.where(kind).groupBy("Entity", "Code", "Year").agg(F.max("x").cast("string").alias(name)) for name, kind in zip(names, kinds)
-    ]
+    ][: len(names)]
+    x = tb.cents("o_totalprice") / 65536
+    # orders pass one shuffle by their number, and the keys' texts are made once a customer and year
+    yearly = table(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("Year")).agg(
+        *[F.count_if(kind).alias(f"n{i}") for i, kind in enumerate(kinds)], *[F.max(F.when(kind, x)).alias(f"x{i}") for i, kind in enumerate(kinds)]
+    )
+    keys = [F.concat(F.lit("E"), F.col("o_custkey").cast("string")).alias("Entity"), tb.letters("o_custkey").alias("Code"), "Year"]
+    numbers = [c for i in range(len(kinds)) for c in (f"n{i}", f"x{i}")]
+    rows = stage(yearly.select(*keys, *numbers), "feeds")  # read by every feed
+    return [rows.where(F.col(f"n{i}") > 0).select("Entity", "Code", "Year", F.col(f"x{i}").cast("string").alias(name)) for i, name in enumerate(names)]
 
 
 def _raw(spark, d, names):

@@ -110,3 +110,21 @@ def test_calibration_sums_equal_the_whole(spark):
     w = toxicity._logistic(df, ["a", "b", "c", "d"], "y")
     p = 1 / (1 + np.exp(-x @ w))
     assert np.abs(x.T @ (p - y) + 1e-2 * w).max() < 1e-6  # the penalised likelihood has no slope there
+
+
+def test_orders_are_reduced_once_for_all_feeds(spark, tmp_path):
+    day = [datetime.datetime(y, 5, 1) for y in (1997, 1998)]
+    orders = [
+        (1, 7, "F", 1.0, day[0], "5-LOW"), (2, 7, "F", 2.0, day[0], "2-HIGH"), (2, 7, "F", 2.0, day[0], "2-HIGH"), (3, 7, "O", None, day[1], "5-LOW"),
+        (4, None, "P", 3.0, None, None),
+    ]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(orders, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    feeds = loading._feeds(spark, str(tmp_path), ["a", "b", "c", "d", "e"])
+    got = [sorted(map(tuple, f.select("Entity", "Year", f.columns[3]).collect()), key=str) for f in feeds]
+    text = lambda cents: str(cents / 65536)
+    assert got == [
+        [("E7", 1997, text(200)), ("E7", 1998, None), (None, None, text(300))], [("E7", 1997, text(200))], [("E7", 1997, text(200))],
+        [("E7", 1997, text(100)), ("E7", 1998, None)], [("E7", 1998, None)],
+    ]
+    assert all("Exchange" not in f._jdf.queryExecution().executedPlan().toString() for f in feeds)
