@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from panelfold.session import scratch_dir, stage
 
-__all__ = ["as_schema", "by_bytes", "discard", "fold", "importable", "read", "settle", "stage", "scratch_dir", "temp_name", "text_of"]
+__all__ = ["as_schema", "by_bytes", "discard", "fold", "importable", "key_bitmap", "may_hold", "read", "settle", "stage", "scratch_dir", "temp_name", "text_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,26 @@ def by_bytes(batches, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBa
             at = to
 
 
+_SLOTS = 28  # bits of a bitmap's address at most: 32 MB, an eighth full with 2^25 keys
+
+
+def key_bitmap(table: DataFrame, key: str = "key") -> np.ndarray:
+    """Which leading bits of the 64-bit keys occur, as words of 64; there are about eight places a key, up to a bound."""
+    slots = min(_SLOTS, max(16, (8 * table.count()).bit_length()))
+    slot = F.shiftrightunsigned(key, 64 - slots)
+    words = table.select(F.shiftright(slot, 6).alias("at"), (slot % 64).cast("int").alias("bit"))
+    words = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = np.zeros(1 << (slots - 6), np.uint64)
+    out[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit key may be one of the bitmap's; no key of its own is ruled out."""
+    slot = keys.view(np.uint64) >> np.uint64(58 - (len(bitmap) - 1).bit_length())
+    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """``stage``, after which nothing before it is needed: the driver drops shuffles no plan refers to any more."""
     out = stage(df, label)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.llm.common import as_schema, by_bytes, discard, settle, stage, temp_name, text_of
+from panelfold.llm.common import as_schema, by_bytes, discard, key_bitmap, may_hold, settle, stage, temp_name, text_of
 from panelfold.llm.toxicity import words
 from panelfold.operators.sizing import join_small
 
@@ -50,7 +50,6 @@ _TOKENS = 1 << 21
 _PART_WORDS = 1 << 20  # of the corpus, whose pairs one part holds
 _KNOWN = 1 << 19  # words whose hashes a worker remembers
 _SAMPLE, _SAMPLE_CHARS, _USUAL = 4096, 1 << 14, 1 << 16
-_SLOTS = 28  # bits of the bitmap's address at most: 32 MB, an eighth full with 2^25 keys
 _ALONE, _LAST = -1, -2  # stand before a word for the word by itself, and for the last of a text
 _START = 0  # before the first word; as a word, 0 is every word outside the vocabulary
 
@@ -172,10 +171,6 @@ class Head:
     usual: dict[str, int]
     bitmap: np.ndarray | None = None  # of the keys of the table that holds the others
 
-    def may_hold(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys.view(np.uint64) >> np.uint64(58 - (len(self.bitmap) - 1).bit_length())
-        return (self.bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
     def sums(self, hashes: _Hashes, texts: list[str]):
         """Summed losses of each text by the head, its number of words, and (ends, key, n) of what the tables may hold."""
         before, word, ends = _hashed(hashes, texts)
@@ -196,7 +191,7 @@ class Head:
             for c in (0, 1):
                 out[c] += np.bincount(text, value[c][of], len(texts))
             if self.bitmap is not None and len(each):
-                rare = (~hit & self.may_hold(each))[of]
+                rare = (~hit & may_hold(self.bitmap, each))[of]
                 cell, times = np.unique(text[rare] * len(each) + of[rare], return_counts=True)
                 asked.append((cell // len(each), each[cell % len(each)], times))
         last = ends[n > 0] - 1
@@ -331,17 +326,6 @@ def _pair_counts(flagged: DataFrame, usual: dict[str, int], n_words: int) -> Dat
     return parts.mapInArrow(summed, "b long, w long, n long, t long")
 
 
-def _bitmap(table: DataFrame) -> np.ndarray:
-    """Which leading bits of the keys occur, as words of 64; there are about eight places a key, up to a bound."""
-    slots = min(_SLOTS, max(16, (8 * table.count()).bit_length()))
-    slot = F.shiftrightunsigned("key", 64 - slots)
-    words = table.select(F.shiftright(slot, 6).alias("at"), (slot % 64).cast("int").alias("bit"))
-    words = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
-    out = np.zeros(1 << (slots - 6), np.uint64)
-    out[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def _fit_whole(rows: DataFrame, flagged: DataFrame, head_words: int, head_pairs: int) -> Whole:
     usual, n_words = _usual_words(rows)
     counts = _pair_counts(flagged, usual, n_words)
@@ -413,7 +397,7 @@ def _fit_whole(rows: DataFrame, flagged: DataFrame, head_words: int, head_pairs:
     table = settle(rare.unionAll(other_pairs.select("b", "w", "v0", "v1").mapInArrow(pair_rows, schema)), "rare-values")
     for t in staged:
         discard(t)
-    return Whole(replace(head, bitmap=_bitmap(table)), table)
+    return Whole(replace(head, bitmap=key_bitmap(table)), table)
 
 
 def fit(

@@ -4,7 +4,8 @@ Shallow random trees are fitted on statistics of labelled texts; every path from
 conjunctive rule.  A logistic regression with a lasso penalty weighs the rules, most of them at zero, and
 the rest is compiled into one Spark column expression.  Scoring is a projection: no shuffle, no Python.
 
-The trees and weights are fitted on every labelled text of the training part.  Defined results: NULL and empty texts have statistics of zero and the score of those; NULL
+The trees and weights are fitted on every labelled text of the training part.  ``measured`` takes the statistics where the
+texts are, once for fitting and scoring.  Defined results: NULL and empty texts have statistics of zero and the score of those; NULL
 labels are left out; a repeated id is of quality only if all its labels are; without labels of both kinds
 every score is the smoothed share of good ones.
 """
@@ -99,12 +100,17 @@ def tree_rules(description: str, names: list[str]) -> list[tuple[tuple[str, bool
     return list(rules)
 
 
+def measured(df: DataFrame, text: str = "text", statistic: str = "statistics") -> DataFrame:
+    """``df`` with each text's statistics instead of the text, so that what follows moves a few numbers a row."""
+    held = F.struct(*[c.alias(n) for n, c in statistics(text_of(text)).items()])
+    return df.select(*[f"`{c}`" for c in df.columns if c != text], held.alias(statistic))
+
+
 def fit(training: DataFrame, label: str, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY, seed: int = 11) -> Ensemble:
-    """An ensemble from rows of ``text`` and a 0/1 ``label``."""
-    rows = training.select(text_of("text").alias("t"), F.col(label).cast("double").alias("good"))
-    statistic = statistics(F.col("t"))
-    names = list(statistic)
-    rows = stage(rows.select("good", *[c.alias(n) for n, c in statistic.items()]), "quality-statistics")
+    """An ensemble from rows of ``text``, or without it of what ``measured`` has made of it, and a 0/1 ``label``."""
+    rows = measured(training.select("text", label)) if "text" in training.columns else training
+    names = rows.schema["statistics"].dataType.names
+    rows = stage(rows.select(F.col(label).cast("double").alias("good"), *[F.col(f"statistics.{n}") for n in names]), "quality-statistics")
     good, total = rows.agg(F.coalesce(F.sum("good"), F.lit(0.0)), F.count("*")).first()
     prior = math.log((good + 1) / (total - good + 1))
     if not 0 < good < total:
@@ -121,11 +127,12 @@ def fit(training: DataFrame, label: str, trees: int = TREES, depth: int = DEPTH,
     return Ensemble(tuple(weights), float(model.intercept))
 
 
-def score_texts(df: DataFrame, ensemble: Ensemble, text: str = "text", score: str = "score") -> DataFrame:
-    """``df`` with each text's probability of being good."""
+def score_texts(df: DataFrame, ensemble: Ensemble, text: str = "text", score: str = "score", statistic: str | None = None) -> DataFrame:
+    """``df`` with each text's probability of being good; its statistics are taken from column ``statistic``, if they are there already."""
     if score.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {score} exists already")
-    held = temp_name(df, "statistics")
-    rows = df.withColumn(held, F.struct(*[c.alias(n) for n, c in statistics(text_of(text)).items()]))
-    statistic = {n: F.col(f"{held}.{n}") for n in rows.schema[held].dataType.names}
-    return rows.withColumn(score, ensemble.score(statistic)).drop(held)
+    held = statistic or temp_name(df, "statistics")
+    rows = df if statistic else df.withColumn(held, F.struct(*[c.alias(n) for n, c in statistics(text_of(text)).items()]))
+    cells = {n: F.col(f"{held}.{n}") for n in rows.schema[held].dataType.names}
+    rows = rows.withColumn(score, ensemble.score(cells))
+    return rows if statistic else rows.drop(held)

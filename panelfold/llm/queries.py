@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelfold.llm import bpe, centroids, conversations, decontaminate, embeddings, lmscore, quality, repeats, simhash, tokencount, tokenfiles, toxicity, wrappers
-from panelfold.llm.common import fold, importable, read, scratch_dir, text_of
+from panelfold.llm.common import fold, importable, read, scratch_dir, stage, text_of
 from panelfold.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -101,9 +101,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of good quality of every document."""
-    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    training = toxicity.training_rows(documents, read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2, of=F.min)
-    scored = quality.score_texts(documents, quality.fit(training, "quality"))
+    documents = quality.measured(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = stage(documents, "quality-measured")  # for the training and for the scores
+    rows = documents.select(F.col("doc_id").alias("row"), "statistics")
+    training = toxicity.labelled(rows, read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2, of=F.min)
+    scored = quality.score_texts(documents, quality.fit(training, "quality"), statistic="statistics")
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

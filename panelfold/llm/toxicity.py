@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelfold.llm.common import as_schema, by_bytes, stage, text_of
-from panelfold.operators.sizing import join_small
+from panelfold.llm.common import as_schema, by_bytes, key_bitmap, may_hold, stage, text_of
+from panelfold.operators import sizing
+from panelfold.operators.sizing import join_small, row_bytes
 
 LEAST_TEXTS = 6  # texts, and different words before it, that a word needs for a count of its own
 LEAST_PAIR_TEXTS = 20  # texts that two words in a row need
@@ -125,16 +126,41 @@ def _logistic(rows: DataFrame, x: list[str], y: str, ridge: float = 1e-2) -> np.
     return w
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, keep, key: str = "doc_id", text: str = "text", most: int | None = None, of=F.max) -> DataFrame:
-    """(row, text, label) of every labelled document, or of at most ``most`` of them with the smallest hash of their id.
+def labelled(rows: DataFrame, labels: DataFrame, label: str, keep, key: str = "doc_id", most: int | None = None, of=F.max) -> DataFrame:
+    """The labelled ones of ``rows``, whose id is ``row``, with their label.
 
-    ``of`` reduces the labels of a repeated id.
+    ``of`` reduces the labels of a repeated id.  The list grows with the corpus, the rows may be whole texts: a list of up to
+    ``BROADCAST_BYTES`` goes to where the rows are, a longer one first rules out there all rows it cannot hold,
+    so that beside the list little more than the labelled rows is shuffled.
     """
     chosen = labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(of(label).cast("int").alias(label))
     if most is not None:
         chosen = chosen.orderBy(F.xxhash64(F.lit(7), key), key).limit(most)
+    chosen = stage(chosen.withColumnRenamed(key, "row"), "labelled")
+    n = chosen.count()
+    if n * row_bytes(chosen) > sizing.BROADCAST_BYTES:
+        rows = _possible(rows, chosen)
+    return join_small(rows, chosen, ["row"], known_rows=n)
+
+
+def _possible(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``rows`` without those that a bitmap of the chosen ids' hashes rules out; only hashes go to Python."""
+    hashed = F.xxhash64(F.col("row").cast("string"))
+    shipped = rows.sparkSession.sparkContext.broadcast(key_bitmap(chosen.select(hashed.alias("key"))))
+
+    def possible(keys: pa.Array) -> pa.Array:
+        return pa.array(may_hold(shipped.value, keys.to_numpy(zero_copy_only=False)))
+
+    return rows.where(F.arrow_udf(possible, "boolean")(hashed))
+
+
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, keep, key: str = "doc_id", text: str = "text", most: int | None = None, of=F.max) -> DataFrame:
+    """(row, text, label) of every labelled document, or of at most ``most`` of them with the smallest hash of their id.
+
+    ``of`` reduces the labels of a repeated id.
+    """
     rows = documents.select(F.col(f"`{key}`").alias("row"), text_of(text).alias("text"))
-    return rows.join(chosen.withColumnRenamed(key, "row"), "row")
+    return labelled(rows, labels, label, keep, key, most, of)
 
 
 def fit(training: DataFrame, label: str) -> Models:

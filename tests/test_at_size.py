@@ -102,6 +102,31 @@ def test_every_labelled_text_is_a_training_row(spark):
     assert training == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(17_000))]
 
 
+def test_texts_that_train_nothing_are_not_moved(spark, shuffled_joins, monkeypatch):
+    """A short list of labels goes to the texts; a longer one has them shuffled without those it cannot hold."""
+    documents = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    labels = spark.range(0, 6000, 10).selectExpr("id AS doc_id", "int(id % 20 = 0) AS toxic").union(spark.createDataFrame([(0, 0), (None, 1), (10, None)], "doc_id long, toxic int"))
+    want = [(i, f"t{i}", int(i % 20 == 0)) for i in range(0, 3000, 10) if i % 3 != 1]
+    rows = toxicity.training_rows(documents, labels, "toxic", F.col("doc_id") % 3 != 1)
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rows.collect())) == want
+    monkeypatch.setattr(toxicity.sizing, "BROADCAST_BYTES", 0)
+    rows = toxicity.training_rows(documents, labels, "toxic", F.col("doc_id") % 3 != 1)
+    assert sorted(map(tuple, rows.collect())) == want
+    chosen = labels.where("toxic IS NOT NULL").select(F.col("doc_id").alias("row")).distinct()
+    assert toxicity._possible(documents.withColumnRenamed("doc_id", "row"), chosen).count() < 600  # of 3,000, 300 of them chosen
+
+
+def test_quality_takes_the_statistics_of_a_text_once(spark):
+    """Fitting and scoring by stored statistics is the same as by texts, and no text is moved."""
+    docs = spark.createDataFrame([(i, None if i == 7 else "Good words. " * (i % 9) if i % 2 else "BUY! | " * (i % 11), i % 2) for i in range(200)], "doc_id long, text string, good int").coalesce(1)
+    by_text = quality.fit(docs, "good")
+    held = quality.measured(docs)
+    assert held.columns == ["doc_id", "good", "statistics"] and quality.fit(held, "good") == by_text
+    scores = [sorted((r.doc_id, r.score) for r in df.collect()) for df in (quality.score_texts(docs, by_text), quality.score_texts(held, by_text, statistic="statistics"))]
+    assert scores[0] == scores[1] and len({s for _, s in scores[0]}) > 1
+
+
 def test_calibration_sums_equal_the_whole(spark):
     r = np.random.default_rng(3)
     x = np.column_stack([np.ones(300), r.normal(size=(300, 3))])
