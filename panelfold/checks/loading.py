@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelfold import schemas
 from panelfold.checks import testbed as tb
-from panelfold.checks.joining import paged, parsed_documents
+from panelfold.checks.joining import paged, paged_feeds, parsed_documents
 from panelfold.checks.registry import query
 from panelfold.checks.testbed import half_even_sql, imputed_sql, letters_sql, table, with_ctes
 from panelfold.operators import combine, quality
@@ -82,16 +82,20 @@ def _indicator_records(spark, d):
     yearly = o.groupBy("code", F.year("o_orderdate").alias("y")).agg(
         *[F.max(F.when(F.expr(cond), tb.cents("o_totalprice"))).alias(c) for c, cond in _API.items()]
     )
-    yearly = stage(yearly, "api")  # read by every feed
 
-    def feed(c):
-        record = F.struct(
+    def record(c):
+        return F.struct(
             F.col("code").alias("countryiso3code"),
             F.col("y").cast("string").alias("date"),
             (F.col(c) / 64).cast("string").alias("value"),
             F.struct(F.col("code").alias("value")).alias("country"),
         )
-        return files.explode_pages(paged(yearly, ["code"], record), "body", schemas.PAGED_RECORD)
+
+    # the pages of all feeds are made by one grouping, and each feed reads its own
+    pages = stage(paged_feeds(yearly, ["code"], {c: record(c) for c in _API}), "api")
+
+    def feed(c):
+        return files.explode_pages(pages.select("code", F.col(c).alias("body")), "body", schemas.PAGED_RECORD)
 
     return etl.tag_feeds({etl.INDICATORS[c]: feed(c) for c in _API}, "tag")
 

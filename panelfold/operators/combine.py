@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def merge_feeds(feeds: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -45,6 +46,9 @@ def pivot_feeds(
     Conditional aggregates over a known list of tags: one shuffle, combined map-side, no extra job.
     """
     order = F.col(seq[0]) if len(seq) == 1 else F.struct(*[F.col(c) for c in seq])
+    if len(seq) == 2 and all(records.schema[c].dataType == T.IntegerType() and not records.schema[c].nullable for c in seq):
+        # the same order as one number: every cell of a wide row carries its own
+        order = F.col(seq[0]).cast("long") * F.lit(1 << 32) + F.col(seq[1])
     picks: list[Column] = [F.min_by(c, order).alias(c) for c in first_seen]
     for name, code in measures.items():
         mine = F.col(tag) == code

@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelfold.checks import loading, testbed
+from panelfold.checks import joining, loading, testbed
 from panelfold.llm import quality, queries, toxicity
+from panelfold.operators import combine
 from panelfold.operators.upsert import latest_per_key
 from panelfold.streaming import maintained
 
@@ -153,3 +154,47 @@ def test_orders_are_reduced_once_for_all_feeds(spark, tmp_path):
         [("E7", 1997, text(100)), ("E7", 1998, None)], [("E7", 1998, None)],
     ]
     assert all("Exchange" not in f._jdf.queryExecution().executedPlan().toString() for f in feeds)
+
+
+def test_pages_of_all_indicators_come_from_one_grouping(spark, tmp_path):
+    day = [datetime.datetime(y, 5, 1) for y in (1997, 1998)]
+    orders = [
+        (1, 7, "F", 1.0, day[0], "5-LOW"), (2, 7, "F", 2.0, day[1], "2-HIGH"), (2, 7, "F", 2.0, day[1], "2-HIGH"), (3, 7, "O", None, day[1], "5-LOW"),
+        (4, None, "P", 3.0, day[0], None), (5, 8, "P", 4.0, None, "1-URGENT"),
+    ]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(orders, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    records = loading._indicator_records(spark, str(tmp_path))
+    assert "Exchange" not in records._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.feed_no, r.at, r.countryiso3code, r.date, r.value) for r in records.where("code IS NOT NULL AND tag IN ('SP.DYN.LE00.IN', 'SP.DYN.LE00.MA.IN')").collect())
+    code = {k: r for k, r in spark.range(7, 9).select("id", testbed.letters("id")).collect()}
+    text = lambda cents: None if cents is None else str(cents / 64)
+    assert [g for g in got if g[2] == code[7]] == [
+        (0, 0, code[7], "1997", text(100)), (0, 1, code[7], "1998", text(200)), (1, 0, code[7], "1997", None), (1, 1, code[7], "1998", text(200)),
+    ]
+    assert [g[4] for g in got if g[2] == code[8]] == [text(400), text(400)] and records.where("code IS NULL").count() == len(loading._API)
+
+
+def test_documents_are_dealt_over_tasks(spark, tmp_path):
+    """A customer table of one file is dealt by its key before its documents are made and read."""
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "X", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(k, "a", 0, 5.0, "BUILDING") for k in (1, 2, 2, None)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = joining.parsed_documents(spark, str(tmp_path))
+    assert "hashpartitioning(c_custkey" in docs._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.c_custkey or 0, r.subregion) for r in docs.collect()) == [(0, "X"), (1, "X"), (2, "X"), (2, "X")]
+
+
+def test_two_whole_numbers_order_a_pivot_as_they_do_in_turn(spark):
+    low, high = -(1 << 31), (1 << 31) - 1
+    cells = [(low, high), (-1, low), (-1, high), (0, low), (0, -1), (0, 0), (0, high), (1, low), (high, high)]
+    spark_rows = spark.createDataFrame([("k", "t", float(i), f"n{i}", *c) for i, c in enumerate(cells)], "k string, tag string, v double, name string, a int, b int")
+    rows = spark_rows.select("k", "tag", "v", "name", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("a", "b")])
+    assert not rows.schema["a"].nullable
+    for n in range(1, len(cells) + 1):
+        for df in (rows.where(F.col("v") < n), spark_rows.where(F.col("v") < n)):
+            assert combine.pivot_feeds(df, ["k"], "tag", "v", ["a", "b"], {"x": "t"}, ["name"]).first() == ("k", "n0", n - 1.0)
