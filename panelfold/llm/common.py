@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
@@ -73,16 +74,41 @@ def by_bytes(batches, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBa
 
 
 _SLOTS = 28  # bits of a bitmap's address at most: 32 MB, an eighth full with 2^25 keys
+_SLICE = 1 << 16  # words of a bitmap that travel in one row
 
 
 def key_bitmap(table: DataFrame, key: str = "key") -> np.ndarray:
     """Which leading bits of the 64-bit keys occur, as words of 64; there are about eight places a key, up to a bound."""
     slots = min(_SLOTS, max(16, (8 * table.count()).bit_length()))
-    slot = F.shiftrightunsigned(key, 64 - slots)
-    words = table.select(F.shiftright(slot, 6).alias("at"), (slot % 64).cast("int").alias("bit"))
-    words = words.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+
+    def marked(batches):
+        bits = np.zeros(1 << (slots - 6), np.uint64)
+        for batch in batches:
+            slot = np.unique(batch.column(0).drop_null().to_numpy().view(np.uint64) >> np.uint64(64 - slots))
+            at = slot >> np.uint64(6)
+            starts = np.flatnonzero(np.diff(at, prepend=~at[:1]))
+            if len(slot):
+                bits[at[starts]] |= np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), starts)
+        for at in range(0, len(bits), _SLICE):
+            if bits[at : at + _SLICE].any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([bits[at : at + _SLICE].tobytes()], pa.binary())], names=["at", "bits"])
+
+    def merged(batches):
+        at, bits = None, None
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = np.frombuffer(b.as_py(), np.uint64)
+                if at is not None and a != at:
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["at", "bits"])
+                at, bits = a, words if a != at else bits | words
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([bits.tobytes()], pa.binary())], names=["at", "bits"])
+
+    slices = table.select(key).mapInArrow(marked, "at long, bits binary").repartition("at").sortWithinPartitions("at")
     out = np.zeros(1 << (slots - 6), np.uint64)
-    out[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    found = slices.mapInArrow(merged, "at long, bits binary").toArrow()
+    for at, bits in zip(found["at"].to_pylist(), found["bits"].to_pylist()):
+        out[at : at + _SLICE] = np.frombuffer(bits, np.uint64)
     return out
 
 
@@ -95,6 +121,7 @@ def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def settle(df: DataFrame, label: str) -> DataFrame:
     """``stage``, after which nothing before it is needed: the driver drops shuffles no plan refers to any more."""
     out = stage(df, label)
+    gc.collect()  # plans that only cycles of Python objects refer to
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
 

@@ -10,9 +10,9 @@ pairs have one, however many there are.
 A word is its 64-bit hash, or a small number where it is usual in a sample of ``_SAMPLE`` texts, which makes the
 tables shorter.  Counts and the values made of them are Spark tables.  The most frequent words
 and pairs, up to ``HEAD_WORDS`` and ``HEAD_PAIRS``, are broadcast too and scored where the text is; a
-document's other distinct words and pairs are joined to the tables, but for those that a bitmap of the tables'
+document's other distinct words and pairs are looked up in the tables, by parts of the keys, but for those that a bitmap of the tables'
 keys rules out.  Those are seldom by that choice (over
-``HEAD_PAIRS`` pairs are about as frequent as any of them), so no key of the join is hot.  The head's sizes
+``HEAD_PAIRS`` pairs are about as frequent as any of them), so no part is hot.  The head's sizes
 change the cost and no result.
 
 ``most_words`` and ``most_pairs`` make models of a wanted size instead: the highest frequency classes that fit
@@ -30,17 +30,18 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from dataclasses import dataclass, replace
-from functools import reduce
-from hashlib import blake2b
+from functools import cache, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelfold.llm.common import as_schema, by_bytes, discard, key_bitmap, may_hold, settle, stage, temp_name, text_of
-from panelfold.llm.toxicity import words
+from panelfold.llm.toxicity import _WORD, words
 from panelfold.operators.sizing import join_small
 
 HEAD_WORDS = 1 << 16
@@ -48,9 +49,11 @@ HEAD_PAIRS = 1 << 18
 DISCOUNT = 1.0  # what was seen once says nothing, so that a text does not vouch for itself
 _TOKENS = 1 << 21
 _PART_WORDS = 1 << 20  # of the corpus, whose pairs one part holds
-_KNOWN = 1 << 19  # words whose hashes a worker remembers
+_PART_KEYS = 1 << 21  # of the table, that one part holds
 _SAMPLE, _SAMPLE_CHARS, _USUAL = 4096, 1 << 14, 1 << 16
+_USUAL_SLOTS = 20  # bits of a usual word's slot
 _ALONE, _LAST = -1, -2  # stand before a word for the word by itself, and for the last of a text
+_TABLE, _ASKED, _TEXT = range(3)  # what a row brings to its part
 _START = 0  # before the first word; as a word, 0 is every word outside the vocabulary
 
 
@@ -89,48 +92,90 @@ def flat_ids(ids: dict[str, int], texts: list[str]) -> tuple[np.ndarray, np.ndar
     return np.fromiter((ids.get(w, 0) for ws in each for w in ws), np.int64, total), ends
 
 
-class _Hashes(dict):
-    """Number of a word: that of a usual one, or its 64-bit hash."""
+@cache
+def _letters() -> np.ndarray:
+    """Of every code point, whether it stands in ``words``."""
+    out = np.zeros(sys.maxunicode + 1, bool)
+    for m in _WORD.finditer("".join(map(chr, range(len(out))))):
+        out[m.start() : m.end()] = True
+    return out
 
-    def __init__(self, usual: dict[str, int]):
-        self.usual = usual
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
-        h = self.usual.get(word) or int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-        self[word] = h
-        return h
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The 64-bit numbers mixed, in place."""
+    for by in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15):
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(by)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def _usual_words(rows: DataFrame) -> tuple[dict[str, int], int]:
-    """Numbers from 1 for the most frequent words of about ``_SAMPLE`` texts, which change no result, and about how many words there are.
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of ``words`` of all texts in a row, and the texts' ends.
+
+    A word's hash is that of the sum of its characters', each mixed with its place in the word.
+    """
+    lowered = [t.lower() for t in texts]
+    chars = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _letters()[chars]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in lowered])).astype(np.int64)
+    if not len(starts):
+        return np.zeros(0, np.int64), ends
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(1, lengths.sum() + 1, dtype=np.int64) - np.repeat(first, lengths)
+    each = _mixed((place << 21 | chars[inside]).view(np.uint64))
+    return _mixed(np.add.reduceat(each, first)).view(np.int64), ends
+
+
+class _Hashes:
+    """Number of a word: from 1 that of a usual one, which two with one slot leave to the more frequent, or its 64-bit hash."""
+
+    def __init__(self, usual: np.ndarray):
+        self.keys, self.numbers = np.zeros(1 << _USUAL_SLOTS, np.int64), np.zeros(1 << _USUAL_SLOTS, np.int64)
+        slots = self._slots(usual)
+        _, at = np.unique(slots, return_index=True)
+        self.keys[slots[at]], self.numbers[slots[at]] = usual[at], at + 1
+
+    @staticmethod
+    def _slots(word: np.ndarray) -> np.ndarray:
+        return word.view(np.uint64) >> np.uint64(64 - _USUAL_SLOTS)
+
+    def of(self, word: np.ndarray) -> np.ndarray:
+        slots = self._slots(word)
+        return np.where(self.keys[slots] == word, self.numbers[slots], word)
+
+
+def _usual_words(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """Hashes of the most frequent words of about ``_SAMPLE`` texts, which change no result, and about how many words there are.
 
     The sample is all texts with a small hash, so no text leaves its task.
     """
 
     def count(batches):
-        n = Counter()
+        held, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for batch in by_bytes(batches, 0):
-            n.update(w for t in batch.column(0).to_pylist() for w in words(t))
-        top = n.most_common(_USUAL)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([k for _, k in top], pa.int64())], names=["word", "n"])
+            word, _ = _word_hashes(batch.column(0).to_pylist())
+            held, n = [*held, word], [*n, np.ones(len(word), np.int64)]
+            word, of = np.unique(np.concatenate(held), return_inverse=True)
+            held, n = [word], [np.bincount(of, np.concatenate(n), len(word)).astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(n[0])], names=["word", "n"])
 
     total = rows.count()
     share = min(1.0, _SAMPLE / max(total, 1))
     chosen = rows.where(F.pmod(F.xxhash64("row", "text"), F.lit(1 << 32)) < F.lit(int(share * (1 << 32)) + 1))
-    counts = chosen.select(F.substring("text", 1, _SAMPLE_CHARS).alias("text")).mapInArrow(count, "word string, n long")
+    counts = chosen.select(F.substring("text", 1, _SAMPLE_CHARS).alias("text")).mapInArrow(count, "word long, n long")
     counts = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "sampled-words")
-    found = counts.orderBy(F.desc("n"), "word").limit(_USUAL)
+    found = counts.orderBy(F.desc("n"), "word").limit(_USUAL).select("word").toArrow()
     n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return {r[0]: k for k, r in enumerate(found.select("word").collect(), 1)}, int(n_words / share)
+    return found["word"].to_numpy().astype(np.int64), int(n_words / share)
 
 
 def _hashed(hashes: _Hashes, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word before, word) of all texts in a row, and the texts' ends."""
-    each = [words(t) for t in texts]
-    ends = np.cumsum([len(w) for w in each]).astype(np.int64)
-    word = np.fromiter((hashes[w] for ws in each for w in ws), np.int64, int(ends[-1]) if len(ends) else 0)
+    word, ends = _word_hashes(texts)
+    word = hashes.of(word)
     before = np.roll(word, 1)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     before[starts[starts < len(word)]] = _START
@@ -168,18 +213,18 @@ class Head:
     rest: np.ndarray
     pair_keys: np.ndarray
     pair: np.ndarray  # what a pair's loss differs from its back-off by
-    usual: dict[str, int]
+    usual: np.ndarray
     bitmap: np.ndarray | None = None  # of the keys of the table that holds the others
 
     def sums(self, hashes: _Hashes, texts: list[str]):
-        """Summed losses of each text by the head, its number of words, and (ends, key, n) of what the tables may hold."""
+        """Summed losses of each text by the head, its number of words, and (text, key, n) of what the tables may hold."""
         before, word, ends = _hashed(hashes, texts)
         n = np.diff(ends, prepend=0)
         text = np.repeat(np.arange(len(texts)), n)
         out = np.where(n > 0, self.start[:, None], 0.0)
         asked = []
         for keys, table in ((word, self.word_keys), (_pair_key(before, word), self.pair_keys)):
-            each, of = np.unique(keys, return_inverse=True)
+            of, each = pd.factorize(keys) if table is self.word_keys else np.unique(keys, return_inverse=True)[::-1]
             at, hit = _found(table, each)
             if table is self.word_keys:
                 value = np.repeat(self.unseen[:, None], len(each), axis=1)
@@ -199,9 +244,7 @@ class Head:
         out[:, np.nonzero(n)[0][hit]] -= self.rest[:, at[hit]]
         if self.bitmap is not None:
             asked.append((np.nonzero(n)[0][~hit], _last_key(word[last[~hit]]), np.ones((~hit).sum(), np.int64)))
-        texts_of, keys, times = (np.concatenate([a[k] for a in asked] or [np.zeros(0, np.int64)]) for k in range(3))
-        order = np.argsort(texts_of, kind="stable")
-        return out, n, (np.searchsorted(texts_of[order], np.arange(len(texts) + 1)), keys[order], times[order])
+        return out, n, tuple(np.concatenate([a[k] for a in asked] or [np.zeros(0, np.int64)]) for k in range(3))
 
 
 @dataclass
@@ -210,6 +253,7 @@ class Whole:
 
     head: Head
     table: DataFrame | None
+    bits: int = 0  # of a key, which number the parts that the table is dealt into
 
 
 def _combined(b: np.ndarray, w: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -263,7 +307,27 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def _pair_counts(flagged: DataFrame, usual: dict[str, int], n_words: int) -> DataFrame:
+def _dealt(keys: np.ndarray, bits: int, columns: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
+    """The parts that occur, and each one's keys, in order as differences, and columns."""
+    order = np.argsort(keys.view(np.uint64))
+    keys, columns = keys.view(np.uint64)[order], [c[order] for c in columns]
+    part = keys >> np.uint64(64 - bits)
+    cuts = np.concatenate([[0], np.nonzero(part[1:] != part[:-1])[0] + 1, [len(part)]])
+    blobs = [b"".join([_planes(np.diff(keys[x:y], prepend=np.uint64(0))), *[_planes(c[x:y]) for c in columns]]) for x, y in zip(cuts, cuts[1:])]
+    return part[cuts[:-1]].astype(np.int32), blobs
+
+
+def _undealt(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
+    widths = [np.dtype(kind).itemsize for kind in ("<u8", *kinds)]
+    n, at, out = len(blob) // sum(widths), 0, []
+    for kind, width in zip(("<u8", *kinds), widths):
+        planes = np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * width
+    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+
+
+def _pair_counts(flagged: DataFrame, usual: np.ndarray, n_words: int) -> DataFrame:
     """(b, w, n, t): how often a word stands after another, by itself and last, in all texts and in the target's.
 
     Pairs seen once are counted and then left out, as their discount is their whole count.  A task counts ``_TOKENS``
@@ -397,7 +461,8 @@ def _fit_whole(rows: DataFrame, flagged: DataFrame, head_words: int, head_pairs:
     table = settle(rare.unionAll(other_pairs.select("b", "w", "v0", "v1").mapInArrow(pair_rows, schema)), "rare-values")
     for t in staged:
         discard(t)
-    return Whole(replace(head, bitmap=key_bitmap(table)), table)
+    bits = max(4, int(np.ceil(np.log2(table.count() / _PART_KEYS + 1))))
+    return Whole(replace(head, bitmap=key_bitmap(table)), table, bits)
 
 
 def fit(
@@ -521,36 +586,113 @@ def score_texts(df: DataFrame, models: Whole | Matched, text: str = "text", keep
 
 
 def _score_whole(df: DataFrame, models: Whole, text: str, keep_text: bool) -> DataFrame:
-    shipped = df.sparkSession.sparkContext.broadcast(models.head)
+    """The head is looked up where the text is; the rest by parts of the keys.
+
+    A task asks for ``_TOKENS`` keys at a time, in one row a part.  A part's rows of the table come first, so that what is asked
+    passes them once, and what comes back is one row a text that asked.  The texts' own rows travel the same way.
+    """
+    shipped, bits = df.sparkSession.sparkContext.broadcast(models.head), models.bits
     at = df.columns.index(text)
     kept = [c for c in df.columns if keep_text or c != text]
-    names = [temp_name(df, c) for c in ("sum0", "sum1", "keys", "times", "row")]
-    sum0, sum1, keys, times, row = names
-    fields = [f for f in df.schema.fields if f.name in kept] + as_schema(("n_words", "long"), (sum0, "double"), (sum1, "double")).fields
-    schema = T.StructType([*fields, T.StructField(keys, T.ArrayType(T.LongType())), T.StructField(times, T.ArrayType(T.LongType()))])
+    row, sum0, sum1, part, kind, blob = (temp_name(df, c) for c in ("row", "sum0", "sum1", "part", "kind", "asked"))
+    summed_schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name in kept], *as_schema(("n_words", "long"), (sum0, "double"), (sum1, "double"), (row, "long")).fields])
+    sent = as_schema((part, "int"), (kind, "int"), (blob, "binary"))
 
     def run(batches):
-        hashes = _Hashes(shipped.value.usual)
-        for batch in by_bytes(batches, at):
-            sums, n, (ends, key, many) = shipped.value.sums(hashes, [t or "" for t in batch.column(at).to_pylist()])
+        head = shipped.value
+        hashes = _Hashes(head.usual)
+        first = done = TaskContext.get().partitionId() << 40
+        asked, held, types = [], 0, None
+
+        def dealt():
+            of, key, times = (np.concatenate([a[k] for a in asked]) for k in range(3))
+            parts, blobs = _dealt(key, bits, [(of - first).astype("<u4"), times.astype("<u4")])
+            n = len(parts)
+            numbers = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array(np.full(n, first))]
+            return [*[pa.nulls(n, t) for t in types], *numbers, pa.array(parts), pa.array(np.full(n, _ASKED, np.int32)), pa.array(blobs, pa.binary())]
+
+        for batch in by_bytes(batches, at, 1 << 20):
+            sums, n, (of, key, times) = head.sums(hashes, [t or "" for t in batch.column(at).to_pylist()])
             same = [batch.column(k) for k in range(batch.num_columns) if keep_text or k != at]
-            lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x.astype(np.int64))) for x in (key, many)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), *lists], names=[*kept, "n_words", *names[:4]])
+            types = [c.type for c in same]
+            rows = np.arange(done, done + batch.num_rows)
+            numbers = [pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.array(rows)]
+            to = [pa.array((rows % (1 << bits)).astype(np.int32)), pa.array(np.full(len(rows), _TEXT, np.int32)), pa.nulls(len(rows), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*same, *numbers, *to], names=names)
+            if len(key):
+                asked.append((of + done, key, times))
+                held += len(key)
+            done += batch.num_rows
+            if held >= _TOKENS:
+                yield pa.RecordBatch.from_arrays(dealt(), names=names)
+                asked, held = [], 0
+            if not held:
+                first = done
+        if held:
+            yield pa.RecordBatch.from_arrays(dealt(), names=names)
+
+    def table_rows(batches):
+        for held in _together(batches, _TOKENS):
+            key, v0, v1 = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(3))
+            parts, blobs = _dealt(key, bits, [v0, v1])
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.full(len(parts), _TABLE, np.int32)), pa.array(blobs, pa.binary())], names=sent.names)
 
+    def summed(batches):
+        of_part, held, table = None, [], None
+        for batch in batches:
+            kinds = batch.column(names.index(kind)).to_numpy()
+            mine = batch.filter(pa.array(kinds == _TEXT))
+            if mine.num_rows:
+                yield mine.select(names[: -len(sent)])
+            for k in np.flatnonzero(kinds != _TEXT).tolist():
+                p, b, first = (batch.column(names.index(c))[k].as_py() for c in (part, blob, row))
+                if p != of_part:
+                    of_part, held, table = p, [], None
+                if kinds[k] == _TABLE:
+                    held.append(_undealt(b, ["<f8", "<f8"]))
+                    continue
+                if table is None:
+                    key, *value = (np.concatenate([h[c] for h in held] or [np.zeros(0)]) for c in range(3))
+                    order = np.argsort(key)
+                    table, held = (key[order], *[v[order] for v in value]), []
+                key, of, times = _undealt(b, ["<u4", "<u4"])
+                place, hit = _found(table[0], key)
+                place, of, times = place[hit], of[hit], times[hit]
+                texts = np.flatnonzero(np.bincount(of))
+                sums = [np.bincount(of, times * v[place])[texts] for v in table[1:]] if len(of) else [np.zeros(0)] * 2
+                nulls = [pa.nulls(len(texts), t) for t in batch.schema.types[: len(kept) + 1]]
+                yield pa.RecordBatch.from_arrays([*nulls, *[pa.array(x) for x in sums], pa.array(texts + first)], names=names[: -len(sent)])
+
+    schema = T.StructType([*summed_schema.fields, *sent.fields])
+    names = schema.names
     scored = df.mapInArrow(run, schema)
     per_word = lambda c: F.col(c) / F.greatest(F.col("n_words"), F.lit(1))
     if models.table is not None:
-        scored = settle(scored.withColumn(row, F.monotonically_increasing_id()), "scored")
-        asked = scored.select(F.col(row).alias("of"), F.inline(F.arrays_zip(F.col(keys).alias("key"), F.col(times).alias("times"))))
-        more = asked.join(models.table, "key").groupBy("of").agg(F.sum(F.col("times") * F.col("v0")).alias("v0"), F.sum(F.col("times") * F.col("v1")).alias("v1"))
+        rows = scored.unionByName(models.table.mapInArrow(table_rows, sent), allowMissingColumns=True)
+        rows = rows.repartition(1 << bits, part).sortWithinPartitions(part, kind).mapInArrow(summed, summed_schema)
+        rows = settle(rows, "scored")
+        more = rows.where("n_words IS NULL").groupBy(F.col(row).alias("of")).agg(F.sum(sum0).alias("v0"), F.sum(sum1).alias("v1"))
+        scored = rows.where("n_words IS NOT NULL")
         more = more.select(*[F.col(c).alias(temp_name(scored, f"{c}_more")) for c in ("of", "v0", "v1")])
         of, v0, v1 = more.columns
-        scored = scored.drop(keys, times).join(more, F.col(row) == F.col(of), "left")
+        scored = scored.join(more, F.col(row) == F.col(of), "left")
         scored = scored.withColumns({sum0: F.col(sum0) + F.coalesce(v0, F.lit(0.0)), sum1: F.col(sum1) + F.coalesce(v1, F.lit(0.0))})
     losses = {"target_loss": per_word(sum1), "background_loss": per_word(sum0), "difference": per_word(sum1) - per_word(sum0)}
     return scored.withColumns(losses).select(*[f"`{c}`" for c in kept], *_ADDED)
 
 
+def _together(batches, most: int):
+    """Lists of batches that hold about ``most`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held, n = [*held, batch], n + batch.num_rows
+        if n >= most:
+            yield held
+            held, n = [], 0
+    if n:
+        yield held
+
+
 def _score_matched(df: DataFrame, models: Matched, text: str) -> DataFrame:
     shipped = df.sparkSession.sparkContext.broadcast(models)
     at = df.columns.index(text)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from panelfold.llm import lmscore
+from panelfold.llm.common import key_bitmap, may_hold
 from panelfold.llm.queries import QUERIES
 from panelfold.llm.toxicity import words
 
@@ -108,6 +109,54 @@ def test_pairs_travel_unchanged():
             assert sorted(zip(*(c.tolist() for c in rows))) == sorted(zip(*(c.tolist() for c in (b, w, n, t))))
 
 
+def test_words_are_hashed_as_they_are_split():
+    texts = ["", "\u03a3\u0391\u03a3 \u03a3", "\u0130stanbul x_y 1\u00b22 a\u0663b \u2167", "\ud800 a", "a" * 300 + " b a", "ab ba a b", "b"]
+    hashes, ends = lmscore._word_hashes(texts)
+    assert ends.tolist() == np.cumsum([len(words(t)) for t in texts]).tolist()
+    by_word = {}
+    for w, h in zip((w for t in texts for w in words(t)), hashes.tolist()):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    known = lmscore._Hashes(hashes[:3])
+    assert known.of(hashes).tolist() == [hashes.tolist().index(h) + 1 if h in hashes[:3] else h for h in hashes.tolist()]
+
+
+def test_what_is_asked_travels_unchanged():
+    r = np.random.default_rng(5)
+    for size in (1, 9, 400):
+        keys = r.integers(-(2**63), 2**63 - 1, size)
+        keys[size // 2 :] = keys[: size - size // 2]
+        of, value = r.integers(0, 2**32, size).astype("<u4"), r.normal(size=size)
+        parts, blobs = lmscore._dealt(keys, 4, [of, value])
+        got = [(int(p), *x) for p, b in zip(parts, blobs) for x in zip(*(c.tolist() for c in lmscore._undealt(b, ["<u4", "<f8"])))]
+        assert sorted(got) == sorted((k >> 60, k, o, v) for k, o, v in zip(keys.view(np.uint64).tolist(), of.tolist(), value.tolist()))
+
+
+def test_no_text_carries_its_keys_through_the_join(spark, docs, monkeypatch):
+    """What is kept of the scores is a row a text and one for each part it asked, without any list of keys; other columns stay."""
+    texts = [t for _, t in DOCS if t] * 3
+    rows = docs(list(enumerate(texts)) + [(None, None), (0, texts[0])])
+    models = lmscore.fit(rows, spark.createDataFrame([(1,)], "doc_id long"), head_words=0, head_pairs=0)
+    kept = []
+    settle = lmscore.settle
+    monkeypatch.setattr(lmscore, "settle", lambda df, label: kept.append(settle(df, label)) or kept[-1])
+    with_list = rows.selectExpr("*", "array(doc_id) AS list", "named_struct('a', doc_id) AS row")
+    out = lmscore.score_texts(with_list, models)
+    assert sorted(map(str, out.select(with_list.columns).collect())) == sorted(map(str, with_list.collect()))
+    (scored,) = kept
+    assert [t for c, t in scored.dtypes if c not in with_list.columns and "<" in t or t == "binary"] == []
+    assert scored.count() <= rows.count() * (1 + (1 << models.bits))
+
+
+def test_bitmap_holds_every_key(spark):
+    keys = np.random.default_rng(6).integers(-(2**63), 2**63 - 1, 5000)
+    table = spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(3)
+    bitmap = key_bitmap(table)
+    assert may_hold(bitmap, keys).all()
+    assert sum(int(w).bit_count() for w in bitmap) == len(np.unique(keys.view(np.uint64) >> np.uint64(58 - (len(bitmap) - 1).bit_length())))
+    assert not key_bitmap(table.limit(0)).any()
+
+
 def test_empty_tables(spark, docs):
     chosen = spark.createDataFrame([], "doc_id long")
     models = lmscore.fit(docs([]), chosen)
