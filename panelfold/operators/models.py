@@ -6,7 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelfold.functions.scalars import category_rank, half_even
+from panelfold.operators import forest as by_node
 from panelfold.operators.features import assemble
 from panelfold.operators.quantiles import exact_quantiles, order_statistics
 from panelfold.session import scratch_dir, stage
@@ -42,6 +43,7 @@ MIN_ROWS_PER_NODE = 2
 FEW_ROWS = 10_000  # up to here a table is fitted as it lies, in one fit
 TASK_ROWS = 1 << 18
 FIT_TREES = 25
+MANY_ROWS = 1 << 16  # beyond them a regression forest's nodes are grown where their rows are, by ``operators.forest``
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,17 @@ class Fitted:
         return self.model.transform(assemble(df, self.features)).drop("features")
 
 
+class GrownForest(Fitted):
+    """A forest whose trees are staged tables, read as Spark's model when that is asked for."""
+
+    def __init__(self, name: str, trees: by_node.Grown, features: list[str]) -> None:
+        self.__dict__.update(name=name, trees=trees, features=features)
+
+    @cached_property
+    def model(self) -> Model:
+        return self.trees.model()
+
+
 def _checkpointed(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     if not spark.sparkContext.getCheckpointDir():
@@ -119,7 +132,10 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, **settings
     _checkpointed(train.sparkSession)
     settings = {"minInstancesPerNode": MIN_ROWS_PER_NODE, **FOREST, **settings}
     reg = RandomForestRegressor(labelCol=label, cacheNodeIds=True, checkpointInterval=10, **settings)
-    return Fitted("Random Forest", _grown(reg, assemble(train, features)), list(features))
+    rows = assemble(train, features)
+    if rows.count() > MANY_ROWS:
+        return GrownForest("Random Forest", by_node.grow(reg, rows), list(features))
+    return Fitted("Random Forest", _grown(reg, rows), list(features))
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str], label: str, **settings) -> Fitted:
@@ -155,7 +171,9 @@ def champion(scores: DataFrame, name: str = "model", score: str = "r2") -> DataF
 
 def importance(fitted: Fitted, spark: SparkSession, top: int | None = None) -> DataFrame:
     """Share of each feature in percent: tree importance, or absolute coefficients over their sum."""
-    if hasattr(fitted.model, "featureImportances"):
+    if isinstance(fitted, GrownForest):
+        shares = [v * 100.0 for v in fitted.trees.shares()]
+    elif hasattr(fitted.model, "featureImportances"):
         raw = fitted.model.featureImportances.toArray()
         shares = [float(v) * 100.0 for v in raw]
     else:
